@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import mart
+from .plans import audit, mart, sinks
 from .sources import card_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,37 @@ def q_online_history_distinct(spark, sf_dir):
     return mart.history_dim(_inputs(spark, sf_dir).online_history)
 
 
+def q_rule_audit_counts(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    return audit.rule_audit_counts(inp.fee_txn, mart.card_info(inp.cards))
+
+
+def q_branch_lookup(spark, sf_dir):
+    return audit.branch_lookup(_inputs(spark, sf_dir).branches, LOOKUP_BRANCH)
+
+
+def q_upper_org_by_partition(spark, sf_dir):
+    return audit.upper_org_by_partition(_inputs(spark, sf_dir).branches)
+
+
+def q_stage_views_sql(spark, sf_dir):
+    mart.register_stages(mart.mart_stages(_inputs(spark, sf_dir)))
+    return spark.sql("SELECT * FROM ldm_card_pos_tran_stage WHERE MSG_TYP = '1'")
+
+
+# The reference's warehouse database and mart table.
+MART_DATABASE = "edw"
+MART_TABLE = "ldm_card_pos_tran"
+
+
+def q_mart_overwrite_readback(spark, sf_dir):
+    rows = sinks.with_load_time(mart.build_mart(_inputs(spark, sf_dir)))
+    with sinks.current_database(spark, MART_DATABASE):
+        sinks.overwrite_table(rows, MART_TABLE, checkpoint=True)
+        written = spark.table(MART_TABLE)
+    return written.drop("load_ts")
+
+
 QUERIES: dict[str, Query] = {
     "card_pos_tran": q_card_pos_tran,
     "branch_distinct": q_branch_distinct,
@@ -77,4 +108,9 @@ QUERIES: dict[str, Query] = {
     "fee_txn_enriched": q_fee_txn_enriched,
     "card_tran_mid": q_card_tran_mid,
     "online_history_distinct": q_online_history_distinct,
+    "rule_audit_counts": q_rule_audit_counts,
+    "branch_lookup": q_branch_lookup,
+    "upper_org_by_partition": q_upper_org_by_partition,
+    "stage_views_sql": q_stage_views_sql,
+    "mart_overwrite_readback": q_mart_overwrite_readback,
 }

@@ -81,8 +81,10 @@ def derive_fee_txn(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
               .otherwise("91"))
     fee_letter = (F.when(F.col("l_returnflag") == "R", "C")
                   .when(F.col("l_returnflag") == "A", "D").otherwise("0"))
+    # Both sides are fact-sized at scale: a sort-merge join on the order key,
+    # so the derived columns are computed after the shuffle, in parallel.
     orders_slim = orders.select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey")
+        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey").hint("merge")
     return (
         lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                         "l_extendedprice", "l_quantity", "l_returnflag",
