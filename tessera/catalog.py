@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import audit, mart, sinks
-from .sources import card_inputs
+from .plans import audit, calendar_jobs as cal, mart, sinks
+from .sources import card_inputs, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,30 @@ def q_mart_overwrite_readback(spark, sf_dir):
     return written.drop("load_ts")
 
 
+def _orders(spark, sf_dir):
+    return read_table(spark, sf_dir, "orders")
+
+
+def _lines(spark, sf_dir):
+    return cal.order_line_dates(_orders(spark, sf_dir), read_table(spark, sf_dir, "lineitem"))
+
+
+CALENDAR_QUERIES: dict[str, Query] = {
+    "cal_shift_days": lambda spark, d: cal.shift_days(_orders(spark, d)),
+    "cal_shift_months": lambda spark, d: cal.shift_months(_orders(spark, d)),
+    "cal_shift_units": lambda spark, d: cal.shift_units(read_table(spark, d, "events")),
+    "cal_lookback_totals": lambda spark, d: cal.lookback_totals(_orders(spark, d)),
+    "cal_day_gap": lambda spark, d: cal.day_gap_counts(_lines(spark, d)),
+    "cal_expand_days": lambda spark, d: cal.expand_days(_lines(spark, d)),
+    "cal_age_months": lambda spark, d: cal.age_month_counts(_lines(spark, d)),
+    "cal_bounds": lambda spark, d: cal.bounds(_orders(spark, d)),
+    "cal_period_flags": lambda spark, d: cal.period_flags(_orders(spark, d)),
+    "cal_text_month_end": lambda spark, d: cal.text_month_end(_orders(spark, d)),
+    "cal_labels": lambda spark, d: cal.labels(_orders(spark, d)),
+    "cal_parse_labels": lambda spark, d: cal.parse_labels(_orders(spark, d)),
+}
+
+
 QUERIES: dict[str, Query] = {
     "card_pos_tran": q_card_pos_tran,
     "branch_distinct": q_branch_distinct,
@@ -113,4 +137,5 @@ QUERIES: dict[str, Query] = {
     "upper_org_by_partition": q_upper_org_by_partition,
     "stage_views_sql": q_stage_views_sql,
     "mart_overwrite_readback": q_mart_overwrite_readback,
+    **CALENDAR_QUERIES,
 }

@@ -226,7 +226,7 @@ def now_label() -> Column:                          # DT-30
 
 def parse_day(s, pattern: str = DAY) -> Column:     # DT-27, DT-28
     """Text to DATE; malformed or impossible dates give NULL."""
-    return F.try_to_date(_c(s), F.lit(pattern))
+    return F.try_to_date(_c(s), pattern)
 
 
 def parse_ts(s, pattern: str) -> Column:            # DT-28
