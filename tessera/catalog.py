@@ -8,9 +8,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .plans import audit, calendar_jobs as cal, mart, sinks
-from .sources import card_inputs, read_table
+from .session import scratch_path
+from .sources import card_inputs, read_table, read_tasks, trigger_messages
+from .streaming import TriggerDispatcher, message_stream, run_trigger_stream, task_message_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +100,41 @@ def q_mart_overwrite_readback(spark, sf_dir):
     return written.drop("load_ts")
 
 
+def q_control_tasks(spark, sf_dir):
+    messages = trigger_messages(read_table(spark, sf_dir, "events"))
+    return task_message_counts(read_tasks(spark), messages)
+
+
+def mart_job(sf_dir: str):
+    """The registered job of the mart task: rebuild the mart and overwrite the
+    task's table in the warehouse database."""
+    def run(spark, table_name):
+        rows = sinks.with_load_time(mart.build_mart(_inputs(spark, sf_dir)))
+        with sinks.current_database(spark, MART_DATABASE):
+            sinks.overwrite_table(rows, table_name)
+    return run
+
+
+def q_trigger_dispatch(spark, sf_dir, timeout_s: float = 600.0):
+    """Messages derived from ``events`` are dropped as text files, one
+    available-now run of the dispatch stream consumes them (running the mart
+    job for its task), and the audit table is summed per matched task."""
+    base = scratch_path(spark, "trigger")
+    trigger_messages(read_table(spark, sf_dir, "events")).write.text(f"{base}/inbox")
+    dispatcher = TriggerDispatcher(read_tasks(spark), {"RUN_LDM_CARD_POS_TRAN": mart_job(sf_dir)},
+                                   f"{base}/audit")
+    stream = message_stream(spark, path=f"{base}/inbox")
+    query = run_trigger_stream(stream, dispatcher, f"{base}/checkpoint", available_now=True)
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError("trigger stream did not finish")
+    if query.exception() is not None:
+        raise query.exception()
+    audit = spark.read.parquet(f"{base}/audit")
+    return (audit.where("matched").groupBy("task_name", "table_name")
+            .agg(F.sum("n_messages").alias("n_messages")))
+
+
 def _orders(spark, sf_dir):
     return read_table(spark, sf_dir, "orders")
 
@@ -137,5 +175,7 @@ QUERIES: dict[str, Query] = {
     "upper_org_by_partition": q_upper_org_by_partition,
     "stage_views_sql": q_stage_views_sql,
     "mart_overwrite_readback": q_mart_overwrite_readback,
+    "control_tasks": q_control_tasks,
+    "trigger_dispatch": q_trigger_dispatch,
     **CALENDAR_QUERIES,
 }
