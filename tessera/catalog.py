@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .plans import audit, calendar_jobs as cal, mart, sinks
 from .session import scratch_path
-from .sources import card_inputs, read_table, read_tasks, trigger_messages
+from .sources import card_warehouse, read_table, read_tasks, trigger_messages
 from .streaming import TriggerDispatcher, message_stream, run_trigger_stream, task_message_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,7 @@ LOOKUP_BRANCH = "00000003"
 
 
 def _inputs(spark, sf_dir):
-    return card_inputs(spark, sf_dir)
+    return card_warehouse(spark, sf_dir)
 
 
 def q_card_pos_tran(spark, sf_dir):

@@ -1,8 +1,8 @@
 from .tables import TABLE_NAMES, read_table
-from .cards import CardInputs, card_inputs
+from .cards import CardInputs, card_inputs, card_warehouse
 from .control import DEFAULT_TASKS, TASK_SCHEMA, read_tasks, trigger_messages
 
 __all__ = [
-    "TABLE_NAMES", "read_table", "CardInputs", "card_inputs",
+    "TABLE_NAMES", "read_table", "CardInputs", "card_inputs", "card_warehouse",
     "DEFAULT_TASKS", "TASK_SCHEMA", "read_tasks", "trigger_messages",
 ]
