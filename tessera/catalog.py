@@ -94,9 +94,10 @@ MART_TABLE = "ldm_card_pos_tran"
 
 def q_mart_overwrite_readback(spark, sf_dir):
     rows = sinks.with_load_time(mart.build_mart(_inputs(spark, sf_dir)))
+    sinks.ensure_database(spark, MART_DATABASE)
+    sinks.overwrite_table(rows, f"{MART_DATABASE}.{MART_TABLE}", checkpoint=True)
     with sinks.current_database(spark, MART_DATABASE):
-        sinks.overwrite_table(rows, MART_TABLE, checkpoint=True)
-        written = spark.table(MART_TABLE)
+        written = spark.table(MART_TABLE)           # resolved in the current database
     return written.drop("load_ts")
 
 
@@ -110,8 +111,8 @@ def mart_job(sf_dir: str):
     task's table in the warehouse database."""
     def run(spark, table_name):
         rows = sinks.with_load_time(mart.build_mart(_inputs(spark, sf_dir)))
-        with sinks.current_database(spark, MART_DATABASE):
-            sinks.overwrite_table(rows, table_name)
+        sinks.ensure_database(rows.sparkSession, MART_DATABASE)
+        sinks.overwrite_table(rows, f"{MART_DATABASE}.{table_name}")
     return run
 
 

@@ -11,14 +11,22 @@ from ..operators import checkpointed
 from ..session import shared_dir
 
 
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the database when missing; a new one is placed in the shared
+    folder unless ``location`` says otherwise."""
+    if not spark.catalog.databaseExists(name):
+        where = location or f"{shared_dir(spark)}/warehouse/{name}.db"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{where}'")
+
+
 @contextmanager
 def current_database(spark: SparkSession, name: str, location: str | None = None):
     """``use <name>`` for the block (the database is created when missing),
-    then back to the previous one."""
+    then back to the previous one.  Writes should still name their table
+    fully: a frame built on another session (e.g. a stream's batch session)
+    does not see this session's current database."""
     previous = spark.catalog.currentDatabase()
-    if not spark.catalog.databaseExists(name):
-        where = location or f"{shared_dir(spark)}/warehouse/{name}.db"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{where}'")
+    ensure_database(spark, name, location)
     spark.catalog.setCurrentDatabase(name)
     try:
         yield
@@ -28,7 +36,7 @@ def current_database(spark: SparkSession, name: str, location: str | None = None
 
 def overwrite_table(df: DataFrame, table: str, checkpoint: bool = False,
                     partition_by: list[str] | None = None) -> None:
-    """Replace ``table`` with ``df``.  With ``checkpoint`` the rows are first cut
+    """Replace ``table`` (``db.name``) with ``df``.  With ``checkpoint`` the rows are first cut
     from their lineage on the shared checkpoint folder and that copy is written
     (the checkpointed frame is the one used, so the plan runs once)."""
     if checkpoint:
