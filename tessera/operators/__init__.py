@@ -1,7 +1,7 @@
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, trimmed_keys
+from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, bounded_broadcasts, trimmed_keys
 from .materialize import checkpointed, persisted, written
 
 __all__ = [
-    "DEFAULT_BROADCAST_ROWS", "bounded_broadcast", "trimmed_keys",
+    "DEFAULT_BROADCAST_ROWS", "bounded_broadcast", "bounded_broadcasts", "trimmed_keys",
     "checkpointed", "persisted", "written",
 ]

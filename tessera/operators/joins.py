@@ -8,6 +8,8 @@ planner (sort-merge, with AQE skew splitting of hot keys).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(fixed) if rows <= max_rows else fixed
 
 
+def bounded_broadcasts(*dfs: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
+    """``bounded_broadcast`` of several independent sides, checked as
+    concurrent jobs (the checks are small; their latency adds up)."""
+    if len(dfs) < 2:
+        return [bounded_broadcast(df, max_rows) for df in dfs]
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(lambda df: bounded_broadcast(df, max_rows), dfs))
+
+
 def trimmed_keys(left: DataFrame, right: DataFrame, pairs) -> Column:
     """Equi-join condition on space-trimmed keys; Catalyst extracts the trimmed
     expressions as hash / sort keys on both sides."""

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fields, rules
-from ..operators import bounded_broadcast, trimmed_keys
+from ..operators import bounded_broadcast, bounded_broadcasts, trimmed_keys
 from ..sources.cards import CardInputs
 
 # Fixed values of the mart.
@@ -83,11 +83,19 @@ def kind_dim(cards: DataFrame) -> DataFrame:
     return cards.select("CRD_KND", "CRD_KND_NM").distinct()
 
 
-def card_info(cards: DataFrame) -> DataFrame:
-    kinds = bounded_broadcast(kind_dim(cards))
+def card_info(cards: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
+    """D.  ``kinds`` is the checked kind dimension when the caller has it."""
+    kinds = bounded_broadcast(kind_dim(cards)) if kinds is None else kinds
     return live_cards(cards).join(kinds, "CRD_KND", "left").select(*CARD_INFO_COLS)
 
 
+def checked_dims(inputs: CardInputs) -> tuple[DataFrame, DataFrame]:
+    """Kind and branch dimensions, each materialised and size-checked for
+    broadcast; the two checks run concurrently."""
+    kinds, branches = bounded_broadcasts(kind_dim(inputs.cards), branch_dim(inputs.branches))
+    return kinds, branches
+
+
 def card_numbers(info: DataFrame) -> DataFrame:
     """The card numbers the transactions are checked against (``crd_no_para``)."""
     return info.select("CRD_NO")
@@ -113,21 +121,27 @@ def fee_sign_digits(kept: DataFrame) -> DataFrame:
 
 # -- F, G: enrichment ------------------------------------------------------
 
-def _enriched_columns():
-    return [
-        F.col("STL_DT").alias("TX_DT"),
-        "TXN_TM",
-        F.col("PAN").alias("CRD_NO"),
-        "CRD_TYP", "CRD_KND", "CRD_KND_NM", "AC", "CINO", "OPN_BR", "TRC_NO",
-        rules.txn_class().alias("MSG_TYP"),
-        fields.strict_int("TXN_AMT", "TXN_AMT").alias("TXN_AMT"),
-        fields.null_flag("TOKEN").alias("TOKEN"),
-        fields.equals_flag("SED_BR", HEAD_OFFICE_BRANCH).alias("SED_BR"),
-        fields.last_chars("ACP_BR", 4).alias("ACP_BR"),
-        "MEC_TYP",
-        fields.signed_fee("TXN_PRT_FEE", "GET_FEE", "C").alias("GET_FEE"),
-        fields.signed_fee("TXN_PRT_FEE", "TKE_FEE", "D").alias("TKE_FEE"),
-    ]
+def _enriched_columns() -> dict:
+    """Stage F's output columns by name, over (transaction + card) rows."""
+    return {
+        "TX_DT": F.col("STL_DT"),
+        "TXN_TM": F.col("TXN_TM"),
+        "CRD_NO": F.col("PAN"),
+        **{c: F.col(c) for c in ("CRD_TYP", "CRD_KND", "CRD_KND_NM", "AC", "CINO",
+                                 "OPN_BR", "TRC_NO")},
+        "MSG_TYP": rules.txn_class(),
+        "TXN_AMT": fields.strict_int("TXN_AMT", "TXN_AMT"),
+        "TOKEN": fields.null_flag("TOKEN"),
+        "SED_BR": fields.equals_flag("SED_BR", HEAD_OFFICE_BRANCH),
+        "ACP_BR": fields.last_chars("ACP_BR", 4),
+        "MEC_TYP": F.col("MEC_TYP"),
+        "GET_FEE": fields.signed_fee("TXN_PRT_FEE", "GET_FEE", "C"),
+        "TKE_FEE": fields.signed_fee("TXN_PRT_FEE", "TKE_FEE", "D"),
+    }
+
+
+def _named(columns: dict, order: list[str]) -> list:
+    return [columns[name].alias(name) for name in order]
 
 
 def _with_cards(fee_txn: DataFrame, card_side: DataFrame) -> DataFrame:
@@ -136,29 +150,32 @@ def _with_cards(fee_txn: DataFrame, card_side: DataFrame) -> DataFrame:
 
 
 def fee_txn_enriched(fee_txn: DataFrame, info: DataFrame) -> DataFrame:
-    return _with_cards(fee_txn, info).select(*_enriched_columns())
+    return _with_cards(fee_txn, info).select(*_named(_enriched_columns(), ENRICHED_COLS))
 
 
 def widened_cards(info: DataFrame, deposit_accounts: DataFrame,
-                  branches: DataFrame) -> DataFrame:
+                  branches: DataFrame, checked_branches: DataFrame | None = None) -> DataFrame:
     """D with the account open date and the branch attributes (joins of G that
     only read card columns)."""
     accounts = deposit_accounts.select("AC", "OPN_DT")
-    branch = bounded_broadcast(branch_dim(branches)).select(
+    if checked_branches is None:
+        checked_branches = bounded_broadcast(branch_dim(branches))
+    branch = checked_branches.select(
         F.col("org_id").alias("OPN_BR"), "org_name", "org_upperid", "org_uppername")
     return (info.join(accounts, "AC", "left")
             .join(branch, "OPN_BR", "left"))
 
 
 def card_tran_mid(inputs: CardInputs, load_date: str = DEFAULT_LOAD_DATE,
-                  info: DataFrame | None = None) -> DataFrame:
-    info = card_info(inputs.cards) if info is None else info
-    side = widened_cards(info, inputs.deposit_accounts, inputs.branches)
-    extra = ["OPN_DT", "org_name", "org_upperid", "org_uppername"]
-    return (_with_cards(inputs.fee_txn, side)
-            .select(*_enriched_columns(), *extra)
-            .withColumn("HIS_DW_DATE", F.lit(load_date))
-            .select(*MID_COLS))
+                  info: DataFrame | None = None,
+                  dims: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    kinds, branches = checked_dims(inputs) if dims is None else dims
+    info = card_info(inputs.cards, kinds) if info is None else info
+    side = widened_cards(info, inputs.deposit_accounts, inputs.branches, branches)
+    cols = _enriched_columns()
+    cols.update({c: F.col(c) for c in ("OPN_DT", "org_name", "org_upperid", "org_uppername")})
+    cols["HIS_DW_DATE"] = F.lit(load_date)
+    return _with_cards(inputs.fee_txn, side).select(*_named(cols, MID_COLS))
 
 
 # -- H, I: history and the mart --------------------------------------------
@@ -203,9 +220,10 @@ class MartStages:
 
 
 def mart_stages(inputs: CardInputs, load_date: str = DEFAULT_LOAD_DATE) -> MartStages:
-    info = card_info(inputs.cards)
+    dims = checked_dims(inputs)
+    info = card_info(inputs.cards, dims[0])
     kept = fee_txn_kept(inputs.fee_txn, info)
-    mid = card_tran_mid(inputs, load_date, info=info)
+    mid = card_tran_mid(inputs, load_date, info=info, dims=dims)
     return MartStages(
         v_org_branch_tmp=branch_dim(inputs.branches),
         rps_card_info_tmp=live_cards(inputs.cards),
