@@ -9,6 +9,7 @@ from one aggregate over one pass.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +42,14 @@ def branch_lookup(branches: DataFrame, org_id: str = DEFAULT_LOOKUP_BRANCH) -> D
     return mart.branch_dim(branches.where(F.col("org_id") == org_id))
 
 
-def upper_org_by_partition(branches: DataFrame) -> DataFrame:
+def upper_org_by_partition(branches: DataFrame, keep: bool = True) -> DataFrame:
     """Each distinct branch's parent id tagged with the partition holding it,
-    as ``<partition>_<parent id>`` (a NULL parent reads ``null``).  The numbers
-    depend on the physical layout."""
-    return mart.branch_dim(branches).select(
+    as ``<partition>_<parent id>`` (a NULL parent reads ``null``).
+
+    The numbers depend on the physical layout, so with ``keep`` the tagged
+    rows are persisted (memory, spilling to disk): every later action sees the
+    same tags.  The caller ``unpersist()``s it when done."""
+    tagged = mart.branch_dim(branches).select(
         F.concat(F.spark_partition_id().cast("string"), F.lit("_"),
                  F.coalesce(F.col("org_upperid"), F.lit("null"))).alias("TAG"))
+    return tagged.persist(StorageLevel.MEMORY_AND_DISK) if keep else tagged

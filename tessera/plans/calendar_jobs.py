@@ -140,9 +140,11 @@ def open_days(intervals: DataFrame, start: str, end: str) -> DataFrame:   # DT-1
                        F.coalesce("delta", F.lit(0)).cast("bigint").alias("delta")))
 
     # Running sum in two levels: within each year (one window partition per
-    # year), plus the net change of all earlier years (a window over the
-    # per-year table, a few dozen rows).
-    years = per_day.groupBy("yr").agg(F.sum("delta").alias("year_delta"))
+    # year), plus the net change of all earlier years, taken from the
+    # materialised per-day deltas (a window over a per-year table of a few
+    # dozen rows).  Both tables are bounded by the calendar span.
+    years = (deltas.groupBy(F.year("day").alias("yr"))
+             .agg(F.sum("delta").cast("bigint").alias("year_delta")))
     carry = years.select(
         "yr",
         F.coalesce(F.sum("year_delta").over(
@@ -151,6 +153,7 @@ def open_days(intervals: DataFrame, start: str, end: str) -> DataFrame:   # DT-1
     within = F.sum("delta").over(
         Window.partitionBy("yr").orderBy("day")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # carry has one row per year of the calendar above (365x smaller than it).
     return (per_day.withColumn("within", within)
             .join(F.broadcast(carry), "yr")
             .select("day", (F.col("carry") + F.col("within")).alias("n_open"))

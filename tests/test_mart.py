@@ -76,9 +76,13 @@ def test_scan_pruned_and_filter_pushed(spark, small_dir):
 
 
 def test_upper_org_tags(spark, small_dir):
-    rows = audit.upper_org_by_partition(card_warehouse(spark, small_dir).branches).collect()
+    tags = audit.upper_org_by_partition(card_warehouse(spark, small_dir).branches)
+    rows = tags.collect()
     assert rows and all(r.TAG.split("_", 1)[0].isdigit() for r in rows)
     assert all(r.TAG.split("_", 1)[1].startswith("00000") for r in rows)
+    assert sorted(r.TAG for r in tags.collect()) == sorted(r.TAG for r in rows)
+    assert tags.storageLevel.useDisk and tags.storageLevel.useMemory
+    tags.unpersist()
 
 
 def test_branch_lookup(spark, small_dir):
