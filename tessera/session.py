@@ -13,6 +13,28 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for the cluster run (~100 TB of input, ~1000 executors x 8 cores).
+# Scan splits of 512 MB give ~200k scan tasks (25 waves of 8k slots).  Shuffles
+# start from 80k partitions and AQE coalesces them to ~256 MB each, so a
+# reduce task's input fits in executor memory with room for sort spill.
+# Partitions 5x over the median and over 512 MB are split by skew join.
+# Static broadcast stays at the Spark default; dimensions are broadcast only
+# through the row-count check in ``operators.bounded_broadcast``.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "80000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tessera") -> SparkSession:
     """A local session tuned like the cluster one: AQE with skew-join splitting,
