@@ -44,3 +44,16 @@ def test_task_message_counts_keeps_silent_tasks(spark, small_dir):
     got = {r.task_name: r.n_messages for r in task_message_counts(read_tasks(spark), msgs).collect()}
     assert got["RUN_LDM_CARD_DAILY"] == 0
     assert got["RUN_LDM_CARD_POS_TRAN"] == msgs.where("value = 'RUN_LDM_CARD_POS_TRAN'").count()
+
+
+def test_dispatch_runs_the_mart_into_its_table(spark, small_dir):
+    from tessera import catalog
+    from tessera.plans import mart
+    from tessera.sources import card_warehouse
+
+    counts = catalog.q_trigger_dispatch(spark, small_dir).collect()
+    assert [(r.task_name, r.table_name) for r in counts] == [
+        ("RUN_LDM_CARD_POS_TRAN", "ldm_card_pos_tran")]
+    table = spark.table(f"{catalog.DISPATCH_DATABASE}.ldm_card_pos_tran")
+    assert table.drop("load_ts").columns == mart.MART_COLS
+    assert table.count() == mart.build_mart(card_warehouse(spark, small_dir)).count()
