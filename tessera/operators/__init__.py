@@ -1,7 +1,9 @@
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, bounded_broadcasts, trimmed_keys
+from .joins import (DATE_DOMAIN_ROWS, DEFAULT_BROADCAST_ROWS, bounded_broadcast,
+                    bounded_broadcasts, broadcast_date_keyed, trimmed_keys)
 from .materialize import checkpointed, persisted, written
 
 __all__ = [
-    "DEFAULT_BROADCAST_ROWS", "bounded_broadcast", "bounded_broadcasts", "trimmed_keys",
+    "DATE_DOMAIN_ROWS", "DEFAULT_BROADCAST_ROWS", "bounded_broadcast", "bounded_broadcasts",
+    "broadcast_date_keyed", "trimmed_keys",
     "checkpointed", "persisted", "written",
 ]

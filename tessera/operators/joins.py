@@ -28,6 +28,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(fixed) if rows <= max_rows else fixed
 
 
+# Fixed value: the number of distinct DATE values, 0001-01-01 .. 9999-12-31.
+DATE_DOMAIN_ROWS = 3_652_059
+
+
+def broadcast_date_keyed(df: DataFrame) -> DataFrame:
+    """Broadcast a table that holds at most one row per DATE (the result of a
+    group-by on a date key).  Its size is bounded by the DATE domain --
+    3,652,059 rows, a few tens of MB for a handful of numeric columns --
+    whatever the volume of the data it was aggregated from, so no counting
+    job is needed."""
+    return F.broadcast(df)
+
+
 def bounded_broadcasts(*dfs: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
     """``bounded_broadcast`` of several independent sides, checked as
     concurrent jobs (the checks are small; their latency adds up)."""

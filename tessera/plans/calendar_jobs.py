@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import bounded_broadcast
+from ..operators import broadcast_date_keyed, checkpointed
 
 # Fixed values of the jobs: shift sizes and the malformed label used to
 # exercise parse quarantine.
@@ -74,17 +74,17 @@ def shift_units(events: DataFrame) -> DataFrame:                     # DT-10, DT
 
 def lookback_totals(orders: DataFrame) -> DataFrame:                 # DT-1, 4, 9
     """Daily order totals next to the totals one day, one month and one year
-    earlier.  The daily table has one row per calendar day; it is
-    materialised once and, under the size check, broadcast to its three
-    look-up joins."""
-    daily = (orders.groupBy(dates.as_date("o_orderdate").alias("order_day"))
-             .agg(F.count(F.lit(1)).alias("n_orders"),
-                  F.sum("o_totalprice").alias("total")))
-    daily = bounded_broadcast(daily)
+    earlier.  The daily table (one aggregation, map-side combined, so a hot
+    day is no hot task) is computed once into the shared checkpoint folder;
+    it has one row per date, so its broadcast to the three look-up joins is
+    bounded by the DATE domain."""
+    daily = checkpointed(
+        orders.groupBy(dates.as_date("o_orderdate").alias("order_day"))
+        .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total")))
 
     def back(name):
-        return daily.select(F.col("order_day").alias(f"{name}_day"),
-                            F.col("total").alias(name))
+        return broadcast_date_keyed(daily.select(F.col("order_day").alias(f"{name}_day"),
+                                                 F.col("total").alias(name)))
 
     out = (daily
            .withColumn("prev_day_day", dates.day_before("order_day"))
@@ -121,7 +121,8 @@ def open_days(intervals: DataFrame, start: str, end: str) -> DataFrame:   # DT-1
     without materialising one row per covered day: each interval becomes a
     +1 on its first day and a -1 on the day after its last, pre-aggregated
     map-side per day; a running sum over the calendar then gives the count.
-    The day tables are bounded by the calendar span, not by the data.
+    The day tables hold one row per date, so they are bounded by the DATE
+    domain (and in practice by the calendar span), not by the data.
     """
     a, b = dates.as_date(start), dates.as_date(end)
     iv = intervals.select(a.alias("a"), b.alias("b")).where(F.col("a") <= F.col("b"))
@@ -129,13 +130,14 @@ def open_days(intervals: DataFrame, start: str, end: str) -> DataFrame:   # DT-1
         F.struct(F.col("a").alias("day"), F.lit(1).alias("delta")),
         F.struct(F.date_add("b", 1).alias("day"), F.lit(-1).alias("delta")),
     )).alias("m")).select("m.day", "m.delta")
-    deltas = marks.groupBy("day").agg(F.sum("delta").alias("delta"))
-    deltas = bounded_broadcast(deltas)
+    # Used three times below (calendar bounds, per-day join, year carry):
+    # computed once and written to the shared checkpoint folder.
+    deltas = checkpointed(marks.groupBy("day").agg(F.sum("delta").alias("delta")))
 
     calendar = (deltas.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
                 .where(F.col("lo").isNotNull())
                 .select(F.explode(dates.every_day("lo", "hi")).alias("day")))
-    per_day = (calendar.join(deltas, "day", "left")
+    per_day = (calendar.join(broadcast_date_keyed(deltas), "day", "left")
                .select("day", F.year("day").alias("yr"),
                        F.coalesce("delta", F.lit(0)).cast("bigint").alias("delta")))
 
@@ -153,7 +155,7 @@ def open_days(intervals: DataFrame, start: str, end: str) -> DataFrame:   # DT-1
     within = F.sum("delta").over(
         Window.partitionBy("yr").orderBy("day")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # carry has one row per year of the calendar above (365x smaller than it).
+    # carry has one row per year: at most 9999 rows.
     return (per_day.withColumn("within", within)
             .join(F.broadcast(carry), "yr")
             .select("day", (F.col("carry") + F.col("within")).alias("n_open"))
