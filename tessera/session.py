@@ -32,6 +32,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # checkpoint files of size-checked dimensions go when their frame does
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -53,6 +55,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         # Python call-site capture costs several JVM round trips per Column
         # call; jobs here build wide expressions, so it is off.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tessera-warehouse-"))
     )
