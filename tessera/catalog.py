@@ -21,6 +21,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # (the reference looks up its own head-office code).
 LOOKUP_BRANCH = "00000003"
 
+# The reference's warehouse database and mart table.
+MART_DATABASE = "edw"
+MART_TABLE = "ldm_card_pos_tran"
+
 
 def _inputs(spark, sf_dir):
     return card_warehouse(spark, sf_dir)
@@ -87,11 +91,6 @@ def q_stage_views_sql(spark, sf_dir):
     return spark.sql("SELECT * FROM ldm_card_pos_tran_stage WHERE MSG_TYP = '1'")
 
 
-# The reference's warehouse database and mart table.
-MART_DATABASE = "edw"
-MART_TABLE = "ldm_card_pos_tran"
-
-
 def q_mart_overwrite_readback(spark, sf_dir):
     rows = sinks.with_load_time(mart.build_mart(_inputs(spark, sf_dir)))
     sinks.ensure_database(spark, MART_DATABASE)
@@ -106,7 +105,7 @@ def q_control_tasks(spark, sf_dir):
     return task_message_counts(read_tasks(spark), messages)
 
 
-def mart_job(sf_dir: str, database: str = "edw"):
+def mart_job(sf_dir: str, database: str = MART_DATABASE):
     """The registered job of the mart task: rebuild the mart and overwrite the
     task's table in the warehouse database."""
     def run(spark, table_name):

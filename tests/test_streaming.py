@@ -57,3 +57,27 @@ def test_dispatch_runs_the_mart_into_its_table(spark, small_dir):
     table = spark.table(f"{catalog.DISPATCH_DATABASE}.ldm_card_pos_tran")
     assert table.drop("load_ts").columns == mart.MART_COLS
     assert table.count() == mart.build_mart(card_warehouse(spark, small_dir)).count()
+
+
+def test_processing_time_trigger_picks_up_new_files(spark, small_dir):
+    import time
+
+    base = scratch_path(spark, "test-trigger-timed")
+    msgs = trigger_messages(read_table(spark, small_dir, "events"))
+    msgs.limit(0).write.text(f"{base}/inbox")            # the folder exists, empty
+    calls = []
+    dispatcher = TriggerDispatcher(read_tasks(spark),
+                                   {"RUN_LDM_CARD_POS_TRAN": lambda s, t: calls.append(t)},
+                                   f"{base}/audit")
+    q = run_trigger_stream(spark.readStream.format("text").load(f"{base}/inbox"), dispatcher,
+                           f"{base}/ckpt", processing_time="1 second")
+    try:
+        msgs.write.mode("append").text(f"{base}/inbox")   # messages arrive later
+        deadline = time.time() + 120
+        while not calls and time.time() < deadline:
+            time.sleep(0.5)
+        assert calls == ["ldm_card_pos_tran"]
+        assert q.isActive and q.exception() is None
+    finally:
+        q.stop()
+    assert not q.isActive
