@@ -1,6 +1,6 @@
 """Run a registered query on a cluster.
 
-    spark-submit --py-files tessera.zip -m tessera.run card_pos_tran \\
+    spark-submit --py-files tessera.zip run_query.py card_pos_tran \\
         --input /data/tables --output /data/out/ldm_card_pos_tran
 
 The session comes from ``spark-submit``; settings of ``CLUSTER_CONF`` are
