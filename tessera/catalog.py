@@ -52,12 +52,12 @@ def q_card_info_with_kind(spark, sf_dir):
 
 def q_fee_txn_rules(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
-    return mart.fee_txn_kept(inp.fee_txn, mart.card_info(inp.cards))
+    return mart.fee_txn_kept(inp.fee_txn, inp.cards)
 
 
 def q_fee_sign_digits(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
-    return mart.fee_sign_digits(mart.fee_txn_kept(inp.fee_txn, mart.card_info(inp.cards)))
+    return mart.fee_sign_digits(mart.fee_txn_kept(inp.fee_txn, inp.cards))
 
 
 def q_fee_txn_enriched(spark, sf_dir):
@@ -75,7 +75,7 @@ def q_online_history_distinct(spark, sf_dir):
 
 def q_rule_audit_counts(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
-    return audit.rule_audit_counts(inp.fee_txn, mart.card_info(inp.cards))
+    return audit.rule_audit_counts(inp.fee_txn, inp.cards)
 
 
 def q_branch_lookup(spark, sf_dir):

@@ -20,7 +20,7 @@ from . import mart
 DEFAULT_LOOKUP_BRANCH = "01001022"
 
 
-def rule_audit_counts(fee_txn: DataFrame, info: DataFrame) -> DataFrame:
+def rule_audit_counts(fee_txn: DataFrame, cards: DataFrame) -> DataFrame:
     """One row: distinct transactions, and how many of them pass the rules and
     belong to a known card.
 
@@ -30,7 +30,7 @@ def rule_audit_counts(fee_txn: DataFrame, info: DataFrame) -> DataFrame:
     the join condition, so only rows that pass it can find a partner.
     """
     distinct_txn = fee_txn.distinct()
-    known = mart.card_numbers(info).distinct()
+    known = mart.known_cards(cards).distinct()
     flagged = distinct_txn.join(
         known, rules.passes_rules() & (F.col("PAN") == known["CRD_NO"]), "left")
     return flagged.agg(F.count(F.lit(1)).alias("n_rows"),

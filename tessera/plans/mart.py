@@ -97,20 +97,31 @@ def checked_dims(inputs: CardInputs) -> tuple[DataFrame, DataFrame]:
 
 
 def card_numbers(info: DataFrame) -> DataFrame:
-    """The card numbers the transactions are checked against (``crd_no_para``)."""
+    """D's card numbers as a stage (``crd_no_para``; repeats a card once per
+    kind name)."""
     return info.select("CRD_NO")
 
 
+def known_cards(cards: DataFrame) -> DataFrame:
+    """The card numbers transactions are checked against.  Same *set* as
+    ``card_numbers(card_info(cards))``: D is B left-joined to the kinds, and a
+    left join never drops a row of B, so membership needs neither the kind
+    dimension nor its size check."""
+    return live_cards(cards).select("CRD_NO")
+
+
 # -- E: rule filter and known-card semi join --------------------------------
 
 def ruled_txn(fee_txn: DataFrame) -> DataFrame:
     return fee_txn.where(rules.passes_rules())
 
 
-def fee_txn_kept(fee_txn: DataFrame, info: DataFrame) -> DataFrame:
-    cards = card_numbers(info)
+def fee_txn_kept(fee_txn: DataFrame, cards: DataFrame) -> DataFrame:
+    """E: rule-passing transactions of a known card (``cards`` is the raw card
+    table)."""
+    known = known_cards(cards)
     return (ruled_txn(fee_txn)
-            .join(cards, F.col("PAN") == cards["CRD_NO"], "left_semi")
+            .join(known, F.col("PAN") == known["CRD_NO"], "left_semi")
             .select(*FEE_TXN_COLS))
 
 
@@ -222,7 +233,7 @@ class MartStages:
 def mart_stages(inputs: CardInputs, load_date: str = DEFAULT_LOAD_DATE) -> MartStages:
     dims = checked_dims(inputs)
     info = card_info(inputs.cards, dims[0])
-    kept = fee_txn_kept(inputs.fee_txn, info)
+    kept = fee_txn_kept(inputs.fee_txn, inputs.cards)
     mid = card_tran_mid(inputs, load_date, info=info, dims=dims)
     return MartStages(
         v_org_branch_tmp=branch_dim(inputs.branches),

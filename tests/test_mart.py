@@ -22,7 +22,7 @@ def test_left_joins_never_drop_rows(spark, small_dir):
 def test_inner_join_rewrite_equals_semi_then_left(spark, small_dir):
     inp = card_warehouse(spark, small_dir)
     info = mart.card_info(inp.cards)
-    kept = mart.fee_txn_kept(inp.fee_txn, info)
+    kept = mart.fee_txn_kept(inp.fee_txn, inp.cards)
     # The reference's literal form: semi join, then a left join.
     b = info.select(*[F.col(c).alias(f"b_{c}") for c in info.columns])
     literal = kept.join(b, kept["PAN"] == b["b_CRD_NO"], "left")
@@ -47,10 +47,22 @@ def test_kind_fan_out_kept(spark):
 def test_rule_audit_counts_match_brute_force(spark, small_dir):
     inp = card_warehouse(spark, small_dir)
     info = mart.card_info(inp.cards)
-    got = audit.rule_audit_counts(inp.fee_txn, info).first()
+    got = audit.rule_audit_counts(inp.fee_txn, inp.cards).first()
     d = inp.fee_txn.distinct()
     assert got.n_rows == d.count()
-    assert got.n_matched == mart.fee_txn_kept(d, info).count()
+    assert got.n_matched == mart.fee_txn_kept(d, inp.cards).count()
+    # the literal membership list (D's card numbers) gives the same count
+    d_list = mart.card_numbers(info)
+    literal = d.where(mart.rules.passes_rules()).join(
+        d_list, d["PAN"] == d_list["CRD_NO"], "left_semi")
+    assert got.n_matched == literal.count()
+
+
+def test_known_cards_equal_card_info_numbers(spark, small_dir):
+    cards = card_warehouse(spark, small_dir).cards
+    a = mart.known_cards(cards).distinct()
+    b = mart.card_numbers(mart.card_info(cards)).distinct()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_warehouse_equals_derivation(spark, small_dir):
@@ -69,7 +81,7 @@ def test_bounded_broadcast(spark):
 
 def test_scan_pruned_and_filter_pushed(spark, small_dir):
     inp = card_inputs(spark, small_dir)
-    plan = plan_text(mart.fee_txn_kept(inp.fee_txn, mart.card_info(inp.cards)))
+    plan = plan_text(mart.fee_txn_kept(inp.fee_txn, inp.cards))
     # lineitem is read with only the columns the rules and mart need
     assert "l_linestatus" not in plan and "l_shipdate" not in plan
     assert "LeftSemi" in plan or "BroadcastHashJoin" in plan
