@@ -35,7 +35,9 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     keys = [k for k in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if k]
     reps = int(os.environ.get("BENCH_REPS", "3"))
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", "8")))
+    default_parts = cpus if cpus.isdigit() else str(os.cpu_count() or 8)
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS",
+                                                                      default_parts)))
     times = {}
     for key in keys:
         run_once(spark, key, sf_dir)
