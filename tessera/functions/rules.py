@@ -38,9 +38,24 @@ def rule_holds(rule, msg_typ: str = "MSG_TYP", pro_cd: str = "PRO_CD",
             & F.col(pos_cd).isin(*pos_codes))
 
 
+def implied_by_rules(rules=FILTER_RULES, msg_typ: str = "MSG_TYP", pro_cd: str = "PRO_CD",
+                     pos_cd: str = "POS_CD") -> Column:
+    """A condition every rule implies, made only of predicates the parquet
+    scan accepts (IN lists and starts-with), so row groups whose statistics
+    or dictionaries rule it out are skipped before any row is decoded."""
+    types = sorted(set().union(*(r[0] for r in rules)))
+    codes = sorted(set().union(*(r[2] for r in rules)))
+    prefix = reduce(lambda a, b: a | b,
+                    (F.col(pro_cd).startswith(p) for p in sorted({r[1] for r in rules})))
+    return F.col(msg_typ).isin(*types) & F.col(pos_cd).isin(*codes) & prefix
+
+
 def passes_rules(rules=FILTER_RULES, **cols) -> Column:
-    """True when any rule holds; NULL inputs make the arm NULL, so the row drops."""
-    return reduce(lambda a, b: a | b, (rule_holds(r, **cols) for r in rules))
+    """True when any rule holds; NULL inputs make the arm NULL, so the row drops.
+    The implied condition goes first: it is pushed into the scan, the exact
+    OR of the rules is then checked on the rows that remain."""
+    exact = reduce(lambda a, b: a | b, (rule_holds(r, **cols) for r in rules))
+    return implied_by_rules(rules, **cols) & exact
 
 
 def txn_class(rules=CLASS_RULES, **cols) -> Column:

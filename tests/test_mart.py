@@ -102,3 +102,9 @@ def test_branch_lookup(spark, small_dir):
     assert audit.branch_lookup(br).count() == 0          # the reference's head office
     got = audit.branch_lookup(br, "00000003").collect()
     assert len(got) == 1 and got[0].org_id == "00000003"
+
+
+def test_rule_prefilter_reaches_the_scan(spark, small_dir):
+    inp = card_warehouse(spark, small_dir)
+    plan = plan_text(mart.fee_txn_kept(inp.fee_txn, inp.cards))
+    assert "In(MSG_TYP" in plan and "In(POS_CD" in plan and "StringStartsWith(PRO_CD" in plan
