@@ -105,6 +105,11 @@ def test_branch_lookup(spark, small_dir):
 
 
 def test_rule_prefilter_reaches_the_scan(spark, small_dir):
+    import contextlib
+    import io
     inp = card_warehouse(spark, small_dir)
-    plan = plan_text(mart.fee_txn_kept(inp.fee_txn, inp.cards))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        mart.fee_txn_kept(inp.fee_txn, inp.cards).explain("formatted")
+    plan = buf.getvalue()
     assert "In(MSG_TYP" in plan and "In(POS_CD" in plan and "StringStartsWith(PRO_CD" in plan
