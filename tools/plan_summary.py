@@ -9,6 +9,8 @@ usage: python tools/plan_summary.py [sf_dir]   (writes PLANS.md)
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -37,19 +39,55 @@ def which_table(cols: list[str], tables: dict[str, set[str]]) -> str:
     return min(hits, key=lambda t: len(tables[t])) if hits else "written intermediate"
 
 
+def top_level_items(text: str) -> list[str]:
+    """Split 'a, f(b, [c, d]), e' at the commas outside brackets."""
+    items, depth, cur = [], 0, ""
+    for ch in text:
+        if ch in "([":
+            depth += 1
+        elif ch in ")]":
+            depth -= 1
+        if ch == "," and depth == 0:
+            items.append(cur.strip())
+            cur = ""
+        else:
+            cur += ch
+    if cur.strip():
+        items.append(cur.strip())
+    return items
+
+
+def bracket_body(text: str, start: int) -> str:
+    """The text inside the bracket that opens at ``start``."""
+    depth = 0
+    for i in range(start, len(text)):
+        depth += text[i] == "["
+        depth -= text[i] == "]"
+        if depth == 0:
+            return text[start + 1:i]
+    return text[start + 1:]
+
+
 def summarise(plan: str, tables: dict[str, set[str]]) -> dict:
+    """``plan`` is the text of ``explain("formatted")``."""
+    tree = plan.split("\n\n", 1)[0]
     scans = []
-    for m in re.finditer(r"FileScan parquet (?:\S+)?\[([^\]]*)\].*?PushedFilters: \[([^\]]*)\]", plan):
-        cols = [re.sub(r"#\d+L?$", "", c) for c in m.group(1).split(",") if c]
-        pushed = [p for p in re.split(r", (?=[A-Z])", m.group(2)) if p]
+    for section in re.split(r"\n\(\d+\) ", plan):
+        if not section.startswith("Scan parquet"):
+            continue
+        out = re.search(r"Output \[\d+\]: ", section)
+        cols = [re.sub(r"#\d+L?$", "", c) for c in
+                top_level_items(bracket_body(section, out.end()))]
+        pf = section.find("PushedFilters: [")
+        pushed = top_level_items(bracket_body(section, pf + len("PushedFilters: "))) if pf >= 0 else []
         scans.append((which_table(cols, tables), len(cols), len(pushed)))
-    scans += [("checkpoint", 0, 0)] * plan.count("Scan ExistingRDD")
+    scans += [("checkpoint", 0, 0)] * tree.count("Scan ExistingRDD")
     return {
         "scans": scans,
-        "shuffles": len(re.findall(r"Exchange (?:hashpartitioning|SinglePartition|rangepartitioning|RoundRobin)", plan)),
-        "broadcasts": plan.count("BroadcastExchange"),
-        "joins": {j: plan.count(j + " ") for j in JOINS if plan.count(j + " ")},
-        "python": ("ArrowEvalPython" in plan) or ("BatchEvalPython" in plan),
+        "shuffles": tree.count("Exchange") - tree.count("BroadcastExchange"),
+        "broadcasts": tree.count("BroadcastExchange"),
+        "joins": {j: tree.count(j + " ") for j in JOINS if tree.count(j + " ")},
+        "python": ("ArrowEvalPython" in tree) or ("BatchEvalPython" in tree),
     }
 
 
@@ -69,7 +107,10 @@ def main():
     ]
     for key in sorted(se.queries()):
         df = se.queries()[key](spark, sf_dir)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        plan = buf.getvalue()
         s = summarise(plan, tables)
         scans = "; ".join(f"{t} ({c}, {p})" if t != "checkpoint" else t
                           for t, c, p in s["scans"]) or "—"
