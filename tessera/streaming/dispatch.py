@@ -14,6 +14,7 @@ tables, so a replay leaves the same state.  The stream's offsets live in its
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,7 +65,9 @@ class TriggerDispatcher:
         self.tasks = bounded_broadcast(tasks.select("task_name", "table_name"))
         self.registry = dict(registry)
         self.audit_path = audit_path.rstrip("/")
-        self.runs: list[tuple[int, str, str]] = []
+        # (batch id, task, table) of the most recent job runs; bounded, the
+        # full history is the audit table.
+        self.runs: deque[tuple[int, str, str]] = deque(maxlen=1024)
 
     def audit_rows(self, batch: DataFrame, batch_id: int) -> DataFrame:
         counts = message_counts(batch)
