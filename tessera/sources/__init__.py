@@ -1,3 +1,6 @@
+"""Inputs: the given tables, the card warehouse derived from them, the task
+control table and the trigger messages."""
+
 from .tables import TABLE_NAMES, read_table
 from .cards import CardInputs, card_inputs, card_warehouse
 from .control import DEFAULT_TASKS, TASK_SCHEMA, read_tasks, trigger_messages

@@ -1,3 +1,5 @@
+"""The trigger stream: message source, per-batch dispatch, task counts."""
+
 from .dispatch import (TriggerDispatcher, message_counts, message_stream,
                        run_trigger_stream, task_message_counts)
 
