@@ -1,4 +1,4 @@
-"""spark-submit entry: ``spark-submit --py-files tessera.zip run_query.py <query> ...``
+"""spark-submit entry: ``spark-submit --py-files tessera.zip run_query.py query|dispatch ...``
 (see ``tessera.run``)."""
 
 from tessera.run import main

@@ -1,11 +1,19 @@
-"""Run a registered query on a cluster.
+"""Cluster entry points.
 
-    spark-submit --py-files tessera.zip run_query.py card_pos_tran \\
+Run one registered query over a folder of input tables::
+
+    spark-submit --py-files tessera.zip run_query.py query card_pos_tran \\
         --input /data/tables --output /data/out/ldm_card_pos_tran
 
+Run the trigger stream against the warehouse (messages from Kafka, or text
+files dropped into a folder; the control table over JDBC, or built in)::
+
+    spark-submit --packages <kafka connector> --py-files tessera.zip run_query.py \\
+        dispatch --warehouse edw --checkpoint /shared/ckpt/dispatch \\
+        --kafka-bootstrap broker:9092 --topic tasks --jdbc-url jdbc:...
+
 The session comes from ``spark-submit``; settings of ``CLUSTER_CONF`` are
-applied only where the cluster configuration does not set them.  The result
-is written as parquet to ``--output`` (overwrite), or saved as ``--table``.
+applied only where the cluster configuration does not set them.
 """
 
 from __future__ import annotations
@@ -15,12 +23,17 @@ import argparse
 from pyspark.sql import SparkSession
 
 from . import catalog
+from .plans import mart, sinks
 from .session import CLUSTER_CONF, shared_dir
+from .sources import catalog_inputs, read_tasks
+from .streaming import TriggerDispatcher, message_stream, run_trigger_stream
+
+# Fixed value: the mart's task name in the control table.
+MART_TASK = "RUN_LDM_CARD_POS_TRAN"
 
 
 def session(app_name: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name)
-    spark = builder.getOrCreate()
+    spark = SparkSession.builder.appName(app_name).getOrCreate()
     conf = spark.sparkContext.getConf()
     for key, value in CLUSTER_CONF.items():
         if not conf.contains(key):
@@ -32,15 +45,16 @@ def session(app_name: str) -> SparkSession:
     return spark
 
 
-def main(argv=None) -> None:
-    p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    p.add_argument("query", choices=sorted(catalog.QUERIES))
-    p.add_argument("--input", required=True, help="folder holding <table>.parquet inputs")
-    out = p.add_mutually_exclusive_group(required=True)
-    out.add_argument("--output", help="parquet path to overwrite with the result")
-    out.add_argument("--table", help="table (db.name) to overwrite with the result")
-    args = p.parse_args(argv)
+def warehouse_mart_job(database: str):
+    """Job of the mart task: rebuild the mart from the warehouse tables of
+    ``database`` and overwrite ``<database>.<table_name>``."""
+    def run(spark, table_name):
+        rows = sinks.with_load_time(mart.build_mart(catalog_inputs(spark, database)))
+        sinks.overwrite_table(rows, f"{database}.{table_name}")
+    return run
 
+
+def run_query(args) -> None:
     spark = session(f"tessera-{args.query}")
     result = catalog.QUERIES[args.query](spark, args.input)
     writer = result.write.mode("overwrite")
@@ -50,5 +64,47 @@ def main(argv=None) -> None:
         writer.saveAsTable(args.table)
 
 
+def run_dispatch(args):
+    spark = session("tessera-dispatch")
+    tasks = read_tasks(spark, jdbc_url=args.jdbc_url,
+                       jdbc_options={"dbtable": args.jdbc_table} if args.jdbc_table else None)
+    kafka = ({"kafka.bootstrap.servers": args.kafka_bootstrap, "subscribe": args.topic}
+             if args.kafka_bootstrap else None)
+    dispatcher = TriggerDispatcher(tasks, {MART_TASK: warehouse_mart_job(args.warehouse)},
+                                   f"{args.checkpoint.rstrip('/')}/audit")
+    query = run_trigger_stream(message_stream(spark, path=args.inbox, kafka=kafka), dispatcher,
+                               f"{args.checkpoint.rstrip('/')}/offsets",
+                               processing_time=args.every, available_now=args.once)
+    query.awaitTermination()
+    return dispatcher
+
+
+def main(argv=None):
+    p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    sub = p.add_subparsers(dest="mode", required=True)
+
+    q = sub.add_parser("query", help="run one registered query")
+    q.add_argument("query", choices=sorted(catalog.QUERIES))
+    q.add_argument("--input", required=True, help="folder holding <table>.parquet inputs")
+    out = q.add_mutually_exclusive_group(required=True)
+    out.add_argument("--output", help="parquet path to overwrite with the result")
+    out.add_argument("--table", help="table (db.name) to overwrite with the result")
+
+    d = sub.add_parser("dispatch", help="run the trigger stream against the warehouse")
+    d.add_argument("--warehouse", required=True, help="database holding the five input tables")
+    d.add_argument("--checkpoint", required=True, help="shared folder for offsets and audit")
+    src = d.add_mutually_exclusive_group(required=True)
+    src.add_argument("--kafka-bootstrap")
+    src.add_argument("--inbox", help="folder of text files, one message per line")
+    d.add_argument("--topic")
+    d.add_argument("--jdbc-url")
+    d.add_argument("--jdbc-table")
+    d.add_argument("--every", default="1 minute", help="micro-batch interval")
+    d.add_argument("--once", action="store_true", help="process what is available, then stop")
+
+    args = p.parse_args(argv)
+    return run_query(args) if args.mode == "query" else run_dispatch(args)
+
+
 if __name__ == "__main__":
     main()

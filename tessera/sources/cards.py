@@ -28,6 +28,23 @@ class CardInputs:
     online_history: DataFrame     # m_mp_onltranrechis
 
 
+# The warehouse table names of the five inputs.
+WAREHOUSE_TABLES = {
+    "branches": "v_org_branch",
+    "cards": "o_rps_bad_cardinfo_his",
+    "fee_txn": "m_mmp_fee_txn",
+    "deposit_accounts": "m_rps_bad_depositacct",
+    "online_history": "m_mp_onltranrechis",
+}
+
+
+def catalog_inputs(spark: SparkSession, database: str) -> CardInputs:
+    """The five inputs read as catalog tables of ``database`` (production:
+    the mart runs on the warehouse as it is)."""
+    return CardInputs(**{field: spark.table(f"{database}.{table}")
+                         for field, table in WAREHOUSE_TABLES.items()})
+
+
 def _pad(c: Column, width: int) -> Column:
     return F.lpad(c.cast("string"), width, "0")
 
