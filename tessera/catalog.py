@@ -105,16 +105,6 @@ def q_control_tasks(spark, sf_dir):
     return task_message_counts(read_tasks(spark), messages)
 
 
-def mart_job(sf_dir: str, database: str = MART_DATABASE):
-    """The registered job of the mart task: rebuild the mart and overwrite the
-    task's table in the warehouse database."""
-    def run(spark, table_name):
-        rows = sinks.with_load_time(mart.build_mart(_inputs(spark, sf_dir)))
-        sinks.ensure_database(rows.sparkSession, database)
-        sinks.overwrite_table(rows, f"{database}.{table_name}")
-    return run
-
-
 # Fixed value: database the registered dispatch run writes its task tables
 # to, apart from ``mart_overwrite_readback``'s table, so neither query's
 # result frame reads files the other replaces.
@@ -127,7 +117,8 @@ def q_trigger_dispatch(spark, sf_dir, timeout_s: float = 600.0):
     job for its task), and the audit table is summed per matched task."""
     base = scratch_path(spark, "trigger")
     trigger_messages(read_table(spark, sf_dir, "events")).write.text(f"{base}/inbox")
-    registry = {"RUN_LDM_CARD_POS_TRAN": mart_job(sf_dir, DISPATCH_DATABASE)}
+    job = mart.mart_task_job(lambda s: _inputs(s, sf_dir), DISPATCH_DATABASE)
+    registry = {"RUN_LDM_CARD_POS_TRAN": job}
     dispatcher = TriggerDispatcher(read_tasks(spark), registry, f"{base}/audit")
     stream = message_stream(spark, path=f"{base}/inbox")
     query = run_trigger_stream(stream, dispatcher, f"{base}/checkpoint", available_now=True)

@@ -215,6 +215,18 @@ def build_mart(inputs: CardInputs, load_date: str = DEFAULT_LOAD_DATE) -> DataFr
     return card_pos_tran(card_tran_mid(inputs, load_date), inputs.online_history)
 
 
+def mart_task_job(inputs_of, database: str, load_date: str = DEFAULT_LOAD_DATE):
+    """The job a matched mart task runs: build the mart from ``inputs_of(spark)``
+    and overwrite ``<database>.<table_name>`` (with a load timestamp)."""
+    from . import sinks
+
+    def run(spark, table_name):
+        rows = sinks.with_load_time(build_mart(inputs_of(spark), load_date))
+        sinks.ensure_database(rows.sparkSession, database)
+        sinks.overwrite_table(rows, f"{database}.{table_name}")
+    return run
+
+
 @dataclass(frozen=True)
 class MartStages:
     v_org_branch_tmp: DataFrame

@@ -23,7 +23,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from . import catalog
-from .plans import mart, sinks
+from .plans import mart
 from .session import CLUSTER_CONF, shared_dir
 from .sources import catalog_inputs, read_tasks
 from .streaming import TriggerDispatcher, message_stream, run_trigger_stream
@@ -45,15 +45,6 @@ def session(app_name: str) -> SparkSession:
     return spark
 
 
-def warehouse_mart_job(database: str):
-    """Job of the mart task: rebuild the mart from the warehouse tables of
-    ``database`` and overwrite ``<database>.<table_name>``."""
-    def run(spark, table_name):
-        rows = sinks.with_load_time(mart.build_mart(catalog_inputs(spark, database)))
-        sinks.overwrite_table(rows, f"{database}.{table_name}")
-    return run
-
-
 def run_query(args) -> None:
     spark = session(f"tessera-{args.query}")
     result = catalog.QUERIES[args.query](spark, args.input)
@@ -70,7 +61,8 @@ def run_dispatch(args):
                        jdbc_options={"dbtable": args.jdbc_table} if args.jdbc_table else None)
     kafka = ({"kafka.bootstrap.servers": args.kafka_bootstrap, "subscribe": args.topic}
              if args.kafka_bootstrap else None)
-    dispatcher = TriggerDispatcher(tasks, {MART_TASK: warehouse_mart_job(args.warehouse)},
+    job = mart.mart_task_job(lambda s: catalog_inputs(s, args.warehouse), args.warehouse)
+    dispatcher = TriggerDispatcher(tasks, {MART_TASK: job},
                                    f"{args.checkpoint.rstrip('/')}/audit")
     query = run_trigger_stream(message_stream(spark, path=args.inbox, kafka=kafka), dispatcher,
                                f"{args.checkpoint.rstrip('/')}/offsets",
