@@ -56,3 +56,22 @@ def test_text_month_end_and_bounds(spark, days):
         assert text_end == (d.day == last)
         assert start == d.replace(day=1) and yend == dt.date(d.year, 12, 31) and dim == last
         assert wd == (d.isoweekday() % 7)
+
+
+NEAR = st.dates(min_value=dt.date(2015, 12, 1), max_value=dt.date(2017, 2, 1))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(NEAR, NEAR), min_size=1, max_size=60))
+def test_open_days_sweep_equals_counting(spark, rows):
+    from collections import Counter
+
+    from tessera.plans import calendar_jobs as cal
+
+    df = spark.createDataFrame(rows, "a date, b date")
+    got = {r.day: r.n_open for r in cal.open_days(df, "a", "b").collect()}
+    want = Counter()
+    for a, b in rows:
+        for k in range((b - a).days + 1):
+            want[a + dt.timedelta(days=k)] += 1
+    assert got == dict(want)
