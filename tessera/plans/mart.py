@@ -28,6 +28,11 @@ Plan choices (the semantics are the stage list above):
   under the adaptive threshold; a hot card number is split by AQE skew join.
 * The history distinct keeps its map-side partial aggregation, so a group of
   identical copies is collapsed before it is shuffled.
+* E's membership test reads the live cards' numbers (B): D is B left-joined
+  to the kinds, so its card-number set is the same, and E needs no kind
+  dimension.
+* The rule filter carries an implied IN / starts-with condition that the
+  parquet scan accepts (see ``functions.rules.implied_by_rules``).
 """
 
 from __future__ import annotations
