@@ -119,7 +119,7 @@ def q_trigger_dispatch(spark, sf_dir, timeout_s: float = 600.0):
     trigger_messages(read_table(spark, sf_dir, "events")).write.text(f"{base}/inbox")
     job = mart.mart_task_job(lambda s: _inputs(s, sf_dir), DISPATCH_DATABASE)
     registry = {"RUN_LDM_CARD_POS_TRAN": job}
-    dispatcher = TriggerDispatcher(read_tasks(spark), registry, f"{base}/audit")
+    dispatcher = TriggerDispatcher(read_tasks, registry, f"{base}/audit")   # re-read per batch
     stream = message_stream(spark, path=f"{base}/inbox")
     query = run_trigger_stream(stream, dispatcher, f"{base}/checkpoint", available_now=True)
     if not query.awaitTermination(timeout_s):

@@ -57,8 +57,11 @@ def run_query(args) -> None:
 
 def run_dispatch(args):
     spark = session("tessera-dispatch")
-    tasks = read_tasks(spark, jdbc_url=args.jdbc_url,
-                       jdbc_options={"dbtable": args.jdbc_table} if args.jdbc_table else None)
+    opts = {"dbtable": args.jdbc_table} if args.jdbc_table else None
+
+    def tasks(s):      # read again at every batch, like the reference's lookup
+        return read_tasks(s, jdbc_url=args.jdbc_url, jdbc_options=opts)
+
     kafka = ({"kafka.bootstrap.servers": args.kafka_bootstrap, "subscribe": args.topic}
              if args.kafka_bootstrap else None)
     job = mart.mart_task_job(lambda s: catalog_inputs(s, args.warehouse), args.warehouse)

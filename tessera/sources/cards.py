@@ -40,9 +40,15 @@ WAREHOUSE_TABLES = {
 
 def catalog_inputs(spark: SparkSession, database: str) -> CardInputs:
     """The five inputs read as catalog tables of ``database`` (production:
-    the mart runs on the warehouse as it is)."""
-    return CardInputs(**{field: spark.table(f"{database}.{table}")
-                         for field, table in WAREHOUSE_TABLES.items()})
+    the mart runs on the warehouse as it is).
+
+    Each table is refreshed first: upstream loads rewrite these tables
+    between runs, and a long-lived session (the trigger stream's) would
+    otherwise plan over a cached file listing that no longer exists."""
+    names = {field: f"{database}.{table}" for field, table in WAREHOUSE_TABLES.items()}
+    for name in names.values():
+        spark.catalog.refreshTable(name)
+    return CardInputs(**{field: spark.table(name) for field, name in names.items()})
 
 
 def _pad(c: Column, width: int) -> Column:

@@ -59,19 +59,33 @@ def task_message_counts(tasks: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 class TriggerDispatcher:
-    """``foreachBatch`` function: match, audit, run."""
+    """``foreachBatch`` function: match, audit, run.
 
-    def __init__(self, tasks: DataFrame, registry: Mapping[str, Job], audit_path: str):
-        self.tasks = bounded_broadcast(tasks.select("task_name", "table_name"))
+    ``tasks`` is the control table, or a function ``spark -> control table``
+    that is read again at every batch, so edits to the table reach a running
+    stream (the table is small; it is size-checked before each broadcast).
+    """
+
+    def __init__(self, tasks, registry: Mapping[str, Job], audit_path: str):
+        self._load = tasks if callable(tasks) else None
+        self._fixed = None if callable(tasks) else self._checked(tasks)
         self.registry = dict(registry)
         self.audit_path = audit_path.rstrip("/")
         # (batch id, task, table) of the most recent job runs; bounded, the
         # full history is the audit table.
         self.runs: deque[tuple[int, str, str]] = deque(maxlen=1024)
 
+    @staticmethod
+    def _checked(tasks: DataFrame) -> DataFrame:
+        return bounded_broadcast(tasks.select("task_name", "table_name"))
+
+    def tasks(self, spark: SparkSession) -> DataFrame:
+        return self._fixed if self._load is None else self._checked(self._load(spark))
+
     def audit_rows(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        tasks = self.tasks(batch.sparkSession)
         counts = message_counts(batch)
-        return (counts.join(self.tasks, counts["value"] == self.tasks["task_name"], "left")
+        return (counts.join(tasks, counts["value"] == tasks["task_name"], "left")
                 .select(F.lit(batch_id).cast("bigint").alias("batch_id"),
                         F.col("value").alias("message"), "task_name", "table_name",
                         "n_messages", F.col("task_name").isNotNull().alias("matched")))

@@ -81,3 +81,28 @@ def test_processing_time_trigger_picks_up_new_files(spark, small_dir):
     finally:
         q.stop()
     assert not q.isActive
+
+
+def test_control_table_edits_reach_the_running_stream(spark, small_dir):
+    from tessera.sources.control import TASK_SCHEMA
+
+    base = scratch_path(spark, "test-trigger-reload")
+    msgs = trigger_messages(read_table(spark, small_dir, "events"))
+    msgs.where("value = 'click'").write.text(f"{base}/inbox/1")
+    state = {"tasks": [(1, "RUN_LDM_CARD_POS_TRAN", "ldm_card_pos_tran", "x")]}
+    calls = []
+    dispatcher = TriggerDispatcher(
+        lambda s: s.createDataFrame(state["tasks"], TASK_SCHEMA),
+        {"click": lambda s, t: calls.append(t)}, f"{base}/audit")
+    stream = spark.readStream.format("text").load(f"{base}/inbox/*")
+
+    def once():
+        q = run_trigger_stream(stream, dispatcher, f"{base}/ckpt", available_now=True)
+        assert q.awaitTermination(300) and q.exception() is None
+
+    once()
+    assert calls == []                       # 'click' is no task yet
+    state["tasks"].append((3, "click", "click_table", "events"))
+    msgs.where("value = 'click'").write.text(f"{base}/inbox/2")
+    once()
+    assert calls == ["click_table"]          # the edited table was read
