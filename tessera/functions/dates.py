@@ -111,8 +111,14 @@ def day_start(d) -> Column:                         # DT-29
 # -- differences and ranges --------------------------------------------------
 
 def whole_days_between(start, end) -> Column:       # DT-11
-    """Whole 24-hour days from ``start`` to ``end``, truncated toward zero."""
-    return F.timestamp_diff("DAY", _c(start), _c(end)).cast("int")
+    """Whole 24-hour days from ``start`` to ``end``, truncated toward zero.
+
+    TIMESTAMP_NTZ minus TIMESTAMP_NTZ is a day-time interval computed on the
+    wall clock, with no session time zone (``timestampdiff`` would map both
+    ends through the zone and lose an hour at a DST change); its DAY field is
+    the whole days, truncated toward zero (-36 h -> -1)."""
+    gap = _c(end).cast("timestamp_ntz") - _c(start).cast("timestamp_ntz")
+    return F.extract(F.lit("DAY"), gap).cast("int")
 
 
 def every_day(start, end) -> Column:                # DT-12
@@ -230,7 +236,12 @@ def parse_day(s, pattern: str = DAY) -> Column:     # DT-27, DT-28
 
 
 def parse_ts(s, pattern: str) -> Column:            # DT-28
-    return F.try_to_timestamp(_c(s), F.lit(pattern)).cast("timestamp_ntz")
+    """Text to TIMESTAMP_NTZ, wall clock exactly as written (no session time
+    zone involved); malformed text gives NULL.  The lenient parse only
+    validates, so the strict NTZ parse never sees a malformed text."""
+    s = _c(s)
+    return F.when(F.try_to_timestamp(s, F.lit(pattern)).isNotNull(),
+                  F.to_timestamp_ntz(s, F.lit(pattern)))
 
 
 def parse_add_months(s, pattern: str, n) -> Column:  # DT-8

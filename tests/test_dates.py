@@ -105,3 +105,26 @@ def test_open_days_equals_explode(spark):
     brute = {r.day: r.n for r in df.select(F.explode(dates.every_day("a", "b")).alias("day"))
              .groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert sweep == brute
+
+
+def test_parse_ts_keeps_wall_clock_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2019-03-10 02:30:00",), ("2019-13-01 00:00:00",)], "s string")
+        got = [r[0] for r in df.select(dates.parse_ts("s", "yyyy-MM-dd HH:mm:ss")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [TS(2019, 3, 10, 2, 30), None]      # 02:30 does not exist in LA that day
+
+
+def test_day_gap_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")   # DST began at midnight
+    try:
+        df = spark.createDataFrame([(TS(2018, 11, 4), TS(2018, 11, 5)), (TS(2018, 11, 3), TS(2018, 11, 5))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        got = [r[0] for r in df.select(dates.whole_days_between("a", "b")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [1, 2]
