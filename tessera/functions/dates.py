@@ -218,7 +218,7 @@ def text_is_month_end(s) -> Column:                 # DT-23
 
 # -- text ------------------------------------------------------------------
 
-def label(d, pattern: str = DAY) -> Column:         # DT-24..26, DT-18
+def label(d, pattern: str = DAY) -> Column:         # DT-24, DT-25, DT-26
     return F.date_format(_c(d), pattern)
 
 

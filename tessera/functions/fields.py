@@ -13,7 +13,7 @@ def _col(c) -> Column:
 
 
 def strict_int(c, what: str = "value") -> Column:
-    """Text to INT the way a strict integer parse does it: optional sign and
+    """NUM-1 / UDF-1.  Text to INT the way a strict integer parse does it: optional sign and
     digits only, within INT range; anything else (NULL, blank, '12.5',
     ' 5', overflow) fails the query.  Not registered as a UDF: the built-in
     ``to_number`` has another meaning and must not be shadowed."""
@@ -40,7 +40,7 @@ def last_chars(c, n: int = 4) -> Column:
 
 
 def signed_fee(fee_text, base, letter: str) -> Column:
-    """If the fee text starts with ``letter`` the printed fee is added to the
+    """CASE-2 / CASE-3 (NUM-2).  If the fee text starts with ``letter`` the printed fee is added to the
     base fee, otherwise the base fee alone (strictly parsed); DOUBLE."""
     fee_text, base = _col(fee_text), _col(base)
     return (F.when(F.substr(fee_text, F.lit(1), F.lit(1)) == letter,

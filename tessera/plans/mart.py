@@ -75,21 +75,25 @@ MART_COLS = ["HIS_DW_DATE", "TX_DT", "TXN_TM", "CRD_NO", "CRD_TYP", "CRD_KND", "
 # -- A, B, C, D: dimensions ------------------------------------------------
 
 def branch_dim(branches: DataFrame) -> DataFrame:
+    """A: distinct branches (AGG-1, PRJ-1)."""
     return branches.select(*BRANCH_COLS).distinct()
 
 
 def live_cards(cards: DataFrame) -> DataFrame:
+    """B: cards not in the excluded status or kind (FLT-1, PRJ-1)."""
     return (cards.where(fields.status_is_not("CRD_STS", EXCLUDED_STATUS)
                         & (F.col("CRD_KND") != EXCLUDED_KIND))
             .select(*CARD_COLS))
 
 
 def kind_dim(cards: DataFrame) -> DataFrame:
+    """C: distinct (kind, kind name) over all cards (AGG-1)."""
     return cards.select("CRD_KND", "CRD_KND_NM").distinct()
 
 
 def card_info(cards: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
-    """D.  ``kinds`` is the checked kind dimension when the caller has it."""
+    """D: B left join C on the kind (JOIN-1).  ``kinds`` is the checked kind
+    dimension when the caller has it."""
     kinds = bounded_broadcast(kind_dim(cards)) if kinds is None else kinds
     return live_cards(cards).join(kinds, "CRD_KND", "left").select(*CARD_INFO_COLS)
 
@@ -122,8 +126,8 @@ def ruled_txn(fee_txn: DataFrame) -> DataFrame:
 
 
 def fee_txn_kept(fee_txn: DataFrame, cards: DataFrame) -> DataFrame:
-    """E: rule-passing transactions of a known card (``cards`` is the raw card
-    table)."""
+    """E: rule-passing transactions of a known card (FLT-2, PRD-1, STR-1,
+    JOIN-2); ``cards`` is the raw card table."""
     known = known_cards(cards)
     return (ruled_txn(fee_txn)
             .join(known, F.col("PAN") == known["CRD_NO"], "left_semi")
@@ -138,7 +142,9 @@ def fee_sign_digits(kept: DataFrame) -> DataFrame:
 # -- F, G: enrichment ------------------------------------------------------
 
 def _enriched_columns() -> dict:
-    """Stage F's output columns by name, over (transaction + card) rows."""
+    """Stage F's output columns by name, over (transaction + card) rows:
+    renames (PRJ-2), class (CASE-1), strict amount (NUM-1, UDF-1), flags
+    (PRD-2, PRD-3), last four (STR-3), fees (CASE-2, CASE-3, NUM-2)."""
     return {
         "TX_DT": F.col("STL_DT"),
         "TXN_TM": F.col("TXN_TM"),
@@ -160,7 +166,7 @@ def _named(columns: dict, order: list[str]) -> list:
     return [columns[name].alias(name) for name in order]
 
 
-def _with_cards(fee_txn: DataFrame, card_side: DataFrame) -> DataFrame:
+def _with_cards(fee_txn: DataFrame, card_side: DataFrame) -> DataFrame:   # JOIN-3
     # Inner join == semi join (E) followed by the reference's left join (F).
     return ruled_txn(fee_txn).join(card_side, F.col("PAN") == card_side["CRD_NO"], "inner")
 
@@ -171,8 +177,8 @@ def fee_txn_enriched(fee_txn: DataFrame, info: DataFrame) -> DataFrame:
 
 def widened_cards(info: DataFrame, deposit_accounts: DataFrame,
                   branches: DataFrame, checked_branches: DataFrame | None = None) -> DataFrame:
-    """D with the account open date and the branch attributes (joins of G that
-    only read card columns)."""
+    """D with the account open date (JOIN-4) and the branch attributes (JOIN-5):
+    the joins of G that only read card columns."""
     accounts = deposit_accounts.select("AC", "OPN_DT")
     if checked_branches is None:
         checked_branches = bounded_broadcast(branch_dim(branches))
@@ -190,17 +196,20 @@ def card_tran_mid(inputs: CardInputs, load_date: str = DEFAULT_LOAD_DATE,
     side = widened_cards(info, inputs.deposit_accounts, inputs.branches, branches)
     cols = _enriched_columns()
     cols.update({c: F.col(c) for c in ("OPN_DT", "org_name", "org_upperid", "org_uppername")})
-    cols["HIS_DW_DATE"] = F.lit(load_date)
+    cols["HIS_DW_DATE"] = F.lit(load_date)                  # PRJ-3
     return _with_cards(inputs.fee_txn, side).select(*_named(cols, MID_COLS))
 
 
 # -- H, I: history and the mart --------------------------------------------
 
 def history_dim(history: DataFrame) -> DataFrame:
+    """H: distinct on-line history (AGG-1)."""
     return history.select(*HISTORY_COLS).distinct()
 
 
 def card_pos_tran(mid: DataFrame, history: DataFrame) -> DataFrame:
+    """I: G left join H on space-trimmed keys (JOIN-6, STR-4), in the final
+    25-column layout (PRJ-4)."""
     hist = history_dim(history)
     cond = trimmed_keys(mid, hist, [("CRD_NO", "CARDNO"), ("TRC_NO", "SRVSTAN"),
                                     ("TXN_TM", "DEVTRANSDATETIME")])

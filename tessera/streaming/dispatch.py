@@ -28,7 +28,7 @@ Job = Callable[[SparkSession, str], None]
 
 def message_stream(spark: SparkSession, path: str | None = None,
                    kafka: Mapping[str, str] | None = None) -> DataFrame:
-    """Streaming frame with one STRING column ``value``.
+    """Streaming frame with one STRING column ``value`` (SRC-4, STM-3).
 
     ``kafka`` holds the source options (``kafka.bootstrap.servers``,
     ``subscribe``...; offsets start at ``latest`` unless given); otherwise
@@ -59,7 +59,8 @@ def task_message_counts(tasks: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 class TriggerDispatcher:
-    """``foreachBatch`` function: match, audit, run.
+    """``foreachBatch`` function (STM-4): match against the control table
+    (FLT-5, JOIN-8), count (AGG-4), audit, and run matched jobs (STM-5).
 
     ``tasks`` is the control table, or a function ``spark -> control table``
     that is read again at every batch, so edits to the table reach a running
@@ -109,7 +110,9 @@ def run_trigger_stream(messages: DataFrame, dispatcher: TriggerDispatcher,
                        checkpoint_location: str, processing_time: str | None = "1 minute",
                        available_now: bool = False) -> StreamingQuery:
     """Start the dispatch stream: every ``processing_time`` (the reference's
-    one-minute batches), or once over what is available (``available_now``)."""
+    one-minute batches, STM-1), or once over what is available
+    (``available_now``); offsets in ``checkpoint_location`` (STM-2).  The
+    caller waits with ``awaitTermination`` (STM-6)."""
     writer = (messages.writeStream.foreachBatch(dispatcher)
               .option("checkpointLocation", checkpoint_location))
     if available_now:
