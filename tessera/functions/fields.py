@@ -40,8 +40,9 @@ def last_chars(c, n: int = 4) -> Column:
 
 
 def signed_fee(fee_text, base, letter: str) -> Column:
-    """CASE-2 / CASE-3 (NUM-2).  If the fee text starts with ``letter`` the printed fee is added to the
-    base fee, otherwise the base fee alone (strictly parsed); DOUBLE."""
+    """CASE-2 / CASE-3 (NUM-2).  If the fee text starts with ``letter`` the
+    printed fee is added to the base fee, otherwise the base fee alone
+    (strictly parsed); DOUBLE."""
     fee_text, base = _col(fee_text), _col(base)
     return (F.when(F.substr(fee_text, F.lit(1), F.lit(1)) == letter,
                    to_double(tail_from(fee_text, 2)) + to_double(base))

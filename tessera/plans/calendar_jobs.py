@@ -142,11 +142,12 @@ def open_days(intervals: DataFrame, start: str, end: str) -> DataFrame:   # DT-1
                        F.coalesce("delta", F.lit(0)).cast("bigint").alias("delta")))
 
     # Running sum in two levels: within each year (one window partition per
-    # year), plus the net change of all earlier years, taken from the
-    # materialised per-day deltas (a window over a per-year table of a few
-    # dozen rows).  Both tables are bounded by the calendar span.
-    years = (deltas.groupBy(F.year("day").alias("yr"))
-             .agg(F.sum("delta").cast("bigint").alias("year_delta")))
+    # year), plus the net change of all earlier years (a window over a
+    # per-year table of a few dozen rows).  Both tables are bounded by the
+    # calendar span.
+    # Every calendar year needs a carry, also a year no interval starts or
+    # ends in, so the year sums run over the calendar, not over the deltas.
+    years = per_day.groupBy("yr").agg(F.sum("delta").alias("year_delta"))
     carry = years.select(
         "yr",
         F.coalesce(F.sum("year_delta").over(

@@ -99,7 +99,8 @@ def test_parse_quarantine(spark):
 def test_open_days_equals_explode(spark):
     rows = [(D(2017, 11, 20), D(2017, 11, 23)), (D(2017, 11, 22), D(2018, 1, 2)),
             (D(2017, 12, 31), D(2017, 12, 31)), (D(2018, 3, 1), D(2018, 2, 1)),
-            (D(2016, 2, 27), D(2016, 3, 2)), (D(2018, 5, 5), D(2018, 5, 6))]
+            (D(2016, 2, 27), D(2016, 3, 2)), (D(2018, 5, 5), D(2018, 5, 6)),
+            (D(2012, 6, 1), D(2014, 2, 1))]      # 2013: no start or end inside
     df = spark.createDataFrame(rows, "a date, b date")
     sweep = {r.day: r.n_open for r in cal.open_days(df, "a", "b").collect()}
     brute = {r.day: r.n for r in df.select(F.explode(dates.every_day("a", "b")).alias("day"))
