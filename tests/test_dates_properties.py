@@ -75,3 +75,34 @@ def test_open_days_sweep_equals_counting(spark, rows):
         for k in range((b - a).days + 1):
             want[a + dt.timedelta(days=k)] += 1
     assert got == dict(want)
+
+
+LEAPISH = st.dates(min_value=dt.date(2015, 1, 25), max_value=dt.date(2016, 4, 5))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(LEAPISH, st.integers(1, 1000)), min_size=1, max_size=120))
+def test_lookback_totals_equal_python(spark, rows):
+    from collections import defaultdict
+
+    from tessera.plans import calendar_jobs as cal
+
+    orders = spark.createDataFrame(
+        [(i, dt.datetime(d.year, d.month, d.day), float(p)) for i, (d, p) in enumerate(rows)],
+        "o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double")
+    got = {r.order_day: tuple(r)[1:] for r in cal.lookback_totals(orders).collect()}
+    tot, n = defaultdict(float), defaultdict(int)
+    for d, p in rows:
+        tot[d] += p
+        n[d] += 1
+
+    def back(d, months):
+        return tot.get(add_months_py(d, months)) if add_months_py(d, months) in tot else None
+
+    want = {d: (n[d], tot[d], tot.get(d - dt.timedelta(days=1)), back(d, -1), back(d, -12))
+            for d in tot}
+    assert got.keys() == want.keys()
+    for d in want:
+        assert got[d][0] == want[d][0]
+        for g, w in zip(got[d][1:], want[d][1:]):
+            assert (g is None and w is None) or abs(g - round(w, 2)) < 1e-6
