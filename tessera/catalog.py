@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from .plans import audit, calendar_jobs as cal, mart, sinks
 from .session import scratch_path
 from .sources import card_warehouse, read_table, read_tasks, trigger_messages
-from .streaming import TriggerDispatcher, message_stream, run_trigger_stream, task_message_counts
+from .streaming import (TriggerDispatcher, message_stream, read_audit, run_trigger_stream,
+                        task_message_counts)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,7 +128,7 @@ def q_trigger_dispatch(spark, sf_dir, timeout_s: float = 600.0):
         raise TimeoutError("trigger stream did not finish")
     if query.exception() is not None:
         raise query.exception()
-    audit = spark.read.parquet(f"{base}/audit")
+    audit = read_audit(spark, f"{base}/audit")
     return (audit.where("matched").groupBy("task_name", "table_name")
             .agg(F.sum("n_messages").alias("n_messages")))
 

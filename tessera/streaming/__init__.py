@@ -1,7 +1,7 @@
 """The trigger stream: message source, per-batch dispatch, task counts."""
 
-from .dispatch import (TriggerDispatcher, message_counts, message_stream,
-                       run_trigger_stream, task_message_counts)
+from .dispatch import (AUDIT_SCHEMA, TriggerDispatcher, message_counts, message_stream,
+                       read_audit, run_trigger_stream, task_message_counts)
 
-__all__ = ["TriggerDispatcher", "message_counts", "message_stream",
-           "run_trigger_stream", "task_message_counts"]
+__all__ = ["AUDIT_SCHEMA", "TriggerDispatcher", "message_counts", "message_stream",
+           "read_audit", "run_trigger_stream", "task_message_counts"]

@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +26,19 @@ from ..operators import bounded_broadcast
 
 Job = Callable[[SparkSession, str], None]
 
+# Audit rows, one folder per batch (``batch_id=<n>``).
+AUDIT_SCHEMA = ("message STRING, task_name STRING, table_name STRING, "
+                "n_messages BIGINT, matched BOOLEAN")
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The audit table under ``path`` (empty when no batch has run yet)."""
+    schema = AUDIT_SCHEMA + ", batch_id BIGINT"
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException:       # the folder does not exist yet
+        return spark.createDataFrame([], schema)
+
 
 def message_stream(spark: SparkSession, path: str | None = None,
                    kafka: Mapping[str, str] | None = None) -> DataFrame:
@@ -96,7 +110,7 @@ class TriggerDispatcher:
         path = f"{self.audit_path}/batch_id={batch_id}"
         self.audit_rows(batch, batch_id).drop("batch_id").write.mode("overwrite").parquet(path)
         # Distinct matched tasks: bounded by the control table, not the stream.
-        matched = (spark.read.parquet(path).where("matched")
+        matched = (spark.read.schema(AUDIT_SCHEMA).parquet(path).where("matched")
                    .select("task_name", "table_name").distinct().collect())
         for row in matched:
             job = self.registry.get(row.task_name)

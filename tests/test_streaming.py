@@ -106,3 +106,16 @@ def test_control_table_edits_reach_the_running_stream(spark, small_dir):
     msgs.where("value = 'click'").write.text(f"{base}/inbox/2")
     once()
     assert calls == ["click_table"]          # the edited table was read
+
+
+def test_empty_inbox_gives_empty_audit(spark):
+    from tessera.streaming import read_audit
+
+    base = scratch_path(spark, "test-trigger-empty")
+    spark.createDataFrame([], "value string").write.text(f"{base}/inbox")
+    dispatcher = TriggerDispatcher(read_tasks(spark), {}, f"{base}/audit")
+    q = run_trigger_stream(spark.readStream.format("text").load(f"{base}/inbox"), dispatcher,
+                           f"{base}/ckpt", available_now=True)
+    assert q.awaitTermination(120) and q.exception() is None
+    audit = read_audit(spark, f"{base}/audit")
+    assert audit.count() == 0 and "batch_id" in audit.columns
