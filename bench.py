@@ -1,7 +1,7 @@
 """Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is built and forced through the ``noop`` sink (every row is
-produced, nothing is collected): one warm-up run, then the median of three.
+produced, nothing is collected): one warm-up run, then the median of five.
 Prints one JSON line.
 """
 
@@ -34,7 +34,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     keys = [k for k in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if k]
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
     default_parts = cpus if cpus.isdigit() else str(os.cpu_count() or 8)
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS",
                                                                       default_parts)))
