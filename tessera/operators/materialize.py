@@ -18,7 +18,7 @@ from ..session import scratch_path, shared_dir
 
 
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
-    """The DataFrame computed once and written to the shared checkpoint folder;
+    """SNK-2: the DataFrame computed once and written to the shared checkpoint folder;
     the returned frame reads those files (the original plan is not re-run)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
@@ -35,7 +35,8 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Cache ``df`` for the actions run inside the block, then release it."""
+    """MAT-1 / MAT-2: cache ``df`` for the actions run inside the block, then
+    release it."""
     df.persist(level)
     try:
         yield df

@@ -21,8 +21,8 @@ DEFAULT_LOOKUP_BRANCH = "01001022"
 
 
 def rule_audit_counts(fee_txn: DataFrame, cards: DataFrame) -> DataFrame:
-    """One row: distinct transactions, and how many of them pass the rules and
-    belong to a known card.
+    """FLT-4, JOIN-7, AGG-2, AGG-3.  One row: distinct transactions, and how
+    many of them pass the rules and belong to a known card.
 
     Whole-row distinct keeps map-side partial aggregation, so runs of
     identical rows collapse before the shuffle.  The card side is reduced to
@@ -38,13 +38,14 @@ def rule_audit_counts(fee_txn: DataFrame, cards: DataFrame) -> DataFrame:
 
 
 def branch_lookup(branches: DataFrame, org_id: str = DEFAULT_LOOKUP_BRANCH) -> DataFrame:
-    """Distinct branch rows for one branch id (filter pushed to the scan)."""
+    """FLT-3: distinct branch rows for one branch id (filter pushed to the scan)."""
     return mart.branch_dim(branches.where(F.col("org_id") == org_id))
 
 
 def upper_org_by_partition(branches: DataFrame, keep: bool = True) -> DataFrame:
-    """Each distinct branch's parent id tagged with the partition holding it,
-    as ``<partition>_<parent id>`` (a NULL parent reads ``null``).
+    """PRT-1, STR-5, MAT-2.  Each distinct branch's parent id tagged with the
+    partition holding it, as ``<partition>_<parent id>`` (a NULL parent reads
+    ``null``).
 
     The numbers depend on the physical layout, so with ``keep`` the tagged
     rows are persisted (memory, spilling to disk): every later action sees the

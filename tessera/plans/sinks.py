@@ -21,7 +21,7 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
 
 @contextmanager
 def current_database(spark: SparkSession, name: str, location: str | None = None):
-    """``use <name>`` for the block (the database is created when missing),
+    """SRC-2: ``use <name>`` for the block (the database is created when missing),
     then back to the previous one.  Writes should still name their table
     fully: a frame built on another session (e.g. a stream's batch session)
     does not see this session's current database."""
@@ -36,7 +36,7 @@ def current_database(spark: SparkSession, name: str, location: str | None = None
 
 def overwrite_table(df: DataFrame, table: str, checkpoint: bool = False,
                     partition_by: list[str] | None = None) -> None:
-    """Replace ``table`` (``db.name``) with ``df``.  With ``checkpoint`` the rows are first cut
+    """SNK-1 (SNK-2 with ``checkpoint``): replace ``table`` (``db.name``) with ``df``.  With ``checkpoint`` the rows are first cut
     from their lineage on the shared checkpoint folder and that copy is written
     (the checkpointed frame is the one used, so the plan runs once)."""
     if checkpoint:
@@ -47,5 +47,5 @@ def overwrite_table(df: DataFrame, table: str, checkpoint: bool = False,
     writer.saveAsTable(table)
 
 
-def with_load_time(df: DataFrame, column: str = "load_ts") -> DataFrame:
+def with_load_time(df: DataFrame, column: str = "load_ts") -> DataFrame:   # DT-30
     return df.withColumn(column, dates.now_label())

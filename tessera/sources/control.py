@@ -32,7 +32,7 @@ MART_TRIGGER = ("purchase", "RUN_LDM_CARD_POS_TRAN")
 
 def read_tasks(spark: SparkSession, jdbc_url: str | None = None,
                jdbc_options: dict | None = None) -> DataFrame:
-    """All rows of the control table, four columns."""
+    """SRC-3: all rows of the control table, four columns."""
     if jdbc_url:
         opts = dict(jdbc_options or {})
         opts.setdefault("dbtable", "task")

@@ -39,7 +39,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:   # SRC-1
     if name not in TABLE_NAMES:
         raise ValueError(f"unknown table {name!r}")
     reader = spark.read

@@ -56,7 +56,7 @@ def message_stream(spark: SparkSession, path: str | None = None,
 
 
 def message_counts(messages: DataFrame) -> DataFrame:
-    """Messages per value (map-side pre-aggregated)."""
+    """AGG-4: messages per value (map-side pre-aggregated)."""
     return messages.groupBy("value").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
