@@ -14,18 +14,23 @@ from pyspark.sql import SparkSession
 
 
 # Settings for the cluster run (~100 TB of input, ~1000 executors x 8 cores).
-# Scan splits of 512 MB give ~200k scan tasks (25 waves of 8k slots).  Shuffles
-# start from 80k partitions and AQE coalesces them to ~256 MB each, so a
-# reduce task's input fits in executor memory with room for sort spill.
-# Partitions 5x over the median and over 512 MB are split by skew join.
-# Static broadcast stays at the Spark default; dimensions are broadcast only
-# through the row-count check in ``operators.bounded_broadcast``.
+# Scans: 1 GB splits give ~100k scan tasks (~12 waves of 8k slots).  The
+# mart reads 15 of its transaction columns and keeps a fraction of the rows
+# by rule before its first shuffle, so ~10 TB or less is shuffled: 40k
+# shuffle partitions put ~250 MB in each reduce task (sort spills beyond
+# memory), and AQE coalesces smaller ones.  100k map x 40k reduce tasks
+# makes many small shuffle blocks, so push-based shuffle merges them where
+# the cluster's external shuffle service supports it.  Partitions 5x over the
+# median and over 512 MB are split by skew join.  Static broadcast stays at
+# the Spark default; dimensions are broadcast only through the row-count
+# check in ``operators.bounded_broadcast`` or a proven domain bound.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.shuffle.partitions": "80000",
-    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.files.maxPartitionBytes": "1g",
+    "spark.shuffle.push.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
