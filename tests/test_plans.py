@@ -31,3 +31,15 @@ def test_bench_prints_one_json_line():
     assert len(lines) == 1
     rec = json.loads(lines[0])
     assert rec["unit"] == "sec" and set(rec["queries"]) == {"cal_bounds"} and rec["value"] > 0
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_declared_schemas_match_the_files(spark, sf):
+    from pyspark.sql.types import StructType
+
+    from tessera.sources.tables import SCHEMAS
+    for table, ddl in SCHEMAS.items():
+        inferred = spark.read.parquet(f"/root/testdata/sf{sf}/{table}.parquet").schema
+        declared = StructType.fromDDL(ddl)
+        assert [(f.name, f.dataType) for f in inferred] == \
+            [(f.name, f.dataType) for f in declared], (sf, table)
