@@ -31,7 +31,7 @@ def test_dispatch_command_once(spark, small_dir):
     before = dict(spark.conf.getAll)
     try:
         dispatcher = run.main(["dispatch", "--warehouse", DB, "--checkpoint", f"{base}/ckpt",
-                               "--inbox", f"{base}/inbox", "--once"])
+                               "--inbox", f"{base}/inbox", "--once", "--load-date", "2024-01-31"])
     finally:
         for k, v in dict(spark.conf.getAll).items():
             if k not in before:
@@ -42,3 +42,4 @@ def test_dispatch_command_once(spark, small_dir):
     table = spark.table(f"{DB}.ldm_card_pos_tran").drop("load_ts")
     assert table.columns == mart.MART_COLS
     assert table.count() == mart.build_mart(catalog_inputs(spark, DB)).count()
+    assert {r.HIS_DW_DATE for r in table.select("HIS_DW_DATE").distinct().collect()} == {"2024-01-31"}
