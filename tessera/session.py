@@ -74,8 +74,10 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder for checkpoints and written intermediates.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set -- a test or a laptop -- a fresh temporary
-    folder is created and installed as the checkpoint dir.
+    Only when neither is set on a ``local[...]`` master -- a test or a laptop
+    -- a fresh temporary folder is created and installed as the checkpoint
+    dir; on a cluster a machine-local folder would not survive executor loss,
+    so the setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -84,6 +86,9 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) "
+                               "reachable from every executor")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
