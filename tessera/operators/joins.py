@@ -23,7 +23,9 @@ DEFAULT_BROADCAST_ROWS = 500_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``df`` materialised, hinted for broadcast only if it holds at most
     ``max_rows`` rows; otherwise returned un-hinted."""
-    fixed = checkpointed(df)
+    # A frame whose rows sit in the plan itself (built from driver-side rows)
+    # is already materialised; anything else is written out once.
+    fixed = df if df.isLocal() else checkpointed(df)
     rows = fixed.limit(max_rows + 1).count()
     return F.broadcast(fixed) if rows <= max_rows else fixed
 
