@@ -43,3 +43,19 @@ def test_dispatch_command_once(spark, small_dir):
     assert table.columns == mart.MART_COLS
     assert table.count() == mart.build_mart(catalog_inputs(spark, DB)).count()
     assert {r.HIS_DW_DATE for r in table.select("HIS_DW_DATE").distinct().collect()} == {"2024-01-31"}
+
+
+def test_query_command_writes_parquet(spark, small_dir):
+    out = scratch_path(spark, "test-run-query") + "/out"
+    before = dict(spark.conf.getAll)
+    try:
+        run.main(["query", "cal_period_flags", "--input", small_dir, "--output", out])
+    finally:
+        for k, v in dict(spark.conf.getAll).items():
+            if k not in before:
+                spark.conf.unset(k)
+            elif before[k] != v:
+                spark.conf.set(k, before[k])
+    written = spark.read.parquet(out)
+    orders = read_table(spark, small_dir, "orders").count()
+    assert written.agg({"n_orders": "sum"}).first()[0] == orders
