@@ -1,0 +1,85 @@
+"""Operator 3 against the tiktoken library, and exact round trips."""
+
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+from tessera.llm import bpe
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return bpe.read_ranks(PATH)
+
+
+@pytest.fixture(scope="module")
+def peer(ranks):
+    return tiktoken.Encoding("peer", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                             special_tokens={})
+
+
+def rows(spark, texts):
+    return spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, ids string")
+
+
+def check(spark, peer, texts):
+    got = {r.doc_id: r for r in bpe.digests(rows(spark, texts), PATH, public_tokenizers.PATTERN).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        ids = peer.encode_ordinary(t or "")
+        assert got[i].n_tokens == len(ids)
+        assert got[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert got[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
+
+
+def test_edge_texts(spark, peer):
+    check(spark, peer, [None, "", " ", "\n\n \t x", "aaaaaaaaaaaaaa", "naïve café 12345 <|endoftext|>",
+                        "日本語 🙂🙂", "don't I'll we've", "x" * 3000, "ab " * 5000, "same", "same"])
+
+
+def test_random_words_match(spark, peer):
+    rng = random.Random(5)
+    letters = "aaabcdeeéiłnorstuüß本🙂 0123.,-_\n\t'"
+    check(spark, peer, ["".join(rng.choices(letters, k=rng.randint(1, 400))) for _ in range(300)])
+
+
+def test_long_text_is_sliced(spark, peer, monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE_CHARS", 500)
+    monkeypatch.setattr(bpe, "KEEP_PIECES", 50)
+    check(spark, peer, ["the quick brown fox été " * 100, "short", "über straße " * 80])
+
+
+def test_lower_rank_appearing_late():
+    """A merge may create a pair of lower rank in its word; that pair goes first, as in a loop
+    that always takes the lowest rank, leftmost first."""
+    base = {bytes([b]): b + 100 for b in range(256)}
+    extra = {b"ab": 1000, b"abab": 3, b"aba": 5, b"ba": 1001, b"bab": 2}
+    ranks = base | extra
+    replay = bpe.MergeReplay(ranks)
+
+    def plain(word):
+        parts = [word[i:i + 1] for i in range(len(word))]
+        while True:
+            found = [(ranks[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1)
+                     if parts[i] + parts[i + 1] in ranks]
+            if not found:
+                return [ranks[p] for p in parts]
+            _, i = min(found)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+    rng = random.Random(1)
+    words = [bytes(rng.choices(b"abc", k=rng.randint(1, 12))) for _ in range(500)]
+    import numpy as np
+    assert [np.frombuffer(x, "<i4").tolist() for x in replay.replay(words)] == [plain(w) for w in words]
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    out = bpe.digests(empty, PATH, public_tokenizers.PATTERN)
+    assert out.count() == 0 and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
