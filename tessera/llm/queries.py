@@ -11,8 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
-from .common import table
+from . import bpe, mixing, preference
+from .common import table, written
 
 #: Parameter: rank file and split pattern of the byte-level BPE.
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -23,8 +23,23 @@ def op3_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), BPE_RANKS, BPE_PATTERN)
 
 
+def op8_preference_pairs(spark, sf_dir):
+    return preference.rendered_pairs(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op9_source_mix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    sizes = written(mixing.with_size(docs).select("doc_id", "source", "size"), "mixing/sizes")
+    return mixing.mix(sizes).select("doc_id", "size", "source_size", "target", "taken", "source",
+                                    "whole", "shard", "place")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op8_preference_pairs": op8_preference_pairs,
+    "op9_source_mix": op9_source_mix,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_preference_pairs": preference.RENDERED_SQL,
+}
