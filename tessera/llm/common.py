@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,4 +33,25 @@ def slots(spark: SparkSession) -> int:
                int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-__all__ = ["WORD", "crc_mod", "slots", "table", "written"]
+def whole_groups(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """Batches sorted by (integer) keys, cut anew so that no group spans two tables."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        cols = [batch.column(k).to_numpy() for k in keys]
+        if held and any(held[-1].column(k)[-1].as_py() != c[0] for k, c in zip(keys, cols)):
+            yield pa.Table.from_batches(held)
+            held = []
+        other = np.flatnonzero(np.logical_or.reduce([c != c[-1] for c in cols]))
+        if len(other):                               # the last group may go on in the next batch
+            cut = int(other[-1]) + 1
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = [batch.slice(cut)]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+__all__ = ["WORD", "crc_mod", "slots", "table", "whole_groups", "written"]

@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, preference
+from . import bpe, embed_dedup, minhash, mixing, preference
 from .common import table, written
 
 #: Parameter: rank file and split pattern of the byte-level BPE.
@@ -19,10 +19,18 @@ BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
 
 
+def op1_embedding_near_dedup(spark, sf_dir):
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op3_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), BPE_RANKS, BPE_PATTERN)
 
 
+def op5_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_documents(table(spark, sf_dir, "documents", "doc_id", "text")).drop("same")
+
+
 def op8_preference_pairs(spark, sf_dir):
     return preference.rendered_pairs(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -35,7 +43,9 @@ def op9_source_mix(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op8_preference_pairs": op8_preference_pairs,
     "op9_source_mix": op9_source_mix,
 }
