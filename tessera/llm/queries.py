@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, minhash, mixing, preference
+from . import bpe, embed_dedup, minhash, mixing, preference, toxicity
 from .common import table, written
 
 #: Parameter: rank file and split pattern of the byte-level BPE.
@@ -23,6 +23,11 @@ def op1_embedding_near_dedup(spark, sf_dir):
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
 
+def op2_toxicity(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents", "doc_id", "text"),
+                           table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op3_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), BPE_RANKS, BPE_PATTERN)
 
@@ -44,6 +49,7 @@ def op9_source_mix(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op8_preference_pairs": op8_preference_pairs,
