@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, minhash, mixing, preference, toxicity
+from . import bpe, embed_dedup, fingerprint, minhash, mixing, preference, toxicity
 from .common import table, written
 
 #: Parameter: rank file and split pattern of the byte-level BPE.
@@ -32,6 +32,10 @@ def op3_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), BPE_RANKS, BPE_PATTERN)
 
 
+def op4_fingerprints(spark, sf_dir):
+    return fingerprint.neighbours(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_minhash_near_dedup(spark, sf_dir):
     return minhash.near_documents(table(spark, sf_dir, "documents", "doc_id", "text")).drop("same")
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_fingerprints": op4_fingerprints,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op8_preference_pairs": op8_preference_pairs,
     "op9_source_mix": op9_source_mix,
