@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, fingerprint, minhash, mixing, preference, toxicity
+from . import bpe, embed_dedup, fingerprint, minhash, mixing, preference, toxicity, training_order
 from .common import table, written
 
 #: Parameter: rank file and split pattern of the byte-level BPE.
@@ -51,6 +51,11 @@ def op9_source_mix(spark, sf_dir):
                                     "whole", "shard", "place")
 
 
+def op10_training_order(spark, sf_dir):
+    return training_order.document_order(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                         training_order.fresh_folder(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_toxicity": op2_toxicity,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op8_preference_pairs": op8_preference_pairs,
     "op9_source_mix": op9_source_mix,
+    "op10_training_order": op10_training_order,
 }
 
 ORACLES: dict[str, str] = {
