@@ -11,10 +11,11 @@ All candidates are settled on full shingle sets:
 1. Documents of equal sets are one representative, so copies cost one row.
 2. Every bucket member is compared with the bucket's least member; the links
    found give first components.
-3. Buckets whose members are not yet in one component are compared whole: cut
-   into blocks of ``BLOCK`` members, every pair of blocks a group of its own,
-   only members of different components against each other.  Buckets of the
-   same members are settled once.
+3. In buckets whose members are not yet in one component, every member outside
+   the bucket's largest component is compared with every member of another
+   component: both sides are cut into blocks of ``BLOCK`` members, and each
+   pair of blocks is a group of its own.  Buckets of the same members are
+   settled once.
 
 So no pair of a bucket that could join two components is left out, no pair
 list of a bucket is ever made, and a bucket of any size is bounded groups.
@@ -154,26 +155,24 @@ def _linked(both, size_a, size_b):
 
 def _compare(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Links between members of different components, as far as they join components, of one group."""
-    node, block = rows.column("node").to_numpy(), rows.column("block").to_numpy()
+    node, role = rows.column("node").to_numpy(), rows.column("role").to_numpy()
     component = rows.column("component").to_numpy().copy()
     lists = rows.column("codes").combine_chunks()
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    universe, ids = np.unique(lists.flatten().to_numpy()[:offsets[-1] - offsets[0]], return_inverse=True)
+    universe, ids = np.unique(lists.values.to_numpy()[offsets[0]:offsets[-1]], return_inverse=True)
     offsets = offsets - offsets[0]
     sizes, mark = np.diff(offsets), np.zeros(len(universe), np.int64)
-    across = len(np.unique(block)) > 1               # two blocks: only from one to the other
     left, right = [], []
-    for i in range(len(node)):
+    for i in np.flatnonzero(role == 1).tolist():
         own = ids[offsets[i]:offsets[i + 1]]
-        other = (block != block[i]) if across else np.arange(len(node)) > i
-        other &= (component != component[i]) & (100 * np.minimum(sizes, sizes[i]) >= PERCENT * np.maximum(sizes, sizes[i]))
-        if not other.any() or across and block[i] != block[0]:
+        other = (role == 0) & (component != component[i]) & (
+            100 * np.minimum(sizes, sizes[i]) >= PERCENT * np.maximum(sizes, sizes[i]))
+        if not other.any():
             continue
         mark[own] = 1
         shared = np.add.reduceat(mark[ids], offsets[:-1])
         mark[own] = 0
-        hits = np.flatnonzero(other & _linked(shared, sizes, sizes[i]))
-        for j in hits.tolist():
+        for j in np.flatnonzero(other & _linked(shared, sizes, sizes[i])).tolist():
             if component[j] != component[i]:
                 left.append(node[i])
                 right.append(node[j])
@@ -218,18 +217,27 @@ def near_documents(docs: DataFrame) -> DataFrame:
 
     placed = (shared.join(found.withColumnRenamed("node", "f"), F.col("node") == F.col("f"), "left")
               .select("bucket", "node", F.coalesce("component", "node").alias("component")))
-    open_buckets = (placed.groupBy("bucket")
-                    .agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
-                         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"),
-                         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("too"))
-                    .where("low <> high"))
-    open_buckets = open_buckets.groupBy("n", "who", "too").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    members = (placed.join(open_buckets, "bucket").withColumn("blocks", blocks)
-               .withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "node"), F.col("blocks")))
-               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-               .withColumn("pair", F.least("block", "other") * (1 << 31) + F.greatest("block", "other")))
-    members = (members.select("bucket", "pair", "block", "node", "component").join(sets, "node")
+    code = F.xxhash64("node").cast("decimal(38,0)")
+    parts = placed.groupBy("bucket", "component").agg(
+        F.count("*").alias("c"), F.sum(code).alias("who"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("too"))
+    open_buckets = (parts.groupBy("bucket")
+                    .agg(F.count("*").alias("k"), F.sum("c").alias("n"), F.sum("who").alias("who"),
+                         F.bit_xor("too").alias("too"), F.max(F.struct("c", "component")).alias("main"))
+                    .where("k > 1").groupBy("n", "who", "too")
+                    .agg(F.min(F.struct("bucket", "main")).alias("b"))
+                    .select("b.bucket", "n", F.col("b.main.c").alias("c"), F.col("b.main.component").alias("main")))
+    blocks = lambda rows: F.ceil(rows / BLOCK).cast("long")
+    within = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    of = lambda n, key: F.pmod(F.xxhash64(F.lit(key), "node"), F.col(n))
+    cut = (placed.join(open_buckets, "bucket").withColumn("all_blocks", blocks(F.col("n")))
+           .withColumn("few_blocks", blocks(F.col("n") - F.col("c"))))
+    everyone = cut.select("bucket", "node", "component", F.lit(0).alias("role"), of("all_blocks", SEED).alias("i"),
+                          F.explode(within("few_blocks")).alias("j"))
+    others = cut.where("component <> main").select(
+        "bucket", "node", "component", F.lit(1).alias("role"), F.explode(within("all_blocks")).alias("i"),
+        of("few_blocks", SEED + 1).alias("j"))
+    members = (everyone.unionByName(others).withColumn("pair", F.col("i") * (1 << 31) + F.col("j"))
+               .select("bucket", "pair", "role", "node", "component").join(sets, "node")
                .repartition("bucket", "pair").sortWithinPartitions("bucket", "pair", "node"))
     late = written(_block_links(members), "minhash/late")
     if not late.isEmpty():
