@@ -113,6 +113,8 @@ def _sequences(rows: DataFrame, parts: dict[int, tuple[int, int]], total: int, w
 
 
 def _numbered(out, ids_of, sizes, number, total):
+    if number + len(out) > total:
+        raise RuntimeError("there are more sequences than were counted: its input changed")
     slots = permute(np.arange(number, number + len(out)), total) if out else np.zeros(0, np.int64)
     return pa.RecordBatch.from_arrays(
         [pa.array(slots), pa.array(slots // SHARD), pa.array(sizes, pa.int64()),
