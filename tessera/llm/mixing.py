@@ -76,46 +76,64 @@ def _uniform(*parts: Column) -> Column:
     return (bits.cast("double") + 0.5) / float(1 << 52)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def hypergeometric(good: Column, bad: Column, draws: Column, u: Column, v: Column) -> Column:
     """Number of good ones among ``draws`` from good + bad, by uniform numbers u and v."""
-    g, b, k = good.cast("double"), bad.cast("double"), draws.cast("double")
-    n = g + b
-    lo, hi = F.greatest(F.lit(0.0), k - b), F.least(k, g)
-    mode = F.least(hi, F.greatest(lo, F.floor((k + 1) * (g + 1) / (n + 2)).cast("double")))
-    var = F.when(n > 1, k * (g / n) * (b / n) * (n - k) / (n - 1)).otherwise(0.0)
-    sigma = F.sqrt(F.greatest(var, F.lit(0.0)))
-    reach = F.ceil(sigma * 10).cast("double") + 8
-    top, low = F.least(hi, mode + reach), F.greatest(lo, mode - reach)
-    steps = lambda a, z, by: F.when((z - a) * by >= 0, F.sequence(a.cast("long"), z.cast("long"),
-                                                                 F.lit(by).cast("long")))
     empty = F.array().cast("array<bigint>")
-    ups = F.coalesce(steps(mode, top - 1, 1), empty)
-    downs = F.coalesce(steps(mode, low + 1, -1), empty)
-    up = lambda x: (g - x) * (k - x) / ((x + 1) * (b - k + x + 1))
-    down = lambda x: x * (b - k + x) / ((g - x + 1) * (k - x + 1))
+    up = lambda p, x: (p.g - x) * (p.k - x) / ((x + 1) * (p.b - p.k + x + 1))
+    down = lambda p, x: x * (p.b - p.k + x) / ((p.g - x + 1) * (p.k - x + 1))
 
-    def mass(over, ratio):
-        return F.aggregate(over, F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("t")),
-                           lambda s, x: F.struct((s.w * ratio(x)).alias("w"),
-                                                 (s.t + s.w * ratio(x)).alias("t")),
-                           lambda s: s.t)
+    def steps(a, z, by):
+        return F.coalesce(F.when((z - a) * by >= 0, F.sequence(a.cast("long"), z.cast("long"),
+                                                              F.lit(by).cast("long"))), empty)
 
-    above, below = mass(ups, up), mass(downs, down)
-    goal = u * (above + below + 1)
+    def mass(p, over, ratio):
+        return F.aggregate(over, F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("t")),
+                           lambda s, x: _let(s.w * ratio(p, x), lambda w: F.struct(
+                               w.alias("w"), (s.t + w).alias("t"))), lambda s: s.t)
 
-    def pick(over, ratio, start, to):
+    def pick(p, goal, over, ratio, start, to):
+        """The first value at which the mass, added up from ``start``, reaches the goal."""
         none = F.lit(None).cast("bigint")
         return F.aggregate(
             over, F.struct(F.lit(1.0).alias("w"), start.alias("t"), none.alias("x")),
-            lambda s, x: F.struct((s.w * ratio(x)).alias("w"), (s.t + s.w * ratio(x)).alias("t"),
-                                  F.coalesce(s.x, F.when(s.t + s.w * ratio(x) >= goal, x + to)).alias("x")),
+            lambda s, x: _let(s.w * ratio(p, x), lambda w: F.struct(
+                w.alias("w"), (s.t + w).alias("t"),
+                F.coalesce(s.x, F.when(s.t + w >= goal, x + to)).alias("x"))),
             lambda s: s.x)
 
-    exact = F.when(goal <= 1, mode.cast("long")).otherwise(
-        F.coalesce(pick(ups, up, F.lit(1.0), 1), pick(downs, down, above + 1, -1), mode.cast("long")))
-    z = F.sqrt(F.log(u) * -2) * F.cos(v * (2 * math.pi))
-    normal = F.least(hi, F.greatest(lo, F.round(k * g / F.greatest(n, F.lit(1.0)) + sigma * z)))
-    return F.when(sigma <= EXACT_SIGMA, exact).otherwise(normal.cast("long"))
+    def exact(p):
+        reach = F.ceil(p.sigma * 10).cast("double") + 8
+        top, low = F.least(p.hi, p.mode + reach), F.greatest(p.lo, p.mode - reach)
+        ups, downs = steps(p.mode, top - 1, 1), steps(p.mode, low + 1, -1)
+        masses = F.struct(mass(p, ups, up).alias("above"), mass(p, downs, down).alias("below"))
+        return _let(masses, lambda m: _let(u * (m.above + m.below + 1), lambda goal: F.when(
+            goal <= 1, p.mode.cast("long")).otherwise(F.coalesce(
+                pick(p, goal, ups, up, F.lit(1.0), 1), pick(p, goal, downs, down, m.above + 1, -1),
+                p.mode.cast("long")))))
+
+    def spread(p):
+        n = p.g + p.b
+        var = F.when(n > 1, p.k * (p.g / n) * (p.b / n) * (n - p.k) / (n - 1)).otherwise(0.0)
+        mode = F.floor((p.k + 1) * (p.g + 1) / (n + 2)).cast("double")
+        return F.struct(p.g.alias("g"), p.b.alias("b"), p.k.alias("k"), p.lo.alias("lo"), p.hi.alias("hi"),
+                        F.least(p.hi, F.greatest(p.lo, mode)).alias("mode"),
+                        F.sqrt(F.greatest(var, F.lit(0.0))).alias("sigma"))
+
+    def draw(p):
+        z = F.sqrt(F.log(u) * -2) * F.cos(v * (2 * math.pi))
+        normal = F.round(p.k * p.g / F.greatest(p.g + p.b, F.lit(1.0)) + p.sigma * z)
+        return F.when(p.sigma <= EXACT_SIGMA, exact(p)).otherwise(
+            F.least(p.hi, F.greatest(p.lo, normal)).cast("long"))
+
+    g, b, k = good.cast("double"), bad.cast("double"), draws.cast("double")
+    given = F.struct(g.alias("g"), b.alias("b"), k.alias("k"), F.greatest(F.lit(0.0), k - b).alias("lo"),
+                     F.least(k, g).alias("hi"))
+    return _let(given, lambda p: _let(spread(p), draw))
 
 
 def _split(nodes: DataFrame, level: int) -> DataFrame:
@@ -124,10 +142,9 @@ def _split(nodes: DataFrame, level: int) -> DataFrame:
         u = _uniform(F.col("source"), F.col("node"), F.lit(level), F.size(state.got))
         v = _uniform(F.col("source"), F.col("node"), F.lit(-1 - level), F.size(state.got))
         got = hypergeometric(cap, state.rest - cap, state.quota, u, v)
-        # bound once, so that the draw is not computed again for each use
-        return F.element_at(F.transform(F.array(got), lambda x: F.struct(
+        return _let(got, lambda x: F.struct(
             (state.rest - cap).alias("rest"), (state.quota - x).alias("quota"),
-            F.concat(state.got, F.array(x)).alias("got"))), 1)
+            F.concat(state.got, F.array(x)).alias("got")))
 
     start = F.struct(F.aggregate("caps", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("rest"),
                      F.col("quota").alias("quota"), F.array().cast("array<bigint>").alias("got"))
