@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, context_mixing, embed_dedup, fingerprint, minhash, mixing, preference, toxicity, training_order
+from . import bpe, context_mixing, embed_dedup, fingerprint, html_extract, minhash, mixing, preference, toxicity, training_order
 from .common import table, written
 
 #: Parameter: rank file and split pattern of the byte-level BPE.
@@ -40,6 +40,10 @@ def op5_minhash_near_dedup(spark, sf_dir):
     return minhash.near_documents(table(spark, sf_dir, "documents", "doc_id", "text")).drop("same")
 
 
+def op6_html_text(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op7_context_mixing(spark, sf_dir):
     return context_mixing.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_fingerprints": op4_fingerprints,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_html_text": op6_html_text,
     "op7_context_mixing": op7_context_mixing,
     "op8_preference_pairs": op8_preference_pairs,
     "op9_source_mix": op9_source_mix,
