@@ -1,0 +1,90 @@
+"""The pipeline's stages, one by one, on the small tables and on a made corpus."""
+
+import hashlib
+import random
+
+import pytest
+import tiktoken
+
+import __spark_entry__
+import corpus_pipeline
+from tessera.llm import bpe, minhash, queries
+from tessera.llm.common import written
+
+from .test_minhash import brute
+
+TABLES = "/root/testdata/sf0.01"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet").select(*COLUMNS)
+    out = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        out.append(written(stage(spark, out[-1], TABLES), "test/pipeline"))
+    return out
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_filtering_stages_keep_rows_as_they_are(steps):
+    for before, after in zip(steps[:2], steps[1:3]):
+        assert after.columns == COLUMNS
+        assert set(rows(after)) <= set(rows(before)) and after.count() < before.count()
+
+
+def test_near_dedup_is_brute_force(steps):
+    kept = {r[0] for r in brute([(d, t) for d, t, *_ in rows(steps[1])]) if r[3]}
+    assert {r[0] for r in rows(steps[2])} == kept
+
+
+def test_toxic_labels_go_clean_stay(spark, steps):
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{TABLES}/labels.parquet").collect()}
+    kept = {r[0] for r in rows(steps[1])}
+    clean, toxic = ([d for d, y in labels.items() if y == v] for v in (0, 1))
+    assert sum(d in kept for d in clean) >= 0.9 * len(clean)
+    assert sum(d in kept for d in toxic) <= 0.5 * len(toxic)
+
+
+def test_mix_and_encoding(steps):
+    words = lambda t: len((t or "").encode().split())
+    size, taken = {}, {}
+    for d, t, _, s, _ in rows(steps[2]):
+        size[d] = size.get(d, 0) + words(t)
+    mixed = rows(steps[3])
+    for d, t, _, _, n in mixed:
+        taken[d] = taken.get(d, 0) + words(t)
+        assert n == len(t)
+    assert all(taken[d] <= 2 * size[d] for d in taken)
+    assert abs(sum(taken.values()) - 1.5 * sum(size.values())) <= 0.03 * sum(size.values())
+    peer = tiktoken.Encoding("peer", pat_str=queries.BPE_PATTERN, mergeable_ranks=bpe.read_ranks(queries.BPE_RANKS),
+                             special_tokens={})
+    want = []
+    for d, t, *_ in mixed:
+        ids = peer.encode_ordinary(t)
+        want.append((d, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                     hashlib.sha256(t.encode()).hexdigest()))
+    assert sorted(rows(steps[4])) == sorted(want)
+
+
+def test_odd_rows_pass(spark, small_dir):
+    rng = random.Random(1)
+    texts = [" ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=n)) for n in (0, 1, 3, 50, 3000)]
+    made = [(i, t, None, s, None) for i, t in enumerate([*texts, None, "", texts[3]]) for s in (None, "a")]
+    made += [(None, "without an id at all here", "en", "b", 1)] * 2
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long")
+    for data in (docs, docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES:
+            data = written(stage(spark, data, small_dir), "test/pipeline")
+        assert data.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_registered(spark, small_dir):
+    found = __spark_entry__.queries()
+    assert "pipeline" in found and all(any(k.startswith(f"op{n}_") for k in found) for n in range(1, 11))
+    assert set(queries.ORACLES) <= set(queries.QUERIES)
+    assert minhash.BANDS * minhash.ROWS > 0
+    assert found["pipeline"](spark, small_dir).count() > 0
