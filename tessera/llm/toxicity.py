@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField,
                                StructType)
 
-from .common import crc_mod
+from .common import crc_mod, written
 
 #: Parameters of the fit: most labelled rows, most feature words, least sureness of a word (in
 #: standard deviations) and least examples that hold it.
@@ -220,8 +220,9 @@ def _word_counts(sample: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True)) -> Model:
     """The model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) where ``train(doc_id)``."""
-    sample = docs.select("doc_id", "text").join(
-        F.broadcast(_training(labels, train)), "doc_id")         # MAX_EXAMPLES rows of two numbers at most
+    # the broadcast side: MAX_EXAMPLES rows of two numbers at most
+    sample = written(docs.select("doc_id", "text").join(F.broadcast(_training(labels, train)), "doc_id"),
+                     "toxicity/sample")
     n, toxic = (x or 0 for x in sample.agg(F.count("*"), F.sum("toxic")).first())
     base = toxic / n if n else 0.0
     if 0 < toxic < n:
