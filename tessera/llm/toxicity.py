@@ -33,7 +33,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -95,45 +95,49 @@ class Vocabulary:
         return dict(found)
 
 
-@dataclass
 class BlockMaxIndex:
-    """Sparse unit vectors in blocks, with the greatest weight of each term in each block."""
-
-    n_terms: int
-    vectors: list[dict[int, float]]
-    posting: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-
-    def __post_init__(self):
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for i, vector in enumerate(self.vectors):
-            for term, weight in vector.items():
-                lists.setdefault((term, i // BLOCK), []).append((i % BLOCK, weight))
-        self.n_blocks = (len(self.vectors) + BLOCK - 1) // BLOCK
-        self.most = np.zeros((self.n_terms, self.n_blocks))
-        for (term, block), rows in lists.items():
-            self.posting[term, block] = (np.array([r[0] for r in rows]), np.array([r[1] for r in rows]))
-            self.most[term, block] = max(r[1] for r in rows)
-
-    def top(self, query: dict[int, float], k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """The k examples of greatest positive cosine (cosine, example); ``skip`` is left out."""
-        terms = list(query)
-        if not terms or not self.n_blocks:
+    """Sparse unit vectors in blocks, with the greatest weight of each term in each block.
+
+    Vectors are laid out by their heaviest terms, so that a block's vectors are alike and its
+    greatest weights are close to each vector's own; empty vectors are in no block."""
+
+    def __init__(self, n_terms: int, vectors: list[dict[int, float]]):
+        by_weight = lambda v: sorted(((-w, t) for t, w in v.items()))
+        self.order = sorted((i for i, v in enumerate(vectors) if v),
+                            key=lambda i: ([t for _, t in by_weight(vectors[i])], i))
+        self.most = np.zeros((n_terms, (len(self.order) + BLOCK - 1) // BLOCK))
+        self.blocks = []                             # its terms, and its vectors over these terms
+        for at in range(0, len(self.order), BLOCK):
+            rows = [vectors[i] for i in self.order[at:at + BLOCK]]
+            terms = sorted(set().union(*rows))
+            place = {t: j for j, t in enumerate(terms)}
+            weights = np.zeros((len(rows), len(terms)))
+            for r, vector in enumerate(rows):
+                for t, w in vector.items():
+                    weights[r, place[t]] = w
+            self.most[terms, at // BLOCK] = weights.max(axis=0)
+            self.blocks.append((np.array(terms), weights))
+
+    def top(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
+        """The k examples of greatest positive cosine: (cosine, example)."""
+        if not query or not self.blocks:
             return []
-        bound = np.array([query[t] for t in terms]) @ self.most[terms]
+        terms = np.array(sorted(query))
+        weights = np.array([query[t] for t in terms.tolist()])
+        bound = weights @ self.most[terms]
         best: list[tuple[float, int]] = []
         for block in np.argsort(-bound, kind="stable").tolist():
             if bound[block] <= 0 or len(best) == k and best[-1][0] >= bound[block]:
                 break
-            score = np.zeros(BLOCK)
-            for t in terms:
-                found = self.posting.get((t, block))
-                if found is not None:
-                    score[found[0]] += query[t] * found[1]
-            for row in np.flatnonzero(score > (best[-1][0] if len(best) == k else 0)).tolist():
-                if block * BLOCK + row != skip:
-                    best.append((float(score[row]), block * BLOCK + row))
-            best.sort(key=lambda x: (-x[0], x[1]))
-            del best[k:]
+            own, rows = self.blocks[block]
+            at = np.minimum(np.searchsorted(own, terms), len(own) - 1)
+            there = own[at] == terms
+            score = rows[:, at[there]] @ weights[there]
+            more = np.flatnonzero(score > (best[-1][0] if len(best) == k else 0)).tolist()
+            if more:
+                best += [(float(score[r]), self.order[block * BLOCK + r]) for r in more]
+                best.sort(key=lambda x: (-x[0], x[1]))
+                del best[k:]
         return best
 
 
@@ -269,8 +273,14 @@ def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True)) ->
     model.index = BlockMaxIndex(terms.size, vectors)
     bare = [r.toxic for r, v in zip(rows, vectors) if not v]
     model.empty = (sum(bare) + base) / (len(bare) + 1)
-    votes = [(model.vote(near), r.toxic) for i, (r, v) in enumerate(zip(rows, vectors))
-             if (near := model.index.top(v, NEIGHBOURS, skip=i))]
+    votes, known = [], {}
+    for i, (r, v) in enumerate(zip(rows, vectors)):
+        key = tuple(v.items())
+        if key not in known:
+            known[key] = model.index.top(v, NEIGHBOURS + 1)
+        near = [x for x in known[key] if x[1] != i][:NEIGHBOURS]       # without the example itself
+        if near:
+            votes.append((model.vote(near), r.toxic))
     if votes:
         model.steps = _isotonic(np.array([v for v, _ in votes]), np.array([float(y) for _, y in votes]))
     return model
