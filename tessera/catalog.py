@@ -5,6 +5,7 @@ Every query reads the given tables (or data Spark derives from them) whole.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # (the reference looks up its own head-office code).
 LOOKUP_BRANCH = "00000003"
 
-# The reference's warehouse database and mart table.
-MART_DATABASE = "edw"
-MART_TABLE = "ldm_card_pos_tran"
+# Database of the registered queries' own tables; each call writes tables of
+# its own name there, never a production name.
+QUERY_DATABASE = "tessera_queries"
 
 
 def _inputs(spark, sf_dir):
@@ -84,7 +85,7 @@ def q_branch_lookup(spark, sf_dir):
 
 
 def q_upper_org_by_partition(spark, sf_dir):
-    return audit.upper_org_by_partition(_inputs(spark, sf_dir).branches)
+    return audit.upper_org_tag_facts(_inputs(spark, sf_dir).branches)
 
 
 def q_stage_views_sql(spark, sf_dir):
@@ -93,11 +94,14 @@ def q_stage_views_sql(spark, sf_dir):
 
 
 def q_mart_overwrite_readback(spark, sf_dir):
-    rows = sinks.with_load_time(mart.build_mart(_inputs(spark, sf_dir)))
-    sinks.ensure_database(spark, MART_DATABASE)
-    sinks.overwrite_table(rows, f"{MART_DATABASE}.{MART_TABLE}", checkpoint=True)
-    with sinks.current_database(spark, MART_DATABASE):
-        written = spark.table(MART_TABLE)           # resolved in the current database
+    inputs, call = _inputs(spark, sf_dir), uuid.uuid4().hex
+    sinks.ensure_database(spark, QUERY_DATABASE)
+    # the lineage cut is shown on a small table; the mart is written once
+    sinks.overwrite_table(mart.branch_dim(inputs.branches), f"{QUERY_DATABASE}.branches_{call}", checkpoint=True)
+    rows = sinks.with_load_time(mart.build_mart(inputs))
+    sinks.overwrite_table(rows, f"{QUERY_DATABASE}.mart_{call}")
+    with sinks.current_database(spark, QUERY_DATABASE):
+        written = spark.table(f"mart_{call}")       # resolved in the current database
     return written.drop("load_ts")
 
 
@@ -106,28 +110,20 @@ def q_control_tasks(spark, sf_dir):
     return task_message_counts(read_tasks(spark), messages)
 
 
-# Fixed value: database the registered dispatch run writes its task tables
-# to, apart from ``mart_overwrite_readback``'s table, so neither query's
-# result frame reads files the other replaces.
-DISPATCH_DATABASE = "edw_dispatch"
-
-
-def q_trigger_dispatch(spark, sf_dir, timeout_s: float = 600.0):
+def q_trigger_dispatch(spark, sf_dir, database: str | None = None):
     """Messages derived from ``events`` are dropped as text files, one
     available-now run of the dispatch stream consumes them (running the mart
-    job for its task), and the audit table is summed per matched task."""
+    job for its task), and the audit table is summed per matched task.  The task's table is written to
+    ``database``, or to one of this call's own."""
+    database = database or f"{QUERY_DATABASE}_{uuid.uuid4().hex}"
     base = scratch_path(spark, "trigger")
     trigger_messages(read_table(spark, sf_dir, "events")).write.text(f"{base}/inbox")
-    job = mart.mart_task_job(lambda s: _inputs(s, sf_dir), DISPATCH_DATABASE)
+    job = mart.mart_task_job(lambda s: _inputs(s, sf_dir), database)
     registry = {"RUN_LDM_CARD_POS_TRAN": job}
     dispatcher = TriggerDispatcher(read_tasks, registry, f"{base}/audit")   # re-read per batch
     stream = message_stream(spark, path=f"{base}/inbox")
     query = run_trigger_stream(stream, dispatcher, f"{base}/checkpoint", available_now=True)
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError("trigger stream did not finish")
-    if query.exception() is not None:
-        raise query.exception()
+    query.awaitTermination()            # ends with the available messages, or raises
     audit = read_audit(spark, f"{base}/audit")
     return (audit.where("matched").groupBy("task_name", "table_name")
             .agg(F.sum("n_messages").alias("n_messages")))
@@ -144,6 +140,7 @@ def _lines(spark, sf_dir):
 CALENDAR_QUERIES: dict[str, Query] = {
     "cal_shift_days": lambda spark, d: cal.shift_days(_orders(spark, d)),
     "cal_shift_months": lambda spark, d: cal.shift_months(_orders(spark, d)),
+    "cal_shift_instants": lambda spark, d: cal.shift_instants(read_table(spark, d, "events")),
     "cal_shift_units": lambda spark, d: cal.shift_units(read_table(spark, d, "events")),
     "cal_lookback_totals": lambda spark, d: cal.lookback_totals(_orders(spark, d)),
     "cal_day_gap": lambda spark, d: cal.day_gap_counts(_lines(spark, d)),

@@ -104,8 +104,44 @@ def add_field(ts, n: int, field: int) -> Column:    # DT-10
     return F.timestamp_add(unit, F.lit(n * mult), _c(ts))
 
 
-def day_start(d) -> Column:                         # DT-29
-    return as_date(d).cast("timestamp_ntz")
+def instant(d) -> Column:                           # DT-29
+    """The same instant as a timestamp (a date is its midnight)."""
+    return _c(d).cast("timestamp_ntz")
+
+
+# -- shifts and bounds of instants: the time of day is kept ------------------
+
+def day_before_ts(ts) -> Column:                    # DT-1
+    return F.timestamp_add("DAY", F.lit(-1), instant(ts))
+
+
+def day_after_ts(ts) -> Column:                     # DT-2
+    return F.timestamp_add("DAY", F.lit(1), instant(ts))
+
+
+def same_day_last_month_ts(ts) -> Column:           # DT-4, DT-5 (31 March -> 28 or 29 February)
+    return F.timestamp_add("MONTH", F.lit(-1), instant(ts))
+
+
+def _on_day(ts, day: Column) -> Column:
+    """``ts`` moved to another day."""
+    return F.timestamp_add("DAY", F.date_diff(day, as_date(ts)), instant(ts))
+
+
+def month_start_ts(ts) -> Column:                   # DT-14
+    return _on_day(ts, month_start(ts))
+
+
+def year_start_ts(ts) -> Column:                    # DT-15
+    return _on_day(ts, year_start(ts))
+
+
+def month_end_ts(ts) -> Column:                     # DT-16, DT-17
+    return _on_day(ts, month_end(ts))
+
+
+def year_end_ts(ts) -> Column:                      # DT-19
+    return _on_day(ts, year_end(ts))
 
 
 # -- differences and ranges --------------------------------------------------
@@ -122,9 +158,12 @@ def whole_days_between(start, end) -> Column:       # DT-11
 
 
 def every_day(start, end) -> Column:                # DT-12
-    """ARRAY of every day from start to end, both included; empty when
-    end < start (explode it to get one row per day)."""
-    a, b = as_date(start), as_date(end)
+    """ARRAY of every day from start on, as many as whole days reach the end
+    (of dates: both included); empty when end < start (explode it to get one
+    row per day)."""
+    a, days = as_date(start), whole_days_between(start, end)
+    b = F.date_add(a, days)
+    a = F.when(days >= 0, a)
     return F.when(a <= b, F.sequence(a, b, F.expr("INTERVAL 1 DAY"))).otherwise(
         F.array().cast("array<date>"))
 

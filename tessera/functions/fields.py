@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INT_TEXT = r"^[+-]?[0-9]+$"
+_INT_TEXT = r"\A[+-]?[0-9]+\z"
+_DECIMAL_TEXT = r"\A\s*[+-]?([0-9]+\.[0-9]*|\.[0-9]+)\s*\z"
 
 
 def _col(c) -> Column:
@@ -60,6 +61,8 @@ def equals_flag(c, value: str) -> Column:
 
 
 def status_is_not(c, value: int) -> Column:
-    """Numeric inequality on a status held as text; malformed or NULL -> NULL
-    (the row drops in a filter)."""
-    return _col(c).try_cast("int") != value
+    """Numeric inequality on a status held as text, decimals cut off ('1.0' is 1); malformed or
+    NULL -> NULL (the row drops in a filter)."""
+    c = _col(c)
+    whole = F.when(c.cast("string").rlike(_DECIMAL_TEXT), c.try_cast("double").try_cast("int"))
+    return F.coalesce(c.try_cast("int"), whole) != value

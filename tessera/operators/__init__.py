@@ -1,12 +1,12 @@
 """Operators Spark has no single call for: size-checked broadcast, trimmed-key
 joins, lineage cuts on shared storage, scoped caching."""
 
-from .joins import (DATE_DOMAIN_ROWS, DEFAULT_BROADCAST_ROWS, bounded_broadcast,
-                    bounded_broadcasts, broadcast_date_keyed, trimmed_keys)
+from .joins import (DEFAULT_BROADCAST_BYTES, bounded_broadcast, bounded_broadcasts, held_bytes,
+                    trimmed_keys)
 from .materialize import checkpointed, persisted, written
 
 __all__ = [
-    "DATE_DOMAIN_ROWS", "DEFAULT_BROADCAST_ROWS", "bounded_broadcast", "bounded_broadcasts",
-    "broadcast_date_keyed", "trimmed_keys",
+    "DEFAULT_BROADCAST_BYTES", "bounded_broadcast", "bounded_broadcasts", "held_bytes",
+    "trimmed_keys",
     "checkpointed", "persisted", "written",
 ]

@@ -1,8 +1,8 @@
 """Join helpers.
 
 Broadcasting is only done behind a size check: the side is materialised once
-on shared storage, its rows are counted (the count stops at the limit), and
-it is broadcast only under the limit.  Past the limit the join is left to the
+on shared storage, its bytes are added up (one number per partition), and it
+is broadcast only under the limit.  Past the limit the join is left to the
 planner (sort-merge, with AQE skew splitting of hot keys).
 """
 
@@ -15,41 +15,36 @@ from pyspark.sql import functions as F
 
 from .materialize import checkpointed
 
-# Rows a dimension may hold and still be broadcast.  At ~200 bytes a row this
-# keeps a broadcast table under ~100 MB per executor.
-DEFAULT_BROADCAST_ROWS = 500_000
+# Bytes a dimension may hold and still be broadcast.
+DEFAULT_BROADCAST_BYTES = 64 << 20
+# Counted for every value besides a text's own bytes.
+VALUE_BYTES = 16
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def held_bytes(df: DataFrame) -> int:
+    """Bytes of the rows: each value's text form and VALUE_BYTES, summed where the rows are."""
+    row = F.lit(0)
+    for name in df.columns:
+        row = row + VALUE_BYTES + F.coalesce(F.octet_length(df[name].cast("string")), F.lit(0))
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``df`` materialised, hinted for broadcast only if it holds at most
-    ``max_rows`` rows; otherwise returned un-hinted."""
+    ``max_bytes``; otherwise returned un-hinted."""
     # A frame whose rows sit in the plan itself (built from driver-side rows)
     # is already materialised; anything else is written out once.
     fixed = df if df.isLocal() else checkpointed(df)
-    rows = fixed.limit(max_rows + 1).count()
-    return F.broadcast(fixed) if rows <= max_rows else fixed
-
-
-# Fixed value: the number of distinct DATE values, 0001-01-01 .. 9999-12-31.
-DATE_DOMAIN_ROWS = 3_652_059
-
-
-def broadcast_date_keyed(df: DataFrame) -> DataFrame:
-    """Broadcast a table that holds at most one row per DATE (the result of a
-    group-by on a date key).  Its size is bounded by the DATE domain --
-    3,652,059 rows, a few tens of MB for a handful of numeric columns --
-    whatever the volume of the data it was aggregated from, so no counting
-    job is needed."""
-    return F.broadcast(df)
+    return F.broadcast(fixed) if held_bytes(fixed) <= max_bytes else fixed
 
 
-def bounded_broadcasts(*dfs: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
+def bounded_broadcasts(*dfs: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[DataFrame]:
     """``bounded_broadcast`` of several independent sides, checked as
     concurrent jobs (the checks are small; their latency adds up)."""
     if len(dfs) < 2:
-        return [bounded_broadcast(df, max_rows) for df in dfs]
+        return [bounded_broadcast(df, max_bytes) for df in dfs]
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        return list(pool.map(lambda df: bounded_broadcast(df, max_rows), dfs))
+        return list(pool.map(lambda df: bounded_broadcast(df, max_bytes), dfs))
 
 
 def trimmed_keys(left: DataFrame, right: DataFrame, pairs) -> Column:

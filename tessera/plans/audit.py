@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..operators import checkpointed, persisted
 from . import mart
 
 # Fixed value: the head-office branch the reference looks up.
@@ -25,16 +26,16 @@ def rule_audit_counts(fee_txn: DataFrame, cards: DataFrame) -> DataFrame:
     many of them pass the rules and belong to a known card.
 
     Whole-row distinct keeps map-side partial aggregation, so runs of
-    identical rows collapse before the shuffle.  The card side is reduced to
-    distinct numbers first, so the left join cannot fan out; the rule sits in
-    the join condition, so only rows that pass it can find a partner.
+    identical rows collapse before the shuffle.  Only rows that pass the rules
+    meet the cards; each count is one number per partition.
     """
-    distinct_txn = fee_txn.distinct()
-    known = mart.known_cards(cards).distinct()
-    flagged = distinct_txn.join(
-        known, rules.passes_rules() & (F.col("PAN") == known["CRD_NO"]), "left")
-    return flagged.agg(F.count(F.lit(1)).alias("n_rows"),
-                       F.count("CRD_NO").alias("n_matched"))
+    known = mart.known_cards(cards)
+    passing = (fee_txn.where(rules.passes_rules()).distinct()
+               .join(known, F.col("PAN") == known["CRD_NO"], "left_semi"))
+    one = F.count(F.lit(1))
+    counts = (fee_txn.distinct().agg(one.alias("n_rows"), F.lit(0).cast("bigint").alias("n_matched"))
+              .unionByName(passing.agg(F.lit(0).cast("bigint").alias("n_rows"), one.alias("n_matched"))))
+    return counts.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_matched").alias("n_matched"))
 
 
 def branch_lookup(branches: DataFrame, org_id: str = DEFAULT_LOOKUP_BRANCH) -> DataFrame:
@@ -54,3 +55,18 @@ def upper_org_by_partition(branches: DataFrame, keep: bool = True) -> DataFrame:
         F.concat(F.spark_partition_id().cast("string"), F.lit("_"),
                  F.coalesce(F.col("org_upperid"), F.lit("null"))).alias("TAG"))
     return tagged.persist(StorageLevel.MEMORY_AND_DISK) if keep else tagged
+
+
+def upper_org_tag_facts(branches: DataFrame) -> DataFrame:
+    """MAT-1, MAT-2, PRT-1, STR-5.  Per parent id: its tagged rows, and whether each tag reads
+    ``<number below the partition count>_<parent id>``; what no layout changes.
+
+    The tags are cached for the two passes over them and released before the facts are returned."""
+    with persisted(upper_org_by_partition(branches, keep=False)) as tags:
+        parts = tags.rdd.getNumPartitions()
+        number = F.regexp_extract("TAG", r"\A([0-9]+)_", 1)
+        good = (number != "") & (number.try_cast("int") < F.lit(max(1, parts)))
+        return checkpointed(tags.select(F.regexp_replace("TAG", r"\A[0-9]+_", "").alias("org_upperid"),
+                                        F.coalesce(good, F.lit(False)).alias("well_formed"))
+                            .groupBy("org_upperid").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                        F.bool_and("well_formed").alias("well_formed")))

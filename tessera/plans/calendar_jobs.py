@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import broadcast_date_keyed, checkpointed
+from ..operators import checkpointed
 
 # Fixed values of the jobs: shift sizes and the malformed label used to
 # exercise parse quarantine.
@@ -21,9 +21,8 @@ BAD_DAY_TEXT = "20190231"
 
 
 def order_line_dates(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """(order date, ship date) per line item.  Both sides are fact-sized at
-    scale, so the join is a sort-merge join on the order key."""
-    o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate").hint("merge")
+    """(order date, ship date) per line item."""
+    o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     return lineitem.select("l_orderkey", "l_shipdate").join(o, "l_orderkey")
 
 
@@ -54,10 +53,23 @@ def shift_months(orders: DataFrame) -> DataFrame:                    # DT-5..7,
     )
 
 
+def shift_instants(events: DataFrame) -> DataFrame:       # DT-1, 2, 4, 5, 14..17, 19, time kept
+    return events.select(
+        "event_id",
+        dates.day_before_ts("ts").alias("day_before"),
+        dates.day_after_ts("ts").alias("day_after"),
+        dates.same_day_last_month_ts("ts").alias("last_month"),
+        dates.month_start_ts("ts").alias("month_start"),
+        dates.month_end_ts("ts").alias("month_end"),
+        dates.year_start_ts("ts").alias("year_start"),
+        dates.year_end_ts("ts").alias("year_end"),
+    )
+
+
 def shift_units(events: DataFrame) -> DataFrame:                     # DT-10, DT-29
     return events.select(
         "event_id",
-        dates.day_start("ts").alias("day_start"),
+        dates.instant("ts").alias("same_instant"),
         dates.add_field("ts", 1, 9).alias("plus_half_day"),
         dates.add_field("ts", -2, 3).alias("minus_2_weeks"),
         dates.add_field("ts", -5, 12).alias("minus_5_minutes"),
@@ -76,15 +88,14 @@ def lookback_totals(orders: DataFrame) -> DataFrame:                 # DT-1, 4,
     """Daily order totals next to the totals one day, one month and one year
     earlier.  The daily table (one aggregation, map-side combined, so a hot
     day is no hot task) is computed once into the shared checkpoint folder;
-    it has one row per date, so its broadcast to the three look-up joins is
-    bounded by the DATE domain."""
+    it has one row per date; whether the three look-up joins broadcast it is
+    left to Spark, which knows the written table's size."""
     daily = checkpointed(
         orders.groupBy(dates.as_date("o_orderdate").alias("order_day"))
         .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total")))
 
     def back(name):
-        return broadcast_date_keyed(daily.select(F.col("order_day").alias(f"{name}_day"),
-                                                 F.col("total").alias(name)))
+        return daily.select(F.col("order_day").alias(f"{name}_day"), F.col("total").alias(name))
 
     out = (daily
            .withColumn("prev_day_day", dates.day_before("order_day"))
@@ -137,7 +148,7 @@ def open_days(intervals: DataFrame, start: str, end: str) -> DataFrame:   # DT-1
     calendar = (deltas.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
                 .where(F.col("lo").isNotNull())
                 .select(F.explode(dates.every_day("lo", "hi")).alias("day")))
-    per_day = (calendar.join(broadcast_date_keyed(deltas), "day", "left")
+    per_day = (calendar.join(deltas, "day", "left")
                .select("day", F.year("day").alias("yr"),
                        F.coalesce("delta", F.lit(0)).cast("bigint").alias("delta")))
 

@@ -126,12 +126,13 @@ def ruled_txn(fee_txn: DataFrame) -> DataFrame:
 
 
 def fee_txn_kept(fee_txn: DataFrame, cards: DataFrame) -> DataFrame:
-    """E: rule-passing transactions of a known card (FLT-2, PRD-1, STR-1,
-    JOIN-2); ``cards`` is the raw card table."""
+    """E: rule-passing transactions of a known card, with every column the
+    transaction table has (FLT-2, PRD-1, STR-1, JOIN-2); ``cards`` is the raw
+    card table.  Consumers' scans are pruned to the columns they use."""
     known = known_cards(cards)
     return (ruled_txn(fee_txn)
             .join(known, F.col("PAN") == known["CRD_NO"], "left_semi")
-            .select(*FEE_TXN_COLS))
+            .select(*fee_txn.columns))
 
 
 def fee_sign_digits(kept: DataFrame) -> DataFrame:
@@ -247,6 +248,7 @@ def mart_task_job(inputs_of, database: str, load_date: str = DEFAULT_LOAD_DATE):
 
 @dataclass(frozen=True)
 class MartStages:
+    # The stages' view names.
     v_org_branch_tmp: DataFrame
     rps_card_info_tmp: DataFrame
     rps_card_knd_tmp: DataFrame

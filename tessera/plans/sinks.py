@@ -8,15 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import dates
 from ..operators import checkpointed
-from ..session import shared_dir
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """Create the database when missing; a new one is placed in the shared
-    folder unless ``location`` says otherwise."""
+    """Create the database when missing, in the warehouse's own place unless ``location`` says
+    otherwise."""
     if not spark.catalog.databaseExists(name):
-        where = location or f"{shared_dir(spark)}/warehouse/{name}.db"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{where}'")
+        place = f" LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
 
 
 @contextmanager

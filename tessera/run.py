@@ -19,7 +19,9 @@ applied only where the cluster configuration does not set them.
 from __future__ import annotations
 
 import argparse
+import warnings
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from . import catalog
@@ -34,13 +36,15 @@ MART_TASK = "RUN_LDM_CARD_POS_TRAN"
 
 def session(app_name: str) -> SparkSession:
     spark = SparkSession.builder.appName(app_name).getOrCreate()
-    conf = spark.sparkContext.getConf()
+    conf, refused = spark.sparkContext.getConf(), []
     for key, value in CLUSTER_CONF.items():
         if not conf.contains(key):
             try:
                 spark.conf.set(key, value)
-            except Exception:   # static settings must come from spark-submit
-                pass
+            except AnalysisException:   # a static setting
+                refused.append(f"{key}={value}")
+    if refused:
+        warnings.warn("not applied, give them to spark-submit with --conf: " + ", ".join(refused))
     shared_dir(spark)
     return spark
 
@@ -57,7 +61,9 @@ def run_query(args) -> None:
 
 def run_dispatch(args):
     spark = session("tessera-dispatch")
-    opts = {"dbtable": args.jdbc_table} if args.jdbc_table else None
+    opts = dict(x.split("=", 1) for x in args.jdbc_option)
+    if args.jdbc_table:
+        opts["dbtable"] = args.jdbc_table
 
     def tasks(s):      # read again at every batch, like the reference's lookup
         return read_tasks(s, jdbc_url=args.jdbc_url, jdbc_options=opts)
@@ -93,7 +99,11 @@ def main(argv=None):
     src.add_argument("--kafka-bootstrap")
     src.add_argument("--inbox", help="folder of text files, one message per line")
     d.add_argument("--topic")
-    d.add_argument("--jdbc-url")
+    control = d.add_mutually_exclusive_group(required=True)
+    control.add_argument("--jdbc-url", help="database that holds the control table")
+    control.add_argument("--builtin-tasks", action="store_true", help="the built-in control rows")
+    d.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE",
+                   help="user, password, driver ... of the control table; may be repeated")
     d.add_argument("--jdbc-table")
     d.add_argument("--load-date", default=mart.DEFAULT_LOAD_DATE,
                    help="HIS_DW_DATE written into the mart rows")

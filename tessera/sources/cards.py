@@ -8,15 +8,14 @@ is a lazy DataFrame; only the columns the mart uses are produced.
 
 from __future__ import annotations
 
-import os
 import threading
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .tables import read_table
+from ..operators.materialize import written
+from .tables import read_table, table_path
 
 
 @dataclass(frozen=True)
@@ -107,10 +106,8 @@ def derive_fee_txn(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
               .otherwise("91"))
     fee_letter = (F.when(F.col("l_returnflag") == "R", "C")
                   .when(F.col("l_returnflag") == "A", "D").otherwise("0"))
-    # Both sides are fact-sized at scale: a sort-merge join on the order key,
-    # so the derived columns are computed after the shuffle, in parallel.
     orders_slim = orders.select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey").hint("merge")
+        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey")
     return (
         lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                         "l_extendedprice", "l_quantity", "l_returnflag",
@@ -169,40 +166,70 @@ def derive_online_history(fee_txn: DataFrame) -> DataFrame:
     )
 
 
-def card_inputs(spark: SparkSession, sf_dir: str) -> CardInputs:
+#: The given tables each warehouse table is derived from.
+SOURCES = {
+    "branches": ("supplier", "nation", "region"),
+    "cards": ("customer",),
+    "fee_txn": ("lineitem", "orders"),
+    "deposit_accounts": ("customer", "orders"),
+    "online_history": ("lineitem", "orders"),
+}
+
+
+def _derive(spark: SparkSession, sf_dir: str, field: str, fee_txn=None) -> DataFrame:
     t = lambda name: read_table(spark, sf_dir, name)
-    customer, orders = t("customer"), t("orders")
-    fee_txn = derive_fee_txn(t("lineitem"), orders)
-    return CardInputs(
-        branches=derive_branches(t("supplier"), t("nation"), t("region")),
-        cards=derive_cards(customer),
-        fee_txn=fee_txn,
-        deposit_accounts=derive_deposit_accounts(customer, orders),
-        online_history=derive_online_history(fee_txn),
-    )
+    if field == "branches":
+        return derive_branches(t("supplier"), t("nation"), t("region"))
+    if field == "cards":
+        return derive_cards(t("customer"))
+    if field == "deposit_accounts":
+        return derive_deposit_accounts(t("customer"), t("orders"))
+    if field == "fee_txn":
+        return derive_fee_txn(t("lineitem"), t("orders"))
+    return derive_online_history(fee_txn if fee_txn is not None else _derive(spark, sf_dir, "fee_txn"))
+
+
+def card_inputs(spark: SparkSession, sf_dir: str) -> CardInputs:
+    """The five inputs derived as they are read, nothing written."""
+    fee_txn = _derive(spark, sf_dir, "fee_txn")
+    return CardInputs(**{field: fee_txn if field == "fee_txn" else _derive(spark, sf_dir, field, fee_txn)
+                         for field in SOURCES})
+
+
+def files_identity(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> str:
+    """Changes when a file of the tables is added, removed or rewritten: paths, sizes and times of the
+    files, summed where they are listed (their contents are not read)."""
+    files = spark.read.format("binaryFile").load([table_path(sf_dir, t) for t in tables])
+    row = files.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return f"{row[0]}:{row[1]}"
+
+
+_WRITTEN: dict[tuple, DataFrame] = {}
+_LOCK = threading.RLock()
+
+
+class CardWarehouse:
+    """The card inputs as written warehouse tables (parquet under the shared folder).
+
+    A table is derived and written when it is first asked for, so a query pays for the tables that
+    it reads; the history is derived from the written transactions, so the fact join runs once.  A
+    written table is used again only while the files it came from are the same."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+
+    def __getattr__(self, field: str) -> DataFrame:
+        if field not in SOURCES:
+            raise AttributeError(field)
+        spark = self._spark
+        with _LOCK:
+            key = (spark.sparkContext.applicationId, self._dir, field,
+                   files_identity(spark, self._dir, SOURCES[field]))
+            if key not in _WRITTEN:
+                fee_txn = self.fee_txn if field == "online_history" else None
+                _WRITTEN[key] = written(_derive(spark, self._dir, field, fee_txn), f"card_warehouse/{field}")
+            return _WRITTEN[key]
 
 
-_WAREHOUSES: dict[tuple[str, str], CardInputs] = {}
-_LOCK = threading.Lock()
-
-
-def card_warehouse(spark: SparkSession, sf_dir: str) -> CardInputs:
-    """The five card inputs as written warehouse tables (parquet under the
-    shared folder), derived from ``sf_dir`` once per application.
-
-    The mart runs against warehouse tables, as in production; deriving them
-    is fixture work and is paid once.  The written tables are split across
-    many files, so their scans are parallel, and they survive executor loss.
-    """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    with _LOCK:
-        if key not in _WAREHOUSES:
-            derived = card_inputs(spark, sf_dir)
-            base = scratch_path(spark, "card_warehouse")
-            tables = {}
-            for f in fields(CardInputs):
-                path = f"{base}/{f.name}"
-                getattr(derived, f.name).write.mode("error").parquet(path)
-                tables[f.name] = spark.read.parquet(path)
-            _WAREHOUSES[key] = CardInputs(**tables)
-        return _WAREHOUSES[key]
+def card_warehouse(spark: SparkSession, sf_dir: str) -> CardWarehouse:
+    return CardWarehouse(spark, sf_dir)

@@ -14,7 +14,6 @@ tables, so a replay leaves the same state.  The stream's offsets live in its
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -29,14 +28,27 @@ Job = Callable[[SparkSession, str], None]
 # Audit rows, one folder per batch (``batch_id=<n>``).
 AUDIT_SCHEMA = ("message STRING, task_name STRING, table_name STRING, "
                 "n_messages BIGINT, matched BOOLEAN")
+# Job runs, one folder per batch; status: done, or job_missing for a matched task without a job.
+RUNS_SCHEMA = "task_name STRING, table_name STRING, status STRING"
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """The audit table under ``path`` (empty when no batch has run yet)."""
     schema = AUDIT_SCHEMA + ", batch_id BIGINT"
+    return _read_batches(spark, path, schema)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The job runs of the dispatcher with the audit table ``path`` (empty when no batch has run)."""
+    return _read_batches(spark, f"{path}_runs", RUNS_SCHEMA + ", batch_id BIGINT")
+
+
+def _read_batches(spark, path, schema):
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(path)
-    except AnalysisException:       # the folder does not exist yet
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":     # only a folder that isn't there yet is empty
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -86,9 +98,8 @@ class TriggerDispatcher:
         self._fixed = None if callable(tasks) else self._checked(tasks)
         self.registry = dict(registry)
         self.audit_path = audit_path.rstrip("/")
-        # (batch id, task, table) of the most recent job runs; bounded, the
-        # full history is the audit table.
-        self.runs: deque[tuple[int, str, str]] = deque(maxlen=1024)
+        # (batch id, task, table) of the last batch's job runs; ``read_runs`` has them all.
+        self.runs: list[tuple[int, str, str]] = []
 
     @staticmethod
     def _checked(tasks: DataFrame) -> DataFrame:
@@ -112,12 +123,15 @@ class TriggerDispatcher:
         # Distinct matched tasks: bounded by the control table, not the stream.
         matched = (spark.read.schema(AUDIT_SCHEMA).parquet(path).where("matched")
                    .select("task_name", "table_name").distinct().collect())
+        self.runs, states = [], []
         for row in matched:
             job = self.registry.get(row.task_name)
-            if job is None:
-                continue
-            job(spark, row.table_name)
-            self.runs.append((batch_id, row.task_name, row.table_name))
+            if job is not None:
+                job(spark, row.table_name)
+                self.runs.append((batch_id, row.task_name, row.table_name))
+            states.append((row.task_name, row.table_name, "done" if job else "job_missing"))
+        (spark.createDataFrame(states, RUNS_SCHEMA).write.mode("overwrite")
+         .parquet(f"{self.audit_path}_runs/batch_id={batch_id}"))
 
 
 def run_trigger_stream(messages: DataFrame, dispatcher: TriggerDispatcher,

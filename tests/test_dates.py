@@ -129,3 +129,19 @@ def test_day_gap_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [1, 2]
+
+
+def test_instants_keep_their_time(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-31 23:15:30.25' AS t, TIMESTAMP_NTZ'2024-04-01 01:00:00' AS u")
+    day = lambda c: str(df.select(c).first()[0])
+    assert day(dates.instant("t")) == "2024-03-31 23:15:30.250000"
+    assert day(dates.day_before_ts("t")) == "2024-03-30 23:15:30.250000"
+    assert day(dates.day_after_ts("t")) == "2024-04-01 23:15:30.250000"
+    assert day(dates.same_day_last_month_ts("t")) == "2024-02-29 23:15:30.250000"
+    assert day(dates.month_start_ts("t")) == "2024-03-01 23:15:30.250000"
+    assert day(dates.month_end_ts("u")) == "2024-04-30 01:00:00"
+    assert day(dates.year_start_ts("t")) == "2024-01-01 23:15:30.250000"
+    assert day(dates.year_end_ts("t")) == "2024-12-31 23:15:30.250000"
+    # whole days, not midnights: 23:15 to 01:00 is one day
+    assert df.select(F.size(dates.every_day("t", "u"))).first()[0] == 1
+    assert df.select(F.size(dates.every_day("u", "t"))).first()[0] == 1

@@ -1,5 +1,7 @@
 """Cluster entry points: the mart over catalog tables, the dispatch command."""
 
+import pytest
+
 from tessera import run
 from tessera.plans import mart, sinks
 from tessera.session import scratch_path
@@ -31,7 +33,7 @@ def test_dispatch_command_once(spark, small_dir):
     before = dict(spark.conf.getAll)
     try:
         dispatcher = run.main(["dispatch", "--warehouse", DB, "--checkpoint", f"{base}/ckpt",
-                               "--inbox", f"{base}/inbox", "--once", "--load-date", "2024-01-31"])
+                               "--inbox", f"{base}/inbox", "--once", "--builtin-tasks", "--load-date", "2024-01-31"])
     finally:
         for k, v in dict(spark.conf.getAll).items():
             if k not in before:
@@ -59,3 +61,21 @@ def test_query_command_writes_parquet(spark, small_dir):
     written = spark.read.parquet(out)
     orders = read_table(spark, small_dir, "orders").count()
     assert written.agg({"n_orders": "sum"}).first()[0] == orders
+
+
+def test_dispatch_needs_a_control_source():
+    with pytest.raises(SystemExit):
+        run.main(["dispatch", "--warehouse", DB, "--checkpoint", "x", "--inbox", "y", "--once"])
+
+
+def test_refused_settings_are_named(spark):
+    before = dict(spark.conf.getAll)
+    try:
+        with pytest.warns(UserWarning, match="spark.shuffle.push.enabled"):
+            run.session("tessera-tests")
+    finally:
+        for k, v in dict(spark.conf.getAll).items():
+            if k not in before:
+                spark.conf.unset(k)
+            elif before[k] != v:
+                spark.conf.set(k, before[k])

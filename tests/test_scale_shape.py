@@ -18,12 +18,12 @@ NO_BROADCAST = {
 
 @contextmanager
 def at_scale_plan(spark):
-    """Dimensions over their bound (max_rows=0) and broadcast thresholds off."""
+    """Dimensions over their bound (max_bytes=0) and broadcast thresholds off."""
     with pytest.MonkeyPatch.context() as mp:
         mp.setattr(mart, "bounded_broadcast",
-                   lambda df, max_rows=0: joins.bounded_broadcast(df, max_rows=0))
+                   lambda df, max_bytes=0: joins.bounded_broadcast(df, max_bytes=0))
         mp.setattr(mart, "bounded_broadcasts",
-                   lambda *dfs, max_rows=0: joins.bounded_broadcasts(*dfs, max_rows=0))
+                   lambda *dfs, max_bytes=0: joins.bounded_broadcasts(*dfs, max_bytes=0))
         old = {k: spark.conf.get(k, None) for k in NO_BROADCAST}
         for k, v in NO_BROADCAST.items():
             spark.conf.set(k, v)
@@ -61,3 +61,6 @@ def test_audit_and_calendar_without_broadcast(spark, small_dir):
                                      read_table(spark, small_dir, "lineitem"))
         plan = cal.day_gap_counts(lines)._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        for job in (cal.lookback_totals(read_table(spark, small_dir, "orders")), cal.expand_days(lines)):
+            hinted = job._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin")
+            assert hinted <= 1                   # the per-year carry, at most 9999 rows

@@ -51,10 +51,10 @@ def test_dispatch_runs_the_mart_into_its_table(spark, small_dir):
     from tessera.plans import mart
     from tessera.sources import card_warehouse
 
-    counts = catalog.q_trigger_dispatch(spark, small_dir).collect()
+    counts = catalog.q_trigger_dispatch(spark, small_dir, "tessera_test_dispatch").collect()
     assert [(r.task_name, r.table_name) for r in counts] == [
         ("RUN_LDM_CARD_POS_TRAN", "ldm_card_pos_tran")]
-    table = spark.table(f"{catalog.DISPATCH_DATABASE}.ldm_card_pos_tran")
+    table = spark.table("tessera_test_dispatch.ldm_card_pos_tran")
     assert table.drop("load_ts").columns == mart.MART_COLS
     assert table.count() == mart.build_mart(card_warehouse(spark, small_dir)).count()
 
@@ -139,3 +139,25 @@ def test_replayed_batch_is_idempotent(spark, small_dir):
     again = sorted(map(tuple, read_audit(spark, f"{base}/audit").collect()))
     assert first == again and {r[-1] for r in again} == {7}
     assert table_rows == ["ldm_card_pos_tran"]
+
+
+def test_matched_task_without_a_job_leaves_a_trace(spark):
+    from tessera.streaming import read_runs
+
+    base = scratch_path(spark, "test-trigger-missing")
+    dispatcher = TriggerDispatcher(read_tasks(spark), {}, f"{base}/audit")
+    dispatcher(spark.createDataFrame([("RUN_LDM_CARD_DAILY",)], "value string"), 0)
+    assert [(r.task_name, r.status) for r in read_runs(spark, f"{base}/audit").collect()] == [
+        ("RUN_LDM_CARD_DAILY", "job_missing")]
+
+
+def test_unreadable_audit_is_an_error(spark):
+    import pytest
+
+    from tessera.streaming import read_audit
+
+    base = scratch_path(spark, "test-trigger-unreadable")
+    spark.createDataFrame([("x",)], "value string").write.text(f"{base}/batch_id=0")
+    with pytest.raises(Exception):
+        read_audit(spark, base).collect()
+    assert read_audit(spark, f"{base}/none").count() == 0
