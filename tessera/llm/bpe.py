@@ -6,8 +6,8 @@ tokens; an inverted index maps the rank of every adjacent token pair to the
 positions where the pair occurs.  Ranks are taken from the index in ascending
 order; a merge is applied at all its positions, and only the pairs with the
 merged token's two neighbours are looked up and indexed anew.  A pre-token met
-again is never merged again: documents are put together from the replayed
-pieces.  Slices are the parts of a document partition, so the work is spread
+again is not merged again, also not by later tasks of a worker while it is
+remembered: documents are put together from the replayed pieces.  Slices are the parts of a document partition, so the work is spread
 by the scan, nothing is shuffled, and a lost executor costs only its slices.
 
 Defined results: null text encodes like the empty text (no ids); null ids
@@ -32,7 +32,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 #: Characters of text whose pre-tokens are held at once.
 SLICE_CHARS = 2_000_000
 #: Pre-tokens replayed together, and pieces remembered between slices of a task.
-REPLAY_WORDS, KEEP_PIECES = 50_000, 400_000
+REPLAY_WORDS, KEEP_PIECES = 50_000, 600_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -56,7 +56,7 @@ class MergeReplay:
         rank = self.pairs.get(key)
         if rank is None:
             rank = self.ranks.get(self.token[left] + self.token[right], -1)
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > 500_000:
                 self.pairs.clear()
             self.pairs[key] = rank
         return rank
@@ -91,7 +91,7 @@ class MergeReplay:
         prv = np.arange(-1, len(data) - 1)
         prv[starts] = -1
         prv = prv.tolist()
-        first, rank_of = starts.tolist(), self.pair_rank
+        first, rank_of, known = starts.tolist(), self.pair_rank, self.pairs.get
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -115,37 +115,40 @@ class MergeReplay:
                 j = nxt[i]
                 k = nxt[j]
                 token[i] = rank
+                token[j] = pair[j] = -1
                 nxt[i] = k
-                pair[j] = -1
-                token[j] = -1
-                low = rank + 1
+                late = False
                 if k >= 0:
                     prv[k] = i
-                    new = rank_of(rank, token[k])
+                    new = known(rank << 20 | token[k])
+                    if new is None:
+                        new = rank_of(rank, token[k])
                     pair[i] = new
                     if new >= 0:
+                        late = new <= rank
                         spots = index.get(new)
                         if spots is None:
                             index[new] = [i]
                             heapq.heappush(heap, new)
                         else:
                             spots.append(i)
-                        low = min(low, new)
                 else:
                     pair[i] = -1
                 h = prv[i]
                 if h >= 0:
-                    new = rank_of(token[h], rank)
+                    new = known(token[h] << 20 | rank)
+                    if new is None:
+                        new = rank_of(token[h], rank)
                     pair[h] = new
                     if new >= 0:
+                        late = late or new <= rank
                         spots = index.get(new)
                         if spots is None:
                             index[new] = [h]
                             heapq.heappush(heap, new)
                         else:
                             spots.append(h)
-                        low = min(low, new)
-                if low <= rank:
+                if late:
                     word = bisect_right(first, i)
                     held = first[word] if word < len(first) else len(data)
         left = np.array(token, np.int32)
@@ -169,15 +172,38 @@ def _learn(words: set[str], replay: MergeReplay, pieces: dict[str, bytes]) -> No
         pieces.update(zip(part, replay.replay([w.encode() for w in part])))
 
 
-def _encode_texts(texts: Iterable[str], pattern, replay: MergeReplay,
-                  pieces: dict[str, bytes]) -> Iterator[bytes]:
+class Pieces:
+    """What a worker has replayed so far, for the tables it reads ranks from.
+
+    The recent pieces and those before them; when the recent ones are many, the older ones go."""
+
+    def __init__(self, path: str):
+        self.path, self.replay = path, MergeReplay(read_ranks(path))
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    @classmethod
+    def of_worker(cls, path: str) -> "Pieces":
+        """The one that earlier tasks of this worker process have left, or a new one."""
+        kept = cls.__dict__.get("kept")
+        if kept is None or kept.path != path:
+            kept = cls.kept = cls(path)
+        return kept
+
+    def for_words(self, words: set[str]) -> dict[str, bytes]:
+        """The pieces of all ``words`` (and others)."""
+        if len(self.recent) > KEEP_PIECES // 2:
+            self.recent, self.older = {}, self.recent
+        new, older = words.difference(self.recent), self.older
+        self.recent.update([(w, older[w]) for w in new if w in older])
+        _learn(new.difference(older), self.replay, self.recent)
+        return self.recent
+
+
+def _encode_texts(texts: Iterable[str], pattern, kept: Pieces) -> Iterator[bytes]:
     """Packed ids of each text, in order."""
     def packed(held: list[list[str]]) -> Iterator[bytes]:
-        new = set().union(*held).difference(pieces)
-        if len(pieces) + len(new) > KEEP_PIECES:
-            pieces.clear()
-            new = set().union(*held)
-        _learn(new, replay, pieces)
+        pieces = kept.for_words(set().union(*held))
         for words in held:
             yield b"".join(map(pieces.__getitem__, words))
 
@@ -204,14 +230,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
            text_col: str = "text") -> DataFrame:
     """(id_col, ids array<int>): the ids of each whole text, one row per input row."""
     def run(batches):
-        replay, split = MergeReplay(read_ranks(ranks_path)), regex.compile(pattern)
-        pieces: dict[str, bytes] = {}
+        kept, split = Pieces.of_worker(ranks_path), regex.compile(pattern)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             size = max(1, min(1024, len(texts)))
             for at in range(0, len(texts), size):
                 rows = texts.slice(at, size)
-                coded = _encode_texts((t.as_py() or "" for t in rows), split, replay, pieces)
+                coded = _encode_texts((t.as_py() or "" for t in rows), split, kept)
                 lists = [np.frombuffer(c, "<i4") for c in coded]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
                 flat = np.concatenate([np.zeros(0, np.int32), *lists])
