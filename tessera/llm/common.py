@@ -6,6 +6,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,18 @@ def slots(spark: SparkSession) -> int:
                int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def ship(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of an object whose class the workers need not be able to import."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shipped(sent: Broadcast):
+    """The object of ``ship``, unpacked once by each worker that is used again."""
+    if not hasattr(sent, "unpacked"):
+        sent.unpacked = cloudpickle.loads(sent.value)
+    return sent.unpacked
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
     """Batches sorted by (integer) keys, cut anew so that no group spans two tables."""
     held: list[pa.RecordBatch] = []
@@ -54,4 +68,4 @@ def whole_groups(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-__all__ = ["WORD", "crc_mod", "slots", "table", "whole_groups", "written"]
+__all__ = ["WORD", "crc_mod", "ship", "shipped", "slots", "table", "whole_groups", "written"]

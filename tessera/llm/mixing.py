@@ -36,7 +36,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, written
 
 #: Parameters: weights by source order (repeating), share of all words to take,
 #: largest multiple of a source.
@@ -238,7 +238,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     with the words of its drawn runs (all of them: the text as it stands), in shard order.
 
     Columns named size, shard or like other working columns are not allowed."""
-    out = mix(with_size(docs), with_size(docs.select("doc_id", "source", "text")).drop("text"))
+    sizes = written(with_size(docs.select("doc_id", "source", "text")).drop("text"), "mixing/sizes")
+    out = mix(with_size(docs), sizes)
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     part_size = F.col("taken") - F.col("whole") * F.col("size")
     part = F.when(part_size == F.col("size"), F.col("text")).otherwise(

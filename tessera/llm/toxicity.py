@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField,
                                StructType)
 
-from .common import crc_mod, written
+from .common import crc_mod, ship, shipped, written
 
 #: Parameters of the fit: most labelled rows, most feature words, least sureness of a word (in
 #: standard deviations) and least examples that hold it.
@@ -301,10 +301,10 @@ def apply(docs: DataFrame, model: Model) -> DataFrame:
         raise ValueError(f"the input has columns named {sorted(clash)} already")
     schema = StructType([*docs.schema.fields, *_ADDED])
     evidence_type = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.bool_())]))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = ship(docs.sparkSession, model)
 
     def run(batches):
-        model, known = sent.value, {}
+        model, known = shipped(sent), {}
         for batch in batches:
             scores, evidence = [], []
             for text in batch.column(batch.schema.get_field_index("text")):
