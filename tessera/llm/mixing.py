@@ -167,8 +167,9 @@ def cell_quotas(cells: DataFrame, quotas: DataFrame, depth: int) -> DataFrame:
                 .agg(F.array_sort(F.collect_list(F.struct("kid", "cap"))).alias("k"))
                 .select("source", "node", F.col("k.kid").alias("kids"), F.col("k.cap").alias("caps")))
         same = kids["source"].eqNullSafe(nodes["source"]) & (kids["node"] == nodes["node"])
-        nodes = _split(kids.join(nodes, same).select(kids["source"], kids["node"], "kids", "caps", "quota"),
-                       level)
+        # written: a level's draws are long expressions, which later stages need not be planned with
+        nodes = written(_split(kids.join(nodes, same).select(kids["source"], kids["node"], "kids", "caps", "quota"),
+                               level), "mixing/nodes")
     return nodes.withColumnRenamed("node", "shard")
 
 
@@ -189,12 +190,13 @@ def mix(sized: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     depth = depth_for(words)
     shards = FANOUT ** depth
     shard = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "size"), F.lit(shards))
-    cells = (sizes.where("size > 0").groupBy("source", shard.alias("shard"))
-             .agg(F.ceil(F.sum("size") / BLOCK_WORDS).cast("bigint").alias("n_blocks")))
+    cells = written(sizes.where("size > 0").groupBy("source", shard.alias("shard"))
+                    .agg(F.ceil(F.sum("size") / BLOCK_WORDS).cast("bigint").alias("n_blocks")), "mixing/cells")
     wanted = F.round("target").cast("bigint")
     plan = (targets.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size")))
                                .otherwise(0).cast("bigint"))
             .withColumn("rest", wanted - F.col("whole") * F.col("source_size")))
+    plan = written(plan, "mixing/plan")
     room = cells.groupBy("source").agg(F.sum("n_blocks").alias("n")).withColumnRenamed("source", "s")
     # the share of the source's blocks that holds the rest of its words
     quotas = (plan.join(room, F.col("source").eqNullSafe(F.col("s")))
@@ -205,10 +207,10 @@ def mix(sized: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     c, q = cells.alias("c"), quotas.alias("q")
     keys = F.array_sort(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1),
                                     lambda x: key(F.col("c.source"), F.col("c.shard"), x)))
-    drawn = (c.join(q, F.col("c.source").eqNullSafe(F.col("q.s")) & (F.col("c.shard") == F.col("q.h")))
+    drawn = written(c.join(q, F.col("c.source").eqNullSafe(F.col("q.s")) & (F.col("c.shard") == F.col("q.h")))
              .where("quota > 0")
              .select(F.col("c.source").alias("s"), F.col("c.shard").alias("h"),
-                     F.element_at(keys, F.col("quota").cast("int")).alias("limit_key")))
+                     F.element_at(keys, F.col("quota").cast("int")).alias("limit_key")), "mixing/drawn")
     plan = plan.select(F.col("source").alias("p"), "source_size", "target", "whole")
     stream = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(SEED + 2), "doc_id"),
                                                            "doc_id", "size")
