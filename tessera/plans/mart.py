@@ -22,7 +22,7 @@ Plan choices (the semantics are the stage list above):
   columns, so they are joined to the card side before it meets the
   transactions.  The big side then shuffles once on PAN and once on the
   trimmed history key.
-* Kind and branch dimensions are broadcast behind a row-count check
+* Kind and branch dimensions are broadcast behind a size check
   (``bounded_broadcast``).  The card side has no bound: it is left to the
   planner, and AQE broadcasts it at run time only when its shuffle output is
   under the adaptive threshold; a hot card number is split by AQE skew join.

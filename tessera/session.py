@@ -22,8 +22,8 @@ from pyspark.sql import SparkSession
 # makes many small shuffle blocks, so push-based shuffle merges them where
 # the cluster's external shuffle service supports it.  Partitions 5x over the
 # median and over 512 MB are split by skew join.  Static broadcast stays at
-# the Spark default; dimensions are broadcast only through the row-count
-# check in ``operators.bounded_broadcast`` or a proven domain bound.
+# the Spark default; dimensions are broadcast only through the size
+# check in ``operators.bounded_broadcast``.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -86,7 +86,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) "
                                "reachable from every executor")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
