@@ -54,12 +54,13 @@ BITS = (16, 16, 18, 19, 19, 20)
 #: Distinct tokens of a chunk; bytes of a text whose words are held at once.
 CHUNK_WORDS, PIECE = 400_000, 4_000_000
 #: Bytes of a token whose coding is shared with the token before; tokens coded at once.
-SHARED, SLICE = 32, 50_000
+SHARED, SLICE = 32, 25_000
 #: Weight of the shorter context's prediction; bits of a step; certainty of the first weights; buckets
 #: of the refinement; kinds of documents.
 PRIOR, STEP, FIRM, BUCKETS, KINDS = 1.0, 8_192, 1_000.0, 33, 8
 END = b"\n"
 _OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in BITS])])
+SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _OTHER = re.compile(r"[^\x00-\x7f]")
 GATES, INPUTS = 8 * 8, len(BITS) + 1
@@ -133,7 +134,9 @@ def _count_chunks(batches):
             if held is False:
                 trained[kind_of(text.as_py()), at] += times
             order = np.argsort(at)
-            values = (doc_id, bool(held), int(times.sum()), sum(n * (len(w) + (w != END)) for w, n in found.items()),
+            n = int(times.sum())
+            letters = len((text.as_py() or "").encode().translate(None, SPACES))
+            values = (doc_id, bool(held), n, letters + n,
                       np.diff(at[order], prepend=np.int32(0)).tobytes(), times[order].astype(np.uint32).tobytes())
             for column, value in zip(rows, values):
                 column.append(value)
