@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,7 +78,7 @@ def _shard_path(folder: str, shard: int) -> str:
 
 def _sequences(rows: DataFrame, parts: dict[int, tuple[int, int]], total: int, width: int, length: int,
                end: int, pad: int) -> DataFrame:
-    """(slot, shard, n_tokens, doc_ids, ids) of ``rows`` (doc_id, packed ids)."""
+    """(slot, shard, n_tokens, doc_ids, ids) of ``rows`` (doc_id, packed ids); the ids zlib-compressed."""
     sent = rows.sparkSession.sparkContext.broadcast(parts)
     stride, mark, filler = length * width, end.to_bytes(width, "little"), pad.to_bytes(width, "little")
 
@@ -118,7 +119,7 @@ def _numbered(out, ids_of, sizes, number, total):
     slots = permute(np.arange(number, number + len(out)), total) if out else np.zeros(0, np.int64)
     return pa.RecordBatch.from_arrays(
         [pa.array(slots), pa.array(slots // SHARD), pa.array(sizes, pa.int64()),
-         pa.array(ids_of, pa.list_(pa.int64())), pa.array(out, pa.binary())],
+         pa.array(ids_of, pa.list_(pa.int64())), pa.array([zlib.compress(x, 1) for x in out], pa.binary())],
         names=["slot", "shard", "n_tokens", "doc_ids", "ids"])
 
 
@@ -141,7 +142,7 @@ def _write_shards(rows: DataFrame, folder: str, stride: int) -> DataFrame:
                     open_shard = shard
                     temporary = f"{root}/.{uuid.uuid4().hex}"
                     stream = system.open_output_stream(temporary)
-                data = ids.as_py()
+                data = zlib.decompress(ids.as_py())
                 if len(data) != stride:
                     raise RuntimeError(f"sequence {slot} has {len(data)} bytes")
                 offsets.append(slot % SHARD * stride)
