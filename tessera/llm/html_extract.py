@@ -8,10 +8,10 @@ plays another part (menu, footer, advert, form, comments ...) by its element
 or its class, id or role names, or is mostly links.  Where a page marks its
 article, content stands inside it.
 
-A host's pages are dealt by a hash of the page to groups of about
-``GROUP_PAGES``, and each group induces its own wrapper from all its pages; so
-a host with a third of all pages is many groups, and one shuffle of the pages
-is all there is.  Copies of a page count once, so that they don't make its
+Pages are range-partitioned by host and, within a host, by a hash of the page;
+runs of at most ``GROUP_PAGES`` of a host's pages are its groups, and each group
+induces its own wrapper from all its pages.  So a host with a third of all pages
+is many groups in many ranges, and one shuffle of the pages is all there is.  Copies of a page count once, so that they don't make its
 text a template.
 
 Defined results: null or empty html has the empty text; a null or odd url is a
@@ -32,8 +32,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_groups
-
 #: Pages of a group; least distinct pages and least share of them that make a text template.
 GROUP_PAGES, LEAST_PAGES, CONSTANT = 256, 4, 0.6
 #: Share of link text from which a slot outside an article is a menu; deepest nesting; largest
@@ -271,28 +269,41 @@ def main_texts(sources: list[str | None]) -> list[str]:
 
 
 def _extract(batches):
-    for rows in whole_groups(batches, "grp", "part"):
-        grp, part = rows.column("grp").to_numpy(), rows.column("part").to_numpy()
-        cuts = np.flatnonzero((grp[1:] != grp[:-1]) | (part[1:] != part[:-1])) + 1
-        for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)]):
-            some = rows.slice(a, z - a)
-            texts = main_texts(some.column("html").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [some.column("page_id").combine_chunks(), some.column("url").combine_chunks(),
-                 pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                names=["page_id", "url", "text", "n_chars"])
+    """Rows sorted by host: runs of at most GROUP_PAGES pages of a host."""
+    held, count, host = [], 0, None
+
+    def out(rows: pa.Table):
+        texts = main_texts(rows.column("html").to_pylist())
+        return pa.RecordBatch.from_arrays(
+            [rows.column("page_id").combine_chunks(), rows.column("url").combine_chunks(),
+             pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+            names=["page_id", "url", "text", "n_chars"])
+
+    for batch in batches:
+        key = batch.column("grp").to_numpy()
+        cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+        for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]) if len(batch) else ():
+            if count and key[a] != host:
+                yield out(pa.Table.from_batches(held))
+                held, count = [], 0
+            host = key[a]
+            while a < z:
+                take = min(z - a, GROUP_PAGES - count)
+                held.append(batch.slice(a, take))
+                a, count = a + take, count + take
+                if count == GROUP_PAGES:
+                    yield out(pa.Table.from_batches(held))
+                    held, count = [], 0
+    if held:
+        yield out(pa.Table.from_batches(held))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) -> page_id, url, text, n_chars; a row for each row."""
     host = F.lower(F.coalesce(F.regexp_extract("url", _HOST.pattern, 1), F.lit("")))
+    order = ["grp", "at", "page_id"]
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html",
-                        F.xxhash64(host).alias("grp"))
-    sizes = (rows.groupBy("grp").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("parts"))
-             .select(F.col("grp").alias("h"), "parts").where("parts > 1"))
-    # at most one row for GROUP_PAGES pages
-    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1)))
-    dealt = rows.join(sizes, F.col("grp") == F.col("h"), "left").withColumn("part", part.cast("long"))
-    sorted_rows = (dealt.select("page_id", "url", "html", "grp", "part").repartition("grp", "part")
-                   .sortWithinPartitions("grp", "part", "page_id"))
-    return sorted_rows.mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
+                        F.xxhash64(host).alias("grp"), F.xxhash64("page_id", "url").alias("at"))
+    # ranges of hosts: a host of many pages is cut into several, no count of its pages is needed
+    return (rows.repartitionByRange(*order).sortWithinPartitions(*order)
+            .mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint"))
