@@ -250,9 +250,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
 
 def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
-    """``coded`` with ``decoded`` binary: the bytes that the ids stand for.
-
-    ``coded`` must have no column named ``decoded``."""
+    """``coded`` with ``decoded`` binary: the bytes that the ids stand for (a column of this name in
+    the input is replaced)."""
     def run(batches):
         token = {rank: word for word, rank in read_ranks(ranks_path).items()}
         for batch in batches:
@@ -262,8 +261,7 @@ def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
                                              names=[*batch.schema.names, "decoded"])
 
-    if "decoded" in coded.columns:
-        raise ValueError("the input has a column named decoded already")
+    coded = coded.drop("decoded")
     schema = StructType([*coded.schema.fields, StructField("decoded", BinaryType())])
     return coded.mapInArrow(run, schema)
 

@@ -35,6 +35,13 @@ def slots(spark: SparkSession) -> int:
                int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns other than ``used`` under names that clash with no working column, and
+    the columns that give the old names back."""
+    names = [c if c in used else f"__{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, docs.columns)]
+
+
 def ship(spark: SparkSession, value) -> Broadcast:
     """A broadcast of an object whose class the workers need not be able to import."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
@@ -68,4 +75,4 @@ def whole_groups(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-__all__ = ["WORD", "crc_mod", "ship", "shipped", "slots", "table", "whole_groups", "written"]
+__all__ = ["WORD", "apart", "crc_mod", "ship", "shipped", "slots", "table", "whole_groups", "written"]

@@ -260,5 +260,5 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (its columns) that stay: of linked documents the one of the least id, of
     rows equal in id and text one; documents without an id or without shingles all stay."""
     kept = near_documents(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
-    stay = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    stay = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id", "text"])
     return stay.unionByName(docs.where("doc_id IS NULL"))

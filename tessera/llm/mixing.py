@@ -36,7 +36,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, apart, written
 
 #: Parameters: weights by source order (repeating), share of all words to take,
 #: largest multiple of a source.
@@ -237,9 +237,8 @@ def mix(sized: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents (the columns of ``docs``): a document once per whole pass, and once
-    with the words of its drawn runs (all of them: the text as it stands), in shard order.
-
-    Columns named size, shard or like other working columns are not allowed."""
+    with the words of its drawn runs (all of them: the text as it stands)."""
+    docs, back = apart(docs, "doc_id", "source", "text", "n_chars")
     sizes = written(with_size(docs.select("doc_id", "source", "text")).drop("text"), "mixing/sizes")
     out = mix(with_size(docs), sizes)
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
@@ -253,4 +252,4 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     copies = out.withColumn("copy", F.explode(texts)).withColumn("text", F.col("copy"))
     if "n_chars" in docs.columns:
         copies = copies.withColumn("n_chars", F.length("text").cast("long"))
-    return copies.select(*docs.columns)
+    return copies.select(*back)

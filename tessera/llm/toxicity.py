@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField,
                                StructType)
 
-from .common import crc_mod, ship, shipped, written
+from .common import apart, crc_mod, ship, shipped, written
 
 #: Parameters of the fit: most labelled rows, most feature words, least sureness of a word (in
 #: standard deviations) and least examples that hold it.
@@ -293,12 +293,9 @@ _ADDED = [StructField("score", DoubleType()), StructField("predicted", IntegerTy
 
 
 def apply(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` (with text) and score, predicted, evidence: the nearest examples.
-
-    ``docs`` must have no columns of these names."""
-    clash = {f.name for f in _ADDED} & set(docs.columns)
-    if clash:
-        raise ValueError(f"the input has columns named {sorted(clash)} already")
+    """``docs`` (with text) and score, predicted, evidence: the nearest examples (columns of these
+    names in the input are replaced)."""
+    docs = docs.drop(*(f.name for f in _ADDED))
     schema = StructType([*docs.schema.fields, *_ADDED])
     evidence_type = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.bool_())]))
     sent = ship(docs.sparkSession, model)
@@ -342,4 +339,5 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, as they are."""
     model = fit(docs, labels.select("doc_id", "toxic"), is_training)
-    return apply(docs, model).where("predicted = 0").select(*docs.columns)
+    rows, back = apart(docs, "doc_id", "text")
+    return apply(rows, model).where("predicted = 0").select(*back)

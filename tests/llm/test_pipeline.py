@@ -82,6 +82,18 @@ def test_odd_rows_pass(spark, small_dir):
         assert data.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_clashing_columns_are_carried_along(spark, small_dir):
+    """Columns named like the operators' working columns come through the stages untouched."""
+    names = ["score", "predicted", "evidence", "size", "shard", "taken", "kept_id", "component_id", "same", "source_size"]
+    made = [(i, f"word{i} " * (i + 1), "a", *[f"{n}{i}" for n in names]) for i in range(12)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    for stage in (corpus_pipeline.toxicity_stage, corpus_pipeline.near_dedup_stage, corpus_pipeline.mixing_stage):
+        out = written(stage(spark, docs, small_dir), "test/pipeline")
+        assert out.columns == docs.columns and out.count() > 0
+        assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names)
+    assert corpus_pipeline.encode_stage(spark, docs, small_dir).count() == 12
+
+
 def test_registered(spark, small_dir):
     found = __spark_entry__.queries()
     assert "pipeline" in found and all(any(k.startswith(f"op{n}_") for k in found) for n in range(1, 11))
