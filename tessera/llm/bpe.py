@@ -32,7 +32,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 #: Characters of text whose pre-tokens are held at once.
 SLICE_CHARS = 2_000_000
 #: Pre-tokens replayed together, and pieces remembered between slices of a task.
-REPLAY_WORDS, KEEP_PIECES = 50_000, 600_000
+REPLAY_WORDS, KEEP_PIECES = 50_000, 240_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -308,7 +308,7 @@ def apply(docs: DataFrame, model: Model) -> DataFrame:
                 counts = model.terms.counts(text.as_py())
                 key = tuple(sorted(counts.items()))
                 if key not in known:
-                    if len(known) > 50_000:
+                    if len(known) > 5_000:
                         known.clear()
                     score, near = model.score(counts)
                     known[key] = score, [{"doc_id": model.ids[i], "cosine": c, "toxic": bool(model.labels[i])}
