@@ -1,34 +1,35 @@
 """Operator 7: LM scoring by online logistic context mixing.
 
 A text is its tokens: words (A-Z lower-cased), each ended by a space, and one
-end token.  A token is coded bit by bit: predictors, each with the hash of
-another context (the last 0 to 4 bytes of the token, and all of its bytes so
-far), give the next bit's probability from what the training vocabulary has
-under the hash.  Their logits are combined by weights that a gate selects (how
-much the whole context and the one of three bytes have seen); the weights are
-learnt online by Newton steps, bits in chunks, each token predicted without
-itself.  A second stage refines the mixed probability by what was observed at
-it after the last byte.  A token's probability mixes its discounted count with
-this coding, overall and in each of ``KINDS`` kinds of documents (by their
-commonest non-ASCII character), and a text is adaptively weighted between the
-kinds by how well each has predicted it.  The sum gives the text's log
-probability and bits per byte.
-
-Contexts don't reach across tokens, so a token's coding is a function of the
-token: counting, learning and coding run over the corpus vocabulary,
-range-partitioned and sorted so that the bits of a common beginning are coded
-once, and the corpus itself is read once:
+end token; its stream is the bytes of its tokens in order.  Predictors, each
+with the hash of another context (the last 1 to 6 bytes across token borders,
+and the word so far with none, one and two words before it), give the next
+bit's probability from what all training texts have after the context.  Their
+logits are combined by weights that a gate selects (how long the longest known
+contexts are).  The weights are learnt online over the training texts, each bit
+predicted without itself, and go on learning within each document, in order,
+after every ``WINDOW`` bits.
+
+A token's probability mixes this with a second one, by how well each has done
+on the document's tokens before it.  The second is the token's discounted
+count, overall and in each of ``KINDS`` kinds of documents (by their commonest
+non-ASCII character); what is taken off goes to a coding of the token alone:
+bits predicted from the last 0 to 4 bytes of the token and all of them so far,
+learnt from the training vocabulary and refined.  A text is adaptively weighted
+between the kinds.  The sum gives the text's log probability and bits per byte.
 
 1. Documents are cut into chunks of at most ``CHUNK_WORDS`` distinct tokens (or
    one document).  A chunk keeps its token list with training counts, and each
-   document's (token number, count) pairs; both are written to the shared folder.
+   document's token numbers in order; both are written to the shared folder.
 2. Token counts are summed over chunks: the vocabulary, with the counts of the
    base score.  It grows with the corpus and is never in one place.
-3. Predictor tables are counted over the vocabulary; their size is fixed by
-   ``BITS``, so they are merged and broadcast.  Weights are learnt in every
-   partition over all its tokens and joined by their certainty.
+3. Predictor tables of the vocabulary (``BITS``) and of the training texts'
+   streams are counted by tasks, merged and broadcast.  The stream's tables
+   grow with the training text up to 2 ** ``MOST_BITS`` slots a predictor;
+   beyond, contexts share slots.  Weights are learnt in every partition over
+   all its tokens and bits and joined by their certainty.
 4. Every token is coded once; values go back to the chunks that hold the token,
-   and a document's score is the sum over its pairs.
+   where each document's stream is put together and mixed in order.
 
 Defined results: null text is the empty text, an end token alone; rows without
 an id are scored, and not learnt from; if nothing is learnt from, the model
@@ -64,22 +65,26 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _OTHER = re.compile(r"[^\x00-\x7f]")
 GATES, INPUTS = 8 * 8, len(BITS) + 1
+#: Of the stream: predictors, gates, most bits of a predictor's table; bytes counted and learnt at
+#: once; bits of a document mixed before its weights move.
+PREDICTORS, STREAM_GATES, MOST_BITS = 9, 49, 22
+COUNTED_BYTES, LEARNT_BYTES, WINDOW = 400_000, 32_768, 2_048
 #: Slots merged as one row.
 BLOCK = 1 << 16
 
 
 # --- documents to chunks ---------------------------------------------------------------------
 
-def token_counts(text: str | None) -> Counter:
-    """Tokens of a whole text, with the end token (bytes.lower and bytes.split know ASCII only)."""
-    data, at, found = (text or "").encode().lower(), 0, Counter()
+def tokens_of(text: str | None):
+    """Lists of the tokens of a text in order, piece by piece, and the end token (bytes.lower and
+    bytes.split know ASCII only)."""
+    data, at = (text or "").encode().lower(), 0
     while at < len(data):
         cut = _SPACE.search(data, at + PIECE) if len(data) - at > PIECE else None
         end = cut.start() if cut else len(data)
-        found.update(data[at:end].split())
+        yield data[at:end].split()
         at = end
-    found[END] = 1
-    return found
+    yield [END]
 
 
 def kind_of(text: str | None) -> int:
@@ -91,10 +96,10 @@ def kind_of(text: str | None) -> int:
 
 
 _COUNTED = ("kind int, chunk bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_bytes bigint, at binary, "
-            "times binary, place bigint, token binary, " + ", ".join(f"c{k} bigint" for k in range(KINDS)))
+            "place bigint, token binary, " + ", ".join(f"c{k} bigint" for k in range(KINDS)))
 _COUNTED_ARROW = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("doc_id", pa.int64()),
                             ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()),
-                            ("at", pa.binary()), ("times", pa.binary()), ("place", pa.int64()),
+                            ("at", pa.binary()), ("place", pa.int64()),
                             ("token", pa.binary()), *((f"c{k}", pa.int64()) for k in range(KINDS))])
 
 
@@ -117,33 +122,30 @@ def _count_chunks(batches):
                      **{f"c{k}": trained[k, :n] for k in range(KINDS)})
 
     for batch in batches:
-        rows: list[list] = [[] for _ in range(6)]
+        rows: list[list] = [[] for _ in range(5)]
 
         def documents():
             n = len(rows[0])
             return _rows(n, kind=np.zeros(n, np.int32), chunk=np.full(n, part << 24 | serial), doc_id=rows[0],
-                         held_out=rows[1], n_tokens=rows[2], n_bytes=rows[3], at=rows[4], times=rows[5])
+                         held_out=rows[1], n_tokens=rows[2], n_bytes=rows[3], at=rows[4])
 
         for doc_id, text, held in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-            found = token_counts(text.as_py())
-            at = np.array([places.setdefault(w, len(places)) for w in found], np.int32)
-            times = np.fromiter(found.values(), np.int64, len(found))
+            at = np.concatenate([np.array([places.setdefault(w, len(places)) for w in piece], np.int32)
+                                 for piece in tokens_of(text.as_py())])
             if trained.shape[1] < len(places):
                 more = len(places) + 65_536 - trained.shape[1]
                 trained = np.concatenate([trained, np.zeros((KINDS, more), np.int64)], axis=1)
             if held is False:
-                trained[kind_of(text.as_py()), at] += times
-            order = np.argsort(at)
-            n = int(times.sum())
+                seen, times = np.unique(at, return_counts=True)
+                trained[kind_of(text.as_py()), seen] += times
             letters = len((text.as_py() or "").encode().translate(None, SPACES))
-            values = (doc_id, bool(held), n, letters + n,
-                      np.diff(at[order], prepend=np.int32(0)).tobytes(), times[order].astype(np.uint32).tobytes())
+            values = (doc_id, bool(held), len(at), letters + len(at), zlib.compress(at.tobytes(), 1))
             for column, value in zip(rows, values):
                 column.append(value)
             if len(places) >= CHUNK_WORDS:
                 yield documents()
                 yield close()
-                serial, places, rows = serial + 1, {}, [[] for _ in range(6)]
+                serial, places, rows = serial + 1, {}, [[] for _ in range(5)]
                 trained = np.zeros((KINDS, 0), np.int64)
         if rows[0]:
             yield documents()
@@ -420,6 +422,226 @@ def _code(model):
     return run
 
 
+# --- the byte stream of a document -----------------------------------------------------------
+
+def whole_token(token: bytes) -> bytes:
+    return token if token == END else token + b" "
+
+
+class Stream:
+    """Contexts of each byte of documents' streams (tokens in order, each ended by a space): the last
+    1 to 6 bytes, and the word so far with none, one and two words before it."""
+
+    def __init__(self, data: np.ndarray, begins: np.ndarray):
+        n = len(data)
+        self.data = data
+        begin = np.repeat(begins, np.diff(np.append(begins, n)))
+        position = np.arange(n) - begin
+        known, self.contexts = np.zeros(n, np.uint32), []
+        for j in range(1, 7):
+            byte = np.zeros(n, np.uint32)
+            byte[j:] = data[:n - j]
+            byte += np.uint32(1)
+            byte[position < j] = 0
+            known = known * np.uint32(0x2F0B4C47) + byte
+            self.contexts.append(_mix32(known))
+        ends = np.flatnonzero((data == 0x20) | (data == 0x0A))
+        starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
+        word = np.repeat(np.arange(len(ends)), ends + 1 - starts)
+        codes = _mix32(data.astype(np.uint32) + np.uint32(256) * (
+            (np.arange(n) - starts[word]).astype(np.uint32) + np.uint32(1)))
+        upto = np.concatenate([[0], np.cumsum(codes, dtype=np.uint32)]).astype(np.uint32)
+        prefix = upto[:-1] - upto[starts[word]]
+        whole = _mix32(upto[ends] - upto[starts])
+        nth = np.arange(len(ends)) - np.searchsorted(starts, begin[starts])      # of its document
+        one, two = np.zeros_like(whole), np.zeros_like(whole)
+        one[1:], two[2:] = whole[:-1], whole[:-2]
+        one[nth < 1] = 0
+        two[nth < 2] = 0
+        pair = _mix32(one * np.uint32(0x9E3779B1) + two + np.uint32(7))
+        self.contexts += [_mix32(prefix), _mix32(prefix + _mix32(one + np.uint32(3))[word]),
+                          _mix32(prefix + pair[word])]
+        self.word_starts = starts
+
+    def slots(self, a: int, z: int, bits: int) -> np.ndarray:
+        """Slots of the bits of bytes a to z in each predictor's table (PREDICTORS x bits); the four
+        bits of a half byte stand side by side."""
+        byte = self.data[a:z].astype(np.uint32)
+        high = byte >> np.uint32(4)
+        within = np.stack([np.ones_like(byte), 2 | high >> 3, 4 | high >> 2, 8 | high >> 1,
+                           np.ones_like(byte), 2 | byte >> 3 & 1, 4 | byte >> 2 & 3, 8 | byte >> 1 & 7], axis=1)
+        out = np.empty((PREDICTORS, 8 * (z - a)), np.int64)
+        for i, context in enumerate(self.contexts):
+            h = context[a:z] * np.uint32(0x9E3779B1) + np.uint32(i)
+            for k, start in enumerate((_mix32(h), _mix32(h + (high + np.uint32(1)) * np.uint32(0x85EBCA6B)))):
+                start = start >> np.uint32(32 - bits + 4) << np.uint32(4)
+                out[i].reshape(-1, 8)[:, 4 * k:4 * k + 4] = start[:, None] | within[:, 4 * k:4 * k + 4]
+        return out
+
+    def bits(self, a: int, z: int) -> np.ndarray:
+        return np.unpackbits(self.data[a:z])
+
+
+def _streams(batches, size: int):
+    """Streams of about ``size`` bytes of whole documents from a column of texts."""
+    held, total = [], 0
+
+    def out():
+        lengths = np.array([len(x) for x in held])
+        return Stream(np.frombuffer(b"".join(held), np.uint8), np.cumsum(lengths) - lengths)
+
+    for batch in batches:
+        for text in batch.column(0):
+            held.append(b"".join(whole_token(t) for piece in tokens_of(text.as_py()) for t in piece))
+            total += len(held[-1])
+            if total >= size:
+                yield out()
+                held, total = [], 0
+    if held:
+        yield out()
+
+
+def table_bits(n_bytes: int) -> int:
+    """Log2 of the slots of a predictor's table of the stream: it grows with the training text."""
+    return min(MOST_BITS, max(16, int(n_bytes).bit_length() - 4))
+
+
+def _count_stream(bits: int):
+    """Zeros and ones after each context over all occurrences in the training texts, as blocks."""
+    def run(batches):
+        tables = np.zeros((PREDICTORS, 2 << bits), np.uint32)
+        for stream in _streams(batches, COUNTED_BYTES):
+            for a in range(0, len(stream.data), COUNTED_BYTES):
+                z = min(a + COUNTED_BYTES, len(stream.data))
+                one = stream.bits(a, z)
+                for table, slots in zip(tables, stream.slots(a, z, bits)):
+                    np.add.at(table, slots * 2 + one, np.uint32(1))
+        flat = tables.reshape(-1)
+        for at in range(0, len(flat), BLOCK):
+            if flat[at:at + BLOCK].any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([at // BLOCK], pa.int64()),
+                     pa.array([_packed(flat[at:at + BLOCK])], pa.binary())], names=["block", "counts"])
+    return run
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Compressed counts, byte by byte of their size: most are small."""
+    return zlib.compress(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
+def _merge_stream(batches):
+    """Sum of the tasks' counts of each block, of rows sorted by block."""
+    held, total = None, None
+
+    def out():
+        return pa.RecordBatch.from_arrays(
+            [pa.array([held], pa.int64()), pa.array([_packed(np.minimum(total, 0xFFFFFFFF))], pa.binary())],
+            names=["block", "counts"])
+
+    for batch in batches:
+        for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            one = _unpacked(data.as_py()).astype(np.uint64)
+            if block != held:
+                if held is not None:
+                    yield out()
+                held, total = block, one
+            else:
+                total = total + one
+    if held is not None:
+        yield out()
+
+
+def _stream_tables(rows, bits: int) -> np.ndarray:
+    """PREDICTORS x slots x (zeros, ones), of 16 bits; greater pairs keep their proportion."""
+    out = np.zeros(PREDICTORS * (2 << bits), np.uint16)
+    for r in rows:
+        pair = _unpacked(bytes(r.counts)).reshape(-1, 2)
+        scale = np.minimum(1, 65_535 / np.maximum(1, pair.max(axis=1)))
+        out[r.block * BLOCK:r.block * BLOCK + pair.size] = np.ceil(pair * scale[:, None]).reshape(-1)
+    return out.reshape(PREDICTORS, -1, 2)
+
+
+def _stream_inputs(tables, slots, bit, without: int = 0):
+    """Logits (bits x PREDICTORS + 1) and gates: the longest contexts of bytes and of words seen."""
+    x = np.empty((slots.shape[1], PREDICTORS + 1), np.float32)
+    x[:, -1] = 0.3
+    gate, words = np.zeros(slots.shape[1], np.int64), np.zeros(slots.shape[1], np.int64)
+    for i in range(PREDICTORS):
+        pair = tables[i][slots[i]].astype(np.float32)
+        n0, n1 = pair[:, 0], pair[:, 1]
+        if without:
+            n0, n1 = np.maximum(n0 - (bit == 0), 0), np.maximum(n1 - (bit == 1), 0)
+        x[:, i] = np.log((n1 + np.float32(0.2)) / (n0 + np.float32(0.2)))
+        some = n0 + n1 > 0
+        if i < 6:
+            gate += some
+        else:
+            words += some.astype(np.int64) + (n0 + n1 > 20)
+    return x, gate * 7 + words
+
+
+class Mixer:
+    """Gated weights learnt online: each window of bits is predicted, then learnt from."""
+
+    def __init__(self, weights=None, sure=None):
+        self.weights = np.full((STREAM_GATES, PREDICTORS + 1), 0.2) if weights is None else weights.copy()
+        self.sure = np.full((STREAM_GATES, PREDICTORS + 1), 200.0) if sure is None else sure.copy()
+
+    def code(self, x, gate, bit) -> np.ndarray:
+        """Probabilities of the bits' ones before learning from them."""
+        p = _squash(np.einsum("ij,ij->i", x, self.weights[gate]))
+        curve, size = np.maximum(p * (1 - p), 1e-3), np.abs(x)
+        curve = curve * size.sum(axis=1)
+        push = np.empty_like(self.weights)
+        for j in range(PREDICTORS + 1):
+            push[:, j] = np.bincount(gate, (bit - p) * x[:, j], STREAM_GATES)
+            self.sure[:, j] += np.bincount(gate, curve * size[:, j], STREAM_GATES)
+        self.weights += push / self.sure
+        return p
+
+
+def _learn_stream(tables, bits: int):
+    """Weights of a partition's training texts, each bit predicted without itself: (place, total, sure)."""
+    def run(batches):
+        mixer = Mixer()
+        for stream in _streams(batches, LEARNT_BYTES):
+            for a in range(0, len(stream.data), LEARNT_BYTES):
+                z = min(a + LEARNT_BYTES, len(stream.data))
+                bit = stream.bits(a, z)
+                x, gate = _stream_inputs(tables.value, stream.slots(a, z, bits), bit, 1)
+                for at in range(0, len(bit), STEP):
+                    mixer.code(x[at:at + STEP], gate[at:at + STEP], bit[at:at + STEP])
+        sure = mixer.sure.reshape(-1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(sure), dtype=np.int64)), pa.array(mixer.weights.reshape(-1) * sure), pa.array(sure)],
+            names=["place", "total", "sure"])
+    return run
+
+
+def _stream_logs(data: bytes, model) -> np.ndarray:
+    """log10 probability of each token of a document, its bits mixed in order."""
+    tables, bits, weights = model
+    stream = Stream(np.frombuffer(data, np.uint8), np.zeros(1, np.int64))
+    mixer = Mixer(weights, np.full(weights.shape, FIRM))
+    out = np.empty(len(data))
+    for a in range(0, len(data), LEARNT_BYTES):
+        z = min(a + LEARNT_BYTES, len(data))
+        bit = stream.bits(a, z)
+        x, gate = _stream_inputs(tables, stream.slots(a, z, bits), bit)
+        p = np.concatenate([mixer.code(x[i:i + WINDOW], gate[i:i + WINDOW], bit[i:i + WINDOW])
+                            for i in range(0, len(bit), WINDOW)])
+        out[a:z] = np.log10(np.clip(np.where(bit == 1, p, 1 - p), 1e-7, 1)).reshape(-1, 8).sum(axis=1)
+    return np.add.reduceat(out, stream.word_starts)
+
+
+# --- documents' scores -----------------------------------------------------------------------
+
 class Counts:
     """Training totals of the corpus or of a kind of documents: N, V, and the discount of counts."""
 
@@ -434,7 +656,7 @@ class Counts:
         return (np.maximum(c - self.discount, 0) + self.discount * self.distinct * otherwise) / self.total
 
 
-def _sum_documents(all_counts: Counts, kinds: list[Counts], shares: np.ndarray):
+def _sum_documents(all_counts: Counts, kinds: list[Counts], shares: np.ndarray, model):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         """Documents of a chunk (left) and the values of its tokens (right)."""
         place = np.argsort(right.column("place").to_numpy())
@@ -447,12 +669,19 @@ def _sum_documents(all_counts: Counts, kinds: list[Counts], shares: np.ndarray):
                         or [np.log10(np.maximum(overall, 1e-300))], axis=1)
         start = np.log10(shares[live]) if len(live) else np.zeros(1)
         out = []
-        for at, times in zip(left.column("at"), left.column("times")):
-            at = np.cumsum(np.frombuffer(at.as_py(), np.int32))
-            times = np.frombuffer(times.as_py(), np.uint32).astype(np.float64)
-            each = times @ logs[at] + start
+        tokens = [whole_token(t) for t in right.column("token").take(pa.array(place)).to_pylist()]
+        for packed in left.column("at"):
+            at = np.frombuffer(zlib.decompress(packed.as_py()), np.int32)
+            stream = _stream_logs(b"".join([tokens[i] for i in at.tolist()]), model.value)
+            # a token's probability mixes the stream's with its count's, by how well each did before it
+            single = logs[at]
+            lead = 1 / (1 + 10.0 ** np.clip(single - stream[:, None], -200, 200))
+            share = (1 + np.cumsum(lead, axis=0) - lead) / (2 + np.arange(len(at)))[:, None]
+            top = np.maximum(single, stream[:, None])
+            mixed = top + np.log10(share * 10.0 ** (stream[:, None] - top) + (1 - share) * 10.0 ** (single - top))
+            each = mixed.sum(axis=0) + start
             best = each.max()
-            out.append((int(times @ (c[at] > 0)), float(times @ base[at]),
+            out.append((int((c[at] > 0).sum()), float(base[at].sum()),
                         float(best + np.log10((10.0 ** (each - best)).sum()))))
         columns = [left.column(n).combine_chunks() for n in ("doc_id", "held_out", "n_tokens", "n_bytes")]
         known, based, scored = zip(*out) if out else ((), (), ())
@@ -462,6 +691,17 @@ def _sum_documents(all_counts: Counts, kinds: list[Counts], shares: np.ndarray):
     return run
 
 
+class _Sent:
+    """The stream's broadcast tables and weights."""
+
+    def __init__(self, tables, bits, weights):
+        self.tables, self.bits, self.weights = tables, bits, weights
+
+    @property
+    def value(self):
+        return self.tables.value, self.bits, self.weights.value
+
+
 def score_documents(docs: DataFrame, held_out=lambda doc_id: crc_mod(doc_id, 10) == 0) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     bits_per_byte; learnt from the documents that are not ``held_out``."""
@@ -486,12 +726,25 @@ def score_documents(docs: DataFrame, held_out=lambda doc_id: crc_mod(doc_id, 10)
     learnt = (vocabulary.select("token", "c").mapInArrow(_learn(tables), "kind int, place bigint, total double")
               .groupBy("kind", "place").agg(F.sum("total").alias("total")).collect())
     model = spark.sparkContext.broadcast((zeros, ones, *_joined(learnt)))
+    texts = rows.where(~F.col("held_out")).select("text")
+    n_bytes = counted.where("kind = 0 and not held_out").agg(F.sum("n_bytes")).first()[0]
+    bits = table_bits(n_bytes or 0)
+    contexts = texts.mapInArrow(_count_stream(bits), "block bigint, counts binary")
+    stream = spark.sparkContext.broadcast(_stream_tables(
+        contexts.repartition("block").sortWithinPartitions("block")
+        .mapInArrow(_merge_stream, "block bigint, counts binary").toLocalIterator(), bits))
+    weights = np.full((STREAM_GATES, PREDICTORS + 1), 0.2)
+    for r in (texts.mapInArrow(_learn_stream(stream, bits), "place bigint, total double, sure double")
+              .groupBy("place").agg((F.sum("total") / F.sum("sure")).alias("weight")).collect()):
+        weights[np.unravel_index(r.place, weights.shape)] = r.weight
+    weights = spark.sparkContext.broadcast(weights)
     coded = vocabulary.drop("c").mapInArrow(
         _code(model), "token binary, " + ", ".join(f"{k} bigint" for k in by_kind) + ", coded double")
-    values = tokens.drop(*by_kind).join(coded, "token").select(F.col("chunk").alias("of"), "place", "coded", *by_kind)
-    documents = counted.where("kind = 0").select("chunk", "doc_id", "held_out", "n_tokens", "n_bytes", "at", "times")
+    values = tokens.drop(*by_kind).join(coded, "token").select(F.col("chunk").alias("of"), "place", "token", "coded", *by_kind)
+    documents = counted.where("kind = 0").select("chunk", "doc_id", "held_out", "n_tokens", "n_bytes", "at")
     scored = documents.groupBy("chunk").cogroup(values.groupBy("of")).applyInArrow(
-        _sum_documents(found["c"], [found[k] for k in by_kind], ends / max(1.0, ends.sum())),
+        _sum_documents(found["c"], [found[k] for k in by_kind], ends / max(1.0, ends.sum()),
+                       _Sent(stream, bits, weights)),
         "doc_id bigint, held_out boolean, n_tokens bigint, n_bytes bigint, n_known bigint, base_score double, score double")
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(found["c"].total).cast("long").alias("train_tokens"),

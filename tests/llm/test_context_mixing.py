@@ -114,3 +114,31 @@ def test_coding_is_a_probability():
         at = edges.first[i] + (1 - edges.shared[i])
         total += math.exp(logs[at]) if edges.shared[i] <= 1 else 0.0
     assert 0.9 < total <= 1.0 + 1e-6
+
+
+def test_shuffled_words_are_coded_worse(spark):
+    """The order of a text's words counts: contexts reach across tokens."""
+    rng = random.Random(6)
+    stock = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 8))) for _ in range(200)]
+    after = {w: rng.sample(stock, 3) for w in stock}
+
+    def chain(n):
+        out = [rng.choice(stock)]
+        while len(out) < n:
+            out.append(rng.choice(after[out[-1]]))
+        return out
+
+    rows, mixed = [], {}
+    for i in range(0, 1200, 2):
+        words = chain(60)
+        rows.append((i, " ".join(words)))
+        if held(i):
+            rng.shuffle(words)
+            number = next(n for n in range(100_000 + 1000 * i, 101_000 + 1000 * i) if held(n))
+            mixed[i] = number
+            rows.append((number, " ".join(words)))
+    got = {r.doc_id: r for r in cm.score_documents(make(spark, rows)).collect()}
+    assert len(mixed) > 40
+    for i, j in mixed.items():
+        assert got[i].base_score == pytest.approx(got[j].base_score)
+        assert got[i].score > got[j].score + 5
