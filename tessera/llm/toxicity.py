@@ -5,21 +5,21 @@ examples under exact TF-IDF cosine, calibrated; the neighbours are returned as
 evidence.
 
 * ``fit`` uses a bounded sample of the labelled training rows: the
-  ``MAX_EXAMPLES`` of least keyed hash of their id.  The features are the
+  ``MAX_EXAMPLES`` of least keyed hash of their id.  The features are all
   words and word beginnings (``PREFIXES`` letters, for inflected and compound
-  forms) that tell the sample's classes apart most surely, at most
-  ``MAX_TERMS``, so a long text's neighbours are found by what matters for the
-  label and not by its filler.  Their document frequencies are counted over
-  all documents.
+  forms) of the sample.  How surely a feature tells the sample's classes apart
+  is a factor of its weight, never 0, so a long text's neighbours are found by
+  what matters for the label more than by its filler.  Document frequencies
+  are counted over all documents.
 * The examples form an inverted index of blocks of ``BLOCK`` examples, with
   the greatest weight of each term in each block.  A query takes blocks in
   order of their upper bound and stops when the bound is below the k-th best
   cosine: the top k are exact.
 * Raw votes are calibrated by isotonic regression on the examples' own
-  leave-one-out votes.  A text without any feature word gets the rate of such
-  examples.
+  leave-one-out votes.  A text without any word of the sample gets the base
+  rate, and less than ``REJECT``: no evidence is no reason to reject.
 
-Sample, vocabulary, index and calibration are bounded by the parameters, so
+Sample, vocabulary, index and calibration are bounded by the sample, so
 the model is a bounded broadcast whatever the size of the corpus.  Scoring is
 one pass over the documents without a shuffle.
 
@@ -42,11 +42,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField,
                                StructType)
 
-from .common import apart, crc_mod, ship, shipped, written
+from .common import apart, crc_mod, ship, shipped, slots, written
 
-#: Parameters of the fit: most labelled rows, most feature words, least sureness of a word (in
-#: standard deviations) and least examples that hold it.
-MAX_EXAMPLES, MAX_TERMS, SURE, LEAST_ROWS = 16_384, 1_024, 8.0, 8
+#: Parameters of the fit: most labelled rows; the likelihood ratio (twice its logarithm) at which a
+#: word has half of the full weight, and the share of it that every word has.
+MAX_EXAMPLES, SURE, FLOOR = 16_384, 64.0, 0.02
 #: Lengths of the word beginnings that may be features.
 PREFIXES = (4, 5, 6, 7)
 #: Neighbours, examples of a block, evidence rows kept, score from which a text is rejected.
@@ -76,69 +76,107 @@ def features(words) -> set[str]:
 
 
 class Vocabulary:
-    """Feature -> number, split by kind so that a text is looked up once for each kind in use."""
+    """Feature -> number.  The features are kept as one text; who looks up unpacks them first."""
 
-    def __init__(self, terms: list[str]):
-        self.size = len(terms)
-        self.words = {t: i for i, t in enumerate(terms) if not t.endswith("*")}
-        self.starts = {k: {t[:-1]: i for i, t in enumerate(terms) if t.endswith("*") and len(t) == k + 1}
-                       for k in PREFIXES}
+    def __init__(self, terms):
+        """terms: a list, or an Arrow column, of features."""
+        chunks = [terms] if isinstance(terms, list) else (c.to_pylist() for c in terms.chunks)
+        self.size, self.packed = len(terms), "\n".join("\n".join(c) for c in chunks if len(c))
+        self.numbers, self.known = None, {}
+
+    def __getstate__(self):
+        return {"size": self.size, "packed": self.packed, "numbers": None, "known": {}}
+
+    def of_word(self, word: str) -> list[int]:
+        """Numbers of the word and of its beginnings."""
+        found = [self.numbers.get(word), *(self.numbers.get(word[:k] + "*") for k in PREFIXES if len(word) > k)]
+        return [t for t in found if t is not None]
 
     def counts(self, text: str | None) -> dict[int, int]:
-        found: Counter = Counter()
-        whole = self.words
+        if self.numbers is None:
+            self.numbers = {t: i for i, t in enumerate(self.packed.split("\n"))} if self.size else {}
+        found: dict[int, int] = {}
+        known = self.known
         for words in words_of(text):
-            found.update([whole[w] for w in words if w in whole])
-            for k, starts in self.starts.items():
-                if starts:
-                    found.update([starts[w[:k]] for w in words if w[:k] in starts and len(w) > k])
-        return dict(found)
+            for word, n in Counter(words).items():
+                at = known.get(word)
+                if at is None:
+                    if len(known) >= 100_000:
+                        known.clear()
+                    at = known[word] = self.of_word(word)
+                for t in at:
+                    found[t] = found.get(t, 0) + n
+        return found
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges, one after another."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
 class BlockMaxIndex:
-    """Sparse unit vectors in blocks, with the greatest weight of each term in each block.
+    """Sparse unit vectors by term, in blocks, with the greatest weight of each term in each block.
 
     Vectors are laid out by their heaviest terms, so that a block's vectors are alike and its
     greatest weights are close to each vector's own; empty vectors are in no block."""
 
-    def __init__(self, n_terms: int, vectors: list[dict[int, float]]):
-        by_weight = lambda v: sorted(((-w, t) for t, w in v.items()))
-        self.order = sorted((i for i, v in enumerate(vectors) if v),
-                            key=lambda i: ([t for _, t in by_weight(vectors[i])], i))
-        self.most = np.zeros((n_terms, (len(self.order) + BLOCK - 1) // BLOCK))
-        self.blocks = []                             # its terms, and its vectors over these terms
-        for at in range(0, len(self.order), BLOCK):
-            rows = [vectors[i] for i in self.order[at:at + BLOCK]]
-            terms = sorted(set().union(*rows))
-            place = {t: j for j, t in enumerate(terms)}
-            weights = np.zeros((len(rows), len(terms)))
-            for r, vector in enumerate(rows):
-                for t, w in vector.items():
-                    weights[r, place[t]] = w
-            self.most[terms, at // BLOCK] = weights.max(axis=0)
-            self.blocks.append((np.array(terms), weights))
+    def __init__(self, n_terms: int, vectors):
+        heaviest, own = [], []
+        for i, vector in enumerate(vectors):
+            if vector:
+                heaviest.append((sorted(vector, key=lambda t: (-vector[t], t))[:8], i))
+                own.append((np.fromiter(vector, np.int32, len(vector)),
+                            np.fromiter(vector.values(), np.float32, len(vector))))
+            else:
+                own.append(None)
+        self.order = np.array([i for _, i in sorted(heaviest)], np.int64)
+        held = [own[i] for i in self.order.tolist()]
+        terms = np.concatenate([t for t, _ in held] or [np.zeros(0, np.int32)])
+        weights = np.concatenate([w for _, w in held] or [np.zeros(0, np.float32)])
+        place = np.repeat(np.arange(len(held), dtype=np.int32), [len(t) for t, _ in held])
+        del own, held, heaviest
+        by_term = np.argsort(terms, kind="stable")
+        terms, self.place, self.weight = terms[by_term], place[by_term], weights[by_term]
+        del by_term, place, weights
+        block = self.place // BLOCK
+        # a run: the vectors of one block that hold one term
+        first = np.flatnonzero(np.append(True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1]))[:len(terms)])
+        self.run = np.append(first, len(terms))
+        self.block = block[first]
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
+        self.at = np.searchsorted(terms[first], np.arange(n_terms + 1))
 
     def top(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """The k examples of greatest positive cosine: (cosine, example)."""
-        if not query or not self.blocks:
+        if not query or not len(self.order):
             return []
-        terms = np.array(sorted(query))
-        weights = np.array([query[t] for t in terms.tolist()])
-        bound = weights @ self.most[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or len(best) == k and best[-1][0] >= bound[block]:
+        terms = np.fromiter(query, np.int64, len(query))
+        size = self.at[terms + 1] - self.at[terms]
+        runs = _ranges(self.at[terms], size)
+        weights = np.repeat(np.fromiter(query.values(), float, len(query)), size)
+        block = self.block[runs]
+        bound = np.bincount(block, weights * self.most[runs], (len(self.order) + BLOCK - 1) // BLOCK)
+        ranked = np.argsort(-bound, kind="stable")
+        ranked = ranked[bound[ranked] > 0]
+        score, at, step, least = np.zeros(len(self.order)), 0, 4, 0.0
+        while at < len(ranked):
+            some = ranked[at:at + step]
+            # sums may round down, the bound as well as the cosines
+            some = some[bound[some] * (1 + 1e-6) >= least]
+            if not len(some):
                 break
-            own, rows = self.blocks[block]
-            at = np.minimum(np.searchsorted(own, terms), len(own) - 1)
-            there = own[at] == terms
-            score = rows[:, at[there]] @ weights[there]
-            more = np.flatnonzero(score > (best[-1][0] if len(best) == k else 0)).tolist()
-            if more:
-                best += [(float(score[r]), self.order[block * BLOCK + r]) for r in more]
-                best.sort(key=lambda x: (-x[0], x[1]))
-                del best[k:]
-        return best
+            chosen = np.zeros(len(bound), bool)
+            chosen[some] = True
+            mine = np.flatnonzero(chosen[block])
+            lengths = self.run[runs[mine] + 1] - self.run[runs[mine]]
+            postings = _ranges(self.run[runs[mine]], lengths)
+            score += np.bincount(self.place[postings], np.repeat(weights[mine], lengths) * self.weight[postings], len(score))
+            at, step = at + step, 4 * step
+            if len(score) > k:
+                least = max(0.0, float(np.partition(score, len(score) - k)[len(score) - k]))
+        found = np.flatnonzero((score >= least) & (score > 0))
+        best = sorted(zip((-score[found]).tolist(), self.order[found].tolist()))[:k]
+        return [(min(1.0, -s), i) for s, i in best]
 
 
 @dataclass
@@ -153,9 +191,9 @@ class Model:
     steps: tuple[np.ndarray, np.ndarray]
 
     def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        weights = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
+        weights = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in sorted(counts.items())}
         norm = math.sqrt(sum(w * w for w in weights.values()))
-        return {t: float(w / norm) for t, w in weights.items() if norm}
+        return {t: w / norm for t, w in weights.items() if norm}
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Votes weighted by closeness, with one vote at half weight for the base rate."""
@@ -222,6 +260,55 @@ def _word_counts(sample: DataFrame) -> DataFrame:
     return sample.select("text", "toxic").mapInArrow(run, "word string, rows bigint, toxic bigint")
 
 
+def _sureness(rows: np.ndarray, toxic: np.ndarray, base: float) -> np.ndarray:
+    """Factor of each word's weight, by the likelihood ratio of its own rate of toxic rows against the base rate."""
+    if not len(rows):
+        return rows
+    rows, toxic = np.maximum(rows, 0), np.minimum(np.maximum(toxic, 0), np.maximum(rows, 0))
+
+    def part(n, expected):
+        return n * np.log(np.maximum(n, 1e-300) / np.maximum(expected, 1e-300))
+
+    ratio = 2 * np.maximum(0, part(toxic, rows * base) + part(rows - toxic, rows * (1 - base)))
+    return FLOOR + (1 - FLOOR) * ratio / (ratio + SURE)
+
+
+def _own_votes(spark, model: "Model", rows: list, idf: np.ndarray, held: np.ndarray, toxic: np.ndarray) -> list[tuple[int, float]]:
+    """(example, vote of its nearest other examples) of the examples that have any.
+
+    idf, held, toxic: of each word, to weigh an example's words as if its own label were not known."""
+    if not rows:
+        return []
+    sent = ship(spark, (model, idf, held, toxic))
+
+    def found(model, idf, held, toxic, y, terms, counts):
+        at = np.frombuffer(terms, np.int32)
+        weights = idf[at] * _sureness(held[at] - 1, toxic[at] - y, model.base)
+        weights *= 1 + np.log(np.frombuffer(counts, np.int32))
+        norm = math.sqrt(float(weights @ weights))
+        return model.index.top(dict(zip(at.tolist(), (weights / norm).tolist())) if norm else {}, NEIGHBOURS + 1)
+
+    def run(batches):
+        values, known = shipped(sent), {}
+        model = values[0]
+        for batch in batches:
+            out = []
+            for i, *key in zip(*(c.to_pylist() for c in batch.columns)):
+                if tuple(key) not in known:          # copies vote once
+                    known[tuple(key)] = found(*values, *key)
+                near = [x for x in known[tuple(key)] if x[1] != i][:NEIGHBOURS]
+                if near:
+                    out.append((i, model.vote(near)))
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()),
+                                              pa.array([v for _, v in out], pa.float64())], names=["example", "vote"])
+
+    table = pa.table({"example": pa.array(range(len(rows)), pa.int64()), "toxic": pa.array([r.toxic for r in rows], pa.int64()),
+                      "terms": pa.array([bytes(r.terms) for r in rows], pa.binary()),
+                      "counts": pa.array([bytes(r.counts) for r in rows], pa.binary())})
+    voted = spark.createDataFrame(table).repartition(slots(spark), "example").mapInArrow(run, "example bigint, vote double")
+    return sorted((r.example, r.vote) for r in voted.collect())
+
+
 def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True)) -> Model:
     """The model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) where ``train(doc_id)``."""
     # the broadcast side: MAX_EXAMPLES rows of two numbers at most
@@ -230,57 +317,58 @@ def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True)) ->
     n, toxic = (x or 0 for x in sample.agg(F.count("*"), F.sum("toxic")).first())
     base = toxic / n if n else 0.0
     if 0 < toxic < n:
-        words = _word_counts(sample).groupBy("word").agg(F.sum("rows").alias("rows"), F.sum("toxic").alias("toxic"))
-        sure = F.abs(F.col("toxic") - F.col("rows") * base) / F.sqrt(F.col("rows") * (base * (1 - base)))
-        words = (words.where(F.col("rows") >= LEAST_ROWS).withColumn("sure", sure).where(F.col("sure") >= SURE)
-                 .orderBy(F.desc("sure"), "word").limit(MAX_TERMS).collect())
+        words = (_word_counts(sample).groupBy("word").agg(F.sum("rows").alias("rows"), F.sum("toxic").alias("toxic"))
+                 .orderBy("word").toArrow())
     else:
-        words = []
-    terms = Vocabulary([r.word for r in words])
+        words = pa.table({"word": pa.array([], pa.string()), "rows": pa.array([], pa.int64()),
+                          "toxic": pa.array([], pa.int64())})
+    terms = Vocabulary(words.column("word"))
+    held, of_toxic = (words.column(c).to_numpy().astype(float) for c in ("rows", "toxic"))
+    del words
+    sent = ship(docs.sparkSession, terms)
 
     def frequencies(batches):
+        terms = shipped(sent)
         total, rows = np.zeros(terms.size + 1, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
-                for t in terms.counts(text.as_py()):
-                    total[t] += 1
+                total[list(terms.counts(text.as_py()))] += 1
             rows += len(batch)
         total[-1] = rows
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["term", "n"])
 
-    counted = {r.term: r.n for r in docs.select("text").mapInArrow(frequencies, "term bigint, n bigint")
-               .groupBy("term").agg(F.sum("n").alias("n")).collect()} if words else {}
-    everything = counted.get(terms.size, 0)
-    idf = np.array([math.log((everything + 1) / (counted.get(t, 0) + 1)) + 1 for t in range(terms.size)])
+    counted = np.zeros(terms.size + 1)
+    if terms.size:
+        found = (docs.select("text").mapInArrow(frequencies, "term bigint, n bigint")
+                 .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
+        counted[found.column("term").to_numpy()] = found.column("n").to_numpy()
+    idf = np.log((counted[-1] + 1) / (counted[:-1] + 1)) + 1
 
     def counts(batches):
+        terms = shipped(sent)
         for batch in batches:
             found = [sorted(terms.counts(t.as_py()).items()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2),
-                 pa.array([[t for t, _ in x] for x in found], pa.list_(pa.int32())),
-                 pa.array([[c for _, c in x] for x in found], pa.list_(pa.int32()))],
+                 pa.array([np.array([t for t, _ in x], np.int32).tobytes() for x in found], pa.binary()),
+                 pa.array([np.array([c for _, c in x], np.int32).tobytes() for x in found], pa.binary())],
                 names=["doc_id", "toxic", "terms", "counts"])
 
     rows = sample.select("doc_id", "text", "toxic").mapInArrow(
-        counts, "doc_id bigint, toxic int, terms array<int>, counts array<int>")
+        counts, "doc_id bigint, toxic int, terms binary, counts binary")
     # one row per example, though documents may repeat an id: at most MAX_EXAMPLES rows
-    rows = sorted(rows.dropDuplicates(["doc_id"]).collect()) if words else []
-    model = Model(terms, idf, [r.doc_id for r in rows], np.array([r.toxic for r in rows], float),
-                  BlockMaxIndex(terms.size, []), base, base, (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
-    vectors = [model.vector(dict(zip(r.terms, r.counts))) for r in rows]
-    model.index = BlockMaxIndex(terms.size, vectors)
-    bare = [r.toxic for r, v in zip(rows, vectors) if not v]
-    model.empty = (sum(bare) + base) / (len(bare) + 1)
-    votes, known = [], {}
-    for i, (r, v) in enumerate(zip(rows, vectors)):
-        key = tuple(v.items())
-        if key not in known:
-            known[key] = model.index.top(v, NEIGHBOURS + 1)
-        near = [x for x in known[key] if x[1] != i][:NEIGHBOURS]       # without the example itself
-        if near:
-            votes.append((model.vote(near), r.toxic))
+    rows = sorted(rows.dropDuplicates(["doc_id"]).collect()) if terms.size else []
+    model = Model(terms, idf * _sureness(held, of_toxic, base), [r.doc_id for r in rows], np.array([r.toxic for r in rows], float),
+                  BlockMaxIndex(terms.size, []), base, min(base, REJECT / 2), (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
+
+    def vector(r):
+        return model.vector(dict(zip(np.frombuffer(r.terms, np.int32).tolist(), np.frombuffer(r.counts, np.int32).tolist())))
+
+    model.index = BlockMaxIndex(terms.size, (vector(r) for r in rows))
+    # without the example itself, by the tasks of a bounded table
+    votes = _own_votes(docs.sparkSession, model, rows, idf, held, of_toxic)
+    votes = [(v, rows[i].toxic) for i, v in votes]
     if votes:
         model.steps = _isotonic(np.array([v for v, _ in votes]), np.array([float(y) for _, y in votes]))
     return model

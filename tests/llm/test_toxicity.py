@@ -107,3 +107,25 @@ def test_given_tables(spark, small_dir):
     got = toxicity.scored(read("documents"), read("labels")).join(read("labels"), "doc_id").where("not held_out")
     right = got.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0]
     assert right >= 0.85
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_toxic_rows_are_found_and_clean_rows_stay(spark, size):
+    """Also on few labels, where no word is sure."""
+    read = lambda t: spark.read.parquet(f"/root/testdata/{size}/{t}.parquet")
+    got = toxicity.scored(read("documents"), read("labels")).join(read("labels"), "doc_id").collect()
+    toxic, clean = ([r.predicted for r in got if r.toxic == y] for y in (1, 0))
+    assert sum(toxic) >= 0.75 * len(toxic) and sum(clean) <= 0.1 * len(clean)
+    unseen = [r for r in got if r.held_out]
+    toxic, clean = ([r.predicted for r in unseen if r.toxic == y] for y in (1, 0))
+    print(size, sum(toxic), len(toxic), sum(clean), len(clean))
+    assert sum(toxic) >= 0.5 * len(toxic) and sum(clean) <= 0.2 * len(clean)
+    assert len({round(r.score, 9) for r in got}) > 3
+
+
+def test_every_word_of_the_sample_has_a_weight(spark):
+    docs = [(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26)} same", 0) for i in range(100)]
+    model = toxicity.fit(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(i, int(i < 50), 1) for i in range(100)], LABELS))
+    for _, text, _ in docs:
+        assert len(model.terms.counts(text)) >= 2 and all(w > 0 for w in model.vector(model.terms.counts(text)).values())
+    assert model.score(model.terms.counts("unknown"))[0] < toxicity.REJECT
