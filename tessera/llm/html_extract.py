@@ -4,9 +4,12 @@ Pages of a host are aligned by simple tree matching: the largest matching of
 two DOM trees that keeps labels, order and ancestry.  Runs of equal leaves
 count as one repeated slot.  Over the aligned pages a slot's text that stands
 on most of them is template; texts that vary are content, unless the slot
-plays another part (menu, footer, advert, form, comments ...) by its element
-or its class, id or role names, or is mostly links.  Where a page marks its
-article, content stands inside it.
+plays another part (menu, footer, advert, form, comments ...) by its element,
+or is mostly links.  Where a page marks its article, content stands inside it.
+Class, id or role names of another part are evidence only: what stands below
+them is not content where that is a small share of the aligned pages' text.
+They say nothing about ``html``, ``body``, ``main``, ``article`` or what holds
+the marked article.
 
 Pages are range-partitioned by host and, within a host, by a hash of the page;
 runs of at most ``GROUP_PAGES`` of a host's pages are its groups, and each group
@@ -37,6 +40,8 @@ GROUP_PAGES, LEAST_PAGES, CONSTANT = 256, 4, 0.6
 #: Share of link text from which a slot outside an article is a menu; deepest nesting; largest
 #: product of children matched exactly.
 LINKED, DEEPEST, CELLS = 0.5, 100, 40_000
+#: Share of the text below which an element named as another part is one.
+SMALL = 0.3
 
 # Elements of HTML by the part they play.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp "
@@ -44,7 +49,8 @@ INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i i
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template textarea title iframe object svg math select xmp noembed noframes".split())
 OTHER_PARTS = set("nav header footer aside form button dialog menu head canvas audio video".split())
-# Words in class, id or role that name such a part.
+# Elements that names say nothing about; words in class, id or role that name another part.
+OWN_PARTS = set("html body main article".split())
 OTHER_WORDS = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav "
                   "navbar navigation menu breadcrumb breadcrumbs sidebar aside complementary contentinfo footer header "
                   "masthead cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe "
@@ -65,12 +71,14 @@ _HOST = re.compile(r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
 
 
 class Node:
-    __slots__ = ("tag", "label", "other", "inside", "children", "slot")
+    __slots__ = ("tag", "label", "other", "inside", "children", "slot", "marks", "hint", "named")
 
     def __init__(self, tag, label="", other=False, inside=False):
         self.tag, self.label, self.other, self.inside = tag, label or tag, other, inside
         self.children: list[Node] = []
         self.slot = -1
+        self.marks = self.hint = False
+        self.named: Node | None = None               # the outermost element round it, or itself, of such a name
 
 
 class Page:
@@ -145,18 +153,44 @@ class Page:
             names = _NAMES.findall(rest or "")
             words = {w for _, v in names for w in _SPLIT.split(v.strip("\"'").lower()) if w}
             parent = stack[-1]
-            other = tag in OTHER_PARTS or bool(words & OTHER_WORDS)
-            if other and parent.inside and (tag == "header" or tag not in OTHER_PARTS and words & OTHER_WORDS == {"header"}):
-                other = False                        # the article's own head
+            other = tag in OTHER_PARTS and not (tag == "header" and parent.inside)   # the article's own head
+            hint = tag not in OWN_PARTS and words & OTHER_WORDS and not (parent.inside and words & OTHER_WORDS == {"header"})
             marks = tag in ("article", "main") or "main" in words and "role" in {k.lower() for k, _ in names}
             inside = parent.inside or marks and not other and not parent.other
-            self.marked |= inside
             label = tag + "".join(sorted("." + v.strip("\"'").lower() for k, v in names if k.lower() == "class"))
             node = Node(tag, label, other or parent.other, inside)
+            node.marks, node.hint = marks and not node.other, bool(hint)
             parent.children.append(node)
             if len(stack) < DEEPEST:
                 stack.append(node)
         flush()
+        self._name()
+
+    def _walk(self):
+        todo = [(self.root, None)]
+        while todo:
+            node, parent = todo.pop()
+            yield node, parent
+            todo += [(child, node) for child in node.children]
+
+    def _name(self):
+        """Which elements stand below a name of another part, and inside the marked article."""
+        marks, parents = [], {}
+        for node, parent in self._walk():
+            parents[node] = parent
+            node.named = parent and parent.named or (node if node.hint else None)
+            if node.marks:
+                marks.append(node)
+        free = {n for n in marks if not n.named}
+        if marks and not free:                       # names round the only marked article say nothing
+            free = set(marks)
+            for node in marks:
+                while node:
+                    node.hint, node = False, parents[node]
+        for node, parent in self._walk():
+            node.named = parent and parent.named or (node if node.hint else None)
+            node.inside = bool(parent and parent.inside) or node in free
+        self.marked = bool(free)
 
 
 def shape(node: Node) -> list[list[Node]]:
@@ -251,6 +285,19 @@ def main_texts(sources: list[str | None]) -> list[str]:
             share = links.setdefault(node.slot, [0, 0])
             share[0] += linked
             share[1] += len(text)
+    # text below each element of a telling name, and of the pages that have it
+    below: dict[int, list[int]] = {}
+    for page in pages:
+        total, named = 0, {}
+        for node, text, _ in page.blocks:
+            if not node.other:
+                total += len(text)
+                if node.named:
+                    named[node.named] = named.get(node.named, 0) + len(text)
+        for node, n in named.items():
+            one = below.setdefault(node.slot if node.slot != -1 else id(node), [0, 0])
+            one[0] += n
+            one[1] += total
     often = max(LEAST_PAGES, CONSTANT * len(pages))
     out = {}
     for source, page in parsed.items():
@@ -258,6 +305,10 @@ def main_texts(sources: list[str | None]) -> list[str]:
         for node, text, linked in page.blocks:
             if node.other or page.marked and not node.inside:
                 continue
+            if node.named:
+                share = below[node.named.slot if node.named.slot != -1 else id(node.named)]
+                if share[0] < SMALL * share[1]:
+                    continue
             if seen.get((node.slot, xxhash.xxh3_64_intdigest(text)), 0) >= often:
                 continue                             # template
             share = links[node.slot] if node.slot != -1 else [linked, len(text)]

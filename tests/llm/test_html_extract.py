@@ -98,3 +98,19 @@ def test_tree_matching_is_the_largest():
         pairs = []
         assert hx.tree_match(a, b, pairs) == brute(a, b) == len(pairs)
         assert all(x.label == y.label for x, y in pairs)
+
+
+@pytest.mark.parametrize("body,before,after", [
+    ("right-sidebar menu-open", "<main class='search-results'><article class='post social'>", "</article></main>"),
+    ("", "<div class='content with-sidebar'>", "</div>"), ("nav", "<div class='menu-wrap'><article>", "</article></div>"),
+    ("", "<div class='comment-page'><main>", "</main></div>")])
+def test_names_round_the_article_veto_nothing(body, before, after):
+    rng = random.Random(11)
+    pages, want = [], []
+    for _ in range(12):
+        blocks = [words(rng, 30) for _ in range(4)]
+        want.append("\n\n".join(blocks))
+        pages.append(f"<html class='nav'><body class='{body}'><div class='menu'>Menu</div>{before}"
+                     + "".join(f"<p>{b}</p>" for b in blocks) + f"{after}<div id='comments'><p>{words(rng, 5)}</p></div></body></html>")
+    assert hx.main_texts(pages) == want
+    assert hx.main_texts(pages[:1]) == want[:1]
