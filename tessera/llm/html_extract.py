@@ -19,8 +19,8 @@ text a template.
 
 Defined results: null or empty html has the empty text; a null or odd url is a
 host of its own kind; a page without article, template or other evidence keeps
-all text that plays no other part; elements nested deeper than ``DEEPEST`` are
-taken as if at that depth.  Blocks are joined by two line feeds; white space in
+all text that plays no other part; elements nested deeper than ``DEEPEST``
+aren't aligned, their text counts for the slot of the one at that depth.  Blocks are joined by two line feeds; white space in
 a block, line breaks included, is one space.
 """
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 #: Pages of a group; least distinct pages and least share of them that make a text template.
 GROUP_PAGES, LEAST_PAGES, CONSTANT = 256, 4, 0.6
-#: Share of link text from which a slot outside an article is a menu; deepest nesting; largest
+#: Share of link text from which a slot outside an article is a menu; deepest nesting aligned; largest
 #: product of children matched exactly.
 LINKED, DEEPEST, CELLS = 0.5, 100, 40_000
 #: Share of the text below which an element named as another part is one.
@@ -71,13 +71,14 @@ _HOST = re.compile(r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
 
 
 class Node:
-    __slots__ = ("tag", "label", "other", "inside", "children", "slot", "marks", "hint", "named")
+    __slots__ = ("tag", "label", "other", "inside", "children", "slot", "marks", "hint", "named", "anchor")
 
     def __init__(self, tag, label="", other=False, inside=False):
         self.tag, self.label, self.other, self.inside = tag, label or tag, other, inside
         self.children: list[Node] = []
         self.slot = -1
         self.marks = self.hint = False
+        self.anchor = self                           # the element whose slot its text counts for
         self.named: Node | None = None               # the outermost element round it, or itself, of such a name
 
 
@@ -89,6 +90,12 @@ class Page:
         self.blocks: list[tuple[Node, str, int]] = []
         self.marked = False
         stack, said, linked, in_link, at = [self.root], [], 0, 0, 0
+        opened: dict[str, int] = {}                  # open elements by tag
+
+        def close():
+            node = stack.pop()
+            opened[node.tag] -= 1
+            return node
 
         def flush():
             nonlocal linked
@@ -132,9 +139,9 @@ class Page:
                     flush()
                 continue
             if closing:
-                if any(n.tag == tag for n in stack[1:]):
+                if opened.get(tag):
                     flush()
-                    while stack.pop().tag != tag:
+                    while close().tag != tag:
                         pass
                     in_link = 0
                 continue
@@ -142,13 +149,14 @@ class Page:
             in_link = 0
             ends = CLOSES.get(tag, {"p"})
             while len(stack) > 1 and stack[-1].tag in ends and (stack[-1].tag not in SCOPES):
-                stack.pop()
-            if tag in CLOSES:                        # an open element of the kind, below others
+                close()
+            if any(opened.get(t) for t in CLOSES.get(tag, ())):                        # an open element of the kind, below others
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth].tag in SCOPES:
                         break
                     if stack[depth].tag in CLOSES[tag]:
-                        del stack[depth:]
+                        while len(stack) > depth:
+                            close()
                         break
             names = _NAMES.findall(rest or "")
             words = {w for _, v in names for w in _SPLIT.split(v.strip("\"'").lower()) if w}
@@ -161,8 +169,10 @@ class Page:
             node = Node(tag, label, other or parent.other, inside)
             node.marks, node.hint = marks and not node.other, bool(hint)
             parent.children.append(node)
-            if len(stack) < DEEPEST:
-                stack.append(node)
+            if len(stack) > DEEPEST:
+                node.anchor = parent.anchor
+            stack.append(node)
+            opened[tag] = opened.get(tag, 0) + 1
         flush()
         self._name()
 
@@ -204,13 +214,13 @@ def shape(node: Node) -> list[list[Node]]:
     return runs
 
 
-def tree_match(a: Node, b: Node, pairs: list | None = None) -> int:
+def tree_match(a: Node, b: Node, pairs: list | None = None, depth: int = 0) -> int:
     """Simple tree matching: nodes in the largest matching of two trees, 0 if the roots' labels differ.
 
     pairs: gets the matched (node of a, node of b); a run of leaves stands for its nodes."""
     if a.label != b.label:
         return 0
-    left, right = shape(a), shape(b)
+    left, right = (shape(a), shape(b)) if depth < DEEPEST else ([], [])
     m, n = len(left), len(right)
     if pairs is not None:
         pairs.append((a, b))
@@ -221,13 +231,13 @@ def tree_match(a: Node, b: Node, pairs: list | None = None) -> int:
         for x in left:
             k = next((k for k in range(j, min(n, j + 50)) if right[k][0].label == x[0].label), -1)
             if k >= 0:
-                total += _run_match(x, right[k], pairs)
+                total += _run_match(x, right[k], pairs, depth + 1)
                 j = k + 1
         return total
     score = [[0] * (n + 1) for _ in range(m + 1)]
     for i in range(m):
         for j in range(n):
-            score[i + 1][j + 1] = max(score[i][j + 1], score[i + 1][j], score[i][j] + _run_match(left[i], right[j], None))
+            score[i + 1][j + 1] = max(score[i][j + 1], score[i + 1][j], score[i][j] + _run_match(left[i], right[j], None, depth + 1))
     if pairs is not None:
         i, j = m, n
         while i and j:
@@ -237,13 +247,13 @@ def tree_match(a: Node, b: Node, pairs: list | None = None) -> int:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                _run_match(left[i], right[j], pairs)
+                _run_match(left[i], right[j], pairs, depth + 1)
     return 1 + score[m][n]
 
 
-def _run_match(x: list[Node], y: list[Node], pairs) -> int:
+def _run_match(x: list[Node], y: list[Node], pairs, depth: int) -> int:
     if len(x) == 1 and len(y) == 1:
-        return tree_match(x[0], y[0], pairs)
+        return tree_match(x[0], y[0], pairs, depth)
     if x[0].label != y[0].label or x[0].children or y[0].children:
         return 0
     if pairs is not None:
@@ -279,10 +289,10 @@ def main_texts(sources: list[str | None]) -> list[str]:
     seen: dict[tuple[int, int], int] = {}
     links: dict[int, list[int]] = {}
     for page in pages:
-        for key in {(node.slot, xxhash.xxh3_64_intdigest(text)) for node, text, _ in page.blocks if node.slot != -1}:
+        for key in {(node.anchor.slot, xxhash.xxh3_64_intdigest(text)) for node, text, _ in page.blocks if node.anchor.slot != -1}:
             seen[key] = seen.get(key, 0) + 1
         for node, text, linked in page.blocks:
-            share = links.setdefault(node.slot, [0, 0])
+            share = links.setdefault(node.anchor.slot, [0, 0])
             share[0] += linked
             share[1] += len(text)
     # text below each element of a telling name, and of the pages that have it
@@ -309,9 +319,9 @@ def main_texts(sources: list[str | None]) -> list[str]:
                 share = below[node.named.slot if node.named.slot != -1 else id(node.named)]
                 if share[0] < SMALL * share[1]:
                     continue
-            if seen.get((node.slot, xxhash.xxh3_64_intdigest(text)), 0) >= often:
+            if seen.get((node.anchor.slot, xxhash.xxh3_64_intdigest(text)), 0) >= often:
                 continue                             # template
-            share = links[node.slot] if node.slot != -1 else [linked, len(text)]
+            share = links[node.anchor.slot] if node.anchor.slot != -1 else [linked, len(text)]
             if not node.inside and share[0] > LINKED * share[1]:
                 continue
             kept.append(text)

@@ -114,3 +114,11 @@ def test_names_round_the_article_veto_nothing(body, before, after):
                      + "".join(f"<p>{b}</p>" for b in blocks) + f"{after}<div id='comments'><p>{words(rng, 5)}</p></div></body></html>")
     assert hx.main_texts(pages) == want
     assert hx.main_texts(pages[:1]) == want[:1]
+
+
+def test_text_after_a_deep_nest():
+    deep = "<div>" * 150 + "deep" + "<nav>menu</nav>" + "</div>" * 150
+    page = f"<body><div><article><p>first</p>{deep}<p>last</p></article></div><p>outside</p></body>"
+    assert hx.main_texts([page]) == ["first\n\ndeep\n\nlast"]
+    pages = [page.replace("deep", f"deep {i}").replace("last", f"last {i}") for i in range(6)]
+    assert hx.main_texts(pages) == [f"deep {i}\n\nlast {i}" for i in range(6)]
