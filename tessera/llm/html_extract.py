@@ -27,6 +27,7 @@ a block, line breaks included, is one space.
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 
 import numpy as np
@@ -37,9 +38,8 @@ from pyspark.sql import functions as F
 
 #: Pages of a group; least distinct pages and least share of them that make a text template.
 GROUP_PAGES, LEAST_PAGES, CONSTANT = 256, 4, 0.6
-#: Share of link text from which a slot outside an article is a menu; deepest nesting aligned; largest
-#: product of children matched exactly.
-LINKED, DEEPEST, CELLS = 0.5, 100, 40_000
+#: Share of link text from which a slot outside an article is a menu; deepest nesting aligned.
+LINKED, DEEPEST = 0.5, 100
 #: Share of the text below which an element named as another part is one.
 SMALL = 0.3
 
@@ -226,29 +226,47 @@ def tree_match(a: Node, b: Node, pairs: list | None = None, depth: int = 0) -> i
         pairs.append((a, b))
     if not m or not n:
         return 1
-    if m * n > CELLS:                                # too many to weigh all: in order, label by label
-        total, j = 1, 0
-        for x in left:
-            k = next((k for k in range(j, min(n, j + 50)) if right[k][0].label == x[0].label), -1)
-            if k >= 0:
-                total += _run_match(x, right[k], pairs, depth + 1)
-                j = k + 1
-        return total
-    score = [[0] * (n + 1) for _ in range(m + 1)]
-    for i in range(m):
-        for j in range(n):
-            score[i + 1][j + 1] = max(score[i][j + 1], score[i + 1][j], score[i][j] + _run_match(left[i], right[j], None, depth + 1))
+    leaves: dict[str, tuple[list[int], list[int]]] = {}          # by label: runs of leaves, and others
+    for j, y in enumerate(right):
+        leaves.setdefault(y[0].label, ([], []))[bool(y[0].children)].append(j)
+
+    def rows(row, i, stop):
+        """The rows of scores from i to stop, after ``row``."""
+        for x in left[i:stop]:
+            best = row.copy()
+            if x[0].label in leaves:
+                flat, deep = leaves[x[0].label]
+                weights = np.zeros(n, np.int32)
+                if not x[0].children:
+                    weights[flat] = 1
+                for j in deep if not x[0].children else flat + deep:
+                    weights[j] = _run_match(x, right[j], None, depth + 1)
+                best[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weights))
+            row = best
+            yield row
+
+    # every step-th row is kept, those between are made again for the way back
+    step = max(64, math.isqrt(m))
+    kept, row = [np.zeros(n + 1, np.int32)], None
+    for i, row in enumerate(rows(kept[0], 0, m), 1):
+        if i % step == 0:
+            kept.append(row)
+    total = int(row[n])
     if pairs is not None:
         i, j = m, n
         while i and j:
-            if score[i][j] == score[i - 1][j]:
-                i -= 1
-            elif score[i][j] == score[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                _run_match(left[i], right[j], pairs, depth + 1)
-    return 1 + score[m][n]
+            base = (i - 1) // step
+            score = [kept[base], *rows(kept[base], base * step, i)]
+            while i > base * step and j:
+                here = score[i - base * step]
+                if here[j] == score[i - base * step - 1][j]:
+                    i -= 1
+                elif here[j] == here[j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    _run_match(left[i], right[j], pairs, depth + 1)
+    return 1 + total
 
 
 def _run_match(x: list[Node], y: list[Node], pairs, depth: int) -> int:

@@ -122,3 +122,17 @@ def test_text_after_a_deep_nest():
     assert hx.main_texts([page]) == ["first\n\ndeep\n\nlast"]
     pages = [page.replace("deep", f"deep {i}").replace("last", f"last {i}") for i in range(6)]
     assert hx.main_texts(pages) == [f"deep {i}\n\nlast {i}" for i in range(6)]
+
+
+def test_long_pages_are_matched_exactly():
+    """Thousands of runs before template that has the content's labels."""
+    rng = random.Random(12)
+    pages, want = [], []
+    for n in (3000, 10, 11, 12, 10, 13, 12, 14):
+        blocks = [words(rng, 4) for _ in range(n)]
+        want.append("\n\n".join(blocks))
+        pages.append("<body>" + "".join(f"<h2>{b}</h2>" if i % 2 == 0 else f"<p>{b}</p>" for i, b in enumerate(blocks))
+                     + "".join(f"<h4>About us {i}</h4><p>Footer text {i}</p>" for i in range(12)) + "</body>")
+    assert hx.main_texts(pages) == want
+    a, b = hx.Page(pages[0]).root, hx.Page(pages[1]).root
+    assert hx.tree_match(a, b) == 2 + 10 + 24        # the page, its body, the runs
