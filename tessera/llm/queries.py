@@ -11,7 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, context_mixing, embed_dedup, fingerprint, html_extract, minhash, mixing, preference, toxicity, training_order
+from . import (bpe, context_mixing, embed_dedup, fingerprint, html_extract, lexical_search, minhash, mixing, preference,
+               toxicity, training_order)
 from .common import table, written
 
 #: Parameter: rank file and split pattern of the byte-level BPE.
@@ -64,6 +65,11 @@ def op10_training_order(spark, sf_dir):
                                          training_order.fresh_folder(spark))
 
 
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_toxicity": op2_toxicity,
@@ -75,8 +81,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_preference_pairs": op8_preference_pairs,
     "op9_source_mix": op9_source_mix,
     "op10_training_order": op10_training_order,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
     "op8_preference_pairs": preference.RENDERED_SQL,
+    "op13_lexical_search": lexical_search.RANKED_SQL,
 }
