@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, context_mixing, embed_dedup, fingerprint, html_extract, lexical_search, minhash, mixing, preference,
-               toxicity, training_order)
+               prefix_trie, toxicity, training_order)
 from .common import table, written
 
 #: Parameter: rank file and split pattern of the byte-level BPE.
@@ -65,6 +65,10 @@ def op10_training_order(spark, sf_dir):
                                          training_order.fresh_folder(spark))
 
 
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op13_lexical_search(spark, sf_dir):
     return lexical_search.search(table(spark, sf_dir, "documents", "doc_id", "text"),
                                  table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -81,10 +85,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_preference_pairs": op8_preference_pairs,
     "op9_source_mix": op9_source_mix,
     "op10_training_order": op10_training_order,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
     "op8_preference_pairs": preference.RENDERED_SQL,
+    "op12_prefix_trie": prefix_trie.TRIE_SQL,
     "op13_lexical_search": lexical_search.RANKED_SQL,
 }
