@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, context_mixing, embed_dedup, fingerprint, html_extract, lexical_search, minhash, mixing, preference,
-               prefix_trie, toxicity, training_order)
+               prefix_trie, suffix_dedup, toxicity, training_order)
 from .common import table, written
 
 #: Parameter: rank file and split pattern of the byte-level BPE.
@@ -65,6 +65,10 @@ def op10_training_order(spark, sf_dir):
                                          training_order.fresh_folder(spark))
 
 
+def op11_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.removed_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_preference_pairs": op8_preference_pairs,
     "op9_source_mix": op9_source_mix,
     "op10_training_order": op10_training_order,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_lexical_search": op13_lexical_search,
 }

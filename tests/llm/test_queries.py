@@ -18,6 +18,7 @@ COLUMNS = {
     "op6_html_text": "page_id url text n_chars",
     "op7_context_mixing": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op9_source_mix": "doc_id size source_size target taken",
+    "op11_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
 }
 NATIVE = {"op8_preference_pairs", "op9_source_mix"}
 TABLE = {1: "embeddings", 6: "pages"}
