@@ -25,17 +25,19 @@ def rule_audit_counts(fee_txn: DataFrame, cards: DataFrame) -> DataFrame:
     """FLT-4, JOIN-7, AGG-2, AGG-3.  One row: distinct transactions, and how
     many of them pass the rules and belong to a known card.
 
-    Whole-row distinct keeps map-side partial aggregation, so runs of
-    identical rows collapse before the shuffle.  Only rows that pass the rules
-    meet the cards; each count is one number per partition.
+    Counted in two levels over one scan.  The whole-row distinct is the only
+    exchange of transactions; it keeps map-side partial aggregation, so runs
+    of identical rows collapse before it.  Its rows become one row per card
+    (rows, and rows that pass), combined map-side, so that a card with any share
+    of the transactions is at most one row a task.  Those rows meet the known
+    cards, and each count is one number per partition.
     """
-    known = mart.known_cards(cards)
-    passing = (fee_txn.where(rules.passes_rules()).distinct()
-               .join(known, F.col("PAN") == known["CRD_NO"], "left_semi"))
-    one = F.count(F.lit(1))
-    counts = (fee_txn.distinct().agg(one.alias("n_rows"), F.lit(0).cast("bigint").alias("n_matched"))
-              .unionByName(passing.agg(F.lit(0).cast("bigint").alias("n_rows"), one.alias("n_matched"))))
-    return counts.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_matched").alias("n_matched"))
+    per_card = (fee_txn.distinct().groupBy("PAN")
+                .agg(F.count(F.lit(1)).alias("n"), F.count_if(rules.passes_rules()).alias("n_passing")))
+    known = mart.known_cards(cards).distinct().withColumn("known", F.lit(True))
+    return (per_card.join(known, per_card["PAN"] == known["CRD_NO"], "left")
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+                 F.coalesce(F.sum(F.when(F.col("known"), F.col("n_passing"))), F.lit(0)).alias("n_matched")))
 
 
 def branch_lookup(branches: DataFrame, org_id: str = DEFAULT_LOOKUP_BRANCH) -> DataFrame:

@@ -95,3 +95,37 @@ def test_hot_history_key_is_split_on_the_preserved_side(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_audit_counts_shuffle_the_transactions_once_whatever_a_card_holds(spark):
+    from tessera.plans import audit
+
+    n, hot = 30_000, "9999999999999999"
+    cols = {c: F.lit("x") for c in mart.FEE_TXN_COLS}
+    cols.update({
+        "PAN": F.when(F.col("id") % 3 == 0, F.lit(hot)).when(F.col("id") % 7 == 0, F.lit(None))
+        .otherwise(F.lpad((F.col("id") % 500).cast("string"), 16, "0")),
+        "TRC_NO": F.col("id").cast("string"),
+        "MSG_TYP": F.when(F.col("id") % 2 == 0, "0200").otherwise("0100"), "PRO_CD": F.lit("000000"), "POS_CD": F.lit("00"),
+    })
+    txn = spark.range(n).select(*[cols[c].alias(c) for c in mart.FEE_TXN_COLS])
+    cards = (spark.range(0, 400).select(F.lpad(F.col("id").cast("string"), 16, "0").alias("CRD_NO"))
+             .union(spark.createDataFrame([(hot,), (hot,)], "CRD_NO string"))
+             .select("CRD_NO", F.lit("0").alias("CRD_TYP"), F.lit("00000058").alias("CRD_KND"), F.lit("A").alias("CRD_KND_NM"),
+                     F.lit("1").alias("CRD_STS"), F.lit("a").alias("AC"), F.lit("c").alias("CINO"), F.lit("b").alias("OPN_BR")))
+    out = audit.rule_audit_counts(txn.union(txn.where("PAN is null or PAN > '5'")), cards)     # and repeated rows
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    row = out.first()
+    passing = [i for i in range(n) if i % 2 == 0 and (i % 3 == 0 or (i % 7 and i % 500 < 400))]
+    assert (row.n_rows, row.n_matched) == (n, len(passing))
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "TRC_NO" in line]
+    assert len(wide) == 1
+
+
+def test_audit_counts_of_empty_tables(spark):
+    from tessera.plans import audit
+
+    txn = spark.createDataFrame([], ", ".join(f"{c} string" for c in mart.FEE_TXN_COLS))
+    cards = spark.createDataFrame([], "CRD_NO string, CRD_TYP string, CRD_KND string, CRD_KND_NM string, CRD_STS string, "
+                                      "AC string, CINO string, OPN_BR string")
+    assert tuple(audit.rule_audit_counts(txn, cards).first()) == (0, 0)
