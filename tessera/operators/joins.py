@@ -1,8 +1,8 @@
 """Join helpers.
 
 Broadcasting is only done behind a size check: the side is materialised once
-on shared storage, its bytes are added up (one number per partition), and it
-is broadcast only under the limit.  Past the limit the join is left to the
+on shared storage, the same job adds up its bytes (one number per partition),
+and it is broadcast only under the limit.  Past the limit the join is left to the
 planner (sort-merge, with AQE skew splitting of hot keys).
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .materialize import checkpointed
@@ -21,12 +21,25 @@ DEFAULT_BROADCAST_BYTES = 64 << 20
 VALUE_BYTES = 16
 
 
-def held_bytes(df: DataFrame) -> int:
-    """Bytes of the rows: each value's text form and VALUE_BYTES, summed where the rows are."""
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: each value's text form and VALUE_BYTES."""
     row = F.lit(0)
     for name in df.columns:
         row = row + VALUE_BYTES + F.coalesce(F.octet_length(df[name].cast("string")), F.lit(0))
-    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
+    return row.cast("long")
+
+
+def held_bytes(df: DataFrame) -> int:
+    """Bytes of the rows, summed where the rows are."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written to the shared checkpoint folder, and the bytes of its rows, observed by the job that writes
+    them (no second job reads the copy)."""
+    seen = Observation()
+    fixed = checkpointed(df.observe(seen, F.sum(row_bytes(df)).alias("bytes")))
+    return fixed, seen.get["bytes"] or 0
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
@@ -34,8 +47,8 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
     ``max_bytes``; otherwise returned un-hinted."""
     # A frame whose rows sit in the plan itself (built from driver-side rows)
     # is already materialised; anything else is written out once.
-    fixed = df if df.isLocal() else checkpointed(df)
-    return F.broadcast(fixed) if held_bytes(fixed) <= max_bytes else fixed
+    fixed, size = (df, held_bytes(df)) if df.isLocal() else measured(df)
+    return F.broadcast(fixed) if size <= max_bytes else fixed
 
 
 def bounded_broadcasts(*dfs: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[DataFrame]:

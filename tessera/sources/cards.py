@@ -9,13 +9,15 @@ is a lazy DataFrame; only the columns the mart uses are produced.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import Future
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.materialize import written
-from .tables import read_table, table_path
+from .manifest import InputManifest
+from .tables import read_table
 
 
 @dataclass(frozen=True)
@@ -196,16 +198,9 @@ def card_inputs(spark: SparkSession, sf_dir: str) -> CardInputs:
                          for field in SOURCES})
 
 
-def files_identity(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> str:
-    """Changes when a file of the tables is added, removed or rewritten: paths, sizes and times of the
-    files, summed where they are listed (their contents are not read)."""
-    files = spark.read.format("binaryFile").load([table_path(sf_dir, t) for t in tables])
-    row = files.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
-    return f"{row[0]}:{row[1]}"
-
-
-_WRITTEN: dict[tuple, DataFrame] = {}
-_LOCK = threading.RLock()
+#: Written tables (or those being written) by application, folder, table and the identity of its files.
+_WRITTEN: dict[tuple, Future] = {}
+_LOCK = threading.Lock()
 
 
 class CardWarehouse:
@@ -213,22 +208,32 @@ class CardWarehouse:
 
     A table is derived and written when it is first asked for, so a query pays for the tables that
     it reads; the history is derived from the written transactions, so the fact join runs once.  A
-    written table is used again only while the files it came from are the same."""
+    written table is used again only while the files it came from are the same, by one listing of them for
+    this object (``InputManifest``).  Of threads that ask for one table at once, one writes it and the others
+    wait for it alone; a failed write leaves nothing behind."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
+        self._manifest = InputManifest(spark, sf_dir)
 
     def __getattr__(self, field: str) -> DataFrame:
         if field not in SOURCES:
             raise AttributeError(field)
         spark = self._spark
+        key = (spark.sparkContext.applicationId, self._dir, field, self._manifest.identity(SOURCES[field]))
         with _LOCK:
-            key = (spark.sparkContext.applicationId, self._dir, field,
-                   files_identity(spark, self._dir, SOURCES[field]))
-            if key not in _WRITTEN:
+            mine = key not in _WRITTEN
+            made = _WRITTEN.setdefault(key, Future())
+        if mine:
+            try:
                 fee_txn = self.fee_txn if field == "online_history" else None
-                _WRITTEN[key] = written(_derive(spark, self._dir, field, fee_txn), f"card_warehouse/{field}")
-            return _WRITTEN[key]
+                made.set_result(written(_derive(spark, self._dir, field, fee_txn), f"card_warehouse/{field}"))
+            except BaseException as error:
+                with _LOCK:
+                    del _WRITTEN[key]
+                made.set_exception(error)
+                raise
+        return made.result()
 
 
 def card_warehouse(spark: SparkSession, sf_dir: str) -> CardWarehouse:

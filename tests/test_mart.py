@@ -170,3 +170,74 @@ def test_tag_facts_release_their_cache(spark, small_dir):
 def test_size_check_counts_bytes_where_the_rows_are(spark):
     df = spark.range(1000).selectExpr("id", "cast(id as string) as text")
     assert held_bytes(df) > 1000 * 32
+
+
+def jobs_of(spark, build):
+    """Spark jobs that ``build()`` runs in this thread."""
+    import uuid
+    group, sc = uuid.uuid4().hex, spark.sparkContext
+    sc.setJobGroup(group, "counted")
+    try:
+        out = build()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_warm_inputs_are_found_without_a_job(spark, small_dir):
+    from tessera.sources import WAREHOUSE_TABLES
+    for field in WAREHOUSE_TABLES:
+        getattr(card_warehouse(spark, small_dir), field)
+    warm = card_warehouse(spark, small_dir)
+    assert jobs_of(spark, lambda: [getattr(warm, field) for field in WAREHOUSE_TABLES])[1] == 0
+
+
+def test_manifest_sees_the_files_that_the_scan_reads(spark, small_dir):
+    from tessera.sources import InputManifest
+    base = scratch_path(spark, "test/manifest")
+    supplier = read_table(spark, small_dir, "supplier")
+    supplier.withColumn("n", F.col("s_nationkey") % 3).write.partitionBy("n").parquet(f"{base}/supplier.parquet")
+    listed = InputManifest(spark, base)
+    files = [f for f, _, _ in listed.files("supplier")]
+    assert sorted(files) == sorted(x.replace("file:///", "file:/") for x in spark.read.parquet(f"{base}/supplier.parquet").inputFiles())
+    same = InputManifest(spark, base).identity(("supplier",))
+    assert listed.identity(("supplier",)) == same
+    supplier.limit(1).withColumn("n", F.lit(1)).write.mode("append").partitionBy("n").parquet(f"{base}/supplier.parquet")
+    assert listed.identity(("supplier",)) == same                # listed once
+    assert InputManifest(spark, base).identity(("supplier",)) != same
+    assert InputManifest(spark, base).files("nation") == []      # not there
+
+
+def test_a_table_is_written_once_by_threads_that_ask_at_once(spark, small_dir, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tessera.sources import cards
+    base = scratch_path(spark, "test/threads")
+    read_table(spark, small_dir, "customer").write.parquet(f"{base}/customer.parquet")
+    made = []
+    monkeypatch.setattr(cards, "_derive", lambda *a, real=cards._derive: made.append(a[2]) or real(*a))
+    with ThreadPoolExecutor(4) as pool:
+        frames = list(pool.map(lambda _: card_warehouse(spark, base).cards, range(4)))
+    assert made == ["cards"] and len({id(f) for f in frames}) == 1
+
+
+def test_a_failed_write_of_a_table_is_tried_again(spark, small_dir, monkeypatch):
+    import pytest
+
+    from tessera.sources import cards
+    base = scratch_path(spark, "test/failed")
+    read_table(spark, small_dir, "customer").write.parquet(f"{base}/customer.parquet")
+    with monkeypatch.context() as m:
+        m.setattr(cards, "written", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            card_warehouse(spark, base).cards
+    assert card_warehouse(spark, base).cards.count() > 0
+
+
+def test_size_check_is_the_job_that_writes_the_side(spark, small_dir):
+    from tessera.operators.joins import measured
+    source = written(spark.range(1000).selectExpr("id", "cast(id as string) as text"), "test/side")
+    (fixed, size), jobs = jobs_of(spark, lambda: measured(source))
+    assert jobs == 1
+    assert size == held_bytes(source) == held_bytes(fixed)
+    assert measured(source.where("id < 0"))[1] == 0
