@@ -6,10 +6,12 @@ written to an audit table, and each *distinct* matched task's job runs once
 for the batch, writing into the task's ``table_name``.  Unmatched messages
 only appear in the audit table.
 
-``foreachBatch`` may replay a batch after a failure; the audit rows of a batch
-are written under its batch id with overwrite, and the jobs overwrite their
-tables, so a replay leaves the same state.  The stream's offsets live in its
-``checkpointLocation`` on shared storage.
+``foreachBatch`` may replay a batch after a failure.  The audit rows of a batch
+are written under its batch id with overwrite.  Each job's run stands in a
+ledger of the batch: a row when it starts and one when it is done or has
+failed.  A replay runs the tasks that are not done, and those alone; a failed
+task does not keep the batch's other tasks from running.  The stream's offsets
+live in its ``checkpointLocation`` on shared storage.
 """
 
 from __future__ import annotations
@@ -28,8 +30,12 @@ Job = Callable[[SparkSession, str], None]
 # Audit rows, one folder per batch (``batch_id=<n>``).
 AUDIT_SCHEMA = ("message STRING, task_name STRING, table_name STRING, "
                 "n_messages BIGINT, matched BOOLEAN")
-# Job runs, one folder per batch; status: done, or job_missing for a matched task without a job.
-RUNS_SCHEMA = "task_name STRING, table_name STRING, status STRING"
+# The ledger of job runs, one folder per batch; status: started, then done or failed; job_missing for a matched
+# task without a job.  ``stream`` is the id that a stream keeps over restarts from its checkpoint.
+LEDGER_SCHEMA = ("task_name STRING, table_name STRING, attempt INT, status STRING, error STRING, stream STRING, "
+                 "at TIMESTAMP")
+# Spark's local property with the running stream's id.
+STREAM_ID = "sql.streaming.queryId"
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
@@ -38,9 +44,17 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return _read_batches(spark, path, schema)
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of the run ledger beside the audit table ``path`` (empty when no batch has run)."""
+    return _read_batches(spark, f"{path}_runs", LEDGER_SCHEMA + ", batch_id BIGINT")
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The job runs of the dispatcher with the audit table ``path`` (empty when no batch has run)."""
-    return _read_batches(spark, f"{path}_runs", RUNS_SCHEMA + ", batch_id BIGINT")
+    """The last state of each stream's task in each batch; ``started`` alone means that its run was cut off."""
+    later = F.struct("attempt", F.col("status") != "started", "at")
+    return (read_ledger(spark, path).groupBy("batch_id", "stream", "task_name", "table_name")
+            .agg(F.max("attempt").alias("attempt"), F.max_by("status", later).alias("status"),
+                 F.max_by("error", later).alias("error"), F.max("at").alias("at")))
 
 
 def _read_batches(spark, path, schema):
@@ -123,15 +137,45 @@ class TriggerDispatcher:
         # Distinct matched tasks: bounded by the control table, not the stream.
         matched = (spark.read.schema(AUDIT_SCHEMA).parquet(path).where("matched")
                    .select("task_name", "table_name").distinct().collect())
-        self.runs, states = [], []
-        for row in matched:
-            job = self.registry.get(row.task_name)
-            if job is not None:
-                job(spark, row.table_name)
-                self.runs.append((batch_id, row.task_name, row.table_name))
-            states.append((row.task_name, row.table_name, "done" if job else "job_missing"))
-        (spark.createDataFrame(states, RUNS_SCHEMA).write.mode("overwrite")
-         .parquet(f"{self.audit_path}_runs/batch_id={batch_id}"))
+        self.runs = []
+        if matched:
+            self._run(spark, batch_id, sorted((r.task_name, r.table_name) for r in matched))
+
+    def _run(self, spark: SparkSession, batch_id: int, tasks: list[tuple[str, str]]) -> None:
+        """Run the jobs of the batch's tasks that the ledger does not know as done; raise the first failure at the end."""
+        path = f"{self.audit_path}_runs/batch_id={batch_id}"
+        stream = spark.sparkContext.getLocalProperty(STREAM_ID)
+        earlier = [r for r in _read_batches(spark, path, LEDGER_SCHEMA).collect() if r.stream == stream]
+        done = {(r.task_name, r.table_name) for r in earlier if r.status == "done"}
+        failure = None
+        for task, table in tasks:
+            if (task, table) in done:
+                continue
+            attempt = 1 + max((r.attempt for r in earlier if (r.task_name, r.table_name) == (task, table)), default=0)
+
+            def note(status, error=None):
+                values = {"task_name": task, "table_name": table, "attempt": attempt, "status": status,  # noqa: B023
+                          "error": error, "stream": stream}
+                (spark.range(1, numPartitions=1)
+                 .select(*[F.lit(v).cast("int" if c == "attempt" else "string").alias(c) for c, v in values.items()],
+                         F.current_timestamp().alias("at"))
+                 .write.mode("append").parquet(path))
+
+            job = self.registry.get(task)
+            if job is None:
+                note("job_missing")
+                continue
+            note("started")
+            try:
+                job(spark, table)
+            except Exception as error:
+                note("failed", str(error)[:1000])
+                failure = failure or error
+            else:
+                note("done")
+                self.runs.append((batch_id, task, table))
+        if failure is not None:
+            raise failure
 
 
 def run_trigger_stream(messages: DataFrame, dispatcher: TriggerDispatcher,

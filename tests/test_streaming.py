@@ -161,3 +161,91 @@ def test_unreadable_audit_is_an_error(spark):
     with pytest.raises(Exception):
         read_audit(spark, base).collect()
     assert read_audit(spark, f"{base}/none").count() == 0
+
+
+def test_replay_runs_only_the_tasks_that_are_not_done(spark):
+    import pytest
+
+    from tessera.sources.control import TASK_SCHEMA
+    from tessera.streaming import read_ledger, read_runs
+
+    base = scratch_path(spark, "test-ledger")
+    tasks = spark.createDataFrame([(1, "A", "ta", "x"), (2, "B", "tb", "x"), (3, "C", "tc", "x")], TASK_SCHEMA)
+    batch = spark.createDataFrame([("A",), ("B",), ("C",), ("B",)], "value string")
+    calls, broken = [], [True]
+
+    def job(s, table):
+        calls.append(table)
+        if table == "tb" and broken[0]:
+            raise ValueError("tb is broken")
+
+    dispatcher = TriggerDispatcher(tasks, dict.fromkeys("ABC", job), f"{base}/audit")
+    with pytest.raises(ValueError, match="tb is broken"):
+        dispatcher(batch, 4)
+    assert calls == ["ta", "tb", "tc"]                    # the failure keeps no other task from running
+    states = {r.task_name: (r.status, r.attempt, r.error) for r in read_runs(spark, f"{base}/audit").collect()}
+    assert states == {"A": ("done", 1, None), "B": ("failed", 1, "tb is broken"), "C": ("done", 1, None)}
+    broken[0] = False
+    TriggerDispatcher(tasks, dict.fromkeys("ABC", job), f"{base}/audit")(batch, 4)      # another driver replays it
+    assert calls == ["ta", "tb", "tc", "tb"]
+    states = {r.task_name: (r.status, r.attempt) for r in read_runs(spark, f"{base}/audit").collect()}
+    assert states == {"A": ("done", 1), "B": ("done", 2), "C": ("done", 1)}
+    ledger = sorted((r.task_name, r.attempt, r.status) for r in read_ledger(spark, f"{base}/audit").collect())
+    assert ledger == [("A", 1, "done"), ("A", 1, "started"), ("B", 1, "failed"), ("B", 1, "started"),
+                      ("B", 2, "done"), ("B", 2, "started"), ("C", 1, "done"), ("C", 1, "started")]
+    dispatcher(batch, 5)                                   # the next batch runs them all
+    assert calls[4:] == ["ta", "tb", "tc"]
+
+
+def test_a_run_that_was_cut_off_is_run_again(spark):
+    from tessera.streaming import read_runs
+
+    base = scratch_path(spark, "test-ledger-cut")
+    batch = spark.createDataFrame([("RUN_LDM_CARD_DAILY",)], "value string")
+
+    class Killed(BaseException):
+        pass
+
+    def killed(s, table):
+        raise Killed
+
+    try:
+        TriggerDispatcher(read_tasks(spark), {"RUN_LDM_CARD_DAILY": killed}, f"{base}/audit")(batch, 0)
+    except Killed:
+        pass
+    assert [r.status for r in read_runs(spark, f"{base}/audit").collect()] == ["started"]
+    calls = []
+    TriggerDispatcher(read_tasks(spark), {"RUN_LDM_CARD_DAILY": lambda s, t: calls.append(t)}, f"{base}/audit")(batch, 0)
+    assert calls == ["ldm_card_daily"]
+
+
+def test_a_failed_stream_goes_on_where_it_failed_and_a_new_one_starts_over(spark):
+    import pytest
+
+    from tessera.sources.control import TASK_SCHEMA
+
+    base = scratch_path(spark, "test-ledger-stream")
+    spark.createDataFrame([("A",), ("B",)], "value string").write.text(f"{base}/inbox")
+    tasks = spark.createDataFrame([(1, "A", "ta", "x"), (2, "B", "tb", "x")], TASK_SCHEMA)
+    calls, broken = [], [True]
+
+    def job(s, table):
+        calls.append(table)
+        if table == "tb" and broken[0]:
+            raise ValueError("tb is broken")
+
+    def run(checkpoint):
+        dispatcher = TriggerDispatcher(tasks, dict.fromkeys("AB", job), f"{base}/audit")
+        query = run_trigger_stream(spark.readStream.format("text").load(f"{base}/inbox"), dispatcher, checkpoint,
+                                   available_now=True)
+        query.awaitTermination(300)
+        assert query.exception() is None
+
+    with pytest.raises(Exception, match="tb is broken"):
+        run(f"{base}/ckpt")
+    assert calls == ["ta", "tb"]
+    broken[0] = False
+    run(f"{base}/ckpt")
+    assert calls == ["ta", "tb", "tb"]
+    run(f"{base}/other")                                   # another stream's batch of the same number
+    assert calls[3:] == ["ta", "tb"]
