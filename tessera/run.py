@@ -12,6 +12,10 @@ files dropped into a folder; the control table over JDBC, or built in)::
         dispatch --warehouse edw --checkpoint /shared/ckpt/dispatch \\
         --kafka-bootstrap broker:9092 --topic tasks --jdbc-url jdbc:...
 
+Remove what killed applications left in the shared folder::
+
+    spark-submit --py-files tessera.zip run_query.py sweep --idle-hours 24
+
 The session comes from ``spark-submit``; settings of ``CLUSTER_CONF`` are
 applied only where the cluster configuration does not set them.
 """
@@ -26,7 +30,7 @@ from pyspark.sql import SparkSession
 
 from . import catalog
 from .plans import mart
-from .session import CLUSTER_CONF, shared_dir
+from .session import CLUSTER_CONF, shared_dir, sweep
 from .sources import catalog_inputs, read_tasks
 from .streaming import TriggerDispatcher, message_stream, run_trigger_stream
 
@@ -110,7 +114,12 @@ def main(argv=None):
     d.add_argument("--every", default="1 minute", help="micro-batch interval")
     d.add_argument("--once", action="store_true", help="process what is available, then stop")
 
+    s = sub.add_parser("sweep", help="remove scratch folders of applications that were killed")
+    s.add_argument("--idle-hours", type=float, default=24, help="hours without a sign of life")
+
     args = p.parse_args(argv)
+    if args.mode == "sweep":
+        return sweep(session("tessera-sweep"), args.idle_hours)
     return run_query(args) if args.mode == "query" else run_dispatch(args)
 
 

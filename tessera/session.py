@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,6 +44,14 @@ CLUSTER_CONF = {
 }
 
 
+#: Names in the shared folder: the library's scratch, and the lease in each application's part of it.
+SCRATCH, LEASE = "tessera", "_lease"
+#: Seconds after which a living driver renews its lease.
+LEASE_SECONDS = 600
+_LEASES: dict[str, _Lease] = {}
+_LOCK = threading.Lock()
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tessera") -> SparkSession:
     """A local session tuned like the cluster one: AQE with skew-join splitting,
@@ -95,5 +105,54 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh, unique folder under the shared folder (never reused between runs)."""
-    return f"{shared_dir(spark)}/tessera/{purpose}/{uuid.uuid4().hex}"
+    """A fresh, unique folder under the application's part of the shared folder (never reused between runs).
+
+    The application's part is leased: it goes when the driver's JVM ends, and ``sweep`` removes those whose
+    application ended without that."""
+    root = f"{shared_dir(spark)}/{SCRATCH}/{spark.sparkContext.applicationId}"
+    with _LOCK:
+        if root not in _LEASES:
+            _LEASES[root] = _Lease(spark, root)
+    return f"{root}/{purpose}/{uuid.uuid4().hex}"
+
+
+class _Lease:
+    """A file in the application's scratch folder that is written again every few minutes while the driver lives."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._path, self._fs = _file_system(spark, f"{root}/{LEASE}")
+        self._renew()
+        # done by the file system when the JVM ends in order, also without spark.stop()
+        self._fs.deleteOnExit(self._path.getParent())
+        threading.Thread(target=self._keep, daemon=True, name="tessera-lease").start()
+
+    def _renew(self) -> None:
+        self._fs.create(self._path, True).close()
+
+    def _keep(self) -> None:
+        while True:
+            time.sleep(LEASE_SECONDS)
+            try:
+                self._renew()
+            except Exception:           # the JVM is gone, and the folder with it or left to a sweep
+                return
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def sweep(spark: SparkSession, idle_hours: float = 24) -> list[str]:
+    """Remove the scratch folders, under the parent of this session's shared folder, whose lease was not renewed for
+    ``idle_hours``: their applications were killed.  Folders without a lease are not the library's and stay.
+    Returns what was removed."""
+    parent = os.path.dirname(shared_dir(spark))         # Spark adds a folder of its own to spark.checkpoint.dir
+    leases, fs = _file_system(spark, f"{parent}/*/{SCRATCH}/*/{LEASE}")
+    removed = []
+    for lease in fs.globStatus(leases):
+        if time.time() - lease.getModificationTime() / 1000 > idle_hours * 3600:
+            folder = lease.getPath().getParent()
+            fs.delete(folder, True)
+            removed.append(folder.toString())
+    return removed
