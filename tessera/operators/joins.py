@@ -62,9 +62,9 @@ def bounded_broadcasts(*dfs: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
 
 def trimmed_keys(left: DataFrame, right: DataFrame, pairs) -> Column:
     """Equi-join condition on space-trimmed keys; Catalyst extracts the trimmed
-    expressions as hash / sort keys on both sides."""
+    expressions as hash / sort keys on both sides.  A right key that is a Column is taken as trimmed."""
     cond = None
     for lk, rk in pairs:
-        c = F.trim(left[lk]) == F.trim(right[rk])
+        c = F.trim(left[lk]) == (rk if isinstance(rk, Column) else F.trim(right[rk]))
         cond = c if cond is None else cond & c
     return cond

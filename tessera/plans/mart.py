@@ -27,7 +27,11 @@ Plan choices (the semantics are the stage list above):
   planner, and AQE broadcasts it at run time only when its shuffle output is
   under the adaptive threshold; a hot card number is split by AQE skew join.
 * The history distinct keeps its map-side partial aggregation, so a group of
-  identical copies is collapsed before it is shuffled.
+  identical copies is collapsed before it is shuffled.  Where the caller knows
+  that no key of the history join is hot (``spread_keys``), the history is dealt
+  by its trimmed keys once, made distinct there and joined there.  That saves one
+  shuffle of the history, but AQE cannot split a hot key under it: it splits only
+  shuffles that stand right under the join's sorts.
 * E's membership test reads the live cards' numbers (B): D is B left-joined
   to the kinds, so its card-number set is the same, and E needs no kind
   dimension.
@@ -55,6 +59,7 @@ HEAD_OFFICE_BRANCH = "00010344"
 BRANCH_COLS = ["org_id", "org_name", "org_upperid", "org_uppername"]
 CARD_COLS = ["CRD_NO", "CRD_TYP", "CRD_KND", "AC", "CINO", "OPN_BR"]
 CARD_INFO_COLS = ["CRD_NO", "CRD_TYP", "CRD_KND", "CRD_KND_NM", "AC", "CINO", "OPN_BR"]
+MART_KEYS, HISTORY_KEYS = ("CRD_NO", "TRC_NO", "TXN_TM"), ("CARDNO", "SRVSTAN", "DEVTRANSDATETIME")
 HISTORY_COLS = ["CARDNO", "SRVSTAN", "DEVTRANSDATETIME", "ADDDATA2", "POSINPUTTYPE"]
 FEE_TXN_COLS = ["STL_DT", "TXN_TM", "PAN", "TRC_NO", "MSG_TYP", "PRO_CD", "POS_CD",
                 "TXN_AMT", "TOKEN", "SED_BR", "ACP_BR", "MEC_TYP", "TXN_PRT_FEE",
@@ -208,16 +213,26 @@ def history_dim(history: DataFrame) -> DataFrame:
     return history.select(*HISTORY_COLS).distinct()
 
 
-def card_pos_tran(mid: DataFrame, history: DataFrame) -> DataFrame:
+def spread_history(history: DataFrame) -> DataFrame:
+    """H dealt by its trimmed join keys (``K0..K2``) and made distinct within that dealing, so that a join on
+    the keys needs no second shuffle.  For keys of which none holds many rows."""
+    keys = [F.trim(c).alias(f"K{i}") for i, c in enumerate(HISTORY_KEYS)]
+    return history.select(*HISTORY_COLS, *keys).repartition("K0", "K1", "K2").distinct()
+
+
+def card_pos_tran(mid: DataFrame, history: DataFrame, spread_keys: bool = False) -> DataFrame:
     """I: G left join H on space-trimmed keys (JOIN-6, STR-4), in the final
-    25-column layout (PRJ-4)."""
+    25-column layout (PRJ-4).  ``spread_keys``: no key holds many rows of either side."""
     # No hint: Spark's static size check on the history scan (file statistics
     # against autoBroadcastJoinThreshold) broadcasts it only when small; at
     # scale it is a sort-merge join, where AQE splits a hot mart-side key.
     # (A forced sort-merge join cost 0.7 s more at sf0.1.)
-    hist = history_dim(history)
-    cond = trimmed_keys(mid, hist, [("CRD_NO", "CARDNO"), ("TRC_NO", "SRVSTAN"),
-                                    ("TXN_TM", "DEVTRANSDATETIME")])
+    if spread_keys:
+        hist = spread_history(history)
+        cond = trimmed_keys(mid, None, zip(MART_KEYS, (hist["K0"], hist["K1"], hist["K2"])))
+    else:
+        hist = history_dim(history)
+        cond = trimmed_keys(mid, hist, zip(MART_KEYS, HISTORY_KEYS))
     return (mid.join(hist, cond, "left")
             .select(
                 "HIS_DW_DATE", "TX_DT", "TXN_TM", "CRD_NO", "CRD_TYP", "CRD_KND",
@@ -229,18 +244,18 @@ def card_pos_tran(mid: DataFrame, history: DataFrame) -> DataFrame:
                 "GET_FEE", "TKE_FEE", "ADDDATA2", "POSINPUTTYPE"))
 
 
-def build_mart(inputs: CardInputs, load_date: str = DEFAULT_LOAD_DATE) -> DataFrame:
+def build_mart(inputs: CardInputs, load_date: str = DEFAULT_LOAD_DATE, spread_keys: bool = False) -> DataFrame:
     """Stages A..I: the 25-column ``ldm_card_pos_tran`` rows."""
-    return card_pos_tran(card_tran_mid(inputs, load_date), inputs.online_history)
+    return card_pos_tran(card_tran_mid(inputs, load_date), inputs.online_history, spread_keys)
 
 
-def mart_task_job(inputs_of, database: str, load_date: str = DEFAULT_LOAD_DATE):
+def mart_task_job(inputs_of, database: str, load_date: str = DEFAULT_LOAD_DATE, spread_keys: bool = False):
     """The job a matched mart task runs: build the mart from ``inputs_of(spark)``
     and overwrite ``<database>.<table_name>`` (with a load timestamp)."""
     from . import sinks
 
     def run(spark, table_name):
-        rows = sinks.with_load_time(build_mart(inputs_of(spark), load_date))
+        rows = sinks.with_load_time(build_mart(inputs_of(spark), load_date, spread_keys))
         sinks.ensure_database(rows.sparkSession, database)
         sinks.overwrite_table(rows, f"{database}.{table_name}")
     return run

@@ -75,7 +75,7 @@ def run_dispatch(args):
     kafka = ({"kafka.bootstrap.servers": args.kafka_bootstrap, "subscribe": args.topic}
              if args.kafka_bootstrap else None)
     job = mart.mart_task_job(lambda s: catalog_inputs(s, args.warehouse), args.warehouse,
-                             load_date=args.load_date)
+                             load_date=args.load_date, spread_keys=args.spread_keys)
     dispatcher = TriggerDispatcher(tasks, {MART_TASK: job},
                                    f"{args.checkpoint.rstrip('/')}/audit")
     query = run_trigger_stream(message_stream(spark, path=args.inbox, kafka=kafka), dispatcher,
@@ -111,6 +111,8 @@ def main(argv=None):
     d.add_argument("--jdbc-table")
     d.add_argument("--load-date", default=mart.DEFAULT_LOAD_DATE,
                    help="HIS_DW_DATE written into the mart rows")
+    d.add_argument("--spread-keys", action="store_true",
+                   help="no (card, trace number, time) holds many rows: the history is shuffled once")
     d.add_argument("--every", default="1 minute", help="micro-batch interval")
     d.add_argument("--once", action="store_true", help="process what is available, then stop")
 

@@ -129,3 +129,29 @@ def test_audit_counts_of_empty_tables(spark):
     cards = spark.createDataFrame([], "CRD_NO string, CRD_TYP string, CRD_KND string, CRD_KND_NM string, CRD_STS string, "
                                       "AC string, CINO string, OPN_BR string")
     assert tuple(audit.rule_audit_counts(txn, cards).first()) == (0, 0)
+
+
+def test_history_of_spread_keys_is_shuffled_once(spark, small_dir):
+    from tessera.sources import card_warehouse
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    inp = card_warehouse(spark, small_dir)
+    extra = spark.createDataFrame([("9", "9", "9", "AD", None), (None, " 1", "2 ", "AD", "x"), ("9 ", "9", "9", "AD", None)],
+                                  inp.online_history.schema)
+    history = inp.online_history.union(inp.online_history.limit(50)).union(extra)
+    mid = mart.card_tran_mid(inp)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        exchanges, rows = [], []
+        for spread in (False, True):
+            out = mart.card_pos_tran(mid, history, spread)
+            rows.append(sorted(map(str, out.collect())))
+            plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            exchanges.append(sum("Exchange hashpartitioning" in line for line in plan.splitlines()))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert rows[0] == rows[1]
+    assert exchanges[1] == exchanges[0] - 1
