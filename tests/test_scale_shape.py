@@ -64,3 +64,25 @@ def test_audit_and_calendar_without_broadcast(spark, small_dir):
         for job in (cal.lookback_totals(read_table(spark, small_dir, "orders")), cal.expand_days(lines)):
             hinted = job._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin")
             assert hinted <= 1                   # the per-year carry, at most 9999 rows
+
+
+def test_a_bloom_filter_of_the_known_cards_meets_the_transactions_before_their_shuffle(spark, small_dir):
+    """Spark adds it where the scan is large and the cards are few; the sizes are lowered to those of the test."""
+    conf = {**NO_BROADCAST, "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    inp = card_warehouse(spark, small_dir)
+    expected = sorted(map(str, mart.fee_txn_kept(inp.fee_txn, inp.cards).collect()))
+    mid_rows = sorted(map(str, mart.card_tran_mid(inp).collect()))
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        kept = mart.fee_txn_kept(inp.fee_txn, inp.cards)
+        mid = mart.card_tran_mid(inp)
+        for df, rows in ((kept, expected), (mid, mid_rows)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "might_contain" in plan, plan
+            assert sorted(map(str, df.collect())) == rows
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
