@@ -50,9 +50,9 @@ CHUNK = 2 << 20
 #: Parameter: bytes of text hashed at once, and windows of a segment at most.
 PIECE, MOST_WINDOWS = 1 << 18, 256
 #: Parameter: bytes of text for each range of hashes, and for each group of segments.
-RANGE_BYTES, GROUP_BYTES = 64 << 20, 1 << 20
-#: Parameter: segments of one hash that may stand in one group.
-HOT = 1 << 15
+RANGE_BYTES, GROUP_BYTES = 64 << 20, 1 << 17
+#: Parameter: segments of one hash that may stand in one group; segments whose answers a task sorts by chunk at once.
+HOT, ANSWERS = 1 << 15, 1 << 17
 
 #: A byte that UTF-8 text never holds, behind every segment.
 END = 0xFF
@@ -188,17 +188,17 @@ def _suffix_order(text: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for k in range(8):
         key = key << np.uint64(8) | padded[k:k + n]
-    order = np.argsort(key)
+    order = np.argsort(key).astype(np.int32)                     # a group has far fewer bytes than 2**31
     key = key[order]
     first = np.concatenate([[True], key[1:] != key[:-1]])
-    rank = np.empty(n + 1, np.int64)
+    rank = np.empty(n + 1, np.int32)
     rank[n] = -1
-    at = np.flatnonzero(first)
+    at = np.flatnonzero(first).astype(np.int32)
     rank[order] = np.repeat(at, np.diff(np.append(at, n)))
-    width, tied = 8, np.flatnonzero(~(first & np.append(first[1:], True)))
+    width, tied = 8, np.flatnonzero(~(first & np.append(first[1:], True))).astype(np.int32)
     while width < LENGTH and len(tied):
         suffix = order[tied]
-        key = rank[suffix] * (n + 1) + rank[np.minimum(suffix + width, n)] + 1
+        key = rank[suffix].astype(np.int64) << 32 | rank[np.minimum(suffix + width, n)] + 1
         by = np.argsort(key)
         suffix, key = suffix[by], key[by]
         order[tied] = suffix
@@ -215,49 +215,65 @@ def repeat_classes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     ``text`` is segments, each followed by ``END``; classes of suffixes that reach an ``END`` mean nothing.  A border
     stands between neighbours that differ.  Two neighbours that start with c come from consecutive occurrences p < q of
-    c in the transform; if a border of length l lies in (p, q], extending backward by c gives one of length l + 1."""
+    c in the transform; if a border of length l lies in (p, q], extending backward by c gives one of length l + 1.
+    Where q follows p at once, the border at q alone decides, so later rounds touch little but the new borders."""
     order = _suffix_order(text)
     n = len(order)
     before = text[order - 1]                                     # the transform
-    occurrence = np.argsort(before, kind="stable")
+    occurrence = np.argsort(before, kind="stable").astype(np.int32)
     same = (before[occurrence[1:]] == before[occurrence[:-1]]) & (before[occurrence[1:]] != END)
     border = np.ones(n, bool)
     border[1:] = ~same                                           # strings of one byte
-    at = np.flatnonzero(same)
-    p, q = occurrence[at].astype(np.int32), occurrence[at + 1].astype(np.int32)
-    at, new = at + 1, border.copy()
+    at = np.flatnonzero(same).astype(np.int32) + 1
+    p, q = occurrence[at - 1], occurrence[at]
+    near = q == p + 1
+    extended = np.full(n, -1, np.int32)                          # where a border goes if the bytes beside it are equal
+    extended[q[near]] = at[near]
+    p, q, at = p[~near], q[~near], at[~near]
+    new = np.flatnonzero(border)[1:].astype(np.int32)
     for _ in range(1, LENGTH):
-        passed = np.cumsum(new, dtype=np.int32)
-        split = passed[q] > passed[p]
-        found = at[split]
+        found = extended[new]
+        found = found[found >= 0]
+        if len(p):
+            if 16 * len(p) > n:
+                passed = np.zeros(n, np.int32)
+                passed[new] = 1
+                passed = np.cumsum(passed, dtype=np.int32)
+                split = passed[q] > passed[p]
+            else:
+                new.sort()
+                split = np.searchsorted(new, q, side="right") > np.searchsorted(new, p, side="right")
+            found = np.concatenate([found, at[split]])
+            p, q, at = p[~split], q[~split], at[~split]
         if not len(found):
             break
         border[found] = True
-        new = np.zeros(n, bool)
-        new[found] = True
-        p, q, at = p[~split], q[~split], at[~split]
-    return order, np.cumsum(border)
+        new = found
+    return order, np.cumsum(border, dtype=np.int32)
 
 
-def starts_earlier(contents: list[bytes], places: np.ndarray) -> list[np.ndarray]:
-    """For each segment: which of its windows start earlier, here or in another one."""
-    size = np.array([len(c) + 1 for c in contents], np.int64)
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of the runs, one after another."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
+def starts_earlier(contents: list[bytes], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(windows of each segment, which of them start earlier, here or in another one: all segments' one after another)."""
+    size = np.array([len(c) + 1 for c in contents], np.int32)
     text = np.frombuffer(b"\xff".join(contents) + b"\xff", np.uint8)
     order, kind = repeat_classes(text)
     nth = np.empty(len(contents), np.int64)
     nth[np.argsort(places, kind="stable")] = np.arange(len(contents))
     begin = np.cumsum(size) - size
-    segment = np.repeat(np.arange(len(contents)), size)
-    offset = np.arange(len(text)) - begin[segment]
-    windows = offset + LENGTH < size[segment]
-    place = nth[segment] * (MOST_WINDOWS + 1) + offset
-    held = windows[order]
+    offset = np.arange(len(text), dtype=np.int32) - np.repeat(begin.astype(np.int32), size)
+    held = (offset + LENGTH < np.repeat(size, size))[order]      # windows, not the ends of segments
+    place = np.repeat(nth * (MOST_WINDOWS + 1), size) + offset
     order, kind = order[held], kind[held]
     runs = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]]))
     earliest = np.minimum.reduceat(place[order], runs)
     later = np.zeros(len(text), bool)
     later[order] = place[order] != np.repeat(earliest, np.diff(np.append(runs, len(order))))
-    return [later[b:b + s - LENGTH] for b, s in zip(begin, size)]
+    return size - LENGTH, later[_runs(begin, size - LENGTH)]
 
 
 # ---------------------------------------------------------------- the job
@@ -345,6 +361,14 @@ def _met(chunks: DataFrame, rows: DataFrame, name: str, *cols: str) -> DataFrame
     return chunks.join(lists.hint("shuffle_hash"), "chunk", "left")
 
 
+def _each(table: pa.Table, key: str) -> Iterator[pa.Table]:
+    """The table's groups one by one."""
+    keys = table.column(key).to_numpy()
+    cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield table.slice(a, b - a)
+
+
 def _answers(marked: DataFrame, n_ranges: int, n_groups: int) -> DataFrame:
     """(chunk, at, bits): the first places of segments, and which of their windows start earlier elsewhere."""
     segment_schema = pa.schema([("group", pa.int64()), ("content", pa.binary()), ("place", pa.binary())])
@@ -362,22 +386,32 @@ def _answers(marked: DataFrame, n_ranges: int, n_groups: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(_range(h, n_groups)), pa.array(content, pa.binary()),
                                                   pa.array(place, pa.binary())], schema=segment_schema)
 
+    def by_chunk(held: list[tuple]) -> pa.RecordBatch:
+        places, n, later = (np.concatenate(c) for c in zip(*held))
+        start = np.cumsum(n) - n
+        order = np.argsort(places["chunk"], kind="stable")
+        chunk = places["chunk"][order]
+        cuts = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]])).tolist()
+        out = []
+        for a, b in zip(cuts, [*cuts[1:], len(chunk)]):
+            some = order[a:b]
+            at = np.empty(b - a, ANSWER)
+            at["doc"], at["at"], at["n"] = places["doc"][some], places["at"][some], n[some]
+            out.append((int(chunk[a]), at.tobytes(), np.packbits(later[_runs(start[some], n[some])]).tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), answer_schema)],
+                                          schema=answer_schema)
+
     def expand(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in whole_groups(batches, "group"):
+        held: list[tuple] = []
+        for group in (one for table in whole_groups(batches, "group") for one in _each(table, "group")):
             places = np.frombuffer(b"".join(group.column("place").to_pylist()), PLACE)
             keys = np.frombuffer(places.tobytes(), f"S{PLACE.itemsize}")
-            later = starts_earlier(group.column("content").to_pylist(), keys)
-            order = np.argsort(places["chunk"], kind="stable")
-            chunk = places["chunk"][order]
-            cuts = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
-            out = []
-            for a, b in zip(cuts, [*cuts[1:], len(chunk)]):
-                at = np.empty(b - a, ANSWER)
-                at["doc"], at["at"] = places["doc"][order[a:b]], places["at"][order[a:b]]
-                at["n"] = [len(later[i]) for i in order[a:b]]
-                out.append((int(chunk[a]), at.tobytes(), np.packbits(np.concatenate([later[i] for i in order[a:b]])).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), answer_schema)],
-                                             schema=answer_schema)
+            held.append((places, *starts_earlier(group.column("content").to_pylist(), keys)))
+            if sum(len(h[0]) for h in held) >= ANSWERS:
+                yield by_chunk(held)
+                held = []
+        if held:
+            yield by_chunk(held)
 
     return (marked.mapInArrow(deal, "group long, content binary, place binary").repartition("group")
             .groupBy("group", "content").agg(F.min("place").alias("place")).sortWithinPartitions("group")
