@@ -265,8 +265,9 @@ def month_end_label(d, pattern: str = ISO_DAY) -> Column:   # DT-18
     return F.date_format(month_end(d), pattern)
 
 
-def now_label() -> Column:                          # DT-30
-    return F.date_format(F.current_timestamp(), CLOCK)
+def now_label(clock: Column | None = None) -> Column:   # DT-30
+    """The wall clock in the session's time zone as text; ``clock`` stands in for the current instant."""
+    return F.date_format(F.current_timestamp() if clock is None else clock, CLOCK)
 
 
 def parse_day(s, pattern: str = DAY) -> Column:     # DT-27, DT-28

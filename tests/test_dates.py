@@ -145,3 +145,22 @@ def test_instants_keep_their_time(spark):
     # whole days, not midnights: 23:15 to 01:00 is one day
     assert df.select(F.size(dates.every_day("t", "u"))).first()[0] == 1
     assert df.select(F.size(dates.every_day("u", "t"))).first()[0] == 1
+
+
+def test_load_label_of_a_fixed_clock(spark):
+    """DT-30: the instant in the session's zone, to the second; without a clock, now."""
+    instant = F.expr("timestamp_micros(1582934399987654)")           # 2020-02-28 23:59:59.987654 UTC
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone, text in (("UTC", "2020-02-28 23:59:59"), ("Asia/Shanghai", "2020-02-29 07:59:59"),
+                           ("America/Sao_Paulo", "2020-02-28 20:59:59")):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert spark.range(1).select(dates.now_label(instant)).first()[0] == text
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+        labels = {r[0] for r in spark.range(3).select(dates.now_label()).collect()}
+        after = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        assert len(labels) == 1                                      # one instant a query
+        assert before <= dt.datetime.strptime(labels.pop(), "%Y-%m-%d %H:%M:%S") <= after
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
