@@ -24,21 +24,35 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from .common import ship, shipped
+
 #: Characters of text whose pre-tokens are held at once.
 SLICE_CHARS = 2_000_000
 #: Pre-tokens replayed together, and pieces remembered between slices of a task.
-REPLAY_WORDS, KEEP_PIECES = 50_000, 240_000
+REPLAY_WORDS, KEEP_PIECES = 50_000, 600_000
+#: Ids whose bytes are gathered at once.
+GATHER_IDS = 1 << 18
+
+
+def parse_ranks(data: bytes) -> dict[bytes, int]:
+    """token bytes -> rank, from lines of a base64 token and a rank."""
+    return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines())}
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
-    """token bytes -> rank, from a file of base64 tokens and ranks."""
-    with open(path, "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return parse_ranks(read_bytes(path))
+
+
+def read_bytes(path: str) -> bytes:
+    """A file on the driver; workers get its bytes and need not see the path."""
+    with open(path, "rb") as file:
+        return file.read()
 
 
 class MergeReplay:
@@ -177,17 +191,17 @@ class Pieces:
 
     The recent pieces and those before them; when the recent ones are many, the older ones go."""
 
-    def __init__(self, path: str):
-        self.path, self.replay = path, MergeReplay(read_ranks(path))
+    def __init__(self, data: bytes):
+        self.data, self.replay = data, MergeReplay(parse_ranks(data))
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     @classmethod
-    def of_worker(cls, path: str) -> "Pieces":
+    def of_worker(cls, data: bytes) -> "Pieces":
         """The one that earlier tasks of this worker process have left, or a new one."""
         kept = cls.__dict__.get("kept")
-        if kept is None or kept.path != path:
-            kept = cls.kept = cls(path)
+        if kept is None or kept.data != data:
+            kept = cls.kept = cls(data)
         return kept
 
     def for_words(self, words: set[str]) -> dict[str, bytes]:
@@ -229,8 +243,10 @@ def _encode_texts(texts: Iterable[str], pattern, kept: Pieces) -> Iterator[bytes
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id_col, ids array<int>): the ids of each whole text, one row per input row."""
+    sent = ship(docs.sparkSession, read_bytes(ranks_path))
+
     def run(batches):
-        kept, split = Pieces.of_worker(ranks_path), regex.compile(pattern)
+        kept, split = Pieces.of_worker(shipped(sent)), regex.compile(pattern)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             size = max(1, min(1024, len(texts)))
@@ -249,17 +265,59 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     return rows.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
 
 
+class TokenBytes:
+    """The bytes of all tokens one after another, and where each token's stand."""
+
+    def __init__(self, data: bytes):
+        ranks = parse_ranks(data)
+        self.data, tokens = data, sorted(ranks, key=ranks.__getitem__)
+        at = np.array([ranks[t] for t in tokens], np.int64)
+        self.size = np.full(int(at.max(initial=-1)) + 1, -1, np.int64)
+        self.size[at] = [len(t) for t in tokens]
+        self.start = np.cumsum(np.maximum(self.size, 0)) - np.maximum(self.size, 0)
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    @classmethod
+    def of_worker(cls, data: bytes) -> "TokenBytes":
+        kept = cls.__dict__.get("kept")
+        if kept is None or kept.data != data:
+            kept = cls.kept = cls(data)
+        return kept
+
+    def of_ids(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of all ids, size of each id's)."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or self.size[ids].min() < 0):
+            raise KeyError("an id that is no token's")
+        size = self.size[ids]
+        out, done = np.empty(int(size.sum()), np.uint8), 0
+        for at in range(0, len(ids), GATHER_IDS):
+            n = size[at:at + GATHER_IDS]
+            upto = np.cumsum(n)
+            where = np.arange(upto[-1]) + np.repeat(self.start[ids[at:at + GATHER_IDS]] - (upto - n), n)
+            out[done:done + len(where)] = self.flat[where]
+            done += len(where)
+        return out, size
+
+    def of_lists(self, lists: pa.Array) -> pa.Array:
+        """Binary values of lists of ids; null for null."""
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+        data, size = self.of_ids(lists.flatten().to_numpy())
+        cuts = np.concatenate([[0], np.cumsum(size)])[ends]
+        whole = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(cuts.astype(np.int64)),
+                                                                      pa.py_buffer(data)])
+        return pc.if_else(lists.is_valid(), whole, None).cast(pa.binary())
+
+
 def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """``coded`` with ``decoded`` binary: the bytes that the ids stand for (a column of this name in
     the input is replaced)."""
+    sent = ship(coded.sparkSession, read_bytes(ranks_path))
+
     def run(batches):
-        token = {rank: word for word, rank in read_ranks(ranks_path).items()}
+        token = TokenBytes.of_worker(shipped(sent))
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(ids_col))
-            decoded = [b"".join(map(token.__getitem__, x.values.to_pylist())) if x.is_valid else None
-                       for x in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
-                                             names=[*batch.schema.names, "decoded"])
+            decoded = token.of_lists(batch.column(batch.schema.get_field_index(ids_col)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*batch.schema.names, "decoded"])
 
     coded = coded.drop("decoded")
     schema = StructType([*coded.schema.fields, StructField("decoded", BinaryType())])

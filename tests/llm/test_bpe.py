@@ -83,3 +83,17 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     out = bpe.digests(empty, PATH, public_tokenizers.PATTERN)
     assert out.count() == 0 and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_decoding_of_lists(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "GATHER_IDS", 3)
+    ranks = bpe.read_ranks(PATH)
+    token = {r: t for t, r in ranks.items()}
+    lists = [(0, [5, 300, 40_000, 7]), (1, []), (2, None), (3, [299] * 10), (4, [50_000])]
+    coded = spark.createDataFrame([(i, x, "old") for i, x in lists], "doc_id long, ids array<int>, decoded string").coalesce(1)
+    got = {r.doc_id: r.decoded for r in bpe.decode(coded, PATH).collect()}
+    assert {i: None if b is None else bytes(b) for i, b in got.items()} == {
+        i: None if x is None else b"".join(token[r] for r in x) for i, x in lists}
+    for bad in ([-1], [50_256], [10**9]):
+        with pytest.raises(Exception, match="no token"):
+            bpe.decode(spark.createDataFrame([(bad,)], "ids array<int>"), PATH).collect()
