@@ -20,13 +20,18 @@ Cells hold about ``CELL_BLOCKS`` blocks whatever the source's size, so a
 source with a third of all rows is many cells.  All random choices are hashes
 of the seed and the row's values: reruns agree.
 
-Hypergeometric draws invert the exact distribution around its mode (10
-standard deviations each way) while the deviation is under ``EXACT_SIGMA``;
-beyond that, where it can't be told apart, the rounded normal is used.
+Hypergeometric draws invert the exact distribution around its mode, 10
+standard deviations each way, at every size.  A level of the tree has ``FANOUT``
+times the nodes of the one above and a fourth of its deviations, so the steps of
+all levels together are a small multiple of the cells' own.
+
+A part of a document is a run of adjacent drawn blocks, cut out of the text with
+its own white space; runs that are apart are documents of their own.
 
 Defined results: null text has size 0 and is never taken; a null source is a
-source of its own, last in order; rows with equal values are separate rows;
-an empty table gives an empty result.
+source of its own, last in order; rows with equal values are separate rows, and
+rows of one id and size stand by a hash of their text; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -43,11 +48,17 @@ from .common import WORD, apart, written
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 #: Words of a block, blocks of a cell, children of a tree node.
 BLOCK_WORDS, CELL_BLOCKS, FANOUT = 64, 4096, 16
-EXACT_SIGMA, SEED = 400, 20_011
+SEED = 20_011
+
+
+#: Fixed value: a word with the white space before it.
+SPACED_WORD = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 
 
 def with_size(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    """``docs`` with size, and tie: a hash of the text that orders rows of one id and size."""
+    return (docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+            .withColumn("tie", F.xxhash64("text")))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
@@ -81,8 +92,8 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def hypergeometric(good: Column, bad: Column, draws: Column, u: Column, v: Column) -> Column:
-    """Number of good ones among ``draws`` from good + bad, by uniform numbers u and v."""
+def hypergeometric(good: Column, bad: Column, draws: Column, u: Column) -> Column:
+    """Number of good ones among ``draws`` from good + bad, by a uniform number u."""
     empty = F.array().cast("array<bigint>")
     up = lambda p, x: (p.g - x) * (p.k - x) / ((x + 1) * (p.b - p.k + x + 1))
     down = lambda p, x: x * (p.b - p.k + x) / ((p.g - x + 1) * (p.k - x + 1))
@@ -124,24 +135,17 @@ def hypergeometric(good: Column, bad: Column, draws: Column, u: Column, v: Colum
                         F.least(p.hi, F.greatest(p.lo, mode)).alias("mode"),
                         F.sqrt(F.greatest(var, F.lit(0.0))).alias("sigma"))
 
-    def draw(p):
-        z = F.sqrt(F.log(u) * -2) * F.cos(v * (2 * math.pi))
-        normal = F.round(p.k * p.g / F.greatest(p.g + p.b, F.lit(1.0)) + p.sigma * z)
-        return F.when(p.sigma <= EXACT_SIGMA, exact(p)).otherwise(
-            F.least(p.hi, F.greatest(p.lo, normal)).cast("long"))
-
     g, b, k = good.cast("double"), bad.cast("double"), draws.cast("double")
     given = F.struct(g.alias("g"), b.alias("b"), k.alias("k"), F.greatest(F.lit(0.0), k - b).alias("lo"),
                      F.least(k, g).alias("hi"))
-    return _let(given, lambda p: _let(spread(p), draw))
+    return _let(given, lambda p: _let(spread(p), exact))
 
 
 def _split(nodes: DataFrame, level: int) -> DataFrame:
     """One level down: each node's quota among its children (source, node, caps, quota)."""
     def child(state, cap):
         u = _uniform(F.col("source"), F.col("node"), F.lit(level), F.size(state.got))
-        v = _uniform(F.col("source"), F.col("node"), F.lit(-1 - level), F.size(state.got))
-        got = hypergeometric(cap, state.rest - cap, state.quota, u, v)
+        got = hypergeometric(cap, state.rest - cap, state.quota, u)
         return _let(got, lambda x: F.struct(
             (state.rest - cap).alias("rest"), (state.quota - x).alias("quota"),
             F.concat(state.got, F.array(x)).alias("got")))
@@ -213,7 +217,7 @@ def mix(sized: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
                      F.element_at(keys, F.col("quota").cast("int")).alias("limit_key")), "mixing/drawn")
     plan = plan.select(F.col("source").alias("p"), "source_size", "target", "whole")
     stream = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(SEED + 2), "doc_id"),
-                                                           "doc_id", "size")
+                                                           "doc_id", "size", "tie")
     placed = (sized.withColumn("shard", shard)
               .withColumn("upto", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("start", F.col("upto") - F.col("size")))
@@ -223,32 +227,36 @@ def mix(sized: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
                      F.sequence(F.floor(F.col("start") / BLOCK_WORDS),
                                 F.floor((F.col("upto") - 1) / BLOCK_WORDS)))
     hit = F.filter(touched, lambda x: key(F.col("source"), F.col("shard"), x) <= F.col("limit_key"))
-    runs = F.transform(hit, lambda x: F.struct(
-        (F.greatest(F.col("start"), x * BLOCK_WORDS) - F.col("start")).alias("from"),
-        (F.least(F.col("upto"), (x + 1) * BLOCK_WORDS)
-         - F.greatest(F.col("start"), x * BLOCK_WORDS)).alias("n")))
+    joined = joined.withColumn("hit", hit)
+    # adjacent blocks are one run: from a block without a drawn one before it to one without a drawn one after it
+    edge = lambda step: F.filter("hit", lambda x, i: F.coalesce(
+        F.get("hit", i + step) != x + step, F.lit(True)))
+    runs = F.transform(F.arrays_zip(edge(-1).alias("a"), edge(1).alias("b")), lambda r: _let(
+        F.greatest(F.col("start"), r.a * BLOCK_WORDS), lambda begin: F.struct(
+            (begin - F.col("start")).alias("from"),
+            (F.least(F.col("upto"), (r.b + 1) * BLOCK_WORDS) - begin).alias("n"))))
     return (joined.withColumn("drawn", runs)
             .withColumn("taken", F.col("whole") * F.col("size")
                         + F.coalesce(F.aggregate("drawn", F.lit(0).cast("bigint"), lambda a, r: a + r.n),
                                      F.lit(0)))
             .withColumn("place", F.xxhash64(F.lit(SEED + 3), "doc_id", "size"))
-            .drop("s", "h", "p", "limit_key", "upto", "start"))
+            .drop("s", "h", "p", "limit_key", "upto", "start", "hit", "tie"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix as documents (the columns of ``docs``): a document once per whole pass, and once
-    with the words of its drawn runs (all of them: the text as it stands)."""
+    """The mix as documents (the columns of ``docs``): a document once per whole pass, and each of its drawn
+    runs, as it stands in the text (all of the words: the whole text)."""
     docs, back = apart(docs, "doc_id", "source", "text", "n_chars")
     sizes = written(with_size(docs.select("doc_id", "source", "text")).drop("text"), "mixing/sizes")
     out = mix(with_size(docs), sizes)
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))
     part_size = F.col("taken") - F.col("whole") * F.col("size")
-    part = F.when(part_size == F.col("size"), F.col("text")).otherwise(
-        F.array_join(F.flatten(F.transform("drawn", lambda r: F.slice(
-            words, (r["from"] + 1).cast("int"), r["n"].cast("int")))), " "))
+    parts = _let(words, lambda w: F.transform("drawn", lambda r: F.regexp_replace(F.array_join(
+        F.slice(w, (r["from"] + 1).cast("int"), r["n"].cast("int")), ""), r"\A[\x20\x09-\x0D]+", "")))
     # the parts' words are cut out only where a part is taken
     texts = F.concat(F.array_repeat(F.col("text"), F.when(F.col("size") > 0, F.col("whole")).otherwise(0).cast("int")),
-                     F.when(part_size > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
+                     F.when(part_size == 0, F.array().cast("array<string>"))
+                     .when(part_size == F.col("size"), F.array("text")).otherwise(parts))
     copies = out.withColumn("copy", F.explode(texts)).withColumn("text", F.col("copy"))
     if "n_chars" in docs.columns:
         copies = copies.withColumn("n_chars", F.length("text").cast("long"))

@@ -55,7 +55,7 @@ def op8_preference_pairs(spark, sf_dir):
 
 def op9_source_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    sizes = written(mixing.with_size(docs).select("doc_id", "source", "size"), "mixing/sizes")
+    sizes = written(mixing.with_size(docs).select("doc_id", "source", "size", "tie"), "mixing/sizes")
     return mixing.mix(sizes).select("doc_id", "size", "source_size", "target", "taken", "source",
                                     "whole", "shard", "place")
 
@@ -96,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op8_preference_pairs": preference.RENDERED_SQL,
+    "op11_suffix_dedup": suffix_dedup.REMOVED_SQL,
     "op12_prefix_trie": prefix_trie.TRIE_SQL,
     "op13_lexical_search": lexical_search.RANKED_SQL,
 }

@@ -87,10 +87,10 @@ def test_tree_keeps_quotas(spark):
     assert all(0 <= r.quota <= r.n_blocks for r in got)
 
 
-@pytest.mark.parametrize("good,bad,draws", [(30, 70, 20), (5, 3, 6), (1, 0, 1), (0, 9, 4), (4000, 6000, 2000)])
+@pytest.mark.parametrize("good,bad,draws", [(30, 70, 20), (5, 3, 6), (1, 0, 1), (0, 9, 4), (4000, 6000, 2000),
+                                            (4_000_000, 6_000_000, 3_000_000)])
 def test_hypergeometric_moments(spark, good, bad, draws):
-    u, v = mixing._uniform(F.col("id"), F.lit(1)), mixing._uniform(F.col("id"), F.lit(2))
-    x = mixing.hypergeometric(F.lit(good), F.lit(bad), F.lit(draws), u, v)
+    x = mixing.hypergeometric(F.lit(good), F.lit(bad), F.lit(draws), mixing._uniform(F.col("id"), F.lit(1)))
     n = good + bad
     row = spark.range(4000).select(x.alias("x")).agg(F.avg("x"), F.var_pop("x"), F.min("x"), F.max("x")).first()
     mean = draws * good / n
@@ -110,6 +110,52 @@ def test_mixed_documents(corpus):
     assert words == {k: n for k, n in taken.items() if n}
 
 
+def test_large_draws_follow_the_exact_distribution(spark):
+    """Beyond the deviation (400) up to which a normal was once told apart: the draw at each quantile."""
+    import math
+
+    good, bad, draws = 3_000_000, 5_000_000, 2_000_000
+    logs = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    mean = draws * good // (good + bad)
+    over = range(mean - 6000, mean + 6001)
+    mass = [math.exp(logs(good, x) + logs(bad, draws - x) - logs(good + bad, draws)) for x in over]
+    total = sum(mass)
+    at = (F.col("id") + 0.5) / 40
+    got = [r.x for r in spark.range(40).select(mixing.hypergeometric(
+        F.lit(good), F.lit(bad), F.lit(draws), at).alias("x")).collect()]
+    assert total == pytest.approx(1, abs=1e-3) and len(set(got)) == 40
+    # the draw is by mass around the mode: each u takes a value of its own, and each value its share
+    share = {x: m / total for x, m in zip(over, mass)}
+    mode = max(share, key=share.get)
+    above = sorted(x for x in got if x >= mode)
+    below = sorted(x for x in got if x < mode)
+    assert abs(len(above) / 40 - sum(m for x, m in share.items() if x >= mode)) < 0.05
+    for i, x in enumerate(above):
+        assert abs(sum(share[y] for y in range(mode, x + 1)) - (i + 0.5) / 40) < 0.02
+    for i, x in enumerate(reversed(below)):
+        assert abs(sum(share[y] for y in range(x, mode)) - (i + 0.5) / 40) < 0.05
+
+
+def test_parts_stand_in_their_texts(spark):
+    rows = [(i, "abc"[i % 3], "  " + "".join(f"w{j}" + (" ", "\n", " \t", "\n\n")[j % 4] for j in range(900)), "x") for i in range(60)]
+    docs = make(spark, rows)
+    out = mixing.mixed_documents(docs).collect()
+    text = {r[0]: r[2] for r in rows}
+    parts = [r for r in out if r.text != text[r.doc_id]]
+    assert parts
+    for r in parts:
+        assert r.text in text[r.doc_id] and r.text.strip() == r.text
+    runs = {r.doc_id: r.drawn for r in drawn(docs).collect()}
+    for runs_of in runs.values():
+        assert all(a["from"] + a["n"] < b["from"] for a, b in zip(runs_of or [], (runs_of or [])[1:]))
+
+
+def test_rows_of_one_id_and_size_stand_by_their_text(spark):
+    rows = [(5, "a", " ".join(f"{k}{j}" for j in range(700)), "x") for k in "pqrstuv"] + [(6, "b", "one " * 5000, "x")]
+    texts = [sorted(r.text for r in mixing.mixed_documents(make(spark, rows).repartition(n)).collect()) for n in (1, 5)]
+    assert texts[0] == texts[1]
+
+
 def test_empty_table(spark):
     assert drawn(make(spark, [])).count() == 0
     assert mixing.mixed_documents(make(spark, [])).count() == 0
