@@ -9,7 +9,8 @@ bytes) meet, and each group derives its common prefixes from its transform.
   later steps send back to a chunk moves, and the texts do not.
 * Dealing.  A window belongs to the least hash of its ``GRAM``-byte strings; windows next to each other with
   one hash are one segment.  Equal windows have equal hashes.  A chunk sends its distinct hashes to their ranges and
-  learns, a few bits each, which of them other chunks hold too; a hash that stands once repeats nothing.
+  learns, a few bits each, which of them other chunks hold too; a hash that stands once, in its segment too,
+  repeats nothing.
 * Groups.  Segments of repeated hashes go to the range of their hash; equal segments become one, at their first
   place, before any sorting.  A hash with more than ``HOT`` segments is dealt by whole windows instead.
 * Expansion (``repeat_classes``).  Breadth first: the empty string's interval of the transform is extended
@@ -89,9 +90,18 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
 
 
-def segments(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, windows, sides) of the segments of documents that end at ``ends``; ``sides`` tells segments of one
-    hash apart, up to chance."""
+def _again(grams: np.ndarray, least: np.ndarray, cut: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether a segment's least hash stands in it more than once: first in its first window, last in its last one."""
+    width = np.arange(LENGTH - GRAM + 1)
+    first = np.argmax(grams[cut[:, None] + width] == least[cut][:, None], axis=1)
+    end = cut + size - 1 + width[-1]
+    last = np.argmax(grams[end[:, None] - width] == least[cut][:, None], axis=1)
+    return cut + first != end - last
+
+
+def segments(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(hash, start, windows, sides, again) of the segments of documents that end at ``ends``; ``sides`` tells segments
+    of one hash apart, up to chance; ``again``: its windows may repeat within the segment."""
     inside = np.zeros(len(text) + 1, np.int32)                   # windows that cross a document's end are outside
     np.add.at(inside, np.maximum(ends - (LENGTH - 1), np.concatenate([[0], ends[:-1]])), 1)
     np.add.at(inside, ends, -1)
@@ -110,9 +120,9 @@ def segments(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
         cut = np.repeat(cut, parts) + nth * MOST_WINDOWS
         size = np.minimum(np.repeat(size, parts) - nth * MOST_WINDOWS, MOST_WINDOWS)
         sides = grams[cut] * np.uint64(3) + grams[cut + size + LENGTH - 1 - GRAM] + size.astype(np.uint64)
-        out.append((_mix(least[cut]), cut + at, size, sides))
+        out.append((_mix(least[cut]), cut + at, size, sides, _again(grams, least, cut, size)))
     if not out:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        return tuple(np.empty(0, kind) for kind in (np.uint64, np.int64, np.int64, np.uint64, bool))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -129,7 +139,7 @@ class Chunk:
         self.text = np.frombuffer(zstandard.decompress(body, max_output_size=sum(sizes)) if sum(sizes) else b"", np.uint8)
         self.ends = np.cumsum(np.array(sizes, np.int64))
         self.starts = self.ends - np.array(sizes, np.int64)
-        self.hash, self.start, self.size, self.sides = segments(self.text, self.ends)
+        self.hash, self.start, self.size, self.sides, self.again = segments(self.text, self.ends)
         self.distinct, self.of = np.unique(self.hash, return_inverse=True)
 
     def counts(self) -> np.ndarray:
@@ -138,15 +148,15 @@ class Chunk:
         return np.bincount(self.of[one_of_each], minlength=len(self.distinct))
 
     def dealt(self, marks: list, n_ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, start, windows) of the segments that take part: those of a hash that stands elsewhere too, those of
-        a hot hash as single windows."""
+        """(hash, start, windows) of the segments that take part: those of a hash that stands elsewhere too, or again
+        in the segment; those of a hot hash as single windows."""
         per_range = np.bincount(_range(self.distinct, n_ranges), minlength=n_ranges)
         found = sorted((m["range"], m["bits"]) for m in marks or [])
         bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=2 * per_range[r]).reshape(-1, 2) for r, b in found]
         marked = np.concatenate(bits) if bits else np.zeros((0, 2), np.uint8)
         if len(marked) != len(self.distinct):
             raise RuntimeError(f"chunk {self.number}: {len(marked)} marks for {len(self.distinct)} hashes")
-        repeated = (marked[:, 0] | (np.bincount(self.of, minlength=len(self.distinct)) > 1)).astype(bool)[self.of]
+        repeated = (marked[:, 0] | (np.bincount(self.of, minlength=len(self.distinct)) > 1)).astype(bool)[self.of] | self.again
         hot = marked[:, 1].astype(bool)[self.of]
         plain = repeated & ~hot
         single = np.repeat(self.start[hot], self.size[hot])
@@ -467,3 +477,21 @@ def removed_digests(docs: DataFrame) -> DataFrame:
     return deduplicated(docs).select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: DuckDB SQL of the registered query, for a table without null or repeated ids: every window of every text.
+REMOVED_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+w AS (SELECT doc_id, unnest(range(octet_length(raw) - 99)) AS s, raw FROM d WHERE octet_length(raw) >= 100),
+v AS (SELECT doc_id, s, row_number() OVER (PARTITION BY raw[s + 1 : s + 100] ORDER BY doc_id, s) > 1 AS later FROM w),
+r AS (SELECT doc_id, s, s - coalesce(lag(s) OVER (PARTITION BY doc_id ORDER BY s), -200) > 100 AS fresh FROM v WHERE later),
+n AS (SELECT doc_id, s, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM r),
+runs AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b, run FROM n GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs),
+g AS (SELECT doc_id, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS last,
+             list([before, a] ORDER BY a) AS parts FROM cuts GROUP BY doc_id)
+SELECT d.doc_id, octet_length(raw)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(array_to_string(list_transform(parts, lambda p: hex(raw[p[1] + 1 : p[2]])), ''), '')
+              || hex(raw[coalesce(last, 0) + 1 : octet_length(raw)]))) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)
+"""

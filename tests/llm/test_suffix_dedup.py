@@ -72,6 +72,20 @@ def test_edges(spark):
     check(spark, [(1, "long text " * 30_000), (0, "long text " * 11)])
 
 
+def test_short_repeats_within_one_text(spark):
+    """A period shorter than a window, in runs that are one segment, and at every length round a window's."""
+    rng = random.Random(9)
+    rows = []
+    for period in (1, 2, 5, 15, 16, 17, 40, 84, 85, 86, 99, 100, 101, 130):
+        unit = "".join(rng.choices("abcdefgh .", k=period))
+        for n in (99, 100, 101, period + 99, period + 100, period + 101, 2 * period + 120, 400):
+            rows.append((len(rows), words(rng, 5) + (unit * 500)[:n] + words(rng, 5) if n % 2 else (unit * 500)[:n]))
+    for parts in (1, 7):
+        check(spark, rows, parts)
+    for row in rows[::9]:                                                     # alone in the table
+        check(spark, [row])
+
+
 def test_empty_table(spark):
     assert sd.removed_digests(spark.createDataFrame([], SCHEMA)).collect() == []
 
