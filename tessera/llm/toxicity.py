@@ -4,39 +4,44 @@ A document's score is the distance-weighted vote of its nearest labelled
 examples under exact TF-IDF cosine, calibrated; the neighbours are returned as
 evidence.
 
-* ``fit`` uses a bounded sample of the labelled training rows: the
-  ``MAX_EXAMPLES`` of least keyed hash of their id.  The features are all
-  words and word beginnings (``PREFIXES`` letters, for inflected and compound
-  forms) of the sample.  How surely a feature tells the sample's classes apart
+* ``fit`` uses a bounded sample of the labelled training rows: those of least
+  keyed hash of their id, up to ``MAX_EXAMPLES`` rows and ``MAX_CHARS``
+  characters of text.  The features are all words and word beginnings
+  (``PREFIXES`` letters, for inflected and compound forms) of the sample, as
+  64-bit hashes.  How surely a feature tells the sample's classes apart
   is a factor of its weight, never 0, so a long text's neighbours are found by
   what matters for the label more than by its filler.  Document frequencies
   are counted over all documents.
 * The examples form an inverted index of blocks of ``BLOCK`` examples, with
-  the greatest weight of each term in each block.  A query takes blocks in
-  order of their upper bound and stops when the bound is below the k-th best
-  cosine: the top k are exact.
+  the greatest weight of each term in each block; frequent terms are rows of a
+  matrix.  A query sums the frequent terms first; the k-th best of these sums is
+  a threshold, and postings are read only in blocks whose upper bound reaches
+  it: the top k are exact.
 * Raw votes are calibrated by isotonic regression on the examples' own
   leave-one-out votes.  A text without any word of the sample gets the base
   rate, and less than ``REJECT``: no evidence is no reason to reject.
 
-Sample, vocabulary, index and calibration are bounded by the sample, so
-the model is a bounded broadcast whatever the size of the corpus.  Scoring is
-one pass over the documents without a shuffle.
+Sample, vocabulary, index and calibration are bounded by the sample's rows and
+characters, so the model is a bounded broadcast whatever the size of the
+corpus, and the driver holds nothing of the sample but arrays of numbers.
+Scoring is one pass over the documents without a shuffle.
 
 Defined results: null text counts as empty; label rows without an id or a
-label are ignored; of several labels of an id the greatest counts; without
-labelled rows the score is 0.
+label are ignored; of several labels of an id the greatest counts; of several
+texts of a labelled id the least is the example; a row without an id is not
+held out; without labelled rows the score is 0.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField,
@@ -44,17 +49,19 @@ from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType,
 
 from .common import apart, crc_mod, ship, shipped, slots, written
 
-#: Parameters of the fit: most labelled rows; the likelihood ratio (twice its logarithm) at which a
+#: Parameters of the fit: most labelled rows, and characters of their texts; the likelihood ratio (twice its logarithm) at which a
 #: word has half of the full weight, and the share of it that every word has.
-MAX_EXAMPLES, SURE, FLOOR = 16_384, 64.0, 0.02
-#: Lengths of the word beginnings that may be features.
+MAX_EXAMPLES, MAX_CHARS, SURE, FLOOR = 16_384, 2_500_000, 64.0, 0.02
+#: Lengths of the word beginnings that may be features, ascending.
 PREFIXES = (4, 5, 6, 7)
 #: Neighbours, examples of a block, evidence rows kept, score from which a text is rejected.
 NEIGHBOURS, BLOCK, EVIDENCE, REJECT = 15, 64, 3, 0.3
+#: A term that stands in one of so many examples is kept as a row of a matrix.
+FREQUENT = 20
 
 _WORD = re.compile(r"[^\W\d_]+")
-#: Characters of a text whose words are held at once.
-PIECE = 2_000_000
+#: Characters of a text whose words are held at once; words whose features a worker remembers.
+PIECE, HELD_WORDS = 2_000_000, 600_000
 
 
 def words_of(text: str | None):
@@ -69,44 +76,65 @@ def words_of(text: str | None):
         at = end
 
 
-def features(words) -> set[str]:
-    """The words and, marked by a star, their beginnings."""
-    words = set(words)
-    return words.union(*({w[:k] + "*" for w in words if len(w) > k} for k in PREFIXES))
+def codes_of(word: str, code=xxhash.xxh3_64_intdigest) -> list[int]:
+    """Codes of the word and, marked by a star, of its beginnings."""
+    return [code(word), *[code(word[:k] + "*") for k in PREFIXES if len(word) > k]]
 
 
 class Vocabulary:
-    """Feature -> number.  The features are kept as one text; who looks up unpacks them first."""
+    """Features by number: their codes, ascending.  A worker remembers the numbers of words that it met."""
 
-    def __init__(self, terms):
-        """terms: a list, or an Arrow column, of features."""
-        chunks = [terms] if isinstance(terms, list) else (c.to_pylist() for c in terms.chunks)
-        self.size, self.packed = len(terms), "\n".join("\n".join(c) for c in chunks if len(c))
-        self.numbers, self.known = None, {}
+    def __init__(self, codes: np.ndarray):
+        self.codes, self.size, self.known, self.beginnings, self.numbers = codes, len(codes), {}, {}, None
 
     def __getstate__(self):
-        return {"size": self.size, "packed": self.packed, "numbers": None, "known": {}}
+        return {"codes": self.codes, "size": self.size, "known": {}, "beginnings": {}, "numbers": None}
 
-    def of_word(self, word: str) -> list[int]:
-        """Numbers of the word and of its beginnings."""
-        found = [self.numbers.get(word), *(self.numbers.get(word[:k] + "*") for k in PREFIXES if len(word) > k)]
-        return [t for t in found if t is not None]
-
-    def counts(self, text: str | None) -> dict[int, int]:
+    def _meet(self, words: set[str]) -> None:
+        """Looks up the words that are not remembered."""
         if self.numbers is None:
-            self.numbers = {t: i for i, t in enumerate(self.packed.split("\n"))} if self.size else {}
-        found: dict[int, int] = {}
-        known = self.known
+            self.numbers = dict(zip(self.codes.tolist(), range(self.size)))
+        for memory in (self.known, self.beginnings):
+            if len(memory) > HELD_WORDS:
+                memory.clear()
+        for word in words.difference(self.known):
+            self.known[word] = self._look_up(word)
+
+    def _look_up(self, word: str) -> tuple[int, ...]:
+        # where a beginning is no feature, neither is a longer one, nor the word
+        found: list[int] = []
+        beginnings, size = self.beginnings, len(word)
+        for k in PREFIXES:
+            if size <= k:
+                break
+            begin = word[:k]
+            number = beginnings.get(begin, -2)
+            if number == -2:
+                number = beginnings[begin] = self.numbers.get(xxhash.xxh3_64_intdigest(begin + "*"), -1)
+            if number < 0:
+                return tuple(found)
+            found.append(number)
+        number = self.numbers.get(xxhash.xxh3_64_intdigest(word))
+        return tuple(found) if number is None else (*found, number)
+
+    def present(self, text: str | None) -> np.ndarray:
+        """Numbers of the features in the text."""
+        found: set[int] = set()
+        for words in map(set, words_of(text)):
+            self._meet(words)
+            found.update(chain.from_iterable(map(self.known.__getitem__, words)))
+        return np.fromiter(found, np.int64, len(found))
+
+    def held(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and counts of the features in the text."""
+        found: Counter = Counter()
         for words in words_of(text):
-            for word, n in Counter(words).items():
-                at = known.get(word)
-                if at is None:
-                    if len(known) >= 100_000:
-                        known.clear()
-                    at = known[word] = self.of_word(word)
-                for t in at:
-                    found[t] = found.get(t, 0) + n
-        return found
+            self._meet(set(words))
+            found.update(chain.from_iterable(map(self.known.__getitem__, words)))
+        return np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found))
+
+    def counts(self, text: str | None) -> dict[int, int]:
+        return dict(zip(*(x.tolist() for x in self.held(text))))
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -114,30 +142,48 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
+def _arrays(vector) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, weights) of a sparse vector, given so or as a dict."""
+    if isinstance(vector, dict):
+        terms = sorted(vector)
+        return np.array(terms, np.int64), np.array([vector[t] for t in terms], float)
+    return vector
+
+
 class BlockMaxIndex:
     """Sparse unit vectors by term, in blocks, with the greatest weight of each term in each block.
 
     Vectors are laid out by their heaviest terms, so that a block's vectors are alike and its
-    greatest weights are close to each vector's own; empty vectors are in no block."""
+    greatest weights are close to each vector's own; empty vectors are in no block.  The postings of
+    a term that stands in a ``FREQUENT``-th of the vectors are a row of a matrix: their part of every
+    cosine is one product, exact, and counts in a block's bound by its greatest value in the block."""
 
     def __init__(self, n_terms: int, vectors):
+        """vectors: (terms ascending, weights) of each example, or a dict of them."""
         heaviest, own = [], []
         for i, vector in enumerate(vectors):
-            if vector:
-                heaviest.append((sorted(vector, key=lambda t: (-vector[t], t))[:8], i))
-                own.append((np.fromiter(vector, np.int32, len(vector)),
-                            np.fromiter(vector.values(), np.float32, len(vector))))
-            else:
-                own.append(None)
+            terms, weights = _arrays(vector)
+            own.append((terms, weights.astype(np.float32)))
+            if len(terms):
+                heaviest.append((tuple(terms[np.lexsort((terms, -weights))[:8]].tolist()), i))
         self.order = np.array([i for _, i in sorted(heaviest)], np.int64)
         held = [own[i] for i in self.order.tolist()]
         terms = np.concatenate([t for t, _ in held] or [np.zeros(0, np.int32)])
         weights = np.concatenate([w for _, w in held] or [np.zeros(0, np.float32)])
         place = np.repeat(np.arange(len(held), dtype=np.int32), [len(t) for t, _ in held])
-        del own, held, heaviest
+        del own, held, heaviest, vectors
         by_term = np.argsort(terms, kind="stable")
-        terms, self.place, self.weight = terms[by_term], place[by_term], weights[by_term]
-        del by_term, place, weights
+        terms, place, weights = terms[by_term], place[by_term], weights[by_term]
+        del by_term
+        distinct, of, often = np.unique(terms, return_inverse=True, return_counts=True)
+        frequent = often * FREQUENT >= max(1, len(self.order))
+        self.row = np.full(n_terms, -1, np.int32)
+        self.row[distinct[frequent]] = np.arange(frequent.sum())
+        dense = frequent[of]
+        self.matrix = np.zeros((int(frequent.sum()), len(self.order)), np.float32)
+        self.matrix[self.row[terms[dense]], place[dense]] = weights[dense]
+        terms, self.place, self.weight = terms[~dense], place[~dense], weights[~dense]
+        del place, weights, of, dense
         block = self.place // BLOCK
         # a run: the vectors of one block that hold one term
         first = np.flatnonzero(np.append(True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1]))[:len(terms)])
@@ -146,39 +192,44 @@ class BlockMaxIndex:
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
         self.at = np.searchsorted(terms[first], np.arange(n_terms + 1))
 
-    def top(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
-        """The k examples of greatest positive cosine: (cosine, example)."""
-        if not query or not len(self.order):
+    def top(self, query, k: int) -> list[tuple[float, int]]:
+        """The k examples of greatest positive cosine: (cosine, example); query: (terms, weights), or a dict."""
+        terms, values = _arrays(query)
+        if not len(terms) or not len(self.order):
             return []
-        terms = np.fromiter(query, np.int64, len(query))
+        row = self.row[terms]
+        frequent = row >= 0
+        score = (values[frequent].astype(np.float32) @ self.matrix[row[frequent]]).astype(float)
+        terms, values = terms[~frequent], values[~frequent]
         size = self.at[terms + 1] - self.at[terms]
         runs = _ranges(self.at[terms], size)
-        weights = np.repeat(np.fromiter(query.values(), float, len(query)), size)
+        weights = np.repeat(values, size)
         block = self.block[runs]
-        bound = np.bincount(block, weights * self.most[runs], (len(self.order) + BLOCK - 1) // BLOCK)
-        ranked = np.argsort(-bound, kind="stable")
-        ranked = ranked[bound[ranked] > 0]
-        score, at, step, least = np.zeros(len(self.order)), 0, 4, 0.0
-        while at < len(ranked):
-            some = ranked[at:at + step]
-            # sums may round down, the bound as well as the cosines
-            some = some[bound[some] * (1 + 1e-6) >= least]
-            if not len(some):
-                break
-            chosen = np.zeros(len(bound), bool)
-            chosen[some] = True
-            mine = np.flatnonzero(chosen[block])
-            lengths = self.run[runs[mine] + 1] - self.run[runs[mine]]
-            postings = _ranges(self.run[runs[mine]], lengths)
-            score += np.bincount(self.place[postings], np.repeat(weights[mine], lengths) * self.weight[postings], len(score))
-            at, step = at + step, 4 * step
-            if len(score) > k:
-                least = max(0.0, float(np.partition(score, len(score) - k)[len(score) - k]))
+        starts = np.arange(0, len(self.order), BLOCK)
+        bound = np.bincount(block, weights * self.most[runs], len(starts)) + np.maximum.reduceat(score, starts)
+        least = 0.0
+        if len(score) > k:                           # what is summed so far is at most the cosine
+            least = max(0.0, float(np.partition(score, len(score) - k)[len(score) - k]))
+        # sums may round down, the bound as well as the cosines
+        some = (bound > 0) & (bound * (1 + 1e-5) >= least)
+        if not some.all():
+            mine = some[block]
+            runs, weights = runs[mine], weights[mine]
+        lengths = self.run[runs + 1] - self.run[runs]
+        postings = _ranges(self.run[runs], lengths)
+        score += np.bincount(self.place[postings], np.repeat(weights, lengths) * self.weight[postings], len(score))
+        if len(score) > k:
+            least = max(0.0, float(np.partition(score, len(score) - k)[len(score) - k]))
         found = np.flatnonzero((score >= least) & (score > 0))
         best = sorted(zip((-score[found]).tolist(), self.order[found].tolist()))[:k]
         return [(min(1.0, -s), i) for s, i in best]
 
 
+def _unit(weights: np.ndarray) -> np.ndarray:
+    norm = float(np.sqrt(weights @ weights))
+    return weights / norm if norm else weights
+
+
 @dataclass
 class Model:
     terms: Vocabulary
@@ -190,10 +241,11 @@ class Model:
     empty: float
     steps: tuple[np.ndarray, np.ndarray]
 
+    def unit(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return terms, _unit((1 + np.log(counts)) * self.idf[terms])
+
     def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        weights = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in sorted(counts.items())}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
-        return {t: w / norm for t, w in weights.items() if norm}
+        return dict(zip(counts, self.unit(*(x.astype(np.int64) for x in _arrays(counts)))[1].tolist()))
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Votes weighted by closeness, with one vote at half weight for the base rate."""
@@ -201,8 +253,8 @@ class Model:
         votes = sum(w * self.labels[i] for w, (_, i) in zip(weights, near))
         return (votes + 0.5 * self.base) / (sum(weights) + 0.5)
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        near = self.index.top(self.vector(counts), NEIGHBOURS)
+    def score(self, counts) -> tuple[float, list[tuple[float, int]]]:
+        near = self.index.top(self.unit(*(x.astype(np.int64) for x in _arrays(counts))), NEIGHBOURS)
         if not near:
             return self.empty, near
         return float(np.interp(self.vote(near), *self.steps)), near
@@ -226,38 +278,45 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.array([(p[0] + mean) / (p[1] + 1) for p in pools])
 
 
-def _training(labels: DataFrame, train) -> DataFrame:
-    """(doc_id, toxic) of the bounded sample of training rows."""
+def _sample(docs: DataFrame, labels: DataFrame, train) -> DataFrame:
+    """(doc_id, toxic, text) of the bounded sample of training rows, one row an id."""
     rows = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & train(F.col("doc_id")))
             .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
-    return rows.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(MAX_EXAMPLES)
-
-
-def _word_counts(sample: DataFrame) -> DataFrame:
-    """(word, rows, toxic): in how many sample documents a word stands, by class, for each task."""
+    order = [F.xxhash64("doc_id", F.lit(5)), F.col("doc_id")]
+    # the broadcast sides: MAX_EXAMPLES rows of two numbers at most
+    first = F.broadcast(rows.orderBy(*order).limit(MAX_EXAMPLES))
+    sizes = (docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("chars")).join(first, "doc_id")
+             .groupBy("doc_id", "toxic").agg(F.max("chars").alias("chars")))
+    known = written(sizes, "toxicity/sizes")
+    held, total = [], 0
+    for row in known.orderBy(*order).collect():                  # MAX_EXAMPLES narrow rows at most
+        total += row.chars
+        if held and total > MAX_CHARS:
+            break
+        held.append((row.doc_id, row.toxic))
+    chosen = docs.sparkSession.createDataFrame(held, "doc_id long, toxic int")
+    text = F.coalesce("text", F.lit(""))
+    return written(docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min(text).alias("text"))
+                   .repartition(slots(docs.sparkSession), "doc_id"), "toxicity/sample")
+
+
+def _code_counts(sample: DataFrame) -> DataFrame:
+    """(code, rows, toxic): in how many sample documents a feature stands, by class, for each task."""
     def run(batches):
-        found: dict[str, list[int]] = {}
-
-        def out():
-            words = list(found)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), pa.array([found[w][0] for w in words], pa.int64()),
-                 pa.array([found[w][1] for w in words], pa.int64())], names=["word", "rows", "toxic"])
-
+        codes, labels = [], []
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1)):
-                y = toxic.as_py()
-                for word in features(set().union(*words_of(text.as_py()))):
-                    n = found.setdefault(word, [0, 0])
-                    n[0] += 1
-                    n[1] += y
-                if len(found) > 200_000:
-                    yield out()
-                    found.clear()
-        if found:
-            yield out()
+                words = set().union(*words_of(text.as_py()))
+                own = np.unique(np.fromiter(chain.from_iterable(map(codes_of, words)), np.uint64))
+                codes.append(own)
+                labels.append(np.full(len(own), toxic.as_py(), np.int64))
+        if codes:
+            distinct, of = np.unique(np.concatenate(codes), return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(distinct.view(np.int64)), pa.array(np.bincount(of)),
+                 pa.array(np.bincount(of, np.concatenate(labels)).astype(np.int64))], names=["code", "rows", "toxic"])
 
-    return sample.select("text", "toxic").mapInArrow(run, "word string, rows bigint, toxic bigint")
+    return sample.select("text", "toxic").mapInArrow(run, "code bigint, rows bigint, toxic bigint")
 
 
 def _sureness(rows: np.ndarray, toxic: np.ndarray, base: float) -> np.ndarray:
@@ -273,20 +332,18 @@ def _sureness(rows: np.ndarray, toxic: np.ndarray, base: float) -> np.ndarray:
     return FLOOR + (1 - FLOOR) * ratio / (ratio + SURE)
 
 
-def _own_votes(spark, model: "Model", rows: list, idf: np.ndarray, held: np.ndarray, toxic: np.ndarray) -> list[tuple[int, float]]:
+def _own_votes(spark, model: "Model", rows: pa.Table, idf: np.ndarray, held: np.ndarray, toxic: np.ndarray) -> list[tuple[int, float]]:
     """(example, vote of its nearest other examples) of the examples that have any.
 
     idf, held, toxic: of each word, to weigh an example's words as if its own label were not known."""
-    if not rows:
+    if not len(rows):
         return []
     sent = ship(spark, (model, idf, held, toxic))
 
     def found(model, idf, held, toxic, y, terms, counts):
-        at = np.frombuffer(terms, np.int32)
+        at = np.frombuffer(terms, np.int32).astype(np.int64)
         weights = idf[at] * _sureness(held[at] - 1, toxic[at] - y, model.base)
-        weights *= 1 + np.log(np.frombuffer(counts, np.int32))
-        norm = math.sqrt(float(weights @ weights))
-        return model.index.top(dict(zip(at.tolist(), (weights / norm).tolist())) if norm else {}, NEIGHBOURS + 1)
+        return model.index.top((at, _unit(weights * (1 + np.log(np.frombuffer(counts, np.int64))))), NEIGHBOURS + 1)
 
     def run(batches):
         values, known = shipped(sent), {}
@@ -302,37 +359,34 @@ def _own_votes(spark, model: "Model", rows: list, idf: np.ndarray, held: np.ndar
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()),
                                               pa.array([v for _, v in out], pa.float64())], names=["example", "vote"])
 
-    table = pa.table({"example": pa.array(range(len(rows)), pa.int64()), "toxic": pa.array([r.toxic for r in rows], pa.int64()),
-                      "terms": pa.array([bytes(r.terms) for r in rows], pa.binary()),
-                      "counts": pa.array([bytes(r.counts) for r in rows], pa.binary())})
+    table = rows.select(["toxic", "terms", "counts"]).add_column(0, "example", pa.array(range(len(rows)), pa.int64()))
     voted = spark.createDataFrame(table).repartition(slots(spark), "example").mapInArrow(run, "example bigint, vote double")
     return sorted((r.example, r.vote) for r in voted.collect())
 
 
 def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True)) -> Model:
     """The model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) where ``train(doc_id)``."""
-    # the broadcast side: MAX_EXAMPLES rows of two numbers at most
-    sample = written(docs.select("doc_id", "text").join(F.broadcast(_training(labels, train)), "doc_id"),
-                     "toxicity/sample")
+    spark = docs.sparkSession
+    sample = _sample(docs, labels, train)
     n, toxic = (x or 0 for x in sample.agg(F.count("*"), F.sum("toxic")).first())
     base = toxic / n if n else 0.0
+    codes = held = of_toxic = np.zeros(0)
     if 0 < toxic < n:
-        words = (_word_counts(sample).groupBy("word").agg(F.sum("rows").alias("rows"), F.sum("toxic").alias("toxic"))
-                 .orderBy("word").toArrow())
-    else:
-        words = pa.table({"word": pa.array([], pa.string()), "rows": pa.array([], pa.int64()),
-                          "toxic": pa.array([], pa.int64())})
-    terms = Vocabulary(words.column("word"))
-    held, of_toxic = (words.column(c).to_numpy().astype(float) for c in ("rows", "toxic"))
-    del words
-    sent = ship(docs.sparkSession, terms)
+        stats = (_code_counts(sample).groupBy("code").agg(F.sum("rows").alias("rows"), F.sum("toxic").alias("toxic"))
+                 .toArrow())
+        codes = stats.column("code").to_numpy().view(np.uint64)
+        by = np.argsort(codes)
+        codes, held, of_toxic = codes[by], *(stats.column(c).to_numpy()[by].astype(float) for c in ("rows", "toxic"))
+        del stats
+    terms = Vocabulary(codes.astype(np.uint64))
+    sent = ship(spark, terms)
 
     def frequencies(batches):
         terms = shipped(sent)
         total, rows = np.zeros(terms.size + 1, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
-                total[list(terms.counts(text.as_py()))] += 1
+                total[terms.present(text.as_py())] += 1
             rows += len(batch)
         total[-1] = rows
         at = np.flatnonzero(total)
@@ -343,34 +397,31 @@ def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True)) ->
         found = (docs.select("text").mapInArrow(frequencies, "term bigint, n bigint")
                  .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
         counted[found.column("term").to_numpy()] = found.column("n").to_numpy()
+        del found
     idf = np.log((counted[-1] + 1) / (counted[:-1] + 1)) + 1
 
     def counts(batches):
         terms = shipped(sent)
         for batch in batches:
-            found = [sorted(terms.counts(t.as_py()).items()) for t in batch.column(1)]
+            found = [(t.astype(np.int32), n) for t, n in (terms.held(x.as_py()) for x in batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2),
-                 pa.array([np.array([t for t, _ in x], np.int32).tobytes() for x in found], pa.binary()),
-                 pa.array([np.array([c for _, c in x], np.int32).tobytes() for x in found], pa.binary())],
-                names=["doc_id", "toxic", "terms", "counts"])
-
-    rows = sample.select("doc_id", "text", "toxic").mapInArrow(
-        counts, "doc_id bigint, toxic int, terms binary, counts binary")
-    # one row per example, though documents may repeat an id: at most MAX_EXAMPLES rows
-    rows = sorted(rows.dropDuplicates(["doc_id"]).collect()) if terms.size else []
-    model = Model(terms, idf * _sureness(held, of_toxic, base), [r.doc_id for r in rows], np.array([r.toxic for r in rows], float),
-                  BlockMaxIndex(terms.size, []), base, min(base, REJECT / 2), (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
-
-    def vector(r):
-        return model.vector(dict(zip(np.frombuffer(r.terms, np.int32).tolist(), np.frombuffer(r.counts, np.int32).tolist())))
-
-    model.index = BlockMaxIndex(terms.size, (vector(r) for r in rows))
+                [batch.column(0), batch.column(2), pa.array([t.tobytes() for t, _ in found], pa.binary()),
+                 pa.array([c.tobytes() for _, c in found], pa.binary())], names=["doc_id", "toxic", "terms", "counts"])
+
+    # the examples as arrays of numbers, bounded by the sample's rows and characters
+    rows = (sample.select("doc_id", "text", "toxic")
+            .mapInArrow(counts, "doc_id bigint, toxic int, terms binary, counts binary").toArrow().sort_by("doc_id"))
+    rows = rows if terms.size else rows.slice(0, 0)
+    model = Model(terms, idf * _sureness(held, of_toxic, base), rows.column("doc_id").to_pylist(),
+                  rows.column("toxic").to_numpy().astype(float), BlockMaxIndex(terms.size, []), base, min(base, REJECT / 2),
+                  (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
+    model.index = BlockMaxIndex(terms.size, (
+        model.unit(np.frombuffer(t.as_buffer(), np.int32).astype(np.int64), np.frombuffer(c.as_buffer(), np.int64))
+        for t, c in zip(rows.column("terms"), rows.column("counts"))))
     # without the example itself, by the tasks of a bounded table
-    votes = _own_votes(docs.sparkSession, model, rows, idf, held, of_toxic)
-    votes = [(v, rows[i].toxic) for i, v in votes]
+    votes = _own_votes(spark, model, rows, idf, held, of_toxic)
     if votes:
-        model.steps = _isotonic(np.array([v for v, _ in votes]), np.array([float(y) for _, y in votes]))
+        model.steps = _isotonic(np.array([v for _, v in votes]), model.labels[[i for i, _ in votes]])
     return model
 
 
@@ -393,12 +444,12 @@ def apply(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             scores, evidence = [], []
             for text in batch.column(batch.schema.get_field_index("text")):
-                counts = model.terms.counts(text.as_py())
-                key = tuple(sorted(counts.items()))
+                text = text.as_py() or ""
+                key = xxhash.xxh3_128_digest(text)                   # copies are scored once
                 if key not in known:
-                    if len(known) > 5_000:
+                    if len(known) > 20_000:
                         known.clear()
-                    score, near = model.score(counts)
+                    score, near = model.score(model.terms.held(text))
                     known[key] = score, [{"doc_id": model.ids[i], "cosine": c, "toxic": bool(model.labels[i])}
                                          for c, i in near[:EVIDENCE]]
                 scores.append(known[key][0])
@@ -420,7 +471,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence for every document."""
     docs = docs.select("doc_id", "text")
     model = fit(docs, labels.select("doc_id", "toxic"), is_training)
-    return apply(docs, model).select("doc_id", (~is_training(F.col("doc_id"))).alias("held_out"), "score",
+    return apply(docs, model).select("doc_id", F.coalesce(~is_training(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
                                      "predicted", "evidence")
 
 

@@ -19,7 +19,10 @@ def unit(rng, n_terms):
 
 
 @pytest.mark.parametrize("k", [1, 7, 40])
-def test_block_max_top_is_exact(k):
+@pytest.mark.parametrize("frequent", [0, 11, 20])
+def test_block_max_top_is_exact(k, frequent, monkeypatch):
+    """With no, some and all terms as rows of the matrix."""
+    monkeypatch.setattr(toxicity, "FREQUENT", frequent)
     rng = random.Random(k)
     vectors = [unit(rng, 40) if rng.random() < 0.9 else {} for _ in range(700)]
     vectors += [dict(vectors[3]) for _ in range(100)]            # ties
@@ -129,3 +132,86 @@ def test_every_word_of_the_sample_has_a_weight(spark):
     for _, text, _ in docs:
         assert len(model.terms.counts(text)) >= 2 and all(w > 0 for w in model.vector(model.terms.counts(text)).values())
     assert model.score(model.terms.counts("unknown"))[0] < toxicity.REJECT
+
+
+def plain_scores(docs, labels):
+    """Every document's score with plain dicts of features and all cosines."""
+    import math
+    import re
+    from collections import Counter
+
+    def counts(text):
+        found = Counter()
+        for w, n in Counter(re.findall(r"[^\W\d_]+", (text or "").lower())).items():
+            for f in {w, *(w[:k] + "*" for k in toxicity.PREFIXES if len(w) > k)}:
+                found[f] += n
+        return found
+
+    label = {}
+    for i, y, _ in labels:
+        if i is not None and y is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            label[i] = max(label.get(i, 0), int(y > 0))
+    examples = sorted((i, counts(t), label[i]) for i, t, _ in docs if i in label)
+    base = sum(y for _, _, y in examples) / len(examples)
+    held, toxic = Counter(), Counter()
+    for _, c, y in examples:
+        held.update(c.keys())
+        toxic.update(c.keys() if y else ())
+    df = Counter(f for _, t, _ in docs for f in counts(t) if f in held)
+    idf = {f: math.log((len(docs) + 1) / (df[f] + 1)) + 1 for f in held}
+
+    def sure(n, bad):
+        part = lambda x, e: x * math.log(max(x, 1e-300) / max(e, 1e-300))
+        ratio = 2 * max(0, part(bad, n * base) + part(n - bad, n * (1 - base)))
+        return toxicity.FLOOR + (1 - toxicity.FLOOR) * ratio / (ratio + toxicity.SURE)
+
+    def unit(c, own=None):
+        v = {f: (1 + math.log(n)) * idf[f] * (sure(held[f], toxic[f]) if own is None else
+                                              sure(held[f] - 1, min(max(toxic[f] - own, 0), held[f] - 1)))
+             for f, n in c.items() if f in held}
+        norm = math.sqrt(sum(w * w for w in v.values()))
+        return {f: w / norm for f, w in v.items()} if norm else {}
+
+    vectors = [unit(c) for _, c, _ in examples]
+
+    def vote(query, without=None):
+        near = sorted((-sum(w * v.get(f, 0) for f, w in query.items()), i) for i, v in enumerate(vectors) if i != without)
+        near = [(min(1.0, -s), i) for s, i in near[:toxicity.NEIGHBOURS] if s < 0]
+        weights = [1 / (1.05 - s) for s, _ in near]
+        return near and (sum(w * examples[i][2] for w, (_, i) in zip(weights, near)) + 0.5 * base) / (sum(weights) + 0.5)
+
+    own = [(vote(unit(c, y), i), y) for i, (_, c, y) in enumerate(examples)]
+    own = [(v, y) for v, y in own if v != []]
+    steps = toxicity._isotonic(np.array([v for v, _ in own]), np.array([float(y) for _, y in own]))
+    votes = {i: vote(unit(counts(t))) for i, t, _ in docs}
+    return {i: min(base, toxicity.REJECT / 2) if v == [] else float(np.interp(v, *steps)) for i, v in votes.items()}
+
+
+def test_whole_score_is_the_plain_one(spark):
+    docs, labels = corpus(random.Random(12), 200)
+    docs += [(900, "", 1), (901, None, 1), (902, "zzz unknown", 1)]
+    want = plain_scores(docs, labels)
+    got = {r.doc_id: r.score for r in toxicity.scored(spark.createDataFrame(docs, DOCS).repartition(3),
+                                                      spark.createDataFrame(labels, LABELS)).collect()}
+    assert got.keys() == want.keys()
+    # neighbours of equal cosine may stand in another order in single precision
+    close = [abs(got[i] - want[i]) < 1e-4 for i in want]
+    assert sum(close) >= 0.98 * len(close), [(i, got[i], want[i]) for i in want if abs(got[i] - want[i]) >= 1e-4]
+
+
+def test_null_and_repeated_ids(spark):
+    docs, labels = corpus(random.Random(13), 300)
+    docs += [(None, "nasty", 1), (None, None, 1), (5, "nasty " * 9, 1), (5, "an other text", 1), (6, None, 1)]
+    runs = [sorted(toxicity.scored(spark.createDataFrame(rows, DOCS).repartition(n), spark.createDataFrame(labels, LABELS))
+                   .select("doc_id", "held_out", "score", "predicted").collect(), key=str)
+            for n, rows in ((1, docs), (6, docs[::-1]))]
+    assert runs[0] == runs[1]
+    assert {r.held_out for r in runs[0] if r.doc_id is None} == {False}
+
+
+def test_sample_is_bounded_by_characters(spark, monkeypatch):
+    docs, labels = corpus(random.Random(14), 400)
+    monkeypatch.setattr(toxicity, "MAX_CHARS", 20_000)
+    model = toxicity.fit(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+    size = {i: len(t) for i, t, _ in docs}
+    assert 10 < len(model.ids) < 200 and sum(size[i] for i in model.ids) <= 20_000
