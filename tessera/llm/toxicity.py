@@ -55,7 +55,7 @@ MAX_EXAMPLES, MAX_CHARS, SURE, FLOOR = 16_384, 2_500_000, 64.0, 0.02
 #: Lengths of the word beginnings that may be features, ascending.
 PREFIXES = (4, 5, 6, 7)
 #: Neighbours, examples of a block, evidence rows kept, score from which a text is rejected.
-NEIGHBOURS, BLOCK, EVIDENCE, REJECT = 15, 64, 3, 0.3
+NEIGHBOURS, BLOCK, EVIDENCE, REJECT = 15, 128, 3, 0.3
 #: A term that stands in one of so many examples is kept as a row of a matrix.
 FREQUENT = 20
 
@@ -191,6 +191,7 @@ class BlockMaxIndex:
         self.block = block[first]
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
         self.at = np.searchsorted(terms[first], np.arange(n_terms + 1))
+        self.runs_of, self.length = np.diff(self.at), np.diff(self.run)
 
     def top(self, query, k: int) -> list[tuple[float, int]]:
         """The k examples of greatest positive cosine: (cosine, example); query: (terms, weights), or a dict."""
@@ -201,7 +202,7 @@ class BlockMaxIndex:
         frequent = row >= 0
         score = (values[frequent].astype(np.float32) @ self.matrix[row[frequent]]).astype(float)
         terms, values = terms[~frequent], values[~frequent]
-        size = self.at[terms + 1] - self.at[terms]
+        size = self.runs_of[terms]
         runs = _ranges(self.at[terms], size)
         weights = np.repeat(values, size)
         block = self.block[runs]
@@ -215,7 +216,7 @@ class BlockMaxIndex:
         if not some.all():
             mine = some[block]
             runs, weights = runs[mine], weights[mine]
-        lengths = self.run[runs + 1] - self.run[runs]
+        lengths = self.length[runs]
         postings = _ranges(self.run[runs], lengths)
         score += np.bincount(self.place[postings], np.repeat(weights, lengths) * self.weight[postings], len(score))
         if len(score) > k:
