@@ -7,14 +7,21 @@ on most of them is template; texts that vary are content, unless the slot
 plays another part (menu, footer, advert, form, comments ...) by its element,
 or is mostly links.  Where a page marks its article, content stands inside it.
 Class, id or role names of another part are evidence only: what stands below
-them is not content where that is a small share of the aligned pages' text.
-They say nothing about ``html``, ``body``, ``main``, ``article`` or what holds
-the marked article.
-
-Pages are range-partitioned by host and, within a host, by a hash of the page;
-runs of at most ``GROUP_PAGES`` of a host's pages are its groups, and each group
-induces its own wrapper from all its pages.  So a host with a third of all pages
-is many groups in many ranges, and one shuffle of the pages is all there is.  Copies of a page count once, so that they don't make its
+them is not content where that is a small share of the aligned pages' text, or,
+inside a marked article, not nearly all of the article's.  They say nothing
+about ``html``, ``body``, ``main``, ``article`` or what holds the marked article.
+A page-wide form (one that holds the marked article or most of the page's text),
+and any other part that holds the marked article with most of the text, is no
+other part.  A text that stands in one slot of most pages is template inside an
+article too.
+
+A host of more than ``GROUP_PAGES`` pages is dealt by a hash of the page into
+groups of about that many; every other host is one group.  A group induces its
+wrapper from all its pages, so what a page's text is depends on the pages alone,
+not on how they are stored or shuffled, and no group is the short rest of a host.  A
+host with a third of all pages is many groups.  Hosts' page counts are narrow rows; those of
+the large hosts are broadcast behind a size check, and one shuffle of the
+pages is all there is.  Copies of a page count once, so that they don't make its
 text a template.
 
 Defined results: null or empty html has the empty text; a null or odd url is a
@@ -36,18 +43,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_broadcast
+
 #: Pages of a group; least distinct pages and least share of them that make a text template.
 GROUP_PAGES, LEAST_PAGES, CONSTANT = 256, 4, 0.6
 #: Share of link text from which a slot outside an article is a menu; deepest nesting aligned.
 LINKED, DEEPEST = 0.5, 100
 #: Share of the text below which an element named as another part is one.
 SMALL = 0.3
+#: Share of an article's text above which a name inside it says nothing.
+NEARLY_ALL = 0.8
 
 # Elements of HTML by the part they play.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp "
-             "small span strike strong sub sup time tt u var wbr".split())
+             "small span strike strong sub sup time tt u var wbr "
+             "math semantics mrow mi mn mo ms mtext mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr "
+             "mtd mstyle mpadded mphantom mspace".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title iframe object svg math select xmp noembed noframes".split())
+RAW = set("script style noscript template textarea title iframe object svg select xmp noembed noframes "
+          "annotation annotation-xml".split())
 OTHER_PARTS = set("nav header footer aside form button dialog menu head canvas audio video".split())
 # Elements that names say nothing about; words in class, id or role that name another part.
 OWN_PARTS = set("html body main article".split())
@@ -71,13 +85,16 @@ _HOST = re.compile(r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
 
 
 class Node:
-    __slots__ = ("tag", "label", "other", "inside", "children", "slot", "marks", "hint", "named", "anchor")
+    __slots__ = ("tag", "label", "other", "inside", "children", "slot", "marks", "hint", "named", "anchor", "words",
+                 "size", "holds", "key")
 
-    def __init__(self, tag, label="", other=False, inside=False):
-        self.tag, self.label, self.other, self.inside = tag, label or tag, other, inside
+    def __init__(self, tag, label="", marks=False, words=frozenset()):
+        self.tag, self.label, self.marks, self.words = tag, label or tag, marks, words
         self.children: list[Node] = []
         self.slot = -1
-        self.marks = self.hint = False
+        self.hint = self.other = self.inside = self.holds = False
+        self.size = 0                                # characters of text below it
+        self.key: int | None = None                  # of the labels below it, see ``form_of``
         self.anchor = self                           # the element whose slot its text counts for
         self.named: Node | None = None               # the outermost element round it, or itself, of such a name
 
@@ -161,21 +178,38 @@ class Page:
             names = _NAMES.findall(rest or "")
             words = {w for _, v in names for w in _SPLIT.split(v.strip("\"'").lower()) if w}
             parent = stack[-1]
-            other = tag in OTHER_PARTS and not (tag == "header" and parent.inside)   # the article's own head
-            hint = tag not in OWN_PARTS and words & OTHER_WORDS and not (parent.inside and words & OTHER_WORDS == {"header"})
             marks = tag in ("article", "main") or "main" in words and "role" in {k.lower() for k, _ in names}
-            inside = parent.inside or marks and not other and not parent.other
             label = tag + "".join(sorted("." + v.strip("\"'").lower() for k, v in names if k.lower() == "class"))
-            node = Node(tag, label, other or parent.other, inside)
-            node.marks, node.hint = marks and not node.other, bool(hint)
+            node = Node(tag, label, marks, words & OTHER_WORDS)
             parent.children.append(node)
             if len(stack) > DEEPEST:
                 node.anchor = parent.anchor
             stack.append(node)
             opened[tag] = opened.get(tag, 0) + 1
         flush()
+        self._parts()
         self._name()
 
+    def _parts(self):
+        """Which elements play another part by their tag, and which mark the article."""
+        for node, text, _ in self.blocks:
+            node.size += len(text)
+        order = list(self._walk())
+        for node, parent in reversed(order):
+            if parent:
+                parent.size += node.size
+                parent.holds |= node.holds or node.marks
+        for node, parent in order:
+            if not parent:
+                continue
+            most = 2 * node.size > self.root.size
+            page_wide = node.holds and most or node.tag == "form" and (node.holds or most)
+            own_head = node.tag == "header" and parent.inside            # the article's own head
+            node.other = parent.other or node.tag in OTHER_PARTS and not own_head and not page_wide
+            node.marks = node.marks and not node.other
+            node.inside = parent.inside or node.marks
+            node.hint = node.tag not in OWN_PARTS and bool(node.words) and not (parent.inside and node.words == {"header"})
+
     def _walk(self):
         todo = [(self.root, None)]
         while todo:
@@ -214,6 +248,21 @@ def shape(node: Node) -> list[list[Node]]:
     return runs
 
 
+def form_of(node: Node) -> int:
+    """A hash of the labels of a subtree: equal for subtrees that are alike."""
+    todo = [node]
+    while todo:
+        here = todo[-1]
+        below = [c for c in here.children if c.key is None]
+        if here.key is None and below:
+            todo += below
+            continue
+        if here.key is None:
+            here.key = hash((here.label, *(c.key for c in here.children)))
+        todo.pop()
+    return node.key
+
+
 def tree_match(a: Node, b: Node, pairs: list | None = None, depth: int = 0) -> int:
     """Simple tree matching: nodes in the largest matching of two trees, 0 if the roots' labels differ.
 
@@ -226,22 +275,26 @@ def tree_match(a: Node, b: Node, pairs: list | None = None, depth: int = 0) -> i
         pairs.append((a, b))
     if not m or not n:
         return 1
-    leaves: dict[str, tuple[list[int], list[int]]] = {}          # by label: runs of leaves, and others
+    # runs that are alike are matched once: by label, the places of the runs of each form and length (one or more)
+    alike: dict[str, dict[tuple, list[int]]] = {}
     for j, y in enumerate(right):
-        leaves.setdefault(y[0].label, ([], []))[bool(y[0].children)].append(j)
+        alike.setdefault(y[0].label, {}).setdefault((form_of(y[0]), len(y) > 1), []).append(j)
+    known: dict[tuple, np.ndarray] = {}
+
+    def weights_of(x):
+        key = (form_of(x[0]), len(x) > 1)
+        if key not in known:
+            known[key] = np.zeros(n, np.int32)
+            for places in alike[x[0].label].values():
+                known[key][places] = _run_match(x, right[places[0]], None, depth + 1)
+        return known[key]
 
     def rows(row, i, stop):
         """The rows of scores from i to stop, after ``row``."""
         for x in left[i:stop]:
             best = row.copy()
-            if x[0].label in leaves:
-                flat, deep = leaves[x[0].label]
-                weights = np.zeros(n, np.int32)
-                if not x[0].children:
-                    weights[flat] = 1
-                for j in deep if not x[0].children else flat + deep:
-                    weights[j] = _run_match(x, right[j], None, depth + 1)
-                best[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weights))
+            if x[0].label in alike:
+                best[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weights_of(x)))
             row = best
             yield row
 
@@ -313,19 +366,20 @@ def main_texts(sources: list[str | None]) -> list[str]:
             share = links.setdefault(node.anchor.slot, [0, 0])
             share[0] += linked
             share[1] += len(text)
-    # text below each element of a telling name, and of the pages that have it
+    # text below each element of a telling name, and of the pages, or the articles, that have it
     below: dict[int, list[int]] = {}
     for page in pages:
-        total, named = 0, {}
+        total, article, named = 0, 0, {}
         for node, text, _ in page.blocks:
             if not node.other:
                 total += len(text)
+                article += len(text) * node.inside
                 if node.named:
                     named[node.named] = named.get(node.named, 0) + len(text)
         for node, n in named.items():
             one = below.setdefault(node.slot if node.slot != -1 else id(node), [0, 0])
             one[0] += n
-            one[1] += total
+            one[1] += article if node.inside else total
     often = max(LEAST_PAGES, CONSTANT * len(pages))
     out = {}
     for source, page in parsed.items():
@@ -335,7 +389,7 @@ def main_texts(sources: list[str | None]) -> list[str]:
                 continue
             if node.named:
                 share = below[node.named.slot if node.named.slot != -1 else id(node.named)]
-                if share[0] < SMALL * share[1]:
+                if share[0] < (NEARLY_ALL if node.named.inside else SMALL) * share[1]:
                     continue
             if seen.get((node.anchor.slot, xxhash.xxh3_64_intdigest(text)), 0) >= often:
                 continue                             # template
@@ -348,8 +402,8 @@ def main_texts(sources: list[str | None]) -> list[str]:
 
 
 def _extract(batches):
-    """Rows sorted by host: runs of at most GROUP_PAGES pages of a host."""
-    held, count, host = [], 0, None
+    """Rows sorted by group: each group's texts; copies of one page beyond twice ``GROUP_PAGES`` rows are a run of their own."""
+    held, count, group = [], 0, None
 
     def out(rows: pa.Table):
         texts = main_texts(rows.column("html").to_pylist())
@@ -359,18 +413,20 @@ def _extract(batches):
             names=["page_id", "url", "text", "n_chars"])
 
     for batch in batches:
-        key = batch.column("grp").to_numpy()
-        cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
-        for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]) if len(batch) else ():
-            if count and key[a] != host:
+        if not len(batch):
+            continue
+        keys = list(zip(batch.column("grp").to_pylist(), batch.column("part").to_pylist()))
+        cuts = [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]]
+        for a, z in zip([0, *cuts], [*cuts, len(batch)]):
+            if count and keys[a] != group:
                 yield out(pa.Table.from_batches(held))
                 held, count = [], 0
-            host = key[a]
+            group = keys[a]
             while a < z:
-                take = min(z - a, GROUP_PAGES - count)
+                take = min(z - a, 2 * GROUP_PAGES - count)
                 held.append(batch.slice(a, take))
                 a, count = a + take, count + take
-                if count == GROUP_PAGES:
+                if count == 2 * GROUP_PAGES:
                     yield out(pa.Table.from_batches(held))
                     held, count = [], 0
     if held:
@@ -380,9 +436,13 @@ def _extract(batches):
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) -> page_id, url, text, n_chars; a row for each row."""
     host = F.lower(F.coalesce(F.regexp_extract("url", _HOST.pattern, 1), F.lit("")))
-    order = ["grp", "at", "page_id"]
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html",
-                        F.xxhash64(host).alias("grp"), F.xxhash64("page_id", "url").alias("at"))
-    # ranges of hosts: a host of many pages is cut into several, no count of its pages is needed
-    return (rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    grp = F.xxhash64(host).alias("grp")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", grp,
+                        F.xxhash64("page_id", "url").alias("at"))
+    large = (pages.select(grp).groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_PAGES)
+             .select("grp", F.round(F.col("n") / GROUP_PAGES).cast("long").alias("parts")))
+    dealt = (rows.join(bounded_broadcast(large), "grp", "left")
+             .withColumn("part", F.pmod("at", F.coalesce("parts", F.lit(1)))))
+    return (dealt.repartition("grp", "part").sortWithinPartitions("grp", "part", "at", "page_id")
+            .select("grp", "part", "page_id", "url", "html")
             .mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint"))

@@ -136,3 +136,89 @@ def test_long_pages_are_matched_exactly():
     assert hx.main_texts(pages) == want
     a, b = hx.Page(pages[0]).root, hx.Page(pages[1]).root
     assert hx.tree_match(a, b) == 2 + 10 + 24        # the page, its body, the runs
+
+
+def pages_of(rng, n, build):
+    """(pages, articles): build(blocks) gives a page's body."""
+    pages, want = [], []
+    for _ in range(n):
+        blocks = [words(rng, 30) for _ in range(4)]
+        want.append("\n\n".join(blocks))
+        pages.append(f"<html><body>{build(''.join(f'<p>{b}</p>' for b in blocks))}</body></html>")
+    return pages, want
+
+
+@pytest.mark.parametrize("mark", ["article", "div"])
+def test_a_page_wide_form_is_no_other_part(mark):
+    rng = random.Random(21)
+    pages, want = pages_of(rng, 8, lambda inner: f"<form id='aspnetForm'><nav>Menu</nav><{mark}>{inner}</{mark}>"
+                                                 "<footer>About us</footer></form>")
+    assert hx.main_texts(pages) == want and hx.main_texts(pages[:1]) == want[:1]
+    pages, want = pages_of(rng, 8, lambda inner: f"<article>{inner}<form>Your comment</form></article><form>Search</form>")
+    assert hx.main_texts(pages) == want
+
+
+@pytest.mark.parametrize("n", [2, 12])
+def test_a_sidebar_inside_an_article_goes(n):
+    """Also one that holds two thirds of its text; a name round nearly all of it says nothing."""
+    rng = random.Random(22)
+    side = lambda: "".join(f"<p>{words(rng, 30)}</p>" for _ in range(n))
+    pages, want = pages_of(rng, 8, lambda inner: f"<article><div class='sidebar'>{side()}</div>{inner}</article>")
+    assert hx.main_texts(pages) == want
+    pages, want = pages_of(rng, 8, lambda inner: f"<article><div class='widget'>{inner}</div></article>")
+    assert hx.main_texts(pages) == want
+
+
+def test_related_articles_in_an_aside_go():
+    rng = random.Random(23)
+    cards = lambda: "".join(f"<article><h3>{words(rng, 4)}</h3></article>" for _ in range(3))
+    pages, want = pages_of(rng, 8, lambda inner: f"<main>{inner}</main><aside>{cards()}</aside>")
+    assert hx.main_texts(pages) == want
+
+
+def test_formulas_are_text():
+    page = ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> is here"
+            "<math><semantics><mi>y</mi><annotation>\\y</annotation></semantics></math></p>")
+    assert hx.main_texts([page]) == ["so x=1 is herey"]
+
+
+def test_long_tables_take_no_time():
+    import time
+    rng = random.Random(24)
+    table = lambda n: "".join(f"<tr><td>{words(rng, 2)}</td><td><p>{words(rng, 2)}</p></td></tr>" if i % 3 else
+                              f"<tr><td>{words(rng, 2)}</td></tr>" for i in range(n))
+    pages = [f"<body><p>Site slogan</p><article><table>{table(n)}</table></article></body>" for n in (3000, 2900, 10, 11, 12)]
+    began = time.time()
+    texts = hx.main_texts(pages)
+    assert time.time() - began < 10
+    assert [t.count("\n\n") + 1 for t in texts] == [sum(2 if i % 3 else 1 for i in range(n)) for n in (3000, 2900, 10, 11, 12)]
+
+
+def test_no_page_is_the_short_rest_of_a_host(spark):
+    """Hosts a little over a group's size: the same texts under any layout, and no template text on any page."""
+    rng = random.Random(25)
+    rows, want = [], {}
+    for host, n in (("a.example", 257), ("b.example", 268), ("c.example", 610), ("d.example", 5)):
+        for _ in range(n):
+            blocks, page = site_page(rng, host, False)
+            want[len(rows)] = "\n\n".join(blocks)
+            rows.append((len(rows), f"https://{host}/{len(rows)}", page, "x", 1))
+    rng.shuffle(rows)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (1, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = {r.page_id: r.text for r in hx.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+            assert [i for i in want if got[i] != want[i]] == []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_many_copies_of_a_page(spark, monkeypatch):
+    monkeypatch.setattr(hx, "GROUP_PAGES", 8)
+    rng = random.Random(26)
+    blocks, page = site_page(rng, "a.example", True)
+    rows = [(7, "https://a.example/7", page, "x", 1)] * 100 + [(i, f"https://a.example/{i}", site_page(rng, "a.example", True)[1], "x", 1)
+                                                               for i in range(20, 30)]
+    got = hx.extract(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == 110 and {r.text for r in got if r.page_id == 7} == {"\n\n".join(blocks)}
