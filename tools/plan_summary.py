@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query into PLANS.md.
+"""Summarise the physical plan of every registered query of the core into PLANS.md.
 
 For each query: the tables scanned with the columns actually read and the
 filters pushed into the scan, and the number of shuffles, broadcasts and
@@ -17,7 +17,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as se  # noqa: E402
+from tessera import catalog  # noqa: E402
 from tessera.session import local_session  # noqa: E402
 
 JOINS = ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin",
@@ -105,8 +105,8 @@ def main():
         "| query | scans: table (cols, pushed) | shuffles | broadcasts | joins | Python UDF |",
         "| --- | --- | --- | --- | --- | --- |",
     ]
-    for key in sorted(se.queries()):
-        df = se.queries()[key](spark, sf_dir)
+    for key in sorted(catalog.QUERIES):
+        df = catalog.QUERIES[key](spark, sf_dir)
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             df.explain("formatted")
