@@ -61,7 +61,7 @@ FREQUENT = 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Characters of a text whose words are held at once; words whose features a worker remembers.
-PIECE, HELD_WORDS = 2_000_000, 600_000
+PIECE, HELD_WORDS = 2_000_000, 400_000
 
 
 def words_of(text: str | None):
