@@ -1,14 +1,17 @@
 """Operator 3: byte-level BPE encoding and decoding by corpus-level merge replay.
 
 Encoding works on the distinct pre-tokens of a slice of the corpus, not on
-documents.  A slice's new pre-tokens are laid out as one sequence of byte
-tokens; an inverted index maps the rank of every adjacent token pair to the
-positions where the pair occurs.  Ranks are taken from the index in ascending
-order; a merge is applied at all its positions, and only the pairs with the
-merged token's two neighbours are looked up and indexed anew.  A pre-token met
-again is not merged again, also not by later tasks of a worker while it is
-remembered: documents are put together from the replayed pieces.  Slices are the parts of a document partition, so the work is spread
-by the scan, nothing is shuffled, and a lost executor costs only its slices.
+documents.  A slice's new pre-tokens are laid out together, places by words, with
+the rank of every adjacent pair.  A round merges in every word at once its pair of
+the lowest rank, leftmost first, and only the pairs with the merged token's two
+neighbours are looked up anew; words whose pairs all stay leave the arrays.  Words
+of more than ``SHORT`` bytes are one sequence of byte tokens with an inverted index
+from ranks to the positions of their pairs; ranks are taken in ascending order, a
+merge is applied at all its positions.  A pre-token met again is not merged again,
+also not by later tasks of a worker while it is remembered: documents are put
+together from the replayed pieces.  Slices are the parts of a document partition,
+so the work is spread by the scan, nothing is shuffled, and a lost executor costs
+only its slices.
 
 Defined results: null text encodes like the empty text (no ids); null ids
 decode to no bytes; other columns of the input are not read.
@@ -38,6 +41,9 @@ SLICE_CHARS = 2_000_000
 REPLAY_WORDS, KEEP_PIECES = 50_000, 240_000
 #: Ids whose bytes are gathered at once.
 GATHER_IDS = 1 << 18
+#: Bytes of the longest words that are merged by rounds, and of the groups that share a round; a pair's
+#: rank and place in a word as one number, and the number of no pair.
+SHORT, LENGTHS, PLACE_BITS, NO_PAIR = 60, (4, 6, 8, 10, 13, 17, 25, 40, 60), 6, 1 << 30
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -63,6 +69,12 @@ class MergeReplay:
         self.token = {rank: token for token, rank in ranks.items()}
         self.byte_rank = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.pairs: dict[int, int] = {}
+        self.short = SHORT if max(ranks.values()) < NO_PAIR >> PLACE_BITS else 0
+        # every pair of tokens that merges, ascending; the codes of two tokens are one number
+        found = sorted((ranks[token[:k]] << 20 | ranks[token[k:]], rank) for token, rank in ranks.items()
+                       for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks)
+        self.pair_codes = np.array([c for c, _ in found] + [1 << 62], np.int64)
+        self.pair_ranks = np.array([r for _, r in found] + [-1], np.int64)
 
     def pair_rank(self, left: int, right: int) -> int:
         """Rank of the token that the pair merges to, -1 if there is none."""
@@ -77,6 +89,69 @@ class MergeReplay:
 
     def replay(self, words: list[bytes]) -> list[bytes]:
         """Ids of every (non-empty) word, as packed little-endian int32."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        out: list[bytes] = [b""] * len(words)
+        low = 0
+        for high in (*(n for n in LENGTHS if n <= self.short), int(sizes.max(initial=0))):
+            mine = np.flatnonzero((sizes > low) & (sizes <= high)).tolist()
+            run = self._by_rounds if high <= self.short else self._by_index
+            for at in range(0, len(mine), REPLAY_WORDS):
+                part = mine[at:at + REPLAY_WORDS]
+                for i, ids in zip(part, run([words[i] for i in part])):
+                    out[i] = ids
+            low = max(low, high)
+        return out
+
+    def _pair_ends(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Rank and place, as one number, of pairs of tokens (-1: no token); NO_PAIR if they do not merge."""
+        code = left.astype(np.int64) << 20 | right
+        at = np.searchsorted(self.pair_codes, code)
+        return np.where(self.pair_codes[at] == code, self.pair_ranks[at] << PLACE_BITS | place, NO_PAIR).astype(np.int32)
+
+    def _by_rounds(self, words: list[bytes]) -> list[bytes]:
+        """Short words: a round merges in each word its pair of the lowest rank, of equal ones the first.
+
+        The arrays are places x words, with one more place that stands for "none"."""
+        n, sizes = len(words), np.array([len(w) for w in words], np.int32)
+        if not n:
+            return []
+        length = int(sizes.max())
+        data = np.frombuffer(b"".join(words) + b"\0" * length, np.uint8)
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
+        places = np.arange(length + 1, dtype=np.int32)[:, None]
+        inside = places < sizes
+        token = np.full((length + 1, n), -1, np.int32)
+        token[:-1] = np.where(inside[:-1], self.byte_rank[data[starts + places[:-1]]], -1)
+        after = np.where(places + 1 < sizes, places + 1, length).astype(np.int32)
+        before = np.where(inside & (places > 0), places - 1, length).astype(np.int32)
+        best = np.full((length + 1, n), NO_PAIR, np.int32)
+        best[:-1] = self._pair_ends(token[:-1], token[1:], places[:-1])
+        word = np.arange(n)                          # of each column of ``best``: done words leave it
+        token, after, before = token.reshape(-1), after.reshape(-1), before.reshape(-1)
+        while len(word):
+            least = best.min(axis=0)
+            live = np.flatnonzero(least < NO_PAIR)
+            if len(live) < 0.8 * len(word):
+                best, word, least = best[:, live], word[live], least[live]
+                live = np.arange(len(live))
+            of, place, rank = word[live], least[live] & (1 << PLACE_BITS) - 1, least[live] >> PLACE_BITS
+            here = place * n + of
+            second = after[here]
+            third = after[second * n + of]
+            first = before[here]
+            token[here], token[second * n + of] = rank, -1
+            after[here], before[third * n + of] = third, place
+            best[second, live] = NO_PAIR
+            best[place, live] = self._pair_ends(rank, token[third * n + of], place)
+            best[first, live] = self._pair_ends(token[first * n + of], rank, first)
+        token = token.reshape(length + 1, n)[:-1].T
+        keep = token >= 0
+        ends = np.cumsum(keep.sum(axis=1)).tolist()
+        packed = token[keep].astype("<i4").tobytes()
+        return [packed[4 * a:4 * b] for a, b in zip([0, *ends], ends)]
+
+    def _by_index(self, words: list[bytes]) -> list[bytes]:
+        """Words of any length: the ranks are taken in order, each at all positions of its pair."""
         if not words:
             return []
         data = np.frombuffer(b"".join(words), np.uint8)
@@ -175,35 +250,30 @@ class MergeReplay:
 def _learn(words: set[str], replay: MergeReplay, pieces: dict[str, bytes]) -> None:
     """Adds the ids of ``words`` to ``pieces``; a word that is itself a token is that token."""
     open_words: list[str] = []
+    coded: list[bytes] = []
+    get = replay.ranks.get
     for word in words:
-        rank = replay.ranks.get(word.encode())
+        data = word.encode()
+        rank = get(data)
         if rank is None:
             open_words.append(word)
+            coded.append(data)
         else:
             pieces[word] = rank.to_bytes(4, "little")
     for at in range(0, len(open_words), REPLAY_WORDS):
-        part = open_words[at:at + REPLAY_WORDS]
-        pieces.update(zip(part, replay.replay([w.encode() for w in part])))
+        pieces.update(zip(open_words[at:at + REPLAY_WORDS], replay.replay(coded[at:at + REPLAY_WORDS])))
 
 
 class Pieces:
-    """What a worker has replayed so far, for the tables it reads ranks from.
+    """What a worker has replayed so far; it goes with the broadcast of the ranks.
 
     The recent pieces and those before them; when the recent ones are many, the older ones go."""
 
     def __init__(self, data: bytes):
-        self.data, self.replay = data, MergeReplay(parse_ranks(data))
+        self.replay = MergeReplay(parse_ranks(data))
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    @classmethod
-    def of_worker(cls, data: bytes) -> "Pieces":
-        """The one that earlier tasks of this worker process have left, or a new one."""
-        kept = cls.__dict__.get("kept")
-        if kept is None or kept.data != data:
-            kept = cls.kept = cls(data)
-        return kept
-
     def for_words(self, words: set[str]) -> dict[str, bytes]:
         """The pieces of all ``words`` (and others)."""
         if len(self.recent) > KEEP_PIECES // 2:
@@ -246,7 +316,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     sent = ship(docs.sparkSession, read_bytes(ranks_path))
 
     def run(batches):
-        kept, split = Pieces.of_worker(shipped(sent)), regex.compile(pattern)
+        kept, split = shipped(sent, Pieces), regex.compile(pattern)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             size = max(1, min(1024, len(texts)))
@@ -270,20 +340,13 @@ class TokenBytes:
 
     def __init__(self, data: bytes):
         ranks = parse_ranks(data)
-        self.data, tokens = data, sorted(ranks, key=ranks.__getitem__)
+        tokens = sorted(ranks, key=ranks.__getitem__)
         at = np.array([ranks[t] for t in tokens], np.int64)
         self.size = np.full(int(at.max(initial=-1)) + 1, -1, np.int64)
         self.size[at] = [len(t) for t in tokens]
         self.start = np.cumsum(np.maximum(self.size, 0)) - np.maximum(self.size, 0)
         self.flat = np.frombuffer(b"".join(tokens), np.uint8)
 
-    @classmethod
-    def of_worker(cls, data: bytes) -> "TokenBytes":
-        kept = cls.__dict__.get("kept")
-        if kept is None or kept.data != data:
-            kept = cls.kept = cls(data)
-        return kept
-
     def of_ids(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all ids, size of each id's)."""
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or self.size[ids].min() < 0):
@@ -314,7 +377,7 @@ def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame
     sent = ship(coded.sparkSession, read_bytes(ranks_path))
 
     def run(batches):
-        token = TokenBytes.of_worker(shipped(sent))
+        token = shipped(sent, TokenBytes)
         for batch in batches:
             decoded = token.of_lists(batch.column(batch.schema.get_field_index(ids_col)))
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*batch.schema.names, "decoded"])

@@ -97,3 +97,33 @@ def test_decoding_of_lists(spark, monkeypatch):
     for bad in ([-1], [50_256], [10**9]):
         with pytest.raises(Exception, match="no token"):
             bpe.decode(spark.createDataFrame([(bad,)], "ids array<int>"), PATH).collect()
+
+
+def test_rounds_and_index_agree(ranks):
+    """Short words are merged by rounds, longer ones by the index; both as the library does."""
+    rng = random.Random(11)
+    letters = "aaabcdeeéiłnorstuüß本🙂 0123.,-_\n\t'"
+    words = sorted({"".join(rng.choices(letters, k=rng.randint(1, 30))).encode() for _ in range(2_000)})
+    replay = bpe.MergeReplay(ranks)
+    assert replay._by_rounds([w for w in words if len(w) <= bpe.SHORT]) == replay._by_index(
+        [w for w in words if len(w) <= bpe.SHORT])
+    assert replay.replay(words) == replay._by_index(words)
+    assert replay.replay([]) == []
+
+
+def test_workers_forget_ranks_and_pieces(spark):
+    """What the encoder and decoder remember is not held by a worker that runs another operator, not
+    even until a garbage collection."""
+    bpe.digests(rows(spark, ["the quick brown fox"] * 16).repartition(8), PATH, public_tokenizers.PATTERN).collect()
+
+    def held(batches):
+        import gc
+
+        import pyarrow as pa
+        n = sum(type(x).__name__ in ("Pieces", "MergeReplay", "TokenBytes") for x in gc.get_objects())
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    found = spark.range(0, 64, 1, 32).mapInArrow(held, "n bigint").collect()
+    assert sum(r.n for r in found) == 0
