@@ -60,13 +60,19 @@ NEIGHBOURS, BLOCK, EVIDENCE, REJECT = 15, 128, 3, 0.3
 FREQUENT = 20
 
 _WORD = re.compile(r"[^\W\d_]+")
+_LETTERS = "".join(chr(i) if chr(i).isalpha() else " " for i in range(128))
 #: Characters of a text whose words are held at once; words whose features a worker remembers.
 PIECE, HELD_WORDS = 2_000_000, 400_000
+#: Rows that are scored and handed on at once.
+ROWS = 1_024
 
 
 def words_of(text: str | None):
     """Lists of the letter runs of the text, lower-cased, piece by piece."""
     text = (text or "").lower()
+    if len(text) <= PIECE and text.isascii():        # the same words by cheaper means
+        yield text.translate(_LETTERS).split()
+        return
     at = 0
     while at < len(text):
         end = min(len(text), at + PIECE)
@@ -82,55 +88,67 @@ def codes_of(word: str, code=xxhash.xxh3_64_intdigest) -> list[int]:
 
 
 class Vocabulary:
-    """Features by number: their codes, ascending.  A worker remembers the numbers of words that it met."""
+    """Features by number: their codes, ascending.  A task remembers the numbers of words that it met."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes, self.size, self.known, self.beginnings, self.numbers = codes, len(codes), {}, {}, None
+        self.codes, self.size, self.numbers = codes, len(codes), None
+        self.forget()
 
     def __getstate__(self):
         return {"codes": self.codes, "size": self.size, "known": {}, "beginnings": {}, "numbers": None}
 
-    def _meet(self, words: set[str]) -> None:
-        """Looks up the words that are not remembered."""
+    def forget(self) -> None:
+        """Of the words that were met; a worker that waits for its next task holds the codes alone."""
+        self.known, self.beginnings = {}, {}
+
+    def _features(self, words: list[str]) -> list[tuple[int, ...]]:
+        """The numbers of each word's features; those of words that are not remembered are looked up."""
+        found = list(map(self.known.get, words))
+        if None not in found:
+            return found
         if self.numbers is None:
             self.numbers = dict(zip(self.codes.tolist(), range(self.size)))
-        for memory in (self.known, self.beginnings):
-            if len(memory) > HELD_WORDS:
-                memory.clear()
-        for word in words.difference(self.known):
-            self.known[word] = self._look_up(word)
-
-    def _look_up(self, word: str) -> tuple[int, ...]:
+        if max(len(self.known), len(self.beginnings)) > HELD_WORDS:
+            self.forget()
+        known = self.known
+        for i, features in enumerate(found):
+            if features is None:
+                word = words[i]
+                features = known.get(word)
+                if features is None:
+                    features = known[word] = self._look_up(word)
+                found[i] = features
+        return found
+
+    def _look_up(self, word: str, code=xxhash.xxh3_64_intdigest) -> tuple[int, ...]:
         # where a beginning is no feature, neither is a longer one, nor the word
-        found: list[int] = []
-        beginnings, size = self.beginnings, len(word)
+        beginnings, numbers, size, found = self.beginnings, self.numbers, len(word), ()
         for k in PREFIXES:
             if size <= k:
                 break
             begin = word[:k]
-            number = beginnings.get(begin, -2)
-            if number == -2:
-                number = beginnings[begin] = self.numbers.get(xxhash.xxh3_64_intdigest(begin + "*"), -1)
-            if number < 0:
-                return tuple(found)
-            found.append(number)
-        number = self.numbers.get(xxhash.xxh3_64_intdigest(word))
-        return tuple(found) if number is None else (*found, number)
+            upto = beginnings.get(begin)
+            if upto is None:                         # the features up to this one, if it is one
+                number = numbers.get(code(begin + "*"))
+                upto = beginnings[begin] = False if number is None else (*found, number)
+            if upto is False:
+                return found
+            found = upto
+        number = numbers.get(code(word))
+        return found if number is None else (*found, number)
 
     def present(self, text: str | None) -> np.ndarray:
         """Numbers of the features in the text."""
         found: set[int] = set()
-        for words in map(set, words_of(text)):
-            self._meet(words)
-            found.update(chain.from_iterable(map(self.known.__getitem__, words)))
+        for words in words_of(text):
+            found.update(chain.from_iterable(self._features([*set(words)])))
         return np.fromiter(found, np.int64, len(found))
 
     def held(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and counts of the features in the text."""
         found: Counter = Counter()
         for words in words_of(text):
-            self._meet(set(words))
-            found.update(chain.from_iterable(map(self.known.__getitem__, words)))
+            found.update(chain.from_iterable(self._features(words)))
         return np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found))
 
     def counts(self, text: str | None) -> dict[int, int]:
@@ -203,6 +221,12 @@ class BlockMaxIndex:
         score = (values[frequent].astype(np.float32) @ self.matrix[row[frequent]]).astype(float)
         terms, values = terms[~frequent], values[~frequent]
         size = self.runs_of[terms]
+        first = self.run[self.at[terms]]
+        held = self.run[self.at[terms + 1]] - first
+        if held.sum() <= 4 * size.sum():             # bounds of blocks would cost what the postings cost
+            postings, weights = _ranges(first, held), np.repeat(values, held)
+            score += np.bincount(self.place[postings], weights * self.weight[postings], len(score))
+            return self._best(score, k)
         runs = _ranges(self.at[terms], size)
         weights = np.repeat(values, size)
         block = self.block[runs]
@@ -219,6 +243,10 @@ class BlockMaxIndex:
         lengths = self.length[runs]
         postings = _ranges(self.run[runs], lengths)
         score += np.bincount(self.place[postings], np.repeat(weights, lengths) * self.weight[postings], len(score))
+        return self._best(score, k)
+
+    def _best(self, score: np.ndarray, k: int) -> list[tuple[float, int]]:
+        least = 0.0
         if len(score) > k:
             least = max(0.0, float(np.partition(score, len(score) - k)[len(score) - k]))
         found = np.flatnonzero((score >= least) & (score > 0))
@@ -389,6 +417,7 @@ def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True)) ->
             for text in batch.column(0):
                 total[terms.present(text.as_py())] += 1
             rows += len(batch)
+        terms.forget()
         total[-1] = rows
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["term", "n"])
@@ -408,6 +437,7 @@ def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True)) ->
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([t.tobytes() for t, _ in found], pa.binary()),
                  pa.array([c.tobytes() for _, c in found], pa.binary())], names=["doc_id", "toxic", "terms", "counts"])
+        terms.forget()
 
     # the examples as arrays of numbers, bounded by the sample's rows and characters
     rows = (sample.select("doc_id", "text", "toxic")
@@ -442,8 +472,9 @@ def apply(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         model, known = shipped(sent), {}
-        for batch in batches:
-            scores, evidence = [], []
+        ids, labels = model.ids, model.labels
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, len(b), ROWS)):
+            found = []
             for text in batch.column(batch.schema.get_field_index("text")):
                 text = text.as_py() or ""
                 key = xxhash.xxh3_128_digest(text)                   # copies are scored once
@@ -451,14 +482,14 @@ def apply(docs: DataFrame, model: Model) -> DataFrame:
                     if len(known) > 20_000:
                         known.clear()
                     score, near = model.score(model.terms.held(text))
-                    known[key] = score, [{"doc_id": model.ids[i], "cosine": c, "toxic": bool(model.labels[i])}
-                                         for c, i in near[:EVIDENCE]]
-                scores.append(known[key][0])
-                evidence.append(known[key][1])
+                    known[key] = score, near[:EVIDENCE]
+                found.append(known[key])
+            evidence = [[{"doc_id": ids[i], "cosine": c, "toxic": bool(labels[i])} for c, i in near] for _, near in found]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64()),
-                 pa.array([int(s >= REJECT) for s in scores], pa.int32()), pa.array(evidence, evidence_type)],
+                [*batch.columns, pa.array([s for s, _ in found], pa.float64()),
+                 pa.array([int(s >= REJECT) for s, _ in found], pa.int32()), pa.array(evidence, evidence_type)],
                 names=[*batch.schema.names, *(f.name for f in _ADDED)])
+        model.terms.forget()
 
     return docs.mapInArrow(run, schema)
 

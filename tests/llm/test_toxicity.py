@@ -215,3 +215,34 @@ def test_sample_is_bounded_by_characters(spark, monkeypatch):
     model = toxicity.fit(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
     size = {i: len(t) for i, t, _ in docs}
     assert 10 < len(model.ids) < 200 and sum(size[i] for i in model.ids) <= 20_000
+
+
+def test_words_of_plain_and_other_texts():
+    """Texts of ASCII letters alone are cut by other means than the rest, into the same words."""
+    rng = random.Random(3)
+    for letters in ("abcXYZ019_ .,-'\n\t\x00\x1f\x7f", "abXYé本İß09_ .  '\n"):
+        for n in (0, 1, 5, 400):
+            text = "".join(rng.choices(letters, k=n))
+            assert [w for part in toxicity.words_of(text) for w in part] == toxicity._WORD.findall(text.lower())
+    assert [*toxicity.words_of(None)] in ([], [[]])
+
+
+def test_direct_sums_and_bounds_agree(monkeypatch):
+    """Whether all postings are summed at once or only those of blocks that can matter, the best are the same."""
+    rng = random.Random(8)
+    vectors = [unit(rng, 400) for _ in range(600)]
+    for block in (1, 2, 64, 600):                    # runs of one posting, up to all of a term's
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        index = toxicity.BlockMaxIndex(400, vectors)
+        for query in (unit(rng, 400) for _ in range(20)):
+            exact = sorted(((-sum(w * v.get(t, 0.0) for t, w in query.items()), i) for i, v in enumerate(vectors)))
+            got = index.top(query, 5)
+            assert [round(-c, 5) for c, _ in exact[:5] if c < 0] == [round(c, 5) for c, _ in got]
+
+
+def test_task_forgets_words_that_it_met():
+    """A worker that waits for its next task holds the model, not the words of the tasks before."""
+    words = toxicity.Vocabulary(np.sort(np.array([c for w in ("alpha", "beta") for c in toxicity.codes_of(w)], np.uint64)))
+    assert len(words.present("alpha beta alphabet")) > 2 and words.known and words.beginnings
+    words.forget()
+    assert not words.known and not words.beginnings
