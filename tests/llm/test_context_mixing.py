@@ -142,3 +142,25 @@ def test_shuffled_words_are_coded_worse(spark):
     for i, j in mixed.items():
         assert got[i].base_score == pytest.approx(got[j].base_score)
         assert got[i].score > got[j].score + 5
+
+
+def test_stream_tables_are_sent_compressed(spark, monkeypatch):
+    """Every executor keeps what is broadcast on its disk: the stream's tables go as compressed blocks."""
+    sizes = []
+    broadcast = type(spark.sparkContext).broadcast
+
+    def noted(self, value):
+        sizes.append(len(value) if isinstance(value, bytes) else sum(
+            x.nbytes for x in (value if isinstance(value, tuple) else (value,)) if hasattr(x, "nbytes")))
+        return broadcast(self, value)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", noted)
+    # two tables of the vocabulary's bits, sent twice, of this size
+    fixed = 2 * 4 * int(cm._OFFSETS[-1])
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(rng.choices("the of and to in is".split(), k=30))) for i in range(40)],
+                                 "doc_id long, text string")
+    monkeypatch.setattr(cm, "table_bits", lambda n_bytes: 18)
+    assert cm.score_documents(docs).where("score < 0").count() == 40
+    whole = cm.PREDICTORS * (2 << 18) * 2
+    assert len([s for s in sizes if s >= fixed]) == 2 and all(s < whole / 4 for s in sizes if s < fixed)
