@@ -44,6 +44,8 @@ GATHER_IDS = 1 << 18
 #: Bytes of the longest words that are merged by rounds, and of the groups that share a round; a pair's
 #: rank and place in a word as one number, and the number of no pair.
 SHORT, LENGTHS, PLACE_BITS, NO_PAIR = 60, (4, 6, 8, 10, 13, 17, 25, 40, 60), 6, 1 << 30
+#: Places of words in the arrays of a round.
+ROUND_PLACES = 1 << 18
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -94,9 +96,10 @@ class MergeReplay:
         low = 0
         for high in (*(n for n in LENGTHS if n <= self.short), int(sizes.max(initial=0))):
             mine = np.flatnonzero((sizes > low) & (sizes <= high)).tolist()
-            run = self._by_rounds if high <= self.short else self._by_index
-            for at in range(0, len(mine), REPLAY_WORDS):
-                part = mine[at:at + REPLAY_WORDS]
+            run, size = ((self._by_rounds, ROUND_PLACES // (high + 1)) if high <= self.short else
+                         (self._by_index, REPLAY_WORDS))
+            for at in range(0, len(mine), size):
+                part = mine[at:at + size]
                 for i, ids in zip(part, run([words[i] for i in part])):
                     out[i] = ids
             low = max(low, high)
