@@ -29,9 +29,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from .common import ship, shipped
 
@@ -313,10 +313,9 @@ def _encode_texts(texts: Iterable[str], pattern, kept: Pieces) -> Iterator[bytes
     yield from packed(held)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """(id_col, ids array<int>): the ids of each whole text, one row per input row."""
-    sent = ship(docs.sparkSession, read_bytes(ranks_path))
+def _encoder(spark: SparkSession, ranks_path: str, pattern: str, id_col: str):
+    """Batches of ids and texts -> batches of ids and lists of token ids."""
+    sent = ship(spark, read_bytes(ranks_path))
 
     def run(batches):
         kept, split = shipped(sent, Pieces), regex.compile(pattern)
@@ -333,9 +332,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                     [ids.slice(at, size), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
                     names=[id_col, "ids"])
 
+    return run
+
+
+def _coded_schema(rows: DataFrame, id_col: str) -> StructType:
+    return StructType([StructField(id_col, rows.schema[id_col].dataType), StructField("ids", ArrayType(IntegerType()))])
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """(id_col, ids array<int>): the ids of each whole text, one row per input row."""
     rows = docs.select(id_col, text_col)
-    kind = rows.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return rows.mapInArrow(_encoder(docs.sparkSession, ranks_path, pattern, id_col), _coded_schema(rows, id_col))
 
 
 class TokenBytes:
@@ -374,10 +382,9 @@ class TokenBytes:
         return pc.if_else(lists.is_valid(), whole, None).cast(pa.binary())
 
 
-def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
-    """``coded`` with ``decoded`` binary: the bytes that the ids stand for (a column of this name in
-    the input is replaced)."""
-    sent = ship(coded.sparkSession, read_bytes(ranks_path))
+def _decoder(spark: SparkSession, ranks_path: str, ids_col: str):
+    """Batches with lists of token ids -> the same with the bytes that these stand for."""
+    sent = ship(spark, read_bytes(ranks_path))
 
     def run(batches):
         token = shipped(sent, TokenBytes)
@@ -385,14 +392,32 @@ def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame
             decoded = token.of_lists(batch.column(batch.schema.get_field_index(ids_col)))
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*batch.schema.names, "decoded"])
 
+    return run
+
+
+def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
+    """``coded`` with ``decoded`` binary: the bytes that the ids stand for (a column of this name in
+    the input is replaced)."""
     coded = coded.drop("decoded")
     schema = StructType([*coded.schema.fields, StructField("decoded", BinaryType())])
-    return coded.mapInArrow(run, schema)
+    return coded.mapInArrow(_decoder(coded.sparkSession, ranks_path, ids_col), schema)
+
+
+def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))``: both steps of a task in one worker, which hands the ids over as they are.
+
+    As two steps of a plan they take two workers a task, and the ids pass through the JVM between them."""
+    rows = docs.select(id_col, text_col)
+    to_ids = _encoder(docs.sparkSession, ranks_path, pattern, id_col)
+    to_bytes = _decoder(docs.sparkSession, ranks_path, "ids")
+    schema = StructType([*_coded_schema(rows, id_col).fields, StructField("decoded", BinaryType())])
+    return rows.mapInArrow(lambda batches: to_bytes(to_ids(batches)), schema)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Per document: number of ids, and digests of the ids and of the decoded bytes."""
-    both = decode(encode(docs, ranks_path, pattern), ranks_path)
+    both = encode_decode(docs, ranks_path, pattern)
     joined = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return both.select(
         "doc_id",

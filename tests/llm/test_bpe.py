@@ -127,3 +127,15 @@ def test_workers_forget_ranks_and_pieces(spark):
 
     found = spark.range(0, 64, 1, 32).mapInArrow(held, "n bigint").collect()
     assert sum(r.n for r in found) == 0
+
+
+def test_digests_run_in_one_worker_a_task(spark):
+    """Encoding and decoding share a worker, and give what the two steps give one after the other."""
+    docs = rows(spark, ["the quick brown fox", "", None, "zażółć 本🙂 1234", "a" * 500]).repartition(2)
+    plan = bpe.digests(docs, PATH, public_tokenizers.PATTERN)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    both = bpe.encode_decode(docs, PATH, public_tokenizers.PATTERN)
+    apart = bpe.decode(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH)
+    assert both.columns == apart.columns
+    as_rows = lambda df: sorted((r.doc_id, r.ids, bytes(r.decoded)) for r in df.collect())
+    assert as_rows(both) == as_rows(apart)
