@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import context_mixing as cm
@@ -164,3 +165,55 @@ def test_stream_tables_are_sent_compressed(spark, monkeypatch):
     assert cm.score_documents(docs).where("score < 0").count() == 40
     whole = cm.PREDICTORS * (2 << 18) * 2
     assert len([s for s in sizes if s >= fixed]) == 2 and all(s < whole / 4 for s in sizes if s < fixed)
+
+
+def stream_of(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    return [batch], next(iter(cm._streams([batch], 1 << 30)))
+
+
+def test_half_bytes_are_counted_and_give_every_bit():
+    """A task counts half bytes, 16 counts a context; the tables of bits that they give are those of
+    counting each bit of every predictor."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("aab ż本e\t", k=rng.randint(0, 400))) for _ in range(30)] + [None, ""] + ["the cat "] * 40
+    batches, stream = stream_of(texts)
+    bits = 16
+    blocks = [(block, data) for b in cm._count_stream(bits)(batches) for block, data in zip(*b.to_pydict().values())]
+    assert sum(cm._unpacked(data).size for _, data in blocks) <= cm.PREDICTORS << bits
+    assert sum(int(cm._unpacked(data).sum()) for _, data in blocks) == 2 * cm.PREDICTORS * len(stream.data)
+    plain = np.zeros((cm.PREDICTORS, 1 << bits, 2), np.int64)
+    for table, slots in zip(plain, stream.slots(0, len(stream.data), bits)):
+        np.add.at(table, (slots, stream.bits(0, len(stream.data))), 1)
+    assert (cm._stream_tables(blocks, bits) == plain).all()
+
+
+def test_counts_beyond_16_bits_keep_their_proportion():
+    counts = np.zeros(cm.BLOCK, np.uint32)
+    counts[16 + 3], counts[16 + 12] = 300_000, 100_000          # half bytes 0011 and 1100 of one context
+    table = cm._stream_tables([(0, cm._packed(counts))], 16)[0]
+    assert table[16 + 1].tolist() == [65_535, 21_845]
+    assert table[16 + 2].tolist() == [65_535, 0] and table[16 + 3].tolist() == [0, 65_535]
+    assert table[:16].sum() == 0 and table[32:].sum() == 0
+
+
+def test_mixer_is_the_plain_one():
+    """Windows of bits, one bit and one weight at a time."""
+    rng = np.random.default_rng(5)
+    n, width = 300, cm.PREDICTORS + 1
+    x = rng.normal(0, 2, (n, width)).astype(np.float32)
+    gate, bit = rng.integers(0, cm.STREAM_GATES, n), rng.integers(0, 2, n).astype(np.uint8)
+    mixer = cm.Mixer()
+    got = np.concatenate([mixer.code(x[i:i + 100], gate[i:i + 100], bit[i:i + 100]) for i in range(0, n, 100)])
+    weights, sure, plain = np.full((cm.STREAM_GATES, width), 0.2), np.full((cm.STREAM_GATES, width), 200.0), []
+    for i in range(0, n, 100):
+        push = np.zeros_like(weights)
+        for t in range(i, i + 100):
+            row = [float(v) for v in x[t]]
+            p = 1 / (1 + np.exp(-min(18, max(-18, sum(v * w for v, w in zip(row, weights[gate[t]]))))))
+            plain.append(p)
+            for j in range(width):
+                push[gate[t], j] += (bit[t] - p) * row[j]
+                sure[gate[t], j] += max(p * (1 - p), 1e-3) * sum(map(abs, row)) * abs(row[j])
+        weights += push / sure
+    assert np.allclose(got, plain, rtol=1e-9) and np.allclose(mixer.weights, weights, rtol=1e-9)
