@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -217,3 +218,40 @@ def test_mixer_is_the_plain_one():
                 sure[gate[t], j] += max(p * (1 - p), 1e-3) * sum(map(abs, row)) * abs(row[j])
         weights += push / sure
     assert np.allclose(got, plain, rtol=1e-9) and np.allclose(mixer.weights, weights, rtol=1e-9)
+
+
+def test_learning_holds_no_slot_of_every_bit():
+    """A half byte's slots are fetched together: a piece takes 112 bytes a bit, 148 with nine slots a bit."""
+    rng = random.Random(7)
+    batches, stream = stream_of(["".join(rng.choices("abcdefgh ", k=cm.LEARNT_BYTES))])
+    tables = cm._stream_tables([(block, data) for b in cm._count_stream(16)(batches)
+                                for block, data in zip(*b.to_pydict().values())], 16)
+    sent = type("Sent", (), {"value": tables})
+    n = 8 * cm.LEARNT_BYTES
+    tracemalloc.start()
+    try:
+        assert len(list(cm._learn_stream(sent, 16)(batches))) == 1
+        assert tracemalloc.get_traced_memory()[1] < 128 * n
+    finally:
+        tracemalloc.stop()
+
+
+def test_inputs_are_the_plain_ones():
+    """Counts of each bit's own slots, with and without the bit itself; gates of the contexts seen."""
+    rng = random.Random(8)
+    batches, stream = stream_of(["".join(rng.choices("aab be\t", k=300)) for _ in range(20)])
+    tables = cm._stream_tables([(block, data) for b in cm._count_stream(16)(batches)
+                                for block, data in zip(*b.to_pydict().values())], 16)
+    _, other = stream_of(["a new text, be bab " * 9])
+    for of, without in ((stream, 1), (stream, 0), (other, 0)):
+        a, z = 5, len(of.data) - 3
+        bit, x, gate = cm._stream_inputs(tables, of, a, z, 16, without)
+        assert (bit == of.bits(a, z)).all() and (x[:, -1] == np.float32(0.3)).all()
+        seen = []
+        for i, slots in enumerate(of.slots(a, z, 16)):
+            n = tables[i][slots].astype(int)
+            n[np.arange(len(bit)), bit] -= without
+            assert n.min() >= 0 and np.allclose(x[:, i], np.log((n[:, 1] + 0.2) / (n[:, 0] + 0.2)), atol=1e-5)
+            seen.append(n.sum(axis=1))
+        far, words = np.array(seen[:6]), np.array(seen[6:])
+        assert (gate == (far > 0).sum(axis=0) * 7 + (words > 0).sum(axis=0) + (words > 20).sum(axis=0)).all()
