@@ -1,8 +1,10 @@
 """Operator 7: exact base scores and counts; coding as a probability; held-out gain."""
 
 import math
+import os
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -13,6 +15,7 @@ import pytest
 
 from tessera.llm import context_mixing as cm
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SCHEMA = "doc_id long, text string, chunk long, c long"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -255,3 +258,34 @@ def test_inputs_are_the_plain_ones():
             seen.append(n.sum(axis=1))
         far, words = np.array(seen[:6]), np.array(seen[6:])
         assert (gate == (far > 0).sum(axis=0) * 7 + (words > 0).sum(axis=0) + (words > 20).sum(axis=0)).all()
+
+
+def test_ended_steps_leave_no_shuffle_files(spark):
+    """Disk: what the vocabulary and the stream's counts were shuffled through goes as each step ends, not
+    when the driver collects its garbage."""
+    def files():
+        every = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in every.split("\n") if f.endswith(".data") and os.path.exists(f)}
+
+    setting = spark.conf.get(CLEANUP, "false")
+    had = files()
+    say = prose(random.Random(9), 40)
+    scored = cm.score_documents(make(spark, [(i, say()) for i in range(60)]))
+    assert spark.conf.get(CLEANUP, "false") == setting
+    for _ in range(100):                             # Spark removes them on another thread
+        mine = {re.search(r"shuffle_(\d+)_", f)[1] for f in files() - had}
+        if len(mine) <= 3:                           # those of sums and of tables of a fixed size
+            break
+        time.sleep(0.1)
+    assert len(mine) <= 3
+    assert scored.where("score < 0").count() == 60   # and nothing that is needed went
+
+
+def test_a_worker_keeps_no_blocks_beside_the_tables(spark):
+    """Memory: the compressed blocks are let go once a worker has unpacked them."""
+    counts = np.zeros(cm.BLOCK, np.uint32)
+    counts[5] = 7
+    sent = cm.ship(spark, [(0, cm._packed(counts))])
+    tables = cm._Tables(sent, 16)
+    assert tables.value is tables.value and tables.value.sum() == 4 * 7
+    assert "_value" not in vars(sent)
